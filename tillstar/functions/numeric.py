@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 UNSIGNED = "decimal(20,0)"
-TWO_64 = 1 << 64
+TWO_64 = Decimal(1 << 64)
 
 
 def _col(c: Column | str) -> Column:
