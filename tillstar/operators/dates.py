@@ -14,10 +14,13 @@ PARTS = {
     "month_t": lambda d: F.month(d),
     "quarter_t": lambda d: F.quarter(d),
     "year_t": lambda d: F.year(d),
+    "season": lambda d: season(F.month(d)),
 }
+# The columns of the date dimension.
+CALENDAR = ("weekend", "half_of_year", "month_t", "quarter_t", "year_t")
 
 
-def add_date_parts(df: DataFrame, date_col: str = "date_t", parts=tuple(PARTS)) -> DataFrame:
+def add_date_parts(df: DataFrame, date_col: str = "date_t", parts=CALENDAR) -> DataFrame:
     """Add the named calendar columns, derived from ``date_col`` in place (no join, no shuffle)."""
     return df.withColumns({p: PARTS[p](F.col(date_col)) for p in parts})
 

@@ -1,7 +1,9 @@
 """The ten reports. Each takes a ``Star`` and parameters and returns a DataFrame.
 
-Facts are summed by ids before names are attached, so that dimension joins see groups instead of lines. Reports
-that group by names sum a second time afterwards, since several ids may carry one name.
+Where a report is keyed by product, the fact is summed by product id before the product table is joined, so the join
+sees groups instead of lines. Where it is keyed by names, the names join the fact first and one aggregation follows:
+store x supplier x product groups are nearly as many as the lines, so summing by ids first would add a shuffle of the
+whole fact and save nothing (several ids may carry one name, so the names have to be summed anyway).
 """
 
 from __future__ import annotations
@@ -11,26 +13,13 @@ from pyspark.sql import functions as F
 
 from tillstar.functions.numeric import percent_change
 from tillstar.operators.affinity import top_pairs
-from tillstar.operators.dates import sale_type, season
+from tillstar.operators.dates import sale_type
 from tillstar.plans.star import Star
 from tillstar.schema import TOTAL
 
 DEFAULT_YEAR = 2019
 
 
-def _named(star: Star, totals: DataFrame) -> DataFrame:
-    """Attach the names of whichever of store and supplier the totals are keyed by."""
-    if "store_id" in totals.columns:
-        totals = totals.join(star.store, "store_id")
-    if "supplier_id" in totals.columns:
-        totals = totals.join(star.supplier, "supplier_id")
-    return totals
-
-
-def _sum_by(totals: DataFrame, *names: str, total: str = "total_revenue", alias: str = "total_revenue") -> DataFrame:
-    return totals.groupBy(*names).agg(F.sum(total).cast(TOTAL).alias(alias))
-
-
 def top_products(star: Star, year: int = DEFAULT_YEAR, k: int = 5) -> DataFrame:
     """The k products of highest revenue per month and weekday/weekend. Ties go to the lower product id."""
     totals = star.totals(["month_t", "weekend", "product_id"], year).withColumn("sale_type", sale_type())
@@ -48,7 +37,8 @@ def store_growth(star: Star, year: int = DEFAULT_YEAR) -> DataFrame:
     totals = star.totals(["store_id", "quarter_t"], year)
     earlier = Window.partitionBy("store_id").orderBy("quarter_t")
     return (
-        _named(star, totals.withColumn("prev_quarter_revenue", F.lag("total_revenue").over(earlier)))
+        totals.withColumn("prev_quarter_revenue", F.lag("total_revenue").over(earlier))
+        .join(star.store, "store_id")
         .withColumn("growth_rate", percent_change("total_revenue", "prev_quarter_revenue"))
         .select("store_id", "store_name", "quarter_t", "total_revenue", "prev_quarter_revenue", "growth_rate")
         .orderBy("store_id", "quarter_t")
@@ -58,23 +48,24 @@ def store_growth(star: Star, year: int = DEFAULT_YEAR) -> DataFrame:
 def supplier_contribution(star: Star) -> DataFrame:
     """Revenue by store, supplier and product name."""
     names = ("store_name", "supplier_name", "product_name")
-    totals = _named(star, star.totals(["store_id", "supplier_id", "product_id"]))
-    return _sum_by(totals, *names, alias="total_sales").orderBy(*names)
+    totals = star.totals(names)
+    return totals.select(*names, F.col("total_revenue").alias("total_sales")).orderBy(*names)
 
 
 def seasonal_sales(star: Star) -> DataFrame:
     """Revenue by product name and season."""
-    totals = star.totals(["product_id", "month_t"]).withColumn("season", season())
-    return _sum_by(totals, "product_name", "season", alias="total_sales").orderBy("product_name", "season")
+    keys = ("product_name", "season")
+    totals = star.totals(["product_id", "season"])
+    return totals.groupBy(*keys).agg(F.sum("total_revenue").cast(TOTAL).alias("total_sales")).orderBy(*keys)
 
 
 def monthly_volatility(star: Star) -> DataFrame:
     """Change of revenue from month to month per store and supplier name; each year starts anew."""
-    totals = _named(star, star.totals(["store_id", "supplier_id", "year_t", "month_t"]))
     keys = ("store_name", "supplier_name", "year_t", "month_t")
     earlier = Window.partitionBy("store_name", "supplier_name", "year_t").orderBy("month_t")
     return (
-        _sum_by(totals, *keys)
+        star.totals(keys)
+        .drop("total_quantity")
         .withColumn("prev_month_revenue", F.lag("total_revenue").over(earlier))
         .withColumn("revenue_volatility", percent_change("total_revenue", "prev_month_revenue"))
         .orderBy(*keys)
@@ -89,6 +80,7 @@ def product_affinity(star: Star, k: int = 5, wide_basket: int = 1000) -> DataFra
         pairs.join(names.toDF("item_1", "product_name_1"), "item_1")
         .join(names.toDF("item_2", "product_name_2"), "item_2")
         .orderBy(F.desc("pair_count"), "item_1", "item_2")
+        .limit(k)
         .select("product_name_1", "product_name_2", "pair_count")
     )
 
@@ -99,8 +91,8 @@ def yearly_rollup(star: Star, year: int = DEFAULT_YEAR, with_level: bool = False
     ``with_level`` adds ``level`` = grouping id, which tells a subtotal's NULL from a missing name.
     """
     names = ("store_name", "supplier_name", "product_name")
-    totals = star.totals(["store_id", "supplier_id", "product_id"], year)
-    detail = _sum_by(_named(star, totals).withColumn("year_t", F.lit(year)), *names, "year_t")
+    # The rollup repeats its input once per level, so it runs over the finished groups instead of the lines.
+    detail = star.totals(names, year).withColumn("year_t", F.lit(year))
     measures = [F.sum("total_revenue").cast(TOTAL).alias("total_revenue")]
     if with_level:
         measures.append(F.grouping_id().alias("level"))
@@ -150,8 +142,8 @@ def sales_spikes(star: Star, factor: int = 2) -> DataFrame:
 
 def store_quarterly_sales(star: Star, year: int | None = None) -> DataFrame:
     """Revenue per store and quarter number; all years together unless one is named."""
-    totals = _named(star, star.totals(["store_id", "quarter_t"], year))
-    return totals.select(
+    totals = star.totals(["store_id", "quarter_t"], year)
+    return totals.join(star.store, "store_id").select(
         "store_id",
         "store_name",
         F.col("quarter_t").alias("quarter"),

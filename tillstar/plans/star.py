@@ -9,13 +9,18 @@ Two implementations share the reports:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.operators.dates import PARTS, add_date_parts, in_year
 from tillstar.schema import PRICE, REVENUE, TOTAL
+from tillstar.sources.tables import Folder
+
+
+NAMES = {"product_name": "product", "store_name": "store", "supplier_name": "supplier"}
 
 
 class Star:
@@ -29,39 +34,48 @@ class Star:
         raise NotImplementedError
 
     def totals(self, by: Sequence[str], year: int | None = None) -> DataFrame:
-        """``by`` + ``total_revenue`` + ``total_quantity``, plus ``product_name`` when grouped by product."""
+        """``by`` + ``total_revenue`` + ``total_quantity``, plus ``product_name`` when grouped by product id."""
         raise NotImplementedError
 
+    def _sums(self, by: Sequence[str], year: int | None) -> DataFrame:
+        return (
+            self.fact([*by, "sales_revenue", "quantity"], year)
+            .groupBy(*by)
+            .agg(
+                F.sum("sales_revenue").cast(TOTAL).alias("total_revenue"),
+                F.sum("quantity").alias("total_quantity"),
+            )
+        )
+
 
 class LoadedStar(Star):
+    """A written warehouse: six tables; the sales may carry calendar columns and be partitioned by ``year_t``."""
+
     def __init__(self, sales, date, product, customer, store, supplier):
         self.sales, self.date = sales, date
         self.product, self.customer, self.store, self.supplier = product, customer, store, supplier
 
     def fact(self, columns, year=None):
         sales = self.sales
-        dated = [c for c in columns if c == "date_t" or c in PARTS]
-        needed = dated + (["year_t"] if year is not None and "year_t" not in dated else [])
-        missing = [c for c in needed if c not in sales.columns]
-        if missing:
-            dates = self.date
-            if year is not None:
-                dates = dates.filter(F.col("year_t") == year)
-            sales = sales.drop(*[c for c in needed if c in sales.columns])
-            sales = sales.join(dates.select("time_id", *needed), "time_id")
-        elif year is not None:
+        if year is not None and "year_t" in sales.columns:
             sales = sales.filter(F.col("year_t") == year)  # the partition column of the written fact
+            year = None
+        parts = [c for c in columns if c in PARTS]
+        if (parts or "date_t" in columns or year is not None) and "date_t" not in sales.columns:
+            dates = self.date.select("time_id", "date_t")
+            sales = sales.join(dates if year is None else dates.filter(in_year("date_t", year)), "time_id")
+        elif year is not None:
+            sales = sales.filter(in_year("date_t", year))
+        if parts:
+            sales = add_date_parts(sales, "date_t", parts)
+        for name, table in NAMES.items():
+            if name in columns:
+                key = f"{table}_id"
+                sales = sales.join(getattr(self, table).select(key, name), key)
         return sales.select(*columns)
 
     def totals(self, by, year=None):
-        out = (
-            self.fact([*by, "sales_revenue", "quantity"], year)
-            .groupBy(*by)
-            .agg(
-                F.sum("sales_revenue").cast(TOTAL).alias("total_revenue"),
-                F.sum("quantity").alias("total_quantity"),
-            )
-        )
+        out = self._sums(by, year)
         if "product_id" in by:
             out = out.join(self.product.select("product_id", "product_name"), "product_id")
         return out
@@ -70,45 +84,57 @@ class LoadedStar(Star):
 class SourceStar(Star):
     """The star over ``part customer supplier nation orders lineitem`` tables."""
 
-    def __init__(self, tables: dict[str, DataFrame]):
+    def __init__(self, tables: Mapping[str, DataFrame]):
         self.tables = tables
-        self.product = tables["part"].select(
+
+    @classmethod
+    def read(cls, spark: SparkSession, folder: str) -> "SourceStar":
+        return cls(Folder(spark, folder))
+
+    @cached_property
+    def product(self) -> DataFrame:
+        return self.tables["part"].select(
             F.col("p_partkey").alias("product_id"),
             F.col("p_name").alias("product_name"),
             F.col("p_retailprice").cast(PRICE).alias("price"),
         )
-        self.customer = tables["customer"].select(
+
+    @cached_property
+    def customer(self) -> DataFrame:
+        return self.tables["customer"].select(
             F.col("c_custkey").alias("customer_id"),
             F.col("c_name").alias("customer_name"),
             F.col("c_mktsegment").alias("segment"),
         )
-        self.store = tables["nation"].select(
+
+    @cached_property
+    def store(self) -> DataFrame:
+        return self.tables["nation"].select(
             F.col("n_nationkey").alias("store_id"), F.col("n_name").alias("store_name")
         )
-        self.supplier = tables["supplier"].select(
+
+    @cached_property
+    def supplier(self) -> DataFrame:
+        return self.tables["supplier"].select(
             F.col("s_suppkey").alias("supplier_id"), F.col("s_name").alias("supplier_name")
         )
 
-    @classmethod
-    def read(cls, spark: SparkSession, folder: str) -> "SourceStar":
-        from tillstar.sources.tables import read_tables
-
-        return cls(read_tables(spark, folder))
-
     def orders(self, columns: Sequence[str], year: int | None = None) -> DataFrame:
-        """Order heads: ``order_id`` + the asked-for part of ``customer_id store_id order_ts date_t``."""
+        """Order heads: ``order_id`` + the asked-for part of ``customer_id store_id store_name order_ts date_t``."""
         heads = self.tables["orders"].select(
             F.col("o_orderkey").alias("order_id"),
             F.col("o_custkey").alias("customer_id"),
-            F.col("o_orderdate").cast("timestamp_ntz").alias("order_ts"),
+            F.col("o_orderdate").alias("order_ts"),
             F.to_date("o_orderdate").alias("date_t"),
         )
         if year is not None:
             heads = heads.filter(in_year("date_t", year))
-        if "store_id" in columns:
+        if "store_id" in columns or "store_name" in columns:
             at = self.tables["customer"].select(
                 F.col("c_custkey").alias("customer_id"), F.col("c_nationkey").alias("store_id")
             )
+            if "store_name" in columns:
+                at = at.join(self.store, "store_id")
             heads = heads.join(at, "customer_id")
         return heads.select("order_id", *columns)
 
@@ -123,28 +149,25 @@ class SourceStar(Star):
 
     def fact(self, columns, year=None):
         parts = [c for c in columns if c in PARTS]
-        heads = [c for c in ("customer_id", "store_id", "order_ts") if c in columns]
+        heads = [c for c in ("customer_id", "store_id", "store_name", "order_ts") if c in columns]
         if parts or "date_t" in columns:
             heads.append("date_t")
         lines = self.lines()
         if heads or year is not None:
             lines = lines.join(self.orders(heads, year), "order_id")
-        if "sales_revenue" in columns:
-            lines = lines.join(self.product.select("product_id", "price"), "product_id").withColumn(
+        if "sales_revenue" in columns or "product_name" in columns:
+            lines = lines.join(self.product, "product_id").withColumn(
                 "sales_revenue", (F.col("quantity") * F.col("price")).cast(REVENUE)
             )
-        return add_date_parts(lines, "date_t", parts).select(*columns) if parts else lines.select(*columns)
+        if "supplier_name" in columns:
+            lines = lines.join(self.supplier, "supplier_id")
+        if parts:
+            lines = add_date_parts(lines, "date_t", parts)
+        return lines.select(*columns)
 
     def totals(self, by, year=None):
         if "product_id" not in by:
-            return (
-                self.fact([*by, "sales_revenue", "quantity"], year)
-                .groupBy(*by)
-                .agg(
-                    F.sum("sales_revenue").cast(TOTAL).alias("total_revenue"),
-                    F.sum("quantity").alias("total_quantity"),
-                )
-            )
+            return self._sums(by, year)
         # The price depends on the product alone, so quantities are summed first and priced afterwards: the product
         # join sees one row per group, and a product that holds a third of all lines is combined on the map side.
         amounts = self.fact([*by, "quantity"], year).groupBy(*by).agg(F.sum("quantity").alias("total_quantity"))
