@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.session import checkpointed
+from tillstar.session import materialised
 
 _WIDE = "decimal(38,0)"  # sums of products of counts outgrow 64 bits on very wide baskets
 # Relative allowance for rounding in the floating-point bounds. It is only ever added on the side that keeps more.
@@ -61,12 +61,12 @@ def top_pairs(lines: DataFrame, basket: str, item: str, k: int = 5, wide_basket:
 
 
 def _with_wide_baskets(lines: DataFrame, wide: DataFrame, k: int) -> DataFrame:
-    wide = checkpointed(wide)
-    narrow = checkpointed(_narrow_pairs(lines.join(wide, "basket", "left_anti")).withColumn("n", F.col("n").cast(_WIDE)))
-    counts = checkpointed(
+    wide = materialised(wide)
+    narrow = materialised(_narrow_pairs(lines.join(wide, "basket", "left_anti")).withColumn("n", F.col("n").cast(_WIDE)))
+    counts = materialised(
         lines.join(wide, "basket", "left_semi").groupBy("basket", "item").agg(F.count("*").alias("c"))
     )
-    weights = checkpointed(
+    weights = materialised(
         counts.groupBy("item").agg(F.sum(F.col("c").cast("double") * F.col("c")).alias("s"))
     )
     entries = counts.join(weights, "item")
@@ -90,7 +90,9 @@ def _with_wide_baskets(lines: DataFrame, wide: DataFrame, k: int) -> DataFrame:
     tied_items = F.lit(last is None)
     if last is not None:
         # A pair that merely ties must come before the last sure pair.
-        before_last = F.struct("item_1", "item_2") <= F.struct(F.lit(last["item_1"]), F.lit(last["item_2"]))
+        before_last = (F.col("item_1") < F.lit(last["item_1"])) | (
+            (F.col("item_1") == F.lit(last["item_1"])) & (F.col("item_2") <= F.lit(last["item_2"]))
+        )
         tied_items = F.col("item") <= F.lit(last["item_1"])
     top = F.col("s") * F.lit(strongest)
     rights = entries.filter(top >= may_tie)
@@ -110,7 +112,7 @@ def _with_wide_baskets(lines: DataFrame, wide: DataFrame, k: int) -> DataFrame:
         )
         .select("item_1", "item_2", "n")
     )
-    hopeful = checkpointed(hopeful)
+    hopeful = materialised(hopeful)
     share = (
         hopeful.select("item_1", "item_2")
         .join(counts.toDF("basket", "item_1", "c_1"), "item_1")

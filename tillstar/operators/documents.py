@@ -109,8 +109,15 @@ def find(docs: DataFrame, where: Predicate | None = None, **kwargs) -> DataFrame
 
 
 def fields(docs: DataFrame, **named: Column | str) -> DataFrame:
-    """Named values: a path, or any column expression."""
-    return docs.select(*[(field(v) if isinstance(v, str) else v).alias(n) for n, v in named.items()])
+    """Named values: a path, a (path, type) pair, or any column expression. The document is parsed once."""
+
+    def member(v):
+        path, kind = (v, "string") if isinstance(v, str) else v
+        return F.try_variant_get("_parsed", path if path.startswith("$") else f"$.{path}", kind)
+
+    return docs.withColumn("_parsed", J.parsed(DOC)).select(
+        *[(v if isinstance(v, Column) else member(v)).alias(n) for n, v in named.items()]
+    )
 
 
 def project_document(docs: DataFrame, **members: Column) -> DataFrame:

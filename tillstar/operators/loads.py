@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from tillstar.operators import quality
 from tillstar.operators.dedupe import keep_one
-from tillstar.operators.normalise import to_star
+from tillstar.operators.normalise import conform, to_star
 from tillstar.plans.star import LoadedStar
-from tillstar.session import checkpointed
+from tillstar.schema import star_schema
+from tillstar.session import materialised
 
 DIMENSIONS = ("product", "customer", "store", "supplier", "date")
 _COMMITS = "commits"
@@ -56,9 +57,9 @@ def load_warehouse(star: Mapping[str, DataFrame], root: str, sales_key: Sequence
     spark = star["sales"].sparkSession
     run = max(_runs(spark, root), default=0) + 1
     for name in DIMENSIONS:
-        star[name].write.mode("overwrite").parquet(f"{root}/run={run}/{name}")
+        conform(star[name], name).write.mode("overwrite").parquet(f"{root}/run={run}/{name}")
     # Rebalance by year: Spark sizes the output files and splits a year that is larger than the others.
-    star["sales"].hint("rebalance", "year_t").write.mode("overwrite").partitionBy("year_t").parquet(
+    conform(star["sales"], "sales").hint("rebalance", "year_t").write.mode("overwrite").partitionBy("year_t").parquet(
         f"{root}/run={run}/sales"
     )
     if check:
@@ -70,11 +71,14 @@ def load_warehouse(star: Mapping[str, DataFrame], root: str, sales_key: Sequence
 def load_enriched(rows: DataFrame, root: str, grain: str = "line", sequence: Sequence[str] = ("order_ts",),
                   sales_key: Sequence[str] = ("order_id",)) -> int:
     """Load enriched transactions. They are materialised once, since six tables are cut out of them."""
-    return load_warehouse(to_star(checkpointed(rows), grain, sequence), root, sales_key)
+    return load_warehouse(to_star(materialised(rows), grain, sequence), root, sales_key)
 
 
 def _run_tables(spark: SparkSession, root: str, run: int) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{root}/run={run}/{name}") for name in (*DIMENSIONS, "sales")}
+    return {
+        name: spark.read.schema(star_schema(name)).parquet(f"{root}/run={run}/{name}")
+        for name in (*DIMENSIONS, "sales")
+    }
 
 
 def read_warehouse(spark: SparkSession, root: str) -> LoadedStar:

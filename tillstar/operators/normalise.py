@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillstar.operators.dates import date_dimension
 from tillstar.operators.dedupe import keep_last, keep_one
-from tillstar.schema import SALES_COLUMNS
+from tillstar.schema import star_schema
 
 _DIMENSIONS = {
     "product": ("product_id", ["product_name", "price"]),
@@ -48,5 +48,10 @@ def to_star(enriched: DataFrame, grain: str = "line", sequence=("order_ts",)) ->
         "time_id": F.col("order_id"),
         "date_t": F.to_date("order_ts"),
         "year_t": F.year("order_ts"),
-    }).select(*SALES_COLUMNS, "date_t", "year_t")
-    return star
+    })
+    return {name: conform(df, name) for name, df in star.items()}
+
+
+def conform(df: DataFrame, table: str) -> DataFrame:
+    """The declared columns of a star table, in order and type."""
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in star_schema(table).fields])

@@ -446,10 +446,10 @@ def shown(docs: DataFrame, *extra) -> DataFrame:
         docs,
         _id=F.col("_id"),
         event_type="$.event_type",
-        value=documents.field("$.value", "double"),
-        k=documents.field("$.props.k", "int"),
-        tags=F.get_json_object("doc", "$.tags"),
-        **{n: F.get_json_object("doc", p) for n, p in extra},
+        value=("$.value", "double"),
+        k=("$.props.k", "int"),
+        tags="$.tags",
+        **dict(extra),
     )
 
 
@@ -514,7 +514,7 @@ def x6(spark, folder):
         event_documents(spark, folder),
         id=F.col("_id"),
         kind="$.event_type",
-        first_tag=documents.field("$.tags[0]", "bigint"),
+        first_tag=("$.tags[0]", "bigint"),
         doubled=documents.field("$.props.k", "int") * 2,
     )
 

@@ -76,4 +76,18 @@ REFERENCES = {
     "time_id": "date",
     "store_id": "store",
 }
-SALES_COLUMNS = REQUIRED["sales"]
+# The written warehouse. The sales carry their date, so that reports need no join to the date table.
+STAR = {
+    "product": "product_id BIGINT, product_name STRING, price DECIMAL(10,2)",
+    "customer": "customer_id BIGINT, customer_name STRING, gender STRING",
+    "store": "store_id BIGINT, store_name STRING",
+    "supplier": "supplier_id BIGINT, supplier_name STRING",
+    "date": "time_id BIGINT, date_t DATE, time_t STRING, weekend BOOLEAN, half_of_year INT, month_t INT, "
+    "quarter_t INT, year_t INT",
+    "sales": "order_id BIGINT, product_id BIGINT, customer_id BIGINT, supplier_id BIGINT, time_id BIGINT, "
+    "store_id BIGINT, quantity INT, sales_revenue DECIMAL(15,2), date_t DATE, year_t INT",
+}
+
+
+def star_schema(table: str) -> T.StructType:
+    return T.StructType.fromDDL(STAR[table])

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here relies on. AQE measures shuffle sizes at run time: it turns a join into a broadcast
 # join only when the side it measured is small, splits skewed join partitions and merges tiny ones.
@@ -24,7 +24,11 @@ def local_session(cores: int | str = 8, app: str = "tillstar", **extra: str) ->
     settings = {
         **SETTINGS,
         "spark.sql.shuffle.partitions": "8",
+        # Files are compressed: a table of 1 MB on disk is several MB as a hash table. Larger sides join by shuffle,
+        # which keeps all local cores busy; Spark's default would broadcast even the fact of the small test tables.
+        "spark.sql.autoBroadcastJoinThreshold": "1MB",
         "spark.driver.memory": "12g",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",  # records a stack trace per column otherwise
         "spark.ui.showConsoleProgress": "false",
         **extra,
     }
@@ -55,9 +59,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df):
-    """Materialise ``df`` reliably in the shared folder and cut its lineage."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+def materialised(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` to the shared folder and return a scan of what was written.
+
+    This cuts the lineage: a lost executor costs a re-read, not a recomputation. Unlike ``checkpoint()`` it computes
+    the frame once, and later readers prune columns.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
