@@ -169,7 +169,10 @@ def add_interval(ts: Column | str, amount: Column | int | str, unit: str, sign:
         raise ValueError(f"unknown interval unit {unit}")
     if unit in _COMPOSITE:
         names = _COMPOSITE[unit]
-        numbers = [int(n) for n in re.findall(r"\d+", str(amount))]
+        digits = re.findall(r"\d+", str(amount))
+        if names[-1] == "microsecond" and digits:
+            digits[-1] = digits[-1].ljust(6, "0")  # the last field is a fraction of a second
+        numbers = [int(n) for n in digits]
         if len(numbers) > len(names):
             raise ValueError(f"too many fields for {unit}: {amount!r}")
         sign = -sign if str(amount).strip().startswith("-") else sign

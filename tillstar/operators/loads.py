@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from tillstar.operators import quality
 from tillstar.operators.dedupe import keep_one
-from tillstar.operators.normalise import conform, to_star
+from tillstar.operators.enrich import enrich
+from tillstar.operators.normalise import conform, dimensions_of, sales_rows
 from tillstar.plans.star import LoadedStar
 from tillstar.schema import star_schema
-from tillstar.session import materialised
 
 DIMENSIONS = ("product", "customer", "store", "supplier", "date")
 _COMMITS = "commits"
@@ -46,6 +46,26 @@ def _runs(spark: SparkSession, root: str) -> list[int]:
         raise
 
 
+def _next_run(spark: SparkSession, root: str) -> int:
+    return max(_runs(spark, root), default=0) + 1
+
+
+def _write(df: DataFrame, root: str, run: int, name: str) -> None:
+    path = f"{root}/run={run}/{name}"
+    if name == "sales":
+        # Rebalance by year: Spark sizes the output files and splits a year that is larger than the others.
+        df.hint("rebalance", "year_t").write.mode("overwrite").partitionBy("year_t").parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
+
+
+def _commit(spark: SparkSession, root: str, run: int, sales_key: Sequence[str], check: bool) -> int:
+    if check:
+        quality.require_clean(quality.check_star(_run_tables(spark, root, run), sales_key))
+    spark.createDataFrame([(run,)], "run int").coalesce(1).write.mode("append").parquet(f"{root}/{_COMMITS}")
+    return run
+
+
 def load_warehouse(star: Mapping[str, DataFrame], root: str, sales_key: Sequence[str] = ("order_id",),
                    check: bool = True) -> int:
     """Write all tables of a star as one run, check what was written and commit it; returns the run number.
@@ -55,30 +75,36 @@ def load_warehouse(star: Mapping[str, DataFrame], root: str, sales_key: Sequence
     a constraint leaves the previous run in force, and its folder is overwritten by the next one.
     """
     spark = star["sales"].sparkSession
-    run = max(_runs(spark, root), default=0) + 1
-    for name in DIMENSIONS:
-        conform(star[name], name).write.mode("overwrite").parquet(f"{root}/run={run}/{name}")
-    # Rebalance by year: Spark sizes the output files and splits a year that is larger than the others.
-    conform(star["sales"], "sales").hint("rebalance", "year_t").write.mode("overwrite").partitionBy("year_t").parquet(
-        f"{root}/run={run}/sales"
-    )
-    if check:
-        quality.require_clean(quality.check_star(_run_tables(spark, root, run), sales_key))
-    spark.createDataFrame([(run,)], "run int").coalesce(1).write.mode("append").parquet(f"{root}/{_COMMITS}")
-    return run
+    run = _next_run(spark, root)
+    for name in (*DIMENSIONS, "sales"):
+        _write(conform(star[name], name), root, run, name)
+    return _commit(spark, root, run, sales_key, check)
+
+
+def load_transactions(transactions: DataFrame, products: DataFrame, customers: DataFrame, root: str,
+                      grain: str = "line", sequence: Sequence[str] = ("order_ts",),
+                      sales_key: Sequence[str] = ("order_id",), check: bool = True) -> int:
+    """Enrich transactions and load the star they form; returns the run number.
+
+    The transactions are joined and written once, as the fact. The dimensions are then the master rows that the
+    written fact uses, found through its id columns alone. Checks and commit are those of ``load_warehouse``.
+    """
+    spark = transactions.sparkSession
+    run = _next_run(spark, root)
+    rows, _ = enrich(transactions, products, customers)
+    _write(sales_rows(rows, grain, sequence), root, run, "sales")
+    sales = _read(spark, root, run, "sales")
+    for name, df in dimensions_of(sales, products, customers).items():
+        _write(df, root, run, name)
+    return _commit(spark, root, run, sales_key, check)
 
 
-def load_enriched(rows: DataFrame, root: str, grain: str = "line", sequence: Sequence[str] = ("order_ts",),
-                  sales_key: Sequence[str] = ("order_id",)) -> int:
-    """Load enriched transactions. They are materialised once, since six tables are cut out of them."""
-    return load_warehouse(to_star(materialised(rows), grain, sequence), root, sales_key)
+def _read(spark: SparkSession, root: str, run: int, name: str) -> DataFrame:
+    return spark.read.schema(star_schema(name)).parquet(f"{root}/run={run}/{name}")
 
 
 def _run_tables(spark: SparkSession, root: str, run: int) -> dict[str, DataFrame]:
-    return {
-        name: spark.read.schema(star_schema(name)).parquet(f"{root}/run={run}/{name}")
-        for name in (*DIMENSIONS, "sales")
-    }
+    return {name: _read(spark, root, run, name) for name in (*DIMENSIONS, "sales")}
 
 
 def read_warehouse(spark: SparkSession, root: str) -> LoadedStar:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,28 +30,46 @@ def split_master(products: DataFrame) -> dict[str, DataFrame]:
     return {name: dimension(products, name) for name in ("product", "supplier", "store")}
 
 
-def order_grain(lines: DataFrame, sequence=("order_ts",)) -> DataFrame:
-    """One row per order: a later line of the same order replaces the earlier one."""
-    return keep_last(lines, ["order_id"], sequence)
-
-
-def to_star(enriched: DataFrame, grain: str = "line", sequence=("order_ts",)) -> dict[str, DataFrame]:
-    """The six tables of the star from enriched transactions.
+def sales_rows(enriched: DataFrame, grain: str = "line", sequence: Sequence[str] = ("order_ts",)) -> DataFrame:
+    """The fact out of enriched transactions.
 
-    ``grain`` is ``line`` (every line is a sale) or ``order`` (the last line per order). The sales also carry
-    ``date_t`` and ``year_t``, so that reports need no join to the date table and the fact can be partitioned.
+    ``grain`` is ``line`` (every line is a sale) or ``order`` (a later line of an order replaces the earlier one, by
+    ``sequence``). The columns are cut to the narrow fact before rows of an order are brought together.
     """
     if grain not in ("line", "order"):
         raise ValueError(f"grain must be line or order, not {grain!r}")
-    rows = order_grain(enriched, sequence) if grain == "order" else enriched
-    star = {name: dimension(rows, name) for name in _DIMENSIONS}
-    star["date"] = date_dimension(keep_one(rows.select("order_id", "order_ts"), ["order_id"]))
-    star["sales"] = rows.withColumns({
-        "time_id": F.col("order_id"),
-        "date_t": F.to_date("order_ts"),
-        "year_t": F.year("order_ts"),
-    })
-    return {name: conform(df, name) for name, df in star.items()}
+    columns = [f.name for f in star_schema("sales").fields if f.name not in ("time_id", "year_t")]
+    rows = enriched.select(*columns, *[s for s in sequence if s not in columns])
+    if grain == "order":
+        rows = keep_last(rows, ["order_id"], sequence)
+    return conform(rows.withColumns({"time_id": F.col("order_id"), "year_t": F.year("order_ts")}), "sales")
+
+
+def dates_of(sales: DataFrame) -> DataFrame:
+    """The date dimension of a fact: one row per order."""
+    return conform(date_dimension(keep_one(sales.select("order_id", "order_ts"), ["order_id"])), "date")
+
+
+def dimensions_of(sales: DataFrame, products: DataFrame, customers: DataFrame) -> dict[str, DataFrame]:
+    """The dimensions of a fact: the master rows its ids use. Only distinct ids of the fact are moved."""
+
+    def used(master: DataFrame, key: str) -> DataFrame:
+        return master.join(sales.select(key).distinct(), key, "left_semi")
+
+    star = split_master(used(products, "product_id"))
+    star["customer"] = dimension(used(customers, "customer_id"), "customer")
+    star = {name: conform(df, name) for name, df in star.items()}
+    star["date"] = dates_of(sales)
+    return star
+
+
+def to_star(enriched: DataFrame, grain: str = "line", sequence: Sequence[str] = ("order_ts",)) -> dict[str, DataFrame]:
+    """The six tables of the star from enriched transactions that carry the master columns themselves."""
+    sales = sales_rows(enriched, grain, sequence)
+    kept = sales.select("order_id", "product_id", "customer_id").distinct()
+    rows = enriched.join(kept, kept.columns, "left_semi") if grain == "order" else enriched
+    star = {name: conform(dimension(rows, name), name) for name in _DIMENSIONS}
+    return star | {"date": dates_of(sales), "sales": sales}
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:

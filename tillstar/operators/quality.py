@@ -45,10 +45,10 @@ def foreign_key(
 
 def conflicts(df: DataFrame, keys: Sequence[str], attributes: Sequence[str], rule: str | None = None) -> DataFrame:
     """Keys that carry more than one set of attributes."""
-    variants = df.groupBy(*keys, *attributes).agg(F.count("*").alias("n"))
+    variants = df.groupBy(*keys, *attributes).agg(F.count("*").alias("_rows"))
     return (
         variants.groupBy(*keys)
-        .agg(F.count("*").alias("n_variants"), F.sum("n").alias("n_rows"))
+        .agg(F.count("*").alias("n_variants"), F.sum("_rows").alias("n_rows"))
         .filter(F.col("n_variants") > 1)
         .select(F.lit(rule or f"conflict({','.join(keys)})").alias("rule"), *keys, "n_variants", "n_rows")
     )

@@ -49,7 +49,7 @@ class Star:
 
 
 class LoadedStar(Star):
-    """A written warehouse: six tables; the sales may carry calendar columns and be partitioned by ``year_t``."""
+    """A written warehouse: six tables; the sales may carry ``order_ts`` and be partitioned by ``year_t``."""
 
     def __init__(self, sales, date, product, customer, store, supplier):
         self.sales, self.date = sales, date
@@ -61,6 +61,8 @@ class LoadedStar(Star):
             sales = sales.filter(F.col("year_t") == year)  # the partition column of the written fact
             year = None
         parts = [c for c in columns if c in PARTS]
+        if "order_ts" in sales.columns:
+            sales = sales.withColumn("date_t", F.to_date("order_ts"))
         if (parts or "date_t" in columns or year is not None) and "date_t" not in sales.columns:
             dates = self.date.select("time_id", "date_t")
             sales = sales.join(dates if year is None else dates.filter(in_year("date_t", year)), "time_id")

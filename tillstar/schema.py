@@ -76,7 +76,7 @@ REFERENCES = {
     "time_id": "date",
     "store_id": "store",
 }
-# The written warehouse. The sales carry their date, so that reports need no join to the date table.
+# The written warehouse. The sales carry their time, so that reports need no join to the date table.
 STAR = {
     "product": "product_id BIGINT, product_name STRING, price DECIMAL(10,2)",
     "customer": "customer_id BIGINT, customer_name STRING, gender STRING",
@@ -85,7 +85,7 @@ STAR = {
     "date": "time_id BIGINT, date_t DATE, time_t STRING, weekend BOOLEAN, half_of_year INT, month_t INT, "
     "quarter_t INT, year_t INT",
     "sales": "order_id BIGINT, product_id BIGINT, customer_id BIGINT, supplier_id BIGINT, time_id BIGINT, "
-    "store_id BIGINT, quantity INT, sales_revenue DECIMAL(15,2), date_t DATE, year_t INT",
+    "store_id BIGINT, quantity INT, sales_revenue DECIMAL(15,2), order_ts TIMESTAMP_NTZ, year_t INT",
 }
 
 
