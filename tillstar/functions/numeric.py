@@ -7,6 +7,8 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tillstar.operators.dates import time_text
+
 UNSIGNED = "decimal(20,0)"
 TWO_64 = Decimal(1 << 64)
 
@@ -144,7 +146,7 @@ def cast_datetime(x: Column | str) -> Column:
 
 def cast_time(x: Column | str) -> Column:
     """Time of day as ``HH:mm:ss`` text."""
-    return F.date_format(_col(x).try_cast("timestamp_ntz"), "HH:mm:ss")
+    return time_text(_col(x).try_cast("timestamp_ntz"))
 
 
 def cast_json(x: Column | str) -> Column:

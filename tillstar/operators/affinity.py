@@ -48,7 +48,7 @@ def _dot_products(left: DataFrame, right: DataFrame, keep) -> DataFrame:
     )
 
 
-def top_pairs(lines: DataFrame, basket: str, item: str, k: int = 5, wide_basket: int = 1000) -> DataFrame:
+def top_pairs(lines: DataFrame, basket: str, item: str, k: int = 5, wide_basket: int = 200) -> DataFrame:
     """The ``k`` item pairs (``item_1 < item_2``) of highest ``pair_count``; ties go to the lower items."""
     lines = lines.select(F.col(basket).alias("basket"), F.col(item).alias("item")).dropna()
     sizes = lines.groupBy("basket").agg(F.count("*").alias("lines"))

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.schema import CORRUPT, PRICE, TIMESTAMP_FORMAT
+from tillstar.schema import CORRUPT, PRICE, TIMESTAMP_SHAPE
 
 ZERO_DATE = "0000-00-00"
 REASON = "reject_reason"
@@ -34,14 +34,14 @@ def money(c: Column | str, kind=PRICE) -> Column:
     return F.when(~t.contains("-"), digits.try_cast(kind))
 
 
-def timestamp(c: Column | str, fmt: str = TIMESTAMP_FORMAT, zero_date: str = "null") -> Column:
-    """Strict date-time parse; NULL when the text is no valid date.
+def timestamp(c: Column | str, zero_date: str = "null") -> Column:
+    """Strict parse of ``yyyy-MM-dd HH:mm:ss``; NULL when the text is no valid date. No time zone is involved.
 
     ``zero_date`` says what an all-zero date becomes: ``null``, ``round`` (the first of January of year 1) or
     ``error``.
     """
     t = F.trim(_col(c))
-    parsed = F.try_to_timestamp(t, F.lit(fmt)).cast("timestamp_ntz")
+    parsed = F.when(t.rlike(TIMESTAMP_SHAPE), t.try_cast("timestamp_ntz"))
     is_zero = t.startswith(ZERO_DATE)
     if zero_date == "null":
         return F.when(~is_zero, parsed)

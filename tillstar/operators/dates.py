@@ -31,12 +31,18 @@ def in_year(date_col: str, year: int) -> Column:
     return (d >= F.lit(date(year, 1, 1))) & (d < F.lit(date(year + 1, 1, 1)))
 
 
+def time_text(ts: Column | str) -> Column:
+    """Time of day as ``HH:mm:ss``. Cut from the printed timestamp, so no time zone can shift it."""
+    c = F.col(ts) if isinstance(ts, str) else ts
+    return F.substring(c.cast("string"), 12, 8)
+
+
 def date_dimension(orders: DataFrame, key: str = "order_id", ts: str = "order_ts") -> DataFrame:
     """One date row per order: the key of the row is the order's own id."""
     base = orders.select(
         F.col(key).alias("time_id"),
         F.to_date(ts).alias("date_t"),
-        F.date_format(ts, "HH:mm:ss").alias("time_t"),
+        time_text(ts).alias("time_t"),
     )
     return add_date_parts(base)
 

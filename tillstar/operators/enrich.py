@@ -44,6 +44,10 @@ def rejected(joined: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def enrich(transactions: DataFrame, products: DataFrame, customers: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(matched rows, rejects) of one batch."""
+    """(matched rows, rejects) of one batch.
+
+    Both are filters on the same join. A caller that stores both should write ``lookup`` once instead, partitioned by
+    whether the row was matched, as the stream does.
+    """
     joined = lookup(transactions, products, customers)
     return matched(joined), rejected(joined, transactions.columns)

@@ -35,6 +35,10 @@ def load_staging(df: DataFrame, path: str, keys: Sequence[str], required: Sequen
     df.write.mode("errorifexists").parquet(path)
 
 
+def read_staging(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
 def _runs(spark: SparkSession, root: str) -> list[int]:
     """Committed run numbers, newest first (the log holds one row per load)."""
     try:

@@ -222,6 +222,24 @@ SELECT CASE WHEN p_brand = 'Brand#3' THEN 'P' ELSE '' END || product_id::VARCHAR
        supplier_id::VARCHAR AS supplier_id, {_SUPPLIER_TEXT} AS supplier_name, store_id::VARCHAR AS store_id, store_name
 FROM priced"""
 
+_TEXT_LINES = """
+t AS (SELECT CAST(l_orderkey AS VARCHAR) AS order_id, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS order_date,
+             CAST(l_partkey AS VARCHAR) AS product_id, CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS quantity,
+             CAST(o_custkey AS VARCHAR) AS customer_id
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+ORACLE["s6_bulk_load"] = f"WITH {_TEXT_LINES} SELECT * FROM t"
+ORACLE["s7_malformed_rows"] = f"""
+WITH {_TEXT_LINES}
+SELECT CASE quantity WHEN '7' THEN concat_ws(',', order_id, order_date, product_id, quantity, customer_id, order_id)
+              || ',extra' ELSE order_id || ',' || order_date END AS line, 'malformed row' AS reject_reason
+FROM t WHERE quantity IN ('7', '8')"""
+ORACLE["o1_staging"] = f"""
+WITH {MASTER}
+SELECT product_id, product_name, CAST(price_cents AS DOUBLE) / 100 AS price, supplier_id,
+       {_SUPPLIER_TEXT} AS supplier_name, store_id, store_name
+FROM master WHERE p_brand NOT IN ('Brand#3', 'Brand#7', 'Brand#9')"""
+
 ORACLE["p14_zero_dates"] = """
 SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS as_null,
        CASE WHEN o_orderstatus = 'P' THEN '0001-01-01' ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END

@@ -96,7 +96,7 @@ def raw_transactions(star: SourceStar) -> DataFrame:
     """Transactions as the text fields of a CSV file."""
     return transactions(star).select(
         F.col("order_id").cast("string").alias("order_id"),
-        F.date_format("order_ts", "yyyy-MM-dd HH:mm:ss").alias("order_date"),
+        F.substring(F.col("order_ts").cast("string"), 1, 19).alias("order_date"),
         F.col("product_id").cast("string").alias("product_id"),
         F.col("quantity").cast("string").alias("quantity"),
         F.col("customer_id").cast("string").alias("customer_id"),
@@ -237,7 +237,7 @@ def p3(spark, folder):
 @query("p14_zero_dates")
 def p14(spark, folder):
     text = F.when(F.col("o_orderstatus") == "P", F.lit("0000-00-00 00:00:00")).otherwise(
-        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+        F.substring(F.col("o_orderdate").cast("string"), 1, 19)
     )
     return read_table(spark, folder, "orders").select("o_orderkey", text.alias("t")).select(
         "o_orderkey",
@@ -246,6 +246,43 @@ def p14(spark, folder):
     )
 
 
+@query("s6_bulk_load")
+def s6(spark, folder):
+    """Write the transactions as a delimited file, bulk-load it into a table and read the table."""
+    star = SourceStar.read(spark, folder)
+    base = scratch_path(spark, "bulk")
+    raw_transactions(star).select(*RAW_TRANSACTIONS.fieldNames()).write.option("header", True).csv(f"{base}/in")
+    loaded = files.load_file(spark, f"{base}/in", RAW_TRANSACTIONS, f"{base}/table")
+    return loaded.select("order_id", "order_date", "product_id", "quantity", "customer_id")
+
+
+@query("s7_malformed_rows")
+def s7(spark, folder):
+    """Lines of a text file in which some have a field too many and some too few."""
+    star = SourceStar.read(spark, folder)
+    raw = raw_transactions(star).select(*RAW_TRANSACTIONS.fieldNames())
+    line = F.concat_ws(",", *raw.columns)
+    broken = (
+        F.when(F.col("quantity") == "7", F.concat(line, F.lit(",extra")))
+        .when(F.col("quantity") == "8", F.concat_ws(",", "order_id", "order_date"))
+        .otherwise(line)
+    )
+    base = scratch_path(spark, "malformed")
+    raw.select(broken.alias("value")).write.text(base)
+    read = files.read_csv(spark, base, RAW_TRANSACTIONS, header="false")
+    _, bad = cleaning.split_rejects(cleaning.clean_transactions(read))
+    return bad.select(F.get_json_object("raw", "$._corrupt_record").alias("line"), cleaning.REASON)
+
+
+@query("o1_staging")
+def o1(spark, folder):
+    """Load the cleaned product master into staging and read it back."""
+    usable, _ = cleaning.split_rejects(cleaning.clean_products(_raw_products(spark, folder)))
+    path = scratch_path(spark, "staging")
+    loads.load_staging(usable, path, ["product_id"])
+    return loads.read_staging(spark, path)
+
+
 # -- constraints ----------------------------------------------------------------------------------------------------------
 
 

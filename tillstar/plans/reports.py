@@ -72,7 +72,7 @@ def monthly_volatility(star: Star) -> DataFrame:
     )
 
 
-def product_affinity(star: Star, k: int = 5, wide_basket: int = 1000) -> DataFrame:
+def product_affinity(star: Star, k: int = 5, wide_basket: int = 200) -> DataFrame:
     """The k product pairs most often bought in one order. Ties go to the lower product ids."""
     pairs = top_pairs(star.fact(["order_id", "product_id"]), "order_id", "product_id", k, wide_basket)
     names = star.product.select("product_id", "product_name")

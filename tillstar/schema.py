@@ -8,7 +8,7 @@ PRICE = T.DecimalType(10, 2)
 REVENUE = T.DecimalType(15, 2)
 TOTAL = T.DecimalType(25, 2)
 
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TIMESTAMP_SHAPE = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 CORRUPT = "_corrupt_record"
 
 
