@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -207,3 +208,64 @@ def test_wildcards(spark):
     assert found("$.a[1].b") == ["2"] and found("$.no") == []
     with pytest.raises(ValueError):
         J.steps("$.a..b")
+
+
+# -- random documents against a plain implementation ------------------------------------------------------------------------
+
+
+def random_value(rnd, depth):
+    if depth == 0 or rnd.random() < 0.4:
+        return rnd.choice([None, True, 7, -3, 2.5, "x", "", "a b"])
+    if rnd.random() < 0.3:
+        return [random_value(rnd, depth - 1) for _ in range(rnd.randrange(4))]
+    return {k: random_value(rnd, depth - 1) for k in rnd.sample("abcd", rnd.randrange(4))}
+
+
+def merged(target, patch):
+    if not isinstance(patch, dict):
+        return patch
+    target = dict(target) if isinstance(target, dict) else {}
+    for k, v in patch.items():
+        if v is None:
+            target.pop(k, None)
+        else:
+            target[k] = merged(target.get(k), v)
+    return target
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_patch_matches_a_plain_merge(spark, seed):
+    rnd = random.Random(seed)
+    docs = [{k: random_value(rnd, 3) for k in rnd.sample("abcd", 3)} for _ in range(25)]
+    patch = {k: random_value(rnd, 3) for k in rnd.sample("abcd", 3)}
+    coll = D.documents(spark, [{"_id": str(i), **d} for i, d in enumerate(docs)])
+    got = {r["_id"]: json.loads(r.doc) for r in D.modify(coll, "true", D.patch(patch)).collect()}
+    assert got == {str(i): {"_id": str(i), **merged(d, patch)} for i, d in enumerate(docs)}
+
+
+def plain_set(value, path, new, create):
+    if not path:
+        return new
+    step, rest = path[0], path[1:]
+    if isinstance(step, int):
+        if not isinstance(value, list):
+            return value
+        if step < len(value):
+            return [plain_set(x, rest, new, create) if i == step else x for i, x in enumerate(value)]
+        return value + [new] if create and not rest else value
+    if not isinstance(value, dict):
+        return value
+    if step in value:
+        return {**value, step: plain_set(value[step], rest, new, create)}
+    return {**value, step: new} if create and not rest else value
+
+
+@pytest.mark.parametrize("path", ["$.a", "$.a.b", "$.b[1]", "$.a.b.c", "$.c[0].a", "$.d[0][1]"])
+def test_set_and_change_match_a_plain_edit(spark, path):
+    rnd = random.Random(path)
+    docs = [{k: random_value(rnd, 4) for k in rnd.sample("abcd", 4)} for _ in range(25)]
+    coll = D.documents(spark, [{"_id": str(i), **d} for i, d in enumerate(docs)])
+    for edit, create in ((D.set_, True), (D.change, False)):
+        got = {r["_id"]: json.loads(r.doc) for r in D.modify(coll, "true", edit(path, {"n": [1]})).collect()}
+        want = {str(i): {"_id": str(i), **plain_set(d, J.steps(path), {"n": [1]}, create)} for i, d in enumerate(docs)}
+        assert got == want

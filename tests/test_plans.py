@@ -5,7 +5,7 @@ import re
 import pytest
 from compare import TESTDATA
 
-from tillstar.operators import loads, tables
+from tillstar.operators import dedupe, enrich, loads, tables
 from tillstar.plans import queries, reports
 from tillstar.plans.star import SourceStar
 from tillstar.sources.tables import read_table
@@ -77,3 +77,47 @@ def test_few_picked_rows_leave_the_table_in_place(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" in few and "SortMergeJoin" in many
+
+
+def test_hot_keys_are_split(spark, tmp_path):
+    """A third of the rows in one product and one order: joins on either are split, even before a group by order."""
+    n = 60_000
+    rows = spark.range(n).selectExpr(
+        "if(id % 3 = 0, 1, id) AS order_id",
+        "cast('2019-01-01 00:00:00' AS timestamp_ntz) + make_dt_interval(0, 0, cast(id % 1000 AS int)) AS order_ts",
+        "if(id % 3 = 1, 7, id % 5000) AS product_id",
+        "cast(id % 9 + 1 AS int) AS quantity",
+        "id % 4000 AS customer_id",
+    )
+    heads = spark.range(n).selectExpr("id AS order_id", "'x' AS channel")
+    products = spark.range(5000).selectExpr(
+        "id AS product_id", "concat('p', id) AS product_name", "cast(1.5 AS decimal(10,2)) AS price",
+        "id % 10 AS supplier_id", "'s' AS supplier_name", "id % 3 AS store_id", "'t' AS store_name",
+    )
+    customers = spark.range(4000).selectExpr("id AS customer_id", "'c' AS customer_name", "'Male' AS gender")
+    for name, df in {"rows": rows, "heads": heads, "products": products, "customers": customers}.items():
+        df.repartition(8).write.parquet(str(tmp_path / name))
+    rows, heads, products, customers = (
+        spark.read.parquet(str(tmp_path / t)) for t in ("rows", "heads", "products", "customers")
+    )
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "20",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        good, _ = enrich.enrich(rows, products, customers)
+        assert good.count() == n
+        executed = good.select("order_id", "sales_revenue", "gender")
+        executed.collect()
+        assert "skew=true" in plan(executed)
+        last = dedupe.keep_last(rows.join(heads, "order_id"), ["order_id"], ["order_ts"])
+        assert len(last.collect()) == rows.select("order_id").distinct().count()
+        assert "skew=true" in plan(last)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -50,6 +50,14 @@ def test_keep_last_does_not_depend_on_partitioning(spark):
         assert rows(dedupe.keep_last(df.repartition(n, "v"), ["k"], ["seq"])) == want
 
 
+def test_keep_one_shrinks_rows_before_it_sorts(spark):
+    df = spark.range(10).selectExpr("id % 3 AS k", "cast(id % 2 AS string) AS n")
+    text = dedupe.keep_one(df, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert text.count("HashAggregate") > text.count("SortAggregate") - 1
+    below = text[text.rindex("SortAggregate") :]
+    assert "HashAggregate" in below
+
+
 def test_keep_one_takes_the_smallest(spark):
     df = spark.createDataFrame([(1, "b", 1), (1, "a", 9), (1, "a", 2), (2, "z", 0)], "k int, n string, m int")
     for n in (1, 5):

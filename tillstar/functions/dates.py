@@ -30,7 +30,9 @@ def _week_monday(c: Column) -> Column:
     """Week number 0-53 where weeks start on Monday and week 1 has at least four days in the year."""
     iso = F.weekofyear(c)
     return (
-        F.when((F.month(c) == 1) & (iso >= 52), F.lit(0)).when((F.month(c) == 12) & (iso == 1), F.lit(53)).otherwise(iso)
+        F.when((F.month(c) == 1) & (iso >= 52), F.lit(0))
+        .when((F.month(c) == 12) & (iso == 1), F.lit(53))
+        .otherwise(iso)
     )
 
 

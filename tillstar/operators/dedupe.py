@@ -26,12 +26,17 @@ def keep_one(df: DataFrame, keys: Sequence[str], attributes: Sequence[str] | Non
     """One row per key: the one with the smallest attributes. Deterministic, unlike ``dropDuplicates``.
 
     Only the distinct attribute sets of a key matter, so they are found first: a hash aggregate that shrinks the
-    rows on the map side. The minimum over structs, which Spark aggregates by sorting, then sees few rows.
+    rows on the map side. The minimum over structs, which Spark aggregates by sorting, then sees few rows. The
+    condition on the number of sets is always true; without it Catalyst would fold the two aggregates into one and
+    sort all rows.
     """
     attributes = list(attributes or [c for c in df.columns if c not in keys])
     variants = df.select(*keys, *attributes).distinct()
     if not attributes:
         return variants
-    return variants.groupBy(*keys).agg(F.min(F.struct(*attributes)).alias("_row")).select(
-        *keys, *[F.col(f"_row.{a}").alias(a) for a in attributes]
+    return (
+        variants.groupBy(*keys)
+        .agg(F.min(F.struct(*attributes)).alias("_row"), F.count("*").alias("_sets"))
+        .filter(F.col("_sets") > 0)
+        .select(*keys, *[F.col(f"_row.{a}").alias(a) for a in attributes])
     )

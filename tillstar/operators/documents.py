@@ -71,7 +71,8 @@ def _same_id(doc_id: str, doc: Mapping) -> str:
 
 
 def add_or_replace_one(existing: DataFrame, doc_id: str, doc: Mapping) -> DataFrame:
-    return upsert(existing, existing.sparkSession.createDataFrame([(doc_id, _same_id(doc_id, doc))], f"{ID} string, {DOC} string"))
+    row = [(doc_id, _same_id(doc_id, doc))]
+    return upsert(existing, existing.sparkSession.createDataFrame(row, f"{ID} string, {DOC} string"))
 
 
 def replace_one(existing: DataFrame, doc_id: str, doc: Mapping) -> DataFrame:

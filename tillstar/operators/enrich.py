@@ -16,7 +16,9 @@ def lookup(transactions: DataFrame, products: DataFrame, customers: DataFrame) -
 
     The master keys are unique (checked at staging), so the joins never multiply rows. Neither side carries a
     broadcast hint: Spark broadcasts a master whose size it knows or measures to be small and otherwise joins by
-    shuffle, splitting skewed partitions of the transactions.
+    shuffle, splitting skewed partitions of the transactions. It can only split them when both sides of the join come
+    straight from a shuffle, so pass masters that are scans of staged tables: one that is computed on the fly by joins
+    or aggregates on its key needs no shuffle of its own, and a hot product would then stay in one task.
     """
     p = products.withColumn("_product", F.lit(True))
     c = customers.withColumn("_customer", F.lit(True))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -54,6 +55,12 @@ def _next_run(spark: SparkSession, root: str) -> int:
     return max(_runs(spark, root), default=0) + 1
 
 
+def _write_all(star: Mapping[str, DataFrame], root: str, run: int) -> None:
+    """Write independent tables at the same time: small ones leave executors idle when written one by one."""
+    with ThreadPoolExecutor(len(star)) as pool:
+        list(pool.map(lambda table: _write(table[1], root, run, table[0]), star.items()))
+
+
 def _write(df: DataFrame, root: str, run: int, name: str) -> None:
     path = f"{root}/run={run}/{name}"
     if name == "sales":
@@ -66,7 +73,7 @@ def _write(df: DataFrame, root: str, run: int, name: str) -> None:
 def _commit(spark: SparkSession, root: str, run: int, sales_key: Sequence[str], check: bool) -> int:
     if check:
         quality.require_clean(quality.check_star(_run_tables(spark, root, run), sales_key))
-    spark.createDataFrame([(run,)], "run int").coalesce(1).write.mode("append").parquet(f"{root}/{_COMMITS}")
+    spark.range(run, run + 1, 1, 1).select(F.col("id").cast("int").alias("run")).write.mode("append").parquet(f"{root}/{_COMMITS}")
     return run
 
 
@@ -80,8 +87,8 @@ def load_warehouse(star: Mapping[str, DataFrame], root: str, sales_key: Sequence
     """
     spark = star["sales"].sparkSession
     run = _next_run(spark, root)
-    for name in (*DIMENSIONS, "sales"):
-        _write(conform(star[name], name), root, run, name)
+    _write_all({name: conform(star[name], name) for name in DIMENSIONS}, root, run)
+    _write(conform(star["sales"], "sales"), root, run, "sales")
     return _commit(spark, root, run, sales_key, check)
 
 
@@ -98,8 +105,7 @@ def load_transactions(transactions: DataFrame, products: DataFrame, customers: D
     rows, _ = enrich(transactions, products, customers)
     _write(sales_rows(rows, grain, sequence), root, run, "sales")
     sales = _read(spark, root, run, "sales")
-    for name, df in dimensions_of(sales, products, customers).items():
-        _write(df, root, run, name)
+    _write_all(dimensions_of(sales, products, customers), root, run)
     return _commit(spark, root, run, sales_key, check)
 
 

@@ -17,7 +17,7 @@ from tillstar.operators.dates import date_dimension
 from tillstar.plans import reports
 from tillstar.plans.star import SourceStar
 from tillstar.schema import PRICE, RAW_TRANSACTIONS
-from tillstar.session import scratch_path
+from tillstar.session import configure, materialised, scratch_path
 from tillstar.sources import files
 from tillstar.sources.tables import read_table
 from tillstar.streaming import transactions as stream
@@ -42,14 +42,14 @@ def plain(df: DataFrame) -> DataFrame:
 
 def query(name: str):
     def register(fn: Query) -> Query:
-        QUERIES[name] = lambda spark, folder: plain(fn(spark, folder))
+        QUERIES[name] = lambda spark, folder: plain(fn(configure(spark), folder))
         return fn
 
     return register
 
 
 def report(name: str, fn, **params) -> None:
-    QUERIES[name] = lambda spark, folder: plain(fn(SourceStar.read(spark, folder), **params))
+    QUERIES[name] = lambda spark, folder: plain(fn(SourceStar.read(configure(spark), folder), **params))
 
 
 report("r1_top_products", reports.top_products, year=YEAR, k=5)
@@ -84,6 +84,11 @@ def product_master(star: SourceStar) -> DataFrame:
     )
 
 
+def staged_products(star: SourceStar) -> DataFrame:
+    """The product master as a staged table."""
+    return materialised(product_master(star), "staging")
+
+
 def transactions(star: SourceStar) -> DataFrame:
     return star.fact(["order_id", "order_ts", "product_id", "quantity", "customer_id"])
 
@@ -110,17 +115,14 @@ ENRICHED = ["order_id", "product_id", "customer_id", "supplier_id", "store_id",
 @query("j1_enrich")
 def j1(spark, folder):
     star = SourceStar.read(spark, folder)
-    rows, _ = enrich.enrich(transactions(star), product_master(star), customer_master(star))
+    rows, _ = enrich.enrich(transactions(star), staged_products(star), customer_master(star))
     return rows.select(*ENRICHED, F.to_date("order_ts").alias("date_t"))
 
 
 def _partial_masters(star: SourceStar) -> tuple[DataFrame, DataFrame]:
     """Masters that lack some rows: large parts and one customer segment are unknown."""
-    small = star.tables["part"].filter("p_size <= 40").select(F.col("p_partkey").alias("product_id"))
-    return (
-        star.product.join(small, "product_id", "left_semi"),
-        star.customer.filter("segment <> 'BUILDING'"),
-    )
+    small = star.tables["part"].filter("p_size <= 40")
+    return SourceStar({"part": small}).product, star.customer.filter("segment <> 'BUILDING'")
 
 
 @query("j3_rejects")
@@ -339,7 +341,7 @@ def o2(spark, folder):
     )
     root = scratch_path(spark, "warehouse")
     loads.load_transactions(
-        transactions(star), product_master(star), customers, root, "order", ("order_ts", "product_id", "quantity")
+        transactions(star), staged_products(star), customers, root, "order", ("order_ts", "product_id", "quantity")
     )
     return reports.top_products(loads.read_warehouse(spark, root), YEAR, 5)
 
@@ -545,7 +547,8 @@ def x4(spark, folder):
 @query("x5_find")
 def x5(spark, folder):
     docs = event_documents(spark, folder)
-    return shown(documents.find(docs, (documents.field("$.props.k", "int") >= 50) & (documents.field("$.value", "double") > 100)))
+    k, value = documents.field("$.props.k", "int"), documents.field("$.value", "double")
+    return shown(documents.find(docs, (k >= 50) & (value > 100)))
 
 
 @query("x6_fields")

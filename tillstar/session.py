@@ -4,25 +4,36 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings every job here relies on. AQE measures shuffle sizes at run time: it turns a join into a broadcast
-# join only when the side it measured is small, splits skewed join partitions and merges tiny ones.
+# Run-time settings every job here relies on. AQE measures shuffle sizes while a query runs: it turns a join into a
+# broadcast join only when the side it measured is small, splits skewed join partitions and merges tiny ones. A skewed
+# join is split even if an aggregation on the same key then needs a shuffle of its own: without that a hot key that
+# reaches "join, then group by the same key" would stay in one task.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
-    "spark.ui.enabled": "false",
 }
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the settings to a session that was made elsewhere, such as by spark-submit."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def local_session(cores: int | str = 8, app: str = "tillstar", **extra: str) -> SparkSession:
     """A local session for tests and the bench. On a cluster the session comes from spark-submit."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     settings = {
         **SETTINGS,
+        "spark.sql.session.timeZone": "UTC",
+        "spark.ui.enabled": "false",
         "spark.sql.shuffle.partitions": "8",
         # Files are compressed: a table of 1 MB on disk is several MB as a hash table. Larger sides join by shuffle,
         # which keeps all local cores busy; Spark's default would broadcast even the fact of the small test tables.
@@ -49,9 +60,12 @@ def shared_dir(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="tillstar-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _temporary_dir()
+
+
+@cache
+def _temporary_dir() -> str:
+    return tempfile.mkdtemp(prefix="tillstar-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
