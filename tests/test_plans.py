@@ -30,7 +30,7 @@ def test_year_reaches_the_scan(star):
 
 def test_top_k_is_cut_before_the_shuffle(star):
     assert plan(reports.top_products(star, 1997)).count("WindowGroupLimit") >= 2
-    assert "TakeOrderedAndProject" in plan(reports.product_affinity(star))
+    assert plan(reports.product_affinity(star)).count("TakeOrderedAndProject") >= 2
 
 
 def test_quantities_are_summed_before_the_price_is_joined(star):

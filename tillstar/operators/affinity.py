@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillstar.operators.joins import few
 from tillstar.session import materialised
 
 _WIDE = "decimal(38,0)"  # sums of products of counts outgrow 64 bits on very wide baskets
@@ -74,7 +75,7 @@ def _with_wide_baskets(lines: DataFrame, wide: DataFrame, k: int) -> DataFrame:
 
     # Floor: scores that k pairs surely reach, from the narrow baskets and from the heaviest items of the wide ones.
     heaviest = weights.orderBy(F.desc("s"), "item").limit(4 * k).select("item")
-    seeds = entries.join(heaviest, "item", "left_semi")
+    seeds = entries.join(few(heaviest, 4 * k), "item", "left_semi")
     sure = _ranked(narrow, k).unionByName(_ranked(_dot_products(seeds, seeds, F.lit(True)), k))
     floor = _ranked(sure.groupBy("item_1", "item_2").agg(F.max("n").alias("n")), k).collect()  # at most k rows
     if len(floor) < k:

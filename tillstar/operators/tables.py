@@ -12,16 +12,9 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-Predicate = Column | str
-
-# Key sets of at most this many rows are broadcast. The limit or offset of the statement bounds them, whatever the
-# size of the table; beyond it they are joined like any other side.
-BROADCAST_ROWS = 100_000
+from tillstar.operators.joins import few
 
-
-def _bounded(keys: DataFrame, rows: int) -> DataFrame:
-    """A key set of at most ``rows`` rows, broadcast if that is few: the table then needs no shuffle."""
-    return F.broadcast(keys) if rows <= BROADCAST_ROWS else keys
+Predicate = Column | str
 
 
 def predicate(where: Predicate | None, required: bool = False) -> Column:
@@ -46,7 +39,7 @@ def _mark(df: DataFrame, where: Predicate | None, order_by: Sequence | None, lim
     if not keys:
         raise ValueError("a limit needs the key columns of the table")
     picked = df.filter(hit).orderBy(*(order_by or []), *keys).limit(limit).select(*keys)
-    picked = _bounded(picked.withColumn("_hit", F.lit(True)), limit)
+    picked = few(picked.withColumn("_hit", F.lit(True)), limit)
     return df.join(picked, list(keys), "left"), F.coalesce("_hit", F.lit(False))
 
 
@@ -68,7 +61,7 @@ def select(df: DataFrame, *columns: Column | str, where: Predicate | None = None
         if not keys:
             raise ValueError("an offset without a limit needs the key columns")
         skipped = out.orderBy(*order_by, *keys).limit(offset).select(*keys)
-        out = out.join(_bounded(skipped, offset), list(keys), "left_anti").select(*out.columns)
+        out = out.join(few(skipped, offset), list(keys), "left_anti").select(*out.columns)
         return out.orderBy(*order_by) if order_by else out
     if order_by:
         out = out.orderBy(*order_by)

@@ -96,6 +96,14 @@ FROM (SELECT *, year(d) AS year_t FROM lines WHERE year(d) = 1997)
 GROUP BY ROLLUP (store_name, supplier_name, product_name, year_t)"""
 
 
+ORACLE["r7_yearly_rollup_levels"] = f"""
+WITH {LINES}
+SELECT store_name, supplier_name, product_name, {money('sum(cents)', 'total_revenue')}, year_t,
+       GROUPING(store_name, supplier_name, product_name, year_t) AS level
+FROM (SELECT *, year(d) AS year_t FROM lines WHERE year(d) = 1997)
+GROUP BY ROLLUP (store_name, supplier_name, product_name, year_t)"""
+
+
 def _halves(where: str) -> str:
     return f"""
 WITH {LINES}
@@ -125,6 +133,11 @@ WITH {LINES}
 SELECT store_id, store_name, quarter(d) AS quarter, {money('sum(cents)', 'total_quarterly_sales')}
 FROM lines GROUP BY ALL ORDER BY store_name, quarter"""
 
+ORACLE["r10_store_quarterly_one_year"] = f"""
+WITH {LINES}
+SELECT store_id, store_name, quarter(d) AS quarter, {money('sum(cents)', 'total_quarterly_sales')}
+FROM lines WHERE year(d) = 1997 GROUP BY ALL"""
+
 # -- enrichment and dimensions ------------------------------------------------------------------------------------------------
 
 _ENRICHED = f"""
@@ -365,6 +378,7 @@ WITH {EVENTS}
 SELECT _id, event_type, value, k, tags FROM e WHERE event_type = 'click'
 UNION ALL SELECT _id, 'VIEW', value, NULL, NULL FROM e WHERE event_type = 'view'"""
 ORACLE["x4_remove_one"] = docs(tail="WHERE _id <> '7'")
+ORACLE["x4_get_one"] = docs(tail="WHERE _id = '7'")
 ORACLE["x5_find"] = docs(tail="WHERE k >= 50 AND value > 100")
 ORACLE["x6_fields"] = f"""
 WITH {EVENTS} SELECT _id AS id, event_type AS kind, u AS first_tag, k * 2 AS doubled FROM e"""
@@ -417,6 +431,10 @@ ORACLE["e1_arithmetic"] = f"""
 WITH {EVENTS}
 SELECT event_id, CASE WHEN k <> 50 THEN CAST(u AS DOUBLE) / (k - 50) END AS ratio,
        CASE WHEN k <> 50 THEN u % (k - 50) END AS rest, CASE WHEN k <> 50 THEN u // (k - 50) END AS whole FROM e"""
+ORACLE["e3_logic"] = """
+SELECT o_orderkey, s = 'F' AND p > 100000 AS both, s = 'F' OR p > 400000 OR o_orderpriority = '1-URGENT' AS "any",
+       NOT (s = 'O') AS not_open, s IS NULL AS unknown, s <> 'F' AS differs, p BETWEEN 1000 AND 200000 AS in_range
+FROM (SELECT *, nullif(o_orderstatus, 'P') AS s, o_totalprice AS p FROM orders)"""
 ORACLE["e4_bits"] = """
 SELECT event_id, CAST(event_id & user_id AS VARCHAR) AS both, CAST(event_id | user_id AS VARCHAR) AS either,
        CAST(xor(event_id, user_id) AS VARCHAR) AS one,
@@ -479,3 +497,28 @@ FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders)"""
 ORACLE["fn_time"] = """
 SELECT event_id, hour(ts) * 3600 + minute(ts) * 60 + second(ts) AS seconds, strftime(ts, '%H:%M:%S') AS clock,
        hour(ts) AS hour, dayofyear(ts) AS day_of_year FROM events"""
+
+_REAL = "acos asin atan cos cot degrees exp log10 radians sin sqrt tan".split()
+ORACLE["fn_same_numeric"] = f"""
+SELECT p_partkey, {", ".join(f"round({f}(x), 9) AS {f}_x" for f in _REAL)}, round(atan2(x, 2), 9) AS atan2_x,
+       round(pow(x, 3), 9) AS pow_x, round(pow(x, 0.5), 9) AS power_x, round(x * pi(), 9) AS pi_x,
+       abs(p_size - 25) AS abs_size, CAST(ceil(x * 10) AS BIGINT) AS ceiling_x,
+       CAST(floor(x * 10) AS BIGINT) AS floor_x, p_size % 7 AS mod_size
+FROM (SELECT *, p_size / CAST(51 AS DOUBLE) AS x FROM part)"""
+ORACLE["fn_same_string"] = """
+SELECT p_partkey, ascii(p_name) AS f_ascii, to_binary(p_size) AS f_bin, strlen(p_name) * 8 AS f_bit_length,
+       chr(p_size + 64) AS f_char, length(p_name) AS f_char_length, length(p_type) AS f_character_length,
+       p_name || '/' || p_type AS f_concat, concat_ws('-', p_name, nullif(p_type, 'PROMO'), p_brand) AS f_concat_ws,
+       CASE p_type WHEN 'PROMO' THEN 1 WHEN 'ECONOMY' THEN 2 WHEN 'STANDARD' THEN 3 ELSE 0 END AS f_find_in_set,
+       upper(to_hex(p_size)) AS f_hex, instr(p_name, 'o') AS f_instr, lower(p_type) AS f_lcase,
+       left(p_name, 3) AS f_left, instr(p_name, 'e') AS f_locate, lower(p_brand) AS f_lower, p_name AS f_ltrim,
+       strlen(p_name) AS f_octet_length, instr(p_name, 'l') AS f_position, p_type || p_type AS f_repeat,
+       replace(p_name, 'e', 'E') AS f_replace, reverse(p_name) AS f_reverse, right(p_name, 3) AS f_right,
+       rpad(p_name, 14, '.') AS f_rpad, p_name AS f_rtrim, '[   ]' AS f_space, substr(p_name, 2, 4) AS f_substring,
+       p_name AS f_trim, upper(p_name) AS f_ucase, upper(p_name) AS f_upper
+FROM part"""
+ORACLE["fn_same_date"] = """
+SELECT event_id, day(ts) AS f_dayofmonth, dayofweek(ts) + 1 AS f_dayofweek, dayofyear(ts) AS f_dayofyear,
+       hour(ts) AS f_hour, minute(ts) AS f_minute, month(ts) AS f_month, quarter(ts) AS f_quarter,
+       second(ts) AS f_second, isodow(ts) - 1 AS f_weekday, year(ts) AS f_year, true AS f_now
+FROM events"""

@@ -59,11 +59,15 @@ report("r4_seasonal_sales", reports.seasonal_sales)
 report("r5_monthly_volatility", reports.monthly_volatility)
 report("r6_product_affinity", reports.product_affinity, k=5)
 report("r7_yearly_rollup", reports.yearly_rollup, year=YEAR)
+report("r7_yearly_rollup_levels", reports.yearly_rollup, year=YEAR, with_level=True)
 report("r8_half_year_split", reports.half_year_split)
 report("r8_half_year_split_one_year", reports.half_year_split, year=YEAR)
 report("r9_sales_spikes", reports.sales_spikes, factor=2)
 
 
+report("r10_store_quarterly_one_year", reports.store_quarterly_sales, year=YEAR)
+
+
 @query("r10_store_quarterly")
 def r10(spark, folder):
     view = reports.store_quarterly_sales(SourceStar.read(spark, folder))
@@ -544,6 +548,11 @@ def x4(spark, folder):
     return shown(documents.remove_one(event_documents(spark, folder), "7"))
 
 
+@query("x4_get_one")
+def x4_get(spark, folder):
+    return shown(documents.get_one(event_documents(spark, folder), "7"))
+
+
 @query("x5_find")
 def x5(spark, folder):
     docs = event_documents(spark, folder)
@@ -732,6 +741,20 @@ def e1(spark, folder):
     )
 
 
+@query("e3_logic")
+def e3(spark, folder):
+    status, price = F.nullif("o_orderstatus", F.lit("P")), F.col("o_totalprice")
+    return read_table(spark, folder, "orders").select(
+        "o_orderkey",
+        ((status == "F") & (price > 100000)).alias("both"),
+        X.any_of(status == "F", price > 400000, F.col("o_orderpriority") == "1-URGENT").alias("any"),
+        (~(status == "O")).alias("not_open"),
+        status.isNull().alias("unknown"),
+        (status != "F").alias("differs"),
+        ((price >= 1000) & (price <= 200000)).alias("in_range"),
+    )
+
+
 @query("e4_bits")
 def e4(spark, folder):
     a, b = F.col("event_id"), F.col("user_id")
@@ -804,6 +827,79 @@ def e14(spark, folder):
     )
 
 
+@query("fn_same_numeric")
+def fn_same_numeric(spark, folder):
+    """Functions that mean the same in Spark under the same name."""
+    part = read_table(spark, folder, "part").selectExpr("p_partkey", "p_size", "p_size / 51.0D AS x")
+    real = "acos asin atan cos cot degrees exp log10 radians sin sqrt tan".split()
+    return part.selectExpr(
+        "p_partkey",
+        *[f"round({f}(x), 9) AS {f}_x" for f in real],
+        "round(atan2(x, 2), 9) AS atan2_x",
+        "round(pow(x, 3), 9) AS pow_x",
+        "round(power(x, 0.5D), 9) AS power_x",
+        "round(x * pi(), 9) AS pi_x",
+        "abs(p_size - 25) AS abs_size",
+        "ceiling(x * 10) AS ceiling_x",
+        "floor(x * 10) AS floor_x",
+        "mod(p_size, 7) AS mod_size",
+    )
+
+
+@query("fn_same_string")
+def fn_same_string(spark, folder):
+    return read_table(spark, folder, "part").selectExpr(
+        "p_partkey",
+        "ascii(p_name) AS f_ascii",
+        "bin(p_size) AS f_bin",
+        "bit_length(p_name) AS f_bit_length",
+        "char(p_size + 64) AS f_char",
+        "char_length(p_name) AS f_char_length",
+        "character_length(p_type) AS f_character_length",
+        "concat(p_name, '/', p_type) AS f_concat",
+        "concat_ws('-', p_name, nullif(p_type, 'PROMO'), p_brand) AS f_concat_ws",
+        "find_in_set(p_type, 'PROMO,ECONOMY,STANDARD') AS f_find_in_set",
+        "hex(p_size) AS f_hex",
+        "instr(p_name, 'o') AS f_instr",
+        "lcase(p_type) AS f_lcase",
+        "left(p_name, 3) AS f_left",
+        "locate('e', p_name) AS f_locate",
+        "lower(p_brand) AS f_lower",
+        "ltrim(concat('  ', p_name)) AS f_ltrim",
+        "octet_length(p_name) AS f_octet_length",
+        "position('l' IN p_name) AS f_position",
+        "repeat(p_type, 2) AS f_repeat",
+        "replace(p_name, 'e', 'E') AS f_replace",
+        "reverse(p_name) AS f_reverse",
+        "right(p_name, 3) AS f_right",
+        "rpad(p_name, 14, '.') AS f_rpad",
+        "rtrim(concat(p_name, '  ')) AS f_rtrim",
+        "concat('[', space(3), ']') AS f_space",
+        "substring(p_name, 2, 4) AS f_substring",
+        "trim(concat(' ', p_name, ' ')) AS f_trim",
+        "ucase(p_name) AS f_ucase",
+        "upper(p_name) AS f_upper",
+    )
+
+
+@query("fn_same_date")
+def fn_same_date(spark, folder):
+    return read_table(spark, folder, "events").selectExpr(
+        "event_id",
+        "dayofmonth(ts) AS f_dayofmonth",
+        "dayofweek(ts) AS f_dayofweek",
+        "dayofyear(ts) AS f_dayofyear",
+        "hour(ts) AS f_hour",
+        "minute(ts) AS f_minute",
+        "month(ts) AS f_month",
+        "quarter(ts) AS f_quarter",
+        "second(ts) AS f_second",
+        "weekday(ts) AS f_weekday",
+        "year(ts) AS f_year",
+        "curdate() = current_date AND now() = current_timestamp AS f_now",
+    )
+
+
 @query("fn_numeric")
 def fn_numeric(spark, folder):
     p = F.col("p_retailprice").cast(PRICE)

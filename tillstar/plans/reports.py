@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tillstar.functions.numeric import percent_change
 from tillstar.operators.affinity import top_pairs
 from tillstar.operators.dates import sale_type
+from tillstar.operators.joins import few
 from tillstar.plans.star import Star
 from tillstar.schema import TOTAL
 
@@ -76,9 +77,10 @@ def product_affinity(star: Star, k: int = 5, wide_basket: int = 200) -> DataFram
     """The k product pairs most often bought in one order. Ties go to the lower product ids."""
     pairs = top_pairs(star.fact(["order_id", "product_id"]), "order_id", "product_id", k, wide_basket)
     names = star.product.select("product_id", "product_name")
+    # At most k pairs look up their names, so the pairs are broadcast and the product table stays in place.
+    half = names.toDF("item_1", "product_name_1").join(few(pairs, k), "item_1")
     return (
-        pairs.join(names.toDF("item_1", "product_name_1"), "item_1")
-        .join(names.toDF("item_2", "product_name_2"), "item_2")
+        names.toDF("item_2", "product_name_2").join(few(half, k), "item_2")
         .orderBy(F.desc("pair_count"), "item_1", "item_2")
         .limit(k)
         .select("product_name_1", "product_name_2", "pair_count")
