@@ -187,3 +187,15 @@ def test_rerun_of_a_batch_changes_nothing(spark, tmp_path):
     before = sorted(map(str, loads.read_batches(spark, out).collect()))
     loads.write_batch(rows, out, 0, ["matched"])
     assert sorted(map(str, loads.read_batches(spark, out).collect())) == before
+
+
+def test_stream_into_the_warehouse(spark, tmp_path):
+    write_files(tmp_path / "in", {"a.csv": RAW[:2], "b.csv": RAW[2:]})
+    run_stream(spark, tmp_path)
+    root = str(tmp_path / "dw")
+    assert stream.load(spark, str(tmp_path / "out"), root, "order") == 1
+    batch = str(tmp_path / "batch")
+    loads.load_transactions(good(spark), *masters(spark), batch, "order")
+    for table in ("sales", "product", "customer", "store", "supplier", "date"):
+        one, two = (getattr(loads.read_warehouse(spark, r), table) for r in (root, batch))
+        assert sorted(map(str, one.collect())) == sorted(map(str, two.collect())), table

@@ -54,7 +54,7 @@ def duplicate_ids(docs: DataFrame) -> DataFrame:
 
 
 def upsert(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """Add documents, replacing those of the same id."""
+    """Add documents, replacing those of the same id. The ids of ``new`` must be unique (see ``duplicate_ids``)."""
     return existing.join(new.select(ID), ID, "left_anti").unionByName(new.select(ID, DOC))
 
 

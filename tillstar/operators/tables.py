@@ -1,7 +1,7 @@
 """Insert, update, delete and select on tables, as transforms from DataFrame to DataFrame.
 
 Predicates and values are Spark columns or SQL text. Order and limit pick the first rows of an ordering; they need
-the key columns of the table, which complete the ordering and tie the picked rows back to it.
+the unique key columns of the table, which complete the ordering and tie the picked rows back to it.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tillstar.operators.cleaning import REASON, clean_transactions
 from tillstar.operators.dedupe import keep_last
 from tillstar.operators.enrich import lookup
-from tillstar.operators.loads import read_batches, write_batch
+from tillstar.operators.loads import load_warehouse, read_batches, write_batch
+from tillstar.operators.normalise import to_star
 
 MATCHED = "matched"
 
@@ -58,3 +59,13 @@ def rejects(spark: SparkSession, path: str) -> DataFrame:
 def latest_orders(spark: SparkSession, path: str, sequence=("batch_id", "order_ts")) -> DataFrame:
     """State by order: the last row of each order over all batches."""
     return keep_last(accepted(spark, path), ["order_id"], sequence)
+
+
+def load(spark: SparkSession, path: str, root: str, grain: str = "line", sequence=("batch_id", "order_ts"),
+         sales_key=("order_id",), check: bool = True) -> int:
+    """Load the rows accepted so far into the warehouse as a new run.
+
+    The batches stay as they are, so a later load sees them again together with new ones; keep-last makes the result
+    the same however often a batch was written.
+    """
+    return load_warehouse(to_star(accepted(spark, path), grain, sequence), root, sales_key, check)
