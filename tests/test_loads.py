@@ -199,3 +199,25 @@ def test_stream_into_the_warehouse(spark, tmp_path):
     for table in ("sales", "product", "customer", "store", "supplier", "date"):
         one, two = (getattr(loads.read_warehouse(spark, r), table) for r in (root, batch))
         assert sorted(map(str, one.collect())) == sorted(map(str, two.collect())), table
+
+
+def test_names_in_any_case(spark):
+    sales = spark.createDataFrame(
+        [(1, 1, 1, 1, 1, 1, 1, 10.0), (2, 2, 1, 2, 2, 2, 1, 5.0)],
+        "order_id bigint, product_id bigint, customer_id bigint, supplier_id bigint, time_id bigint, store_id bigint, "
+        "quantity int, sales_revenue double",
+    ).withColumn("sales_revenue", F.col("sales_revenue").cast("decimal(15,2)"))
+
+    def names(kind, *values):
+        return spark.createDataFrame(list(enumerate(values, 1)), f"{kind}_id bigint, {kind}_name string")
+
+    star = loads.LoadedStar(
+        sales, spark.createDataFrame([], "time_id bigint, date_t date"), names("product", "Lamp", "LAMP"),
+        names("customer", "x"), names("store", "North", "north"), names("supplier", "Glow", "Glow"),
+    )
+    exact = reports.supplier_contribution(star).collect()
+    folded = reports.supplier_contribution(star.any_case()).collect()
+    assert len(exact) == 2
+    assert [(r.store_name, r.supplier_name, r.product_name, float(r.total_sales)) for r in folded] == [
+        ("North", "Glow", "LAMP", 15.0)
+    ]

@@ -22,6 +22,17 @@ def keep_last(df: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> Da
     ])
 
 
+def one_spelling(df: DataFrame, column: str) -> DataFrame:
+    """Give texts that differ only in case the same spelling: the smallest one that occurs."""
+    folded = F.lower(column)
+    spellings = df.select(column).distinct().groupBy(folded.alias("_folded")).agg(F.min(column).alias("_spelling"))
+    return (
+        df.join(spellings, folded == F.col("_folded"), "left")
+        .withColumn(column, F.coalesce("_spelling", column))
+        .select(*df.columns)
+    )
+
+
 def keep_one(df: DataFrame, keys: Sequence[str], attributes: Sequence[str] | None = None) -> DataFrame:
     """One row per key: the one with the smallest attributes. Deterministic, unlike ``dropDuplicates``.
 

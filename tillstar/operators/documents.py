@@ -289,7 +289,7 @@ def patch(changes: Mapping) -> Edit:
 def modify(docs: DataFrame, where: Predicate, *edits: Edit, order_by: Sequence | None = None,
            limit: int | None = None) -> DataFrame:
     """Apply edits, in order, to the documents that meet the condition (which must not be empty)."""
-    marked, hit = tables._mark(docs, where, order_by, limit, [ID], required=True)
+    marked, hit = tables.mark(docs, where, order_by, limit, [ID], required=True)
     v = J.parsed(DOC)
     for edit in edits:
         v = J.let(v, edit)

@@ -30,7 +30,7 @@ def value(v: Any) -> Column:
     return v if isinstance(v, Column) else F.lit(v)
 
 
-def _mark(df: DataFrame, where: Predicate | None, order_by: Sequence | None, limit: int | None,
+def mark(df: DataFrame, where: Predicate | None, order_by: Sequence | None, limit: int | None,
           keys: Sequence[str] | None, required: bool = False) -> tuple[DataFrame, Column]:
     """``df`` and a column that tells which rows the statement hits."""
     hit = predicate(where, required)
@@ -96,7 +96,7 @@ def update(df: DataFrame, assign: Mapping[str, Any], where: Predicate | None = N
            limit: int | None = None, keys: Sequence[str] | None = None) -> DataFrame:
     """Set columns on the rows that meet the condition. Every new value sees the old row."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    marked, hit = _mark(df, where, order_by, limit, keys)
+    marked, hit = mark(df, where, order_by, limit, keys)
     return marked.select(*[
         F.when(hit, value(assign[c]).cast(types[c])).otherwise(F.col(c)).alias(c) if c in assign else F.col(c)
         for c in df.columns
@@ -106,7 +106,7 @@ def update(df: DataFrame, assign: Mapping[str, Any], where: Predicate | None = N
 def delete(df: DataFrame, where: Predicate | None = None, order_by: Sequence | None = None,
            limit: int | None = None, keys: Sequence[str] | None = None) -> DataFrame:
     """The rows that the statement leaves. A condition that is NULL keeps its row."""
-    marked, hit = _mark(df, where, order_by, limit, keys)
+    marked, hit = mark(df, where, order_by, limit, keys)
     return marked.filter(~hit).select(*df.columns)
 
 

@@ -70,6 +70,17 @@ SELECT product_name,
        {money('sum(cents)', 'total_sales')}
 FROM lines GROUP BY ALL ORDER BY ALL"""
 
+ORACLE["r4_seasonal_sales_any_case"] = f"""
+WITH {LINES},
+spelled AS (
+  SELECT *, CASE WHEN p_size > 25 THEN upper(p_name) ELSE p_name END AS spelling FROM part),
+one AS (SELECT lower(spelling) AS folded, min(spelling) AS spelling FROM spelled GROUP BY ALL)
+SELECT spelling AS product_name,
+       CASE WHEN month(d) IN (3, 4, 5) THEN 'Spring' WHEN month(d) IN (6, 7, 8) THEN 'Summer'
+            WHEN month(d) IN (9, 10, 11) THEN 'Fall' ELSE 'Winter' END AS season,
+       {money('sum(cents)', 'total_sales')}
+FROM lines JOIN one ON lower(product_name) = folded GROUP BY ALL ORDER BY ALL"""
+
 ORACLE["r5_monthly_volatility"] = f"""
 WITH {LINES},
 sums AS (

@@ -56,6 +56,19 @@ report("r1_top_products", reports.top_products, year=YEAR, k=5)
 report("r2_store_growth", reports.store_growth, year=YEAR)
 report("r3_supplier_contribution", reports.supplier_contribution)
 report("r4_seasonal_sales", reports.seasonal_sales)
+
+
+
+@query("r4_seasonal_sales_any_case")
+def r4_any_case(spark, folder):
+    """Product names spelled in two ways, reported as one."""
+    star = SourceStar.read(spark, folder)
+    mixed = F.when(F.col("p_size") > 25, F.upper("p_name")).otherwise(F.col("p_name"))
+    tables_ = {n: star.tables[n] for n in ("lineitem", "orders", "customer", "nation", "supplier", "part")}
+    tables_["part"] = tables_["part"].withColumn("p_name", mixed)
+    return reports.seasonal_sales(SourceStar(tables_).any_case())
+
+
 report("r5_monthly_volatility", reports.monthly_volatility)
 report("r6_product_affinity", reports.product_affinity, k=5)
 report("r7_yearly_rollup", reports.yearly_rollup, year=YEAR)

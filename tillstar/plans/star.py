@@ -10,12 +10,14 @@ Two implementations share the reports:
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from copy import copy
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.operators.dates import PARTS, add_date_parts, in_year
+from tillstar.operators.dedupe import one_spelling
 from tillstar.schema import PRICE, REVENUE, TOTAL
 from tillstar.sources.tables import Folder
 
@@ -37,6 +39,13 @@ class Star:
         """``by`` + ``total_revenue`` + ``total_quantity``, plus ``product_name`` when grouped by product id."""
         raise NotImplementedError
 
+    def any_case(self) -> "Star":
+        """The same star with names that differ only in case made equal, for reports that group by names."""
+        other = copy(self)
+        for name, table in NAMES.items():
+            setattr(other, table, one_spelling(getattr(self, table), name))
+        return other
+
     def _sums(self, by: Sequence[str], year: int | None) -> DataFrame:
         return (
             self.fact([*by, "sales_revenue", "quantity"], year)
