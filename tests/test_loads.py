@@ -193,7 +193,7 @@ def test_stream_into_the_warehouse(spark, tmp_path):
     write_files(tmp_path / "in", {"a.csv": RAW[:2], "b.csv": RAW[2:]})
     run_stream(spark, tmp_path)
     root = str(tmp_path / "dw")
-    assert stream.load(spark, str(tmp_path / "out"), root, "order") == 1
+    assert stream.load(spark, [str(tmp_path / "out")], root, "order") == 1
     batch = str(tmp_path / "batch")
     loads.load_transactions(good(spark), *masters(spark), batch, "order")
     for table in ("sales", "product", "customer", "store", "supplier", "date"):
@@ -221,3 +221,30 @@ def test_names_in_any_case(spark):
     assert [(r.store_name, r.supplier_name, r.product_name, float(r.total_sales)) for r in folded] == [
         ("North", "Glow", "LAMP", 15.0)
     ]
+
+
+def test_replay_of_rejects(spark, tmp_path):
+    write_files(tmp_path / "in", {"a.csv": RAW})
+    run_stream(spark, tmp_path)
+    out, again = str(tmp_path / "out"), str(tmp_path / "again")
+    products, customers = masters(spark)
+    late = products.filter("product_id = 1").withColumn("product_id", F.lit(9).cast("bigint"))
+
+    def grown():
+        return products.unionByName(late), customers
+
+    for _ in range(2):  # a second replay replaces the first
+        stream.replay(spark, out, grown, again)
+        assert sorted(r.order_id for r in stream.accepted(spark, again).collect()) == [3]
+        assert sorted(r.reject_reason for r in stream.rejects(spark, again).collect()) == [
+            "bad order_date", "bad quantity", "unknown customer", "unknown customer",
+        ]
+    assert sorted(r.order_id for r in stream.latest_orders(spark, out, again).collect()) == [1, 2, 3]
+    root = str(tmp_path / "dw")
+    assert stream.load(spark, [out, again], root, "line", sales_key=()) == 1
+    assert loads.read_warehouse(spark, root).sales.count() == 4
+
+
+def test_only_rejects_keep_their_text(spark):
+    rows = stream.process(raw(spark), *masters(spark)).collect()
+    assert all((r.raw is None) == (r.reject_reason is None) for r in rows)

@@ -396,7 +396,7 @@ def m1(spark, folder):
 @query("m3_latest_orders")
 def m3(spark, folder):
     _, out = _streamed(spark, folder)
-    rows = stream.latest_orders(spark, out, ("order_ts", "product_id", "quantity"))
+    rows = stream.latest_orders(spark, out, sequence=("order_ts", "product_id", "quantity"))
     return rows.select("order_id", "product_id", "quantity", "sales_revenue")
 
 

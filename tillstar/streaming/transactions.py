@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tillstar.operators.cleaning import REASON, clean_transactions
@@ -13,13 +14,20 @@ from tillstar.operators.dedupe import keep_last
 from tillstar.operators.enrich import lookup
 from tillstar.operators.loads import load_warehouse, read_batches, write_batch
 from tillstar.operators.normalise import to_star
+from tillstar.schema import CORRUPT, RAW_TRANSACTIONS
 
 MATCHED = "matched"
 
 
 def process(raw: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
-    """Clean and enrich raw transactions, batch or stream. ``reject_reason`` is NULL on usable rows."""
-    return lookup(clean_transactions(raw), products, customers)
+    """Clean and enrich raw transactions, batch or stream. ``reject_reason`` is NULL on usable rows, ``raw`` on those
+    that are not: only a rejected row keeps its text."""
+    rows = lookup(clean_transactions(raw), products, customers)
+    return rows.withColumn("raw", F.when(F.col(REASON).isNotNull(), F.col("raw")))
+
+
+def _store(rows: DataFrame, path: str, batch_id: int) -> None:
+    write_batch(rows.withColumn(MATCHED, F.col(REASON).isNull().cast("string")), path, batch_id, [MATCHED])
 
 
 def start(
@@ -36,8 +44,7 @@ def start(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = process(batch, *masters())
-        write_batch(rows.withColumn(MATCHED, F.col(REASON).isNull().cast("string")), path, batch_id, [MATCHED])
+        _store(process(batch, *masters()), path, batch_id)
 
     return (
         raw.writeStream.foreachBatch(handle)
@@ -47,25 +54,45 @@ def start(
     )
 
 
-def accepted(spark: SparkSession, path: str) -> DataFrame:
-    return read_batches(spark, path).filter(F.col(MATCHED) == "true").drop(MATCHED, REASON, "raw")
+def accepted(spark: SparkSession, *paths: str) -> DataFrame:
+    """The accepted rows of one or more outputs, numbered by ``generation`` in the order given."""
+    out = None
+    for generation, path in enumerate(paths):
+        rows = read_batches(spark, path).filter(F.col(MATCHED) == "true").drop(MATCHED, REASON, "raw")
+        rows = rows.withColumn("generation", F.lit(generation))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def rejects(spark: SparkSession, path: str) -> DataFrame:
-    """Rejected transactions with their raw text, to be corrected and replayed."""
+    """Rejected transactions with their raw text, to be corrected or replayed."""
     return read_batches(spark, path).filter(F.col(MATCHED) == "false").select("batch_id", "raw", REASON)
 
 
-def latest_orders(spark: SparkSession, path: str, sequence=("batch_id", "order_ts")) -> DataFrame:
+def replay(spark: SparkSession, path: str, masters: Callable[[], tuple[DataFrame, DataFrame]], target: str) -> None:
+    """Process the rejects of an output once more, after late master rows came in, into an output of its own.
+
+    Read both together with ``accepted(spark, path, target)``; what is still rejected are the rejects of ``target``.
+    Running a replay again replaces its result.
+    """
+    fields = T.StructType([*RAW_TRANSACTIONS.fields, T.StructField(CORRUPT, T.StringType())])
+    raw = rejects(spark, path).select(F.from_json("raw", fields).alias("r")).select("r.*")
+    _store(process(raw, *masters()), target, 0)
+
+
+ARRIVAL = ("generation", "batch_id", "order_ts")
+
+
+def latest_orders(spark: SparkSession, *paths: str, sequence=ARRIVAL) -> DataFrame:
     """State by order: the last row of each order over all batches."""
-    return keep_last(accepted(spark, path), ["order_id"], sequence)
+    return keep_last(accepted(spark, *paths), ["order_id"], sequence)
 
 
-def load(spark: SparkSession, path: str, root: str, grain: str = "line", sequence=("batch_id", "order_ts"),
+def load(spark: SparkSession, paths: Sequence[str], root: str, grain: str = "line", sequence=ARRIVAL,
          sales_key=("order_id",), check: bool = True) -> int:
     """Load the rows accepted so far into the warehouse as a new run.
 
     The batches stay as they are, so a later load sees them again together with new ones; keep-last makes the result
     the same however often a batch was written.
     """
-    return load_warehouse(to_star(accepted(spark, path), grain, sequence), root, sales_key, check)
+    return load_warehouse(to_star(accepted(spark, *paths), grain, sequence), root, sales_key, check)
