@@ -75,6 +75,12 @@ def test_text(value):
                  X.any_of(s(False), s(True))) == (True,) * 4
 
 
+def test_soundex(value):
+    words = {"Hello": "H400", "Quadratically": "Q36324", "": "", "Pfister": "P236", "a-B c": "A120", "Tymczak": "T520"}
+    assert value(*[X.soundex(F.lit(w)) for w in words]) == tuple(words.values())
+    assert value(X.soundex(F.lit(None).cast("string"))) == (None,)
+
+
 def test_dates(value):
     def d(t):
         return F.lit(t).cast("date")

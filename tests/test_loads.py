@@ -1,10 +1,12 @@
 import datetime
 
 import pytest
+from compare import TESTDATA
 from pyspark.sql import functions as F
 
 from tillstar.operators import cleaning, enrich, loads, normalise, quality
 from tillstar.plans import reports
+from tillstar.plans.star import SourceStar
 from tillstar.schema import PRICE, RAW_TRANSACTIONS
 from tillstar.sources import files
 from tillstar.streaming import transactions as stream
@@ -248,3 +250,30 @@ def test_replay_of_rejects(spark, tmp_path):
 def test_only_rejects_keep_their_text(spark):
     rows = stream.process(raw(spark), *masters(spark)).collect()
     assert all((r.raw is None) == (r.reject_reason is None) for r in rows)
+
+
+def test_loaded_star_reports_like_its_source(spark, tmp_path):
+    """All ten reports over a written warehouse equal those over the source tables it was filled from."""
+    source = SourceStar.read(spark, f"{TESTDATA}/sf0.001")
+    columns = ["order_id", "product_id", "customer_id", "supplier_id", "store_id", "quantity", "sales_revenue", "order_ts"]
+    sales = source.fact(columns).withColumns({"time_id": F.col("order_id"), "year_t": F.year("order_ts")})
+    star = {
+        "sales": sales,
+        "date": normalise.dates_of(sales),
+        "product": source.product,
+        "customer": source.customer.withColumn("gender", F.lit(None).cast("string")),
+        "store": source.store,
+        "supplier": source.supplier,
+    }
+    loads.load_warehouse(star, str(tmp_path / "dw"), sales_key=())
+    written = loads.read_warehouse(spark, str(tmp_path / "dw"))
+    for report, params in [
+        (reports.top_products, {"year": 1997}), (reports.store_growth, {"year": 1997}),
+        (reports.supplier_contribution, {}), (reports.seasonal_sales, {}), (reports.monthly_volatility, {}),
+        (reports.product_affinity, {"k": 20}), (reports.yearly_rollup, {"year": 1997, "with_level": True}),
+        (reports.half_year_split, {}), (reports.half_year_split, {"year": 1998}), (reports.sales_spikes, {"factor": 3}),
+        (reports.store_quarterly_sales, {}), (reports.store_quarterly_sales, {"year": 1999}),
+    ]:
+        one, two = report(source, **params), report(written, **params)
+        assert one.columns == two.columns
+        assert sorted(map(tuple, one.collect()), key=str) == sorted(map(tuple, two.collect()), key=str), report

@@ -100,3 +100,21 @@ def regexp_any_case(s: Column | str, pattern: str) -> Column:
 def equal_any_case(a: Column | str, b: Column | str) -> Column:
     """Equality that ignores case, through a collation."""
     return F.collate(_col(a), "UTF8_LCASE") == F.collate(_col(b), "UTF8_LCASE")
+
+
+# The sound class of each letter; class 0 is silent.
+_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_SOUNDS = "01230120022455012623010202"
+
+
+def soundex(s: Column | str) -> Column:
+    """Sound code of any length: silent letters are dropped before repeats are merged, short codes are padded to 4.
+
+    Spark's own ``soundex`` cuts the code at four characters.
+    """
+    letters = F.upper(F.regexp_replace(_col(s), "[^A-Za-z]", ""))
+    sounds = F.translate(letters, _LETTERS, _SOUNDS)
+    spoken = F.concat(F.left(sounds, F.lit(1)), F.replace(F.substr(sounds, F.lit(2)), F.lit("0"), F.lit("")))
+    merged = F.regexp_replace(spoken, r"(.)\1+", "$1")
+    code = F.concat(F.left(letters, F.lit(1)), F.substr(merged, F.lit(2)))
+    return F.when((letters == "") | (F.char_length(code) >= 4), code).otherwise(F.rpad(code, 4, "0"))
