@@ -28,11 +28,11 @@ def one(docs):
 
 def test_set_needs_a_true_condition(spark):
     docs = collection(spark, {})
-    docs = D.modify(docs, "true", D.set_("a", "Value for a"))
-    docs = D.modify(docs, "1 == 1", D.set_("$.b", "Value for b"))
+    docs = D.modify(docs, "true", D.set_("a", "first"))
+    docs = D.modify(docs, "1 == 1", D.set_("$.b", "second"))
     docs = D.modify(docs, "false", D.set_("c", "Value for c"))
     docs = D.modify(docs, F.lit(None).cast("boolean"), D.set_("d", 1))
-    assert one(docs) == {"a": "Value for a", "b": "Value for b"}
+    assert one(docs) == {"a": "first", "b": "second"}
     for empty in (None, " "):
         with pytest.raises(ValueError):
             D.modify(docs, empty, D.set_("y", 1))
@@ -87,14 +87,14 @@ def test_array_append_and_insert(spark):
 def test_merge_patch(spark):
     docs = collection(
         spark,
-        {"_id": "1", "name": "Alice", "address": {"zip": "12345", "street": "32 Main str"}},
-        {"_id": "2", "name": "Bob", "address": {"zip": "325226", "city": "San Francisco", "street": "42 2nd str"}},
+        {"_id": "1", "name": "Nora", "address": {"zip": "10001", "street": "5 Oak lane"}},
+        {"_id": "2", "name": "Omar", "address": {"zip": "70100", "city": "Riverton", "street": "9 Elm road"}},
     )
-    docs = D.modify(docs, "_id = '1'", D.patch({"name": "Joe", "address": {"zip": "91234"}}))
+    docs = D.modify(docs, "_id = '1'", D.patch({"name": "Nina", "address": {"zip": "20002"}}))
     first, second = bodies(docs.orderBy("_id"))
-    assert first == {"name": "Joe", "address": {"zip": "91234", "street": "32 Main str"}}
+    assert first == {"name": "Nina", "address": {"zip": "20002", "street": "5 Oak lane"}}
     docs = D.modify(docs, "_id = '1'", D.patch({"address": None, "new": {"deep": {"x": None, "y": 1}}}))
-    assert bodies(docs.orderBy("_id")) == [{"name": "Joe", "new": {"deep": {"y": 1}}}, second]
+    assert bodies(docs.orderBy("_id")) == [{"name": "Nina", "new": {"deep": {"y": 1}}}, second]
 
 
 def test_patch_of_a_scalar_member(spark):

@@ -39,23 +39,23 @@ def test_offset_without_limit(spark):
 
 
 def test_view(spark):
-    a = spark.createDataFrame([(1, "Saki 1"), (2, "Saki 2"), (3, "Other")], "id int, name string")
+    a = spark.createDataFrame([(1, "Lena 1"), (2, "Lena 2"), (3, "Other")], "id int, name string")
     b = spark.createDataFrame([(1, 19), (2, 20), (3, 5)], "id int, age int")
     view = create_view(a.join(b, "id"), "people_view")
-    got = spark.sql("SELECT id FROM {v} WHERE name LIKE :p AND age < :n", args={"p": "Saki%", "n": 20}, v=view)
+    got = spark.sql("SELECT id FROM {v} WHERE name LIKE :p AND age < :n", args={"p": "Lena%", "n": 20}, v=view)
     assert rows(got) == [(1,)]
 
 
 def test_insert_update_delete(spark):
     df = spark.createDataFrame([], "id int, name string, born date, age int")
     df = T.insert(df, ["id", "name", "born", "age"], [
-        (1, "Sakila", datetime.date(2000, 5, 27), 14),
-        (2, "Shakila", datetime.date(2001, 6, 26), F.lit(10) + 3),
+        (1, "Marina", datetime.date(2001, 3, 4), 14),
+        (2, "Sabrina", datetime.date(2002, 4, 5), F.lit(10) + 3),
     ])
     df = T.insert(df, ["id"], [(3,)])
-    df = T.update(df, {"name": F.concat("name", F.lit("-updated")), "age": F.col("age") + 1}, "name LIKE '%akila'")
+    df = T.update(df, {"name": F.concat("name", F.lit("-updated")), "age": F.col("age") + 1}, "name LIKE '%rina'")
     assert sorted(rows(df.select("id", "name", "age"))) == [
-        (1, "Sakila-updated", 15), (2, "Shakila-updated", 14), (3, None, None),
+        (1, "Marina-updated", 15), (2, "Sabrina-updated", 14), (3, None, None),
     ]
     assert T.delete(df, "age = 15").count() == 2
     assert T.delete(df, "age > 0").count() == 1  # a NULL condition keeps its row
