@@ -277,3 +277,15 @@ def test_loaded_star_reports_like_its_source(spark, tmp_path):
         one, two = report(source, **params), report(written, **params)
         assert one.columns == two.columns
         assert sorted(map(tuple, one.collect()), key=str) == sorted(map(tuple, two.collect()), key=str), report
+
+
+def test_ties_do_not_depend_on_partitioning(spark):
+    products = spark.createDataFrame([(i, f"p{i}") for i in range(6)], "product_id bigint, product_name string")
+    rows = [(o, o % 6, 1, 1, o, 1, 1, datetime.datetime(2019, 1, 7), 2019) for o in range(60)]
+    sales = spark.createDataFrame(
+        rows, "order_id bigint, product_id bigint, customer_id bigint, supplier_id bigint, time_id bigint, "
+        "store_id bigint, quantity int, order_ts timestamp_ntz, year_t int",
+    ).withColumn("sales_revenue", F.lit("3.00").cast("decimal(15,2)"))
+    for n in (1, 7):
+        star = loads.LoadedStar(sales.repartition(n), None, products, None, None, None)
+        assert [r.product_id for r in reports.top_products(star, 2019, 3).collect()] == [0, 1, 2]

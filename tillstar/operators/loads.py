@@ -15,6 +15,7 @@ from tillstar.operators.enrich import enrich
 from tillstar.operators.normalise import conform, dimensions_of, sales_rows
 from tillstar.plans.star import LoadedStar
 from tillstar.schema import star_schema
+from tillstar.session import materialised
 
 DIMENSIONS = ("product", "customer", "store", "supplier", "date")
 _COMMITS = "commits"
@@ -28,7 +29,11 @@ def insert_ignore(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> D
 
 
 def load_staging(df: DataFrame, path: str, keys: Sequence[str], required: Sequence[str] = ()) -> None:
-    """Write a staging table, or nothing at all: refused on duplicate keys, broken rules or an existing target."""
+    """Write a staging table, or nothing at all: refused on duplicate keys, broken rules or an existing target.
+
+    The rows are materialised first, so that parsing and cleaning run once and not again for every check.
+    """
+    df = materialised(df, "staging")
     quality.require_clean({
         "key": quality.unique(df, keys),
         "rows": quality.row_violations(df, quality.table_rules(df.columns, required or df.columns)),
