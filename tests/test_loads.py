@@ -289,3 +289,18 @@ def test_ties_do_not_depend_on_partitioning(spark):
     for n in (1, 7):
         star = loads.LoadedStar(sales.repartition(n), None, products, None, None, None)
         assert [r.product_id for r in reports.top_products(star, 2019, 3).collect()] == [0, 1, 2]
+
+
+def test_the_same_function_runs_inside_a_stream(spark, tmp_path):
+    write_files(tmp_path / "in", {"a.csv": RAW[:4], "b.csv": RAW[4:]})
+    source = files.stream_transactions(spark, str(tmp_path / "in"))
+    out = stream.process(source, *masters(spark))
+    assert out.isStreaming
+    query = (
+        out.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    want = stream.process(files.read_transactions(spark, str(tmp_path / "in")), *masters(spark))
+    got = spark.read.parquet(str(tmp_path / "out")).select(want.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
