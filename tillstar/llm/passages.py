@@ -20,20 +20,23 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillstar.llm import windows
-from tillstar.llm.scratch import written
+from tillstar.llm.scratch import small_batches, written
 
 MOST_BITS = 1 << 30
 SLICE = 1 << 19  # bits
 #: Rows a task remembers to send a region's text once.
-REMEMBERED = 500_000
+REMEMBERED = 100_000
 
 
 def source(docs: DataFrame) -> DataFrame:
     """Only id and text, null text as empty; ``row`` tells rows with the same id but different texts apart."""
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return docs.withColumn("row", F.xxhash64("doc_id", "text"))
 
@@ -93,12 +96,15 @@ def marked(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def regions(docs: DataFrame, table, window: int, gram: int, key_gram: int, by_word: bool) -> DataFrame:
-    """Places of regions: ``key``, ``region`` (a 128-bit hash), ``doc_id``, ``row``, ``start``; ``body`` once a task."""
+    """Places of regions: ``key``, ``region`` (a 128-bit hash), ``size``, ``doc_id``, ``row``, ``start``, ``task``.
+
+    ``body`` is there once a task.
+    """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, seen = table.value, set()
+        bits, seen, task = table.value, set(), TaskContext.get().partitionId()
         for batch in batches:
             data, offsets = windows.flat(batch.column(2))
-            keys, names, docs_, starts, bodies = [], [], [], [], []
+            keys, names, docs_, starts, sizes, bodies = [], [], [], [], [], []
             for a, z in windows.chunks(offsets):
                 raw = data[offsets[a]: offsets[z]]
                 part, ends, first_byte, last_byte = symbols_of(raw, offsets[a: z + 1] - offsets[a], by_word)
@@ -118,6 +124,7 @@ def regions(docs: DataFrame, table, window: int, gram: int, key_gram: int, by_wo
                 keys.append(hashes[least[np.concatenate(([0], breaks))]])
                 docs_.append(doc + a)
                 starts.append(first - ends[doc])
+                sizes.append(last - first)
                 body = raw.tobytes()
                 if by_word:
                     for x, y in zip(first_byte[first].tolist(), last_byte[last - 1].tolist()):
@@ -141,28 +148,44 @@ def regions(docs: DataFrame, table, window: int, gram: int, key_gram: int, by_wo
             owner = pa.array(np.concatenate(docs_))
             yield pa.record_batch([
                 pa.array(np.concatenate(keys).view(np.int64)), pa.array(names, pa.binary()), batch.column(0).take(owner),
-                batch.column(1).take(owner), pa.array(np.concatenate(starts), pa.int32()), pa.array(bodies, pa.binary()),
-            ], ["key", "region", "doc_id", "row", "start", "body"])
+                batch.column(1).take(owner), pa.array(np.concatenate(starts), pa.int32()),
+                pa.array(np.concatenate(sizes), pa.int32()), pa.array([task] * len(names), pa.int32()),
+                pa.array(bodies, pa.binary()),
+            ], ["key", "region", "doc_id", "row", "start", "size", "task", "body"])
 
     return docs.select("doc_id", "row", "text").mapInArrow(
-        cut, "key long, region binary, doc_id long, row long, start int, body binary")
+        cut, "key long, region binary, doc_id long, row long, start int, size int, task int, body binary")
 
 
-def spans(docs: DataFrame, index: Callable, fields: str, window: int, gram: int, key_gram: int, by_word: bool,
-          wanted) -> DataFrame:
+def spans(docs: DataFrame, index: Callable, alone: Column, fields: str, window: int, gram: int, key_gram: int,
+          by_word: bool, wanted) -> DataFrame:
     """For each document row with repeated windows: ``doc_id``, ``row`` and its ``spans`` as [start, end) of symbols.
 
-    ``index(regions)`` gets (bodies, counts, smallest ids) of whole keys and yields for each region a list of
-    (start, end, ...) with ``fields``; ``wanted`` is the condition under which a place takes such a span.
+    ``index(rows)`` gets (region, key, count, smallest id, body) of whole keys and gives for each region a list of
+    (start, end, ...) with ``fields``. A key with one region needs no index: ``alone`` is its list, from ``n``,
+    ``least`` and ``size``. ``wanted`` is the condition under which a place takes such a span.
     """
     spark = docs.sparkSession
     grams = written(repeated_grams(docs, window, gram, by_word), "grams")
     table = spark.sparkContext.broadcast(bit_table(grams))
     places = written(regions(docs, table, window, gram, key_gram, by_word), "regions")
-    distinct = places.groupBy("region").agg(
-        F.first("key").alias("key"), F.count("*").alias("n"), F.min("doc_id").alias("least"),
-        F.first("body", ignorenulls=True).alias("body"))
-    kind = f"region binary, found array<struct<{fields}>>"
+    distinct = written(places.groupBy("region").agg(
+        F.max("key").alias("key"), F.count("*").alias("n"), F.min("doc_id").alias("least"), F.max("size").alias("size"),
+        F.min("task").alias("task")), "distinct")
+    several = distinct.groupBy("key").agg(F.count("*").alias("of_key"))
+    distinct = written(distinct.join(several, "key"), "distinct")
+    several = distinct.where("of_key > 1")
+    # one task's copy of each body that is compared, found by a bit table before anything is shuffled
+    chosen = spark.sparkContext.broadcast(bit_table(several.select(F.xxhash64("region", "task").alias("h"))))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = marked(chosen.value, batch.column(2).to_numpy().view(np.uint64))
+            yield batch.select([0, 1]).filter(pa.array(hit))
+
+    bodies = (places.where("body is not null").select("region", "body", F.xxhash64("region", "task").alias("h"))
+              .mapInArrow(pick, "region binary, body binary"))
+    rows = several.join(bodies.dropDuplicates(["region"]), "region").select("region", "key", "n", "least", "body")
 
     def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_keys(batches):
@@ -170,7 +193,10 @@ def spans(docs: DataFrame, index: Callable, fields: str, window: int, gram: int,
             yield pa.record_batch([pa.array([r[0] for r in rows], pa.binary()),
                                    pa.array(found, ARROW_FIELDS[fields])], ["region", "found"])
 
-    found = distinct.repartition("key").sortWithinPartitions("key").mapInArrow(indexed, kind).where("size(found) > 0")
+    kind = f"array<struct<{fields}>>"
+    found = rows.repartition("key").sortWithinPartitions("key").mapInArrow(indexed, f"region binary, found {kind}")
+    single = distinct.where("of_key = 1").select("region", alone.cast(kind).alias("found"))
+    found = found.unionByName(single).where("size(found) > 0")
     return (places.select("region", "doc_id", "row", "start").join(found, "region")
             .select("doc_id", "row", "start", F.explode("found").alias("f")).where(wanted)
             .select("doc_id", "row", F.struct((F.col("start") + F.col("f.s")).alias("s"),
@@ -236,22 +262,33 @@ def refined(members: list[tuple[int, int, np.ndarray]], window: int, gram: int,
         yield from refined(group, window, gram * 2, most)
 
 
-def with_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``doc_id``, ``text`` and ``spans`` (null: none) of every row; only rows that may have spans are shuffled.
+def with_spans(docs: DataFrame, found: DataFrame, columns: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
+    """``columns`` and ``spans`` (null: none) of every row; only rows that may have spans are shuffled.
 
-    Rows are told apart by a bit table over the hashes of the rows with spans, of bounded size as above.
+    ``docs`` has ``doc_id``, ``row`` and ``columns``. Rows are told apart by a bit table over the hashes of the rows with
+    spans, of bounded size as above.
     """
     spark = docs.sparkSession
     table = spark.sparkContext.broadcast(bit_table(found.select(F.col("row").alias("h")).distinct()))
 
     def flagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = batch.column(1).to_numpy().view(np.uint64)
+            hashes = batch.column(0).to_numpy().view(np.uint64)
             hit = marked(table.value, hashes) if len(hashes) else np.zeros(0, bool)
             yield pa.record_batch([*batch.columns, pa.array(hit)], [*batch.schema.names, "may"])
 
-    rows = docs.select("doc_id", "row", "text").mapInArrow(flagged, "doc_id long, row long, text string, may boolean")
-    plain = rows.where("not may").select("doc_id", "text", F.lit(None).cast(found.schema["spans"].dataType).alias("spans"))
+    rows = docs.select("row", *dict.fromkeys(("doc_id", *columns)))
+    rows = rows.mapInArrow(flagged, T.StructType([*rows.schema.fields, T.StructField("may", T.BooleanType())]))
+    none = F.lit(None).cast(found.schema["spans"].dataType).alias("spans")
     left, right = rows.where("may").alias("l"), found.alias("r")
     joined = left.join(right, (F.col("l.row") == F.col("r.row")) & F.col("l.doc_id").eqNullSafe(F.col("r.doc_id")), "left")
-    return plain.unionByName(joined.select("l.doc_id", "l.text", "r.spans"))
+    return rows.where("not may").select(*columns, none).unionByName(
+        joined.select(*(F.col(f"l.{c}") for c in columns), "r.spans"))
+
+
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text`` and ``row`` as in ``source``, and ``doc``, a struct of all columns whatever their names."""
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
+    parts = whole.select("doc", F.col("doc.doc_id").cast("long").alias("doc_id"),
+                         F.coalesce("doc.text", F.lit("")).alias("text"))
+    return parts.withColumn("row", F.xxhash64("doc_id", "text"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tillstar.session import materialised
 
@@ -10,3 +10,8 @@ from tillstar.session import materialised
 def written(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared folder and read back: lineage ends there, and a lost executor costs a re-read."""
     return materialised(df, f"llm-{name}")
+
+
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Hand texts to Python in small Arrow batches: long documents make Spark's usual 10,000 rows a lot of memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

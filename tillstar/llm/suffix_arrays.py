@@ -23,7 +23,7 @@ from tillstar.llm import passages, windows
 
 WINDOW, GRAM, KEY_GRAM = 200, 120, 16
 #: Symbols of one key's regions sorted together.
-SHARD = 1 << 22
+SHARD = 1 << 20
 
 
 def suffix_array(text: np.ndarray, letters: int) -> np.ndarray:
@@ -235,7 +235,9 @@ def _mark(batch, rows, out, window) -> None:
 def repeated_bytes(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``doc_id``, ``row``, ``spans``: the byte ranges covered by a window that stands elsewhere too."""
     gram = max(1, window * 3 // 5)
-    return passages.spans(docs, _index(window), "s: int, e: int", window, gram, min(KEY_GRAM, gram), False, F.lit(True))
+    alone = F.when(F.col("n") > 1, F.array(F.struct(F.lit(0), "size"))).otherwise(F.array())
+    return passages.spans(docs, _index(window), alone, "s: int, e: int", window, gram,
+                          min(KEY_GRAM, gram), False, F.lit(True))
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
