@@ -1,0 +1,53 @@
+"""The quality classifier: held-out accuracy, the exchange of pseudo-labels, and the defined edge cases."""
+
+import numpy as np
+import pytest
+
+from tillstar.llm import quality
+
+DATA = "/root/testdata/sf0.1"
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def test_held_out(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+    train, test = labels.where("doc_id % 4 <> 0"), labels.where("doc_id % 4 = 0")
+    rows = quality.scored(docs, train).join(test, "doc_id").toPandas()
+    bad, good = rows[rows.quality == 0], rows[rows.quality == 1]
+    assert len(rows) > 500 and (~bad.kept).mean() > 0.9 and good.kept.mean() > 0.97
+    found = quality.kept(docs, train)
+    assert found.columns == docs.columns and 0.7 < found.count() / docs.count() < 1
+
+
+def test_views_teach_each_other():
+    rng = np.random.default_rng(1)
+    y = (rng.random(400) < 0.5).astype(np.float32)
+    make = lambda y: tuple(np.column_stack([np.ones(len(y)), 6 * y - 3 + rng.normal(size=len(y))]).astype(np.float32)
+                           for _ in range(2))
+    pool_y = (rng.random(300) < 0.5).astype(np.float32)
+    model = quality.co_train(make(y), y, make(pool_y))
+    assert all(sum(given[v] for given in model["log"]) > 100 for v in range(2))
+    new = make(pool_y)
+    p = quality.probability(np.column_stack([new[v] @ model["weights"][v] for v in range(2)]), model["both"])
+    assert ((p > 0.5) == (pool_y > 0.5)).mean() > 0.98
+
+
+@pytest.mark.parametrize("labels, share", [([], 1.0), ([(1, 0, 0), (1, None, 0), (2, 0, 1)], 0.0), ([(None, 0, 0)], 1.0)])
+def test_too_few_labels(spark, labels, share):
+    docs = spark.createDataFrame([(1, "a b", "en", "s", 3, 0.5), (None, None, None, None, None, None), (1, "", "en", "s", 0, 0.1)],
+                                 "doc_id long, text string, lang string, source string, n_chars long, score double")
+    labels = spark.createDataFrame(labels, LABELS)
+    assert [r.score for r in quality.scored(docs, labels).collect()] == [share] * 3
+    assert quality.kept(docs, labels).count() == (3 if share else 0)
+
+
+def test_nulls_repeats_and_empty(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, x string, score double"
+    rows = [(i, "word other thing " * (i % 5) if i % 2 else "| # | # " * 9, "en", "s", 9, "k", 0.0) for i in range(80)]
+    docs = spark.createDataFrame([*rows, rows[3], (None, None, None, None, None, None, None)], schema)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)] + [(3, None, None), (None, 1, 0)], LABELS)
+    found = quality.scored(docs, labels).collect()
+    assert len(found) == 82 and len({r.score for r in found if r.doc_id == 3}) == 1
+    assert quality.kept(docs, labels).columns == docs.columns
+    assert quality.scored(docs.where("false"), labels).collect() == []
