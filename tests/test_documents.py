@@ -248,8 +248,10 @@ def plain_set(value, path, new, create):
         return new
     step, rest = path[0], path[1:]
     if isinstance(step, int):
-        if not isinstance(value, list):
-            return value
+        if not isinstance(value, list):  # its own cell 0
+            if step == 0:
+                return plain_set(value, rest, new, create)
+            return [value, new] if create and not rest else value
         if step < len(value):
             return [plain_set(x, rest, new, create) if i == step else x for i, x in enumerate(value)]
         return value + [new] if create and not rest else value

@@ -46,17 +46,22 @@ def _week_full(c: Column) -> Column:
 
 
 def period_add(period: Column | str, months: int) -> Column:
-    """Add months to a period such as 202401."""
-    first = F.to_date(_col(period).cast("string"), "yyyyMM")
-    return F.date_format(F.add_months(first, months), "yyyyMM").cast("int")
+    """Add months to a period such as 202401 or, with a two-digit year, 2401; the result has four digits of year."""
+    n = _months(period) + months
+    return (F.floor(n / 12) * 100 + n % 12 + 1).cast("int")
 
 
 def period_diff(a: Column | str, b: Column | str) -> Column:
     """Number of months between two periods."""
-    x, y = (_col(p).cast("int") for p in (a, b))
-    return (
-        F.floor(x / 100) * 12 + x % 100 - (F.floor(y / 100) * 12 + y % 100)
-    ).cast("int")
+    return (_months(a) - _months(b)).cast("int")
+
+
+def _months(period: Column | str) -> Column:
+    """Months since year 0. Of two-digit years those below 70 are in this century, the others in the last."""
+    p = _col(period).cast("int")
+    year, month = F.floor(p / 100), p % 100
+    full = F.when(year < 70, year + 2000).when(year < 100, year + 1900).otherwise(year)
+    return full * 12 + month - 1
 
 
 _DAYS_TO_YEAR_1 = 366  # day number of 0001-01-01 when counting from year 0
@@ -77,13 +82,24 @@ def sec_to_time(s: Column | str) -> Column:
     body = F.format_string(
         "%02d:%02d:%02d", F.floor(a / 3600).cast("bigint"), F.floor(a % 3600 / 60).cast("bigint"), a % 60
     )
-    return F.when(c < 0, F.concat(F.lit("-"), body)).otherwise(body)
+    return F.when(c < 0, F.concat(F.lit("-"), body)).when(c.isNotNull(), body)
 
 
 def time_to_sec(t: Column | str) -> Column:
-    """Seconds since midnight of a timestamp or a ``HH:mm:ss`` text."""
-    c = _col(t).cast("timestamp_ntz")
-    return (F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)).cast("int")
+    """Seconds since midnight of a timestamp or a ``HH:mm:ss`` text; NULL for other text."""
+    c = _col(t).try_cast("timestamp_ntz")
+    return F.coalesce(clock_seconds(_col(t)), F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)).cast("int")
+
+
+_CLOCK = r"^\s*(-?)([0-9]{1,3}):([0-5]?[0-9])(?::([0-5]?[0-9])(?:\.[0-9]*)?)?\s*$"
+
+
+def clock_seconds(t: Column) -> Column:
+    """Seconds of a ``HH:mm:ss`` or ``HH:mm`` text, whose hours may exceed 23; NULL for anything else."""
+    text = t.cast("string")
+    part = lambda i: F.coalesce(F.regexp_extract(text, _CLOCK, i).try_cast("bigint"), F.lit(0))
+    seconds = part(2) * 3600 + part(3) * 60 + part(4)
+    return F.when(text.rlike(_CLOCK), F.when(F.regexp_extract(text, _CLOCK, 1) == "-", -seconds).otherwise(seconds))
 
 
 def current_time() -> Column:

@@ -15,7 +15,8 @@ ARRAY = "array<variant>"
 
 
 def parsed(doc: Column | str) -> Column:
-    return F.parse_json(F.col(doc) if isinstance(doc, str) else doc)
+    """The document as VARIANT; NULL when the text is no JSON (``documents.split_malformed`` finds such rows)."""
+    return F.try_parse_json(F.col(doc) if isinstance(doc, str) else doc)
 
 
 def literal(value: Any) -> Column:
@@ -66,7 +67,12 @@ def steps(path: str) -> list[str | int]:
 
 def get(doc: Column | str, path: str, kind: str = "string") -> Column:
     """The value at a path, NULL when it is absent or of another kind."""
-    return F.try_variant_get(parsed(doc), path if path.startswith("$") else f"$.{path}", kind)
+    return F.try_variant_get(parsed(doc), variant_path(path), kind)
+
+
+def variant_path(path: str) -> str:
+    """A path without wildcards in Spark's own notation, which quotes every member."""
+    return "$" + "".join(f"[{s}]" if isinstance(s, int) else "[" + json.dumps(s, ensure_ascii=False) + "]" for s in steps(path))
 
 
 def _children(v: Column) -> Column:
@@ -80,11 +86,27 @@ def _member(step: str | int) -> Callable[[Column], Column]:
     return lambda x: F.try_element_at(as_object(x), F.lit(step))
 
 
-def find_all(v: Column, path: str, depth: int = 4) -> Column:
+def _levels(v: Column) -> Column:
+    """Numbers from 1 to at least the nesting depth of a value: no document is deeper than it has opening brackets."""
+    return F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(F.regexp_replace(F.to_json(v), r"[^\[{]", ""))))
+
+
+def _descend(start: Column, levels: Column, children: Callable[[Column], Column]) -> Column:
+    """``start`` and, level by level down to the last one, what ``children`` gives for the level above."""
+    empty = F.array().cast(ARRAY)
+    none = F.struct(empty.alias("found"), F.coalesce(start, empty).cast(ARRAY).alias("level"))
+
+    def step(acc: Column, _: Column) -> Column:
+        below = F.flatten(F.transform(acc["level"], lambda x: F.coalesce(children(x), F.array().cast(ARRAY))))
+        return F.struct(F.concat(acc["found"], acc["level"]).cast(ARRAY).alias("found"), below.cast(ARRAY).alias("level"))
+
+    return F.aggregate(levels, none, step, lambda acc: F.concat(acc["found"], acc["level"]))
+
+
+def find_all(v: Column, path: str) -> Column:
     """All values a path with wildcards reaches, as ``array<variant>``.
 
-    ``[*]`` steps into every array cell, ``.*`` into every member, ``**`` into every descendant, down to ``depth``
-    levels (a plan cannot recurse without bound).
+    ``[*]`` steps into every array cell, ``.*`` into every member, ``**`` into every descendant however deep.
     """
     empty = F.array().cast(ARRAY)
     found = F.array(v)
@@ -94,39 +116,62 @@ def find_all(v: Column, path: str, depth: int = 4) -> Column:
         elif step == ".*":
             found = F.flatten(F.transform(found, lambda x: F.coalesce(F.map_values(as_object(x)), empty)))
         elif step == "**":
-            level = found
-            for _ in range(depth):
-                level = F.flatten(F.transform(level, lambda x: _children(x)))
-                found = F.concat(found, level)
+            found = _descend(found, _levels(v), _children)
         else:
             found = F.transform(found, _member(step))
         found = F.filter(found, lambda x: x.isNotNull())
     return found
 
 
+_NUMBER = r"^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
+
+
+def is_number(v: Column) -> Column:
+    return F.schema_of_variant(v).rlike(_NUMBER)
+
+
+def plain_text(v: Column) -> Column:
+    """JSON text of a value in which equal numbers read alike: 100, 100.0 and 1e2 are ``100``."""
+    exact = v.try_cast("decimal(38,10)").cast("string")
+    short = F.regexp_replace(F.regexp_replace(exact, r"0+$", ""), r"\.$", "")
+    # a number beyond the decimal's digits keeps its text, so it equals only the same text
+    fits = v.try_cast("decimal(38,10)").cast("double") == v.try_cast("double")
+    return F.when(is_number(v) & F.coalesce(fits, F.lit(False)), short).otherwise(F.to_json(v))
+
+
 def cells(v: Column) -> Column:
-    """The cells of an array, or the scalar itself, as JSON text that compares by value."""
-    return F.coalesce(F.transform(as_array(v), lambda x: F.to_json(x)), F.array(F.to_json(v)))
+    """The cells of an array, or the scalar itself, as text that compares by value."""
+    return F.coalesce(F.transform(as_array(v), plain_text), F.array(plain_text(v)))
+
+
+def _elements(v: Column) -> Column:
+    """The value itself and all elements of it and of the arrays it nests, however deep."""
+    return _descend(F.array(v), _levels(v), as_array)
 
 
 def contains(v: Column, candidate: Any) -> Column:
     """The document contains the candidate.
 
-    A scalar is contained in an equal scalar or in an array that has it; an array when each of its cells is; an
-    object when each of its members is contained in the member of the same name.
+    A scalar is contained in an equal scalar, numbers by value; an object in an object whose members of the same names
+    contain its members; both also in an array that has such an element, itself maybe an array. An array is contained
+    in an array when each of its cells is contained in an element.
     """
     if isinstance(candidate, dict):
-        members = as_object(v)
-        ok = members.isNotNull()
-        for key, sub in candidate.items():
-            ok = ok & F.coalesce(contains(F.try_element_at(members, F.lit(key)), sub), F.lit(False))
-        return ok
+        def whole(x: Column) -> Column:
+            members = as_object(x)
+            ok = members.isNotNull()
+            for key, sub in candidate.items():
+                ok = ok & F.coalesce(contains(F.try_element_at(members, F.lit(key)), sub), F.lit(False))
+            return ok
+
+        return F.coalesce(F.exists(_elements(v), whole), F.lit(False))
     if isinstance(candidate, list):
         ok = as_array(v).isNotNull()
         for sub in candidate:
             ok = ok & F.coalesce(F.exists(as_array(v), _containing(sub)), F.lit(False))
         return ok
-    return F.coalesce(F.array_contains(cells(v), F.to_json(literal(candidate))), F.lit(False))
+    wanted = plain_text(literal(candidate))
+    return F.coalesce(F.exists(_elements(v), lambda x: plain_text(x) == wanted), F.lit(False))
 
 
 def _containing(candidate: Any) -> Callable[[Column], Column]:
@@ -134,10 +179,10 @@ def _containing(candidate: Any) -> Callable[[Column], Column]:
 
 
 def overlaps(a: Column, b: Column) -> Column:
-    """Two arrays share a cell, two objects share a member, a scalar is a cell of the other side."""
+    """Two arrays share a cell, two objects share a member, a scalar is a cell of the other side; numbers by value."""
 
     def members(v: Column) -> Column:
-        return F.transform(F.map_entries(as_object(v)), lambda e: F.concat(e["key"], F.lit(":"), F.to_json(e["value"])))
+        return F.transform(F.map_entries(as_object(v)), lambda e: F.concat(e["key"], F.lit(":"), plain_text(e["value"])))
 
     both = as_object(a).isNotNull() & as_object(b).isNotNull()
     return F.when(both, F.arrays_overlap(members(a), members(b))).otherwise(F.arrays_overlap(cells(a), cells(b)))

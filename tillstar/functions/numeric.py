@@ -7,6 +7,7 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tillstar.functions.dates import clock_seconds, sec_to_time
 from tillstar.operators.dates import time_text
 
 UNSIGNED = "decimal(20,0)"
@@ -38,17 +39,17 @@ def modulo(a: Column, b: Column) -> Column:
 
 def int_divide(a: Column | str, b: Column | str) -> Column:
     """Integer division, truncated towards zero; a zero divisor gives NULL."""
-    num, den = _col(a), _col(b)
+    num, den = (_col(c).cast("decimal(38,10)") for c in (a, b))
     return F.when(den != 0, F.call_function("div", num, den))
 
 
 def truncate(x: Column | str, digits: int = 0) -> Column:
-    """Cut (not round) ``x`` after ``digits`` decimals; exact for decimals."""
+    """Cut (not round) ``x`` after ``digits`` decimals; exact for decimals, which stay decimal."""
     c = _col(x)
     scale = F.lit(10 ** abs(digits))
-    if digits >= 0:
-        return F.signum(c) * F.floor(F.abs(c) * scale) / scale
-    return F.signum(c) * F.floor(F.abs(c) / scale) * scale
+    scaled = c * scale if digits >= 0 else c / scale
+    whole = F.when(c < 0, F.ceil(scaled)).otherwise(F.floor(scaled))
+    return whole / scale if digits >= 0 else whole * scale
 
 
 def log(x: Column | str) -> Column:
@@ -82,45 +83,59 @@ def unsigned(x: Column | str) -> Column:
     return F.when(c < 0, (wide + F.lit(TWO_64).cast(UNSIGNED)).cast(UNSIGNED)).otherwise(wide)
 
 
+def _bits(x: Column | str) -> Column:
+    """The 64-bit pattern of a whole number; an unsigned one from 2^63 on is the pattern of a negative one."""
+    wide = _col(x).cast(UNSIGNED)
+    two_63, two_64 = (F.lit(n).cast(UNSIGNED) for n in (TWO_64 / 2, TWO_64))
+    return F.when(wide >= two_63, (wide - two_64).cast("bigint")).otherwise(wide.cast("bigint"))
+
+
 def bit_and(a: Column | str, b: Column | str) -> Column:
-    return unsigned(_col(a).cast("bigint").bitwiseAND(_col(b).cast("bigint")))
+    return unsigned(_bits(a).bitwiseAND(_bits(b)))
 
 
 def bit_or(a: Column | str, b: Column | str) -> Column:
-    return unsigned(_col(a).cast("bigint").bitwiseOR(_col(b).cast("bigint")))
+    return unsigned(_bits(a).bitwiseOR(_bits(b)))
 
 
 def bit_xor(a: Column | str, b: Column | str) -> Column:
-    return unsigned(_col(a).cast("bigint").bitwiseXOR(_col(b).cast("bigint")))
+    return unsigned(_bits(a).bitwiseXOR(_bits(b)))
 
 
 def bit_not(a: Column | str) -> Column:
-    return unsigned(F.bitwise_not(_col(a).cast("bigint")))
+    return unsigned(F.bitwise_not(_bits(a)))
 
 
 def shift_left(a: Column | str, n: int) -> Column:
     """Left shift; a shift by 64 bits or more gives 0."""
-    return unsigned(F.shiftleft(_col(a).cast("bigint"), n)) if 0 <= n < 64 else unsigned(_col(a).cast("bigint") * 0)
+    return unsigned(F.shiftleft(_bits(a), n)) if 0 <= n < 64 else unsigned(_bits(a).bitwiseAND(F.lit(0)))
 
 
 def shift_right(a: Column | str, n: int) -> Column:
     """Unsigned right shift; a shift by 64 bits or more gives 0."""
-    if 0 <= n < 64:
-        return unsigned(F.shiftrightunsigned(_col(a).cast("bigint"), n))
-    return unsigned(_col(a).cast("bigint") * 0)
+    return unsigned(F.shiftrightunsigned(_bits(a), n)) if 0 <= n < 64 else unsigned(_bits(a).bitwiseAND(F.lit(0)))
 
 
 # -- casts: text that does not parse gives NULL ---------------------------------------------------------------------
 
 
+def _whole(x: Column | str) -> Column:
+    """The nearest whole number of a number (halves away from zero), the leading whole number of a text."""
+    c = _col(x)
+    leading = F.nullif(F.regexp_extract(c.cast("string"), r"^\s*([+-]?[0-9]+)", 1), F.lit(""))
+    number = F.round(c.cast("string").try_cast("decimal(38,10)"), 0)
+    return F.when(F.typeof(c) == "string", leading.try_cast("decimal(38,0)")).otherwise(number.cast("decimal(38,0)"))
+
+
 def cast_signed(x: Column | str) -> Column:
-    return _col(x).try_cast("bigint")
+    """Signed integer: 1.7 gives 2, ``'12abc'`` 12, text without leading digits NULL."""
+    return _whole(x).try_cast("bigint")
 
 
 def cast_unsigned(x: Column | str) -> Column:
-    """Unsigned integer; a negative number wraps around at 2^64."""
-    wide = _col(x).try_cast(UNSIGNED)
-    return F.when(wide < 0, unsigned(_col(x).try_cast("bigint"))).otherwise(wide)
+    """Unsigned integer, read as ``cast_signed`` does; a negative number wraps around at 2^64."""
+    wide = _whole(x).try_cast(UNSIGNED)
+    return F.when(wide < 0, unsigned(wide.try_cast("bigint"))).otherwise(wide)
 
 
 def cast_decimal(x: Column | str, precision: int, scale: int) -> Column:
@@ -145,8 +160,8 @@ def cast_datetime(x: Column | str) -> Column:
 
 
 def cast_time(x: Column | str) -> Column:
-    """Time of day as ``HH:mm:ss`` text."""
-    return time_text(_col(x).try_cast("timestamp_ntz"))
+    """Time as ``HH:mm:ss`` text, from a timestamp or from such text, whose hours may exceed 23."""
+    return F.coalesce(sec_to_time(clock_seconds(_col(x))), time_text(_col(x).try_cast("timestamp_ntz")))
 
 
 def cast_json(x: Column | str) -> Column:

@@ -17,8 +17,12 @@ def byte_length(s: Column | str) -> Column:
 
 
 def mid(s: Column | str, pos: int, length: int) -> Column:
-    """Substring; a negative position counts from the end, position 0 gives the empty text."""
-    return F.substring(_col(s), pos, length) if pos and length > 0 else F.left(_col(s), F.lit(0))
+    """Substring; a negative position counts from the end. Position 0, or one before the start, gives the empty text."""
+    c = _col(s)
+    if not pos or length <= 0:
+        return F.left(c, F.lit(0))
+    found = F.substring(c, pos, length)
+    return found if pos > 0 else F.when(F.char_length(c) < -pos, F.left(c, F.lit(0))).otherwise(found)
 
 
 def insert(s: Column | str, pos: int, length: int, new: Column) -> Column:

@@ -28,10 +28,14 @@ def integer(c: Column | str, kind: str = "int") -> Column:
 
 
 def money(c: Column | str, kind=PRICE) -> Column:
-    """Currency text such as ``1299.99$`` to a decimal; NULL when it is negative or not a number."""
-    t = _col(c)
-    digits = F.regexp_replace(t, r"[^0-9.]", "")
-    return F.when(~t.contains("-"), digits.try_cast(kind))
+    """Currency text such as ``1299.99$`` or ``$ 1,299.99`` to a decimal; NULL when it is anything else.
+
+    Digits may be grouped by commas, have one dot, and a currency sign before or after. A minus of any kind, brackets
+    and words are not stripped: such a text is no price.
+    """
+    t = F.trim(_col(c))
+    shape = r"^\p{Sc}?\s*([0-9]+|[0-9]{1,3}(,[0-9]{3})+)?(\.[0-9]*)?\s*\p{Sc}?$"
+    return F.when(t.rlike(shape), F.regexp_replace(t, r"[^0-9.]", "").try_cast(kind))
 
 
 def timestamp(c: Column | str, zero_date: str = "null") -> Column:

@@ -12,7 +12,8 @@ def keep_last(df: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> Da
     """The row with the greatest ``sequence`` per key.
 
     The remaining columns follow the named ones as tie-breakers, so the result never depends on how rows are
-    distributed. An aggregate, not a window: it combines on the map side and needs no sort.
+    distributed. An aggregate, not a window: it combines on the map side, so a hot key is a few rows a task before the
+    shuffle. Spark aggregates structs by sorting, within each task before the shuffle and after it.
     """
     rest = [c for c in df.columns if c not in keys]
     order = [*sequence, *[c for c in rest if c not in sequence]]

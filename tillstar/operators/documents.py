@@ -96,6 +96,13 @@ def remove_one(docs: DataFrame, doc_id: str) -> DataFrame:
     return docs.filter(F.col(ID) != doc_id)
 
 
+def split_malformed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(documents that are JSON, the others with ``reject_reason``): malformed text or a member named twice."""
+    bad = F.try_parse_json(DOC).isNull()
+    why = F.when(F.col(DOC).isNull(), "no document").otherwise("malformed document")
+    return docs.filter(~bad), docs.filter(bad).withColumn("reject_reason", why)
+
+
 # -- reading ------------------------------------------------------------------------------------------------------------
 
 
@@ -114,7 +121,7 @@ def fields(docs: DataFrame, **named: Column | str) -> DataFrame:
 
     def member(v):
         path, kind = (v, "string") if isinstance(v, str) else v
-        return F.try_variant_get("_parsed", path if path.startswith("$") else f"$.{path}", kind)
+        return F.try_variant_get("_parsed", J.variant_path(path), kind)
 
     return docs.withColumn("_parsed", J.parsed(DOC)).select(
         *[(v if isinstance(v, Column) else member(v)).alias(n) for n, v in named.items()]
@@ -160,7 +167,10 @@ def _replace_cell(cells: Column, index: int, edit: Edit) -> Column:
 
 
 def _at(v: Column, path: list[str | int], edit: Edit) -> Column:
-    """Apply ``edit`` to the value at ``path``; a path that leads nowhere leaves the document as it is."""
+    """Apply ``edit`` to the value at ``path``; a path that leads nowhere leaves the document as it is.
+
+    What is no array is its own cell 0.
+    """
     if not path:
         return edit(v)
     step, rest = path[0], path[1:]
@@ -170,7 +180,8 @@ def _at(v: Column, path: list[str | int], edit: Edit) -> Column:
 
     def rebuild(here: Column) -> Column:
         if isinstance(step, int):
-            return F.when(F.size(here) > step, _replace_cell(here, step, inner)).otherwise(v)
+            edited = F.when(F.size(here) > step, _replace_cell(here, step, inner))
+            return (edited.when(here.isNull(), inner(v)) if step == 0 else edited).otherwise(v)
         return F.when(_has(here, step), _put(here, step, inner(F.try_element_at(here, F.lit(step))))).otherwise(v)
 
     return J.let(J.as_array(v) if isinstance(step, int) else J.as_object(v), rebuild)
@@ -204,10 +215,12 @@ def set_(path: str, new: Any) -> Edit:
         return lambda v: value
 
     def in_array(x: Column, here: Column, index: int) -> Column:
+        # what is no array counts as one of a single cell
+        single = value if index == 0 else _object(F.array(x, value))
         return (
             F.when(F.size(here) > index, _replace_cell(here, index, lambda _: value))
             .when(here.isNotNull(), _object(F.array_append(here, value)))
-            .otherwise(x)
+            .when(x.isNotNull(), single)
         )
 
     return _container_edit(
@@ -321,9 +334,9 @@ def validate(docs: DataFrame, required: Sequence[str] = (), types: Mapping[str,
     if level not in ("STRICT", "OFF"):
         raise ValueError(f"level must be STRICT or OFF, not {level!r}")
     v = J.parsed(DOC)
-    rules = {f"required({p})": F.try_variant_get(v, f"$.{p}", "variant").isNull() for p in required}
+    rules = {f"required({p})": F.try_variant_get(v, J.variant_path(p), "variant").isNull() for p in required}
     for path, kind in (types or {}).items():
-        found = F.schema_of_variant(F.try_variant_get(v, f"$.{path}", "variant"))
+        found = F.schema_of_variant(F.try_variant_get(v, J.variant_path(path), "variant"))
         rules[f"type({path}:{kind})"] = F.coalesce(~found.rlike(_TYPES[kind]), F.lit(False))
     if level == "OFF" or not rules:
         return docs.select(F.lit("").alias("rule"), ID, DOC).filter(F.lit(False))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tillstar.operators import quality
 from tillstar.operators.dedupe import keep_one
-from tillstar.operators.enrich import enrich
+from tillstar.operators.cleaning import REASON
+from tillstar.operators.enrich import lookup
 from tillstar.operators.normalise import conform, dimensions_of, sales_rows
 from tillstar.plans.star import LoadedStar
 from tillstar.schema import star_schema
@@ -19,6 +21,8 @@ from tillstar.session import materialised
 
 DIMENSIONS = ("product", "customer", "store", "supplier", "date")
 _COMMITS = "commits"
+_LOG = "run int, folder string"
+_USABLE = "usable"
 
 
 def insert_ignore(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -45,29 +49,31 @@ def read_staging(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _runs(spark: SparkSession, root: str) -> list[int]:
-    """Committed run numbers, newest first (the log holds one row per load)."""
+def _newest(spark: SparkSession, root: str) -> tuple[int, str] | None:
+    """Number and folder of the newest committed run (the log holds one row per load)."""
     try:
-        log = spark.read.schema("run int").parquet(f"{root}/{_COMMITS}")
-        return [r["run"] for r in log.orderBy(F.desc("run")).limit(1).collect()]
+        log = spark.read.schema(_LOG).parquet(f"{root}/{_COMMITS}")
+        found = log.orderBy(F.desc("run"), F.desc("folder")).limit(1).collect()
+        return (found[0]["run"], found[0]["folder"]) if found else None
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
-            return []
+            return None
         raise
 
 
-def _next_run(spark: SparkSession, root: str) -> int:
-    return max(_runs(spark, root), default=0) + 1
+def _new_folder() -> str:
+    """A folder name no other load has, so that loads at the same time do not touch each other's files."""
+    return f"run-{uuid.uuid4().hex}"
 
 
-def _write_all(star: Mapping[str, DataFrame], root: str, run: int) -> None:
+def _write_all(star: Mapping[str, DataFrame], root: str, folder: str) -> None:
     """Write independent tables at the same time: small ones leave executors idle when written one by one."""
     with ThreadPoolExecutor(len(star)) as pool:
-        list(pool.map(lambda table: _write(table[1], root, run, table[0]), star.items()))
+        list(pool.map(lambda table: _write(table[1], root, folder, table[0]), star.items()))
 
 
-def _write(df: DataFrame, root: str, run: int, name: str) -> None:
-    path = f"{root}/run={run}/{name}"
+def _write(df: DataFrame, root: str, folder: str, name: str) -> None:
+    path = f"{root}/{folder}/{name}"
     if name == "sales":
         # Rebalance by year: Spark sizes the output files and splits a year that is larger than the others.
         df.hint("rebalance", "year_t").write.mode("overwrite").partitionBy("year_t").parquet(path)
@@ -75,59 +81,83 @@ def _write(df: DataFrame, root: str, run: int, name: str) -> None:
         df.write.mode("overwrite").parquet(path)
 
 
-def _commit(spark: SparkSession, root: str, run: int, sales_key: Sequence[str], check: bool) -> int:
+def _commit(spark: SparkSession, root: str, folder: str, sales_key: Sequence[str], check: bool) -> int:
     if check:
-        quality.require_clean(quality.check_star(_run_tables(spark, root, run), sales_key))
-    spark.range(run, run + 1, 1, 1).select(F.col("id").cast("int").alias("run")).write.mode("append").parquet(f"{root}/{_COMMITS}")
+        quality.require_clean(quality.check_star(_run_tables(spark, root, folder), sales_key))
+    newest = _newest(spark, root)
+    run = newest[0] + 1 if newest else 1
+    row = spark.range(run, run + 1, 1, 1).select(F.col("id").cast("int").alias("run"), F.lit(folder).alias("folder"))
+    row.write.mode("append").parquet(f"{root}/{_COMMITS}")
     return run
 
 
+def _key(sales_key: Sequence[str] | None, grain: str) -> Sequence[str]:
+    """The columns that must be unique in the sales: the order at order grain. Lines have no key unless one is named."""
+    return sales_key if sales_key is not None else ("order_id",) if grain == "order" else ()
+
+
 def load_warehouse(star: Mapping[str, DataFrame], root: str, sales_key: Sequence[str] = ("order_id",),
                    check: bool = True) -> int:
     """Write all tables of a star as one run, check what was written and commit it; returns the run number.
 
     Every load goes to a folder of its own, dimensions first, and becomes visible by the last step: one row in the
     commit log. The checks read the written columns instead of computing the star again. A load that dies or breaks
-    a constraint leaves the previous run in force, and its folder is overwritten by the next one.
+    a constraint leaves the previous run in force. The run's number is given at the commit.
     """
     spark = star["sales"].sparkSession
-    run = _next_run(spark, root)
-    _write_all({name: conform(star[name], name) for name in DIMENSIONS}, root, run)
-    _write(conform(star["sales"], "sales"), root, run, "sales")
-    return _commit(spark, root, run, sales_key, check)
+    folder = _new_folder()
+    _write_all({name: conform(star[name], name) for name in DIMENSIONS}, root, folder)
+    _write(conform(star["sales"], "sales"), root, folder, "sales")
+    return _commit(spark, root, folder, sales_key, check)
 
 
 def load_transactions(transactions: DataFrame, products: DataFrame, customers: DataFrame, root: str,
                       grain: str = "line", sequence: Sequence[str] = ("order_ts",),
-                      sales_key: Sequence[str] = ("order_id",), check: bool = True) -> int:
+                      sales_key: Sequence[str] | None = None, check: bool = True) -> int:
     """Enrich transactions and load the star they form; returns the run number.
 
-    The transactions are joined and written once, as the fact. The dimensions are then the master rows that the
-    written fact uses, found through its id columns alone. Checks and commit are those of ``load_warehouse``.
+    The transactions are joined once and written, split into usable rows and rejects: those that found no master row
+    stay under the run with their reason (``read_rejects``). Fact and dimensions come from what was written; the
+    dimensions are the master rows that the fact uses, found through its id columns alone. Checks and commit are
+    those of ``load_warehouse``; ``sales_key`` names the sales' unique columns (default: the order at order grain).
     """
     spark = transactions.sparkSession
-    run = _next_run(spark, root)
-    rows, _ = enrich(transactions, products, customers)
-    _write(sales_rows(rows, grain, sequence), root, run, "sales")
-    sales = _read(spark, root, run, "sales")
-    _write_all(dimensions_of(sales, products, customers), root, run)
-    return _commit(spark, root, run, sales_key, check)
+    folder = _new_folder()
+    joined = lookup(transactions, products, customers)
+    path = f"{root}/{folder}/enriched"
+    joined.withColumn(_USABLE, F.col(REASON).isNull()).write.mode("errorifexists").partitionBy(_USABLE).parquet(path)
+    # the written schema, so that a run without rejects, or with nothing else, reads the same
+    rows = spark.read.schema(joined.schema.add(_USABLE, "boolean")).parquet(path)
+    _write(rows.filter(~F.col(_USABLE)).select(*transactions.columns, REASON), root, folder, "rejects")
+    _write(sales_rows(rows.filter(_USABLE).drop(_USABLE, REASON), grain, sequence), root, folder, "sales")
+    sales = _read(spark, root, folder, "sales")
+    _write_all(dimensions_of(sales, products, customers), root, folder)
+    return _commit(spark, root, folder, _key(sales_key, grain), check)
+
+
+def _read(spark: SparkSession, root: str, folder: str, name: str) -> DataFrame:
+    return spark.read.schema(star_schema(name)).parquet(f"{root}/{folder}/{name}")
 
 
-def _read(spark: SparkSession, root: str, run: int, name: str) -> DataFrame:
-    return spark.read.schema(star_schema(name)).parquet(f"{root}/run={run}/{name}")
+def read_rejects(spark: SparkSession, root: str) -> DataFrame:
+    """The transactions of the newest run that found no master row, with the reason, as ``load_transactions`` got them."""
+    return spark.read.parquet(f"{root}/{_required(spark, root)}/rejects")
 
 
-def _run_tables(spark: SparkSession, root: str, run: int) -> dict[str, DataFrame]:
-    return {name: _read(spark, root, run, name) for name in (*DIMENSIONS, "sales")}
+def _required(spark: SparkSession, root: str) -> str:
+    newest = _newest(spark, root)
+    if not newest:
+        raise FileNotFoundError(f"no committed load under {root}")
+    return newest[1]
+
+
+def _run_tables(spark: SparkSession, root: str, folder: str) -> dict[str, DataFrame]:
+    return {name: _read(spark, root, folder, name) for name in (*DIMENSIONS, "sales")}
 
 
 def read_warehouse(spark: SparkSession, root: str) -> LoadedStar:
     """The star of the newest committed run."""
-    runs = _runs(spark, root)
-    if not runs:
-        raise FileNotFoundError(f"no committed load under {root}")
-    return LoadedStar(**_run_tables(spark, root, runs[0]))
+    return LoadedStar(**_run_tables(spark, root, _required(spark, root)))
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:

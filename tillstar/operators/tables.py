@@ -77,15 +77,14 @@ def insert(df: DataFrame, columns: Sequence[str], rows: Sequence[Sequence[Any]]
     if isinstance(rows, DataFrame):
         new = rows.toDF(*columns)
     else:
-        one = spark.range(1)
-        new = None
         for row in rows:
             if len(row) != len(columns):
                 raise ValueError(f"{len(columns)} columns but {len(row)} values")
-            r = one.select(*[value(v).cast(types[c]).alias(c) for c, v in zip(columns, row)])
-            new = r if new is None else new.unionAll(r)
-        if new is None:
+        if not rows:
             return df
+        # one array of row literals instead of one plan branch per row
+        literals = [F.struct(*[value(v).cast(types[c]).alias(c) for c, v in zip(columns, row)]) for row in rows]
+        new = spark.range(1).select(F.inline(F.array(*literals)))
     filled = new.select(*[
         (F.col(c) if c in columns else F.lit(None)).cast(t).alias(c) for c, t in types.items()
     ])

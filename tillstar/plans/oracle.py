@@ -252,7 +252,12 @@ t AS (SELECT CAST(l_orderkey AS VARCHAR) AS order_id, strftime(o_orderdate, '%Y-
              CAST(o_custkey AS VARCHAR) AS customer_id
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
-ORACLE["s6_bulk_load"] = f"WITH {_TEXT_LINES} SELECT * FROM t"
+ORACLE["s6_bulk_load"] = f"WITH {_TEXT_LINES} SELECT * FROM t WHERE quantity NOT IN ('7', '8')"
+ORACLE["s6_bulk_load_rejects"] = f"""
+WITH {_TEXT_LINES}
+SELECT CASE quantity WHEN '7' THEN concat_ws(',', order_id, order_date, product_id, quantity, customer_id, order_id)
+              || ',extra' ELSE order_id || ',' || order_date END AS line
+FROM t WHERE quantity IN ('7', '8')"""
 ORACLE["s7_malformed_rows"] = f"""
 WITH {_TEXT_LINES}
 SELECT CASE quantity WHEN '7' THEN concat_ws(',', order_id, order_date, product_id, quantity, customer_id, order_id)
@@ -311,6 +316,14 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY month_t, sale_type ORDER BY cents DESC, product_id) AS r FROM sums)
 SELECT month_t, sale_type, product_id, product_name, {money('cents', 'total_revenue')} FROM ranked WHERE r <= 5"""
 
+ORACLE["o2_load_rejects"] = """
+SELECT l_orderkey AS order_id, l_partkey AS product_id, o_custkey AS customer_id,
+       CAST(l_quantity AS INTEGER) AS quantity,
+       CASE WHEN l_partkey % 5 = 0 AND o_custkey % 7 = 0 THEN 'unknown product and customer'
+            WHEN l_partkey % 5 = 0 THEN 'unknown product' WHEN o_custkey % 7 = 0 THEN 'unknown customer'
+            ELSE 'sale' END AS outcome
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+
 ORACLE["m3_latest_orders"] = f"""
 WITH {_LAST}
 SELECT l_orderkey AS order_id, l_partkey AS product_id, CAST(l_quantity AS INTEGER) AS quantity,
@@ -379,14 +392,14 @@ ORACLE["x1_duplicate_ids"] = f"""
 WITH {EVENTS} SELECT 'unique(_id)' AS rule, _id, 2 AS n_rows FROM e WHERE event_type = 'view'"""
 ORACLE["x2_upsert"] = f"""
 WITH {EVENTS}
-SELECT _id, event_type, value, k, tags FROM e WHERE event_type = 'click'
+SELECT _id, event_type, value, k, tags FROM e WHERE event_type NOT IN ('view', 'signup')
 UNION ALL SELECT _id, upper(event_type), value, NULL, NULL FROM e WHERE event_type IN ('view', 'signup')"""
 ORACLE["x2_upsert_effect"] = f"""
 WITH {EVENTS}
 SELECT _id, CASE WHEN event_type = 'view' THEN 2 ELSE 1 END AS affected FROM e WHERE event_type IN ('view', 'signup')"""
 ORACLE["x3_replace"] = f"""
 WITH {EVENTS}
-SELECT _id, event_type, value, k, tags FROM e WHERE event_type = 'click'
+SELECT _id, event_type, value, k, tags FROM e WHERE event_type NOT IN ('view', 'signup')
 UNION ALL SELECT _id, 'VIEW', value, NULL, NULL FROM e WHERE event_type = 'view'"""
 ORACLE["x4_remove_one"] = docs(tail="WHERE _id <> '7'")
 ORACLE["x4_get_one"] = docs(tail="WHERE _id = '7'")
@@ -435,6 +448,8 @@ ORACLE["e7_overlaps"] = f"""
 WITH {EVENTS} SELECT _id, u IN (1, 2, 3, 50) OR k IN (1, 2, 3, 50) AS shares_tag, k = 5 AS shares_member FROM e"""
 ORACLE["e11_wildcards"] = f"""
 WITH {EVENTS} SELECT _id, k AS second_tag, k AS first_member, k AS any_k, 4 AS n_members FROM e"""
+ORACLE["e11_deep_wildcards"] = """
+SELECT event_id, least(event_id, user_id)::VARCHAR || ',' || greatest(event_id, user_id)::VARCHAR AS found FROM events"""
 
 # -- expressions ------------------------------------------------------------------------------------------------------------------------
 

@@ -267,17 +267,27 @@ def p14(spark, folder):
 
 @query("s6_bulk_load")
 def s6(spark, folder):
-    """Write the transactions as a delimited file, bulk-load it into a table and read the table."""
-    star = SourceStar.read(spark, folder)
-    base = scratch_path(spark, "bulk")
-    raw_transactions(star).select(*RAW_TRANSACTIONS.fieldNames()).write.option("header", True).csv(f"{base}/in")
-    loaded = files.load_file(spark, f"{base}/in", RAW_TRANSACTIONS, f"{base}/table")
+    """Bulk-load a file, some of whose lines are malformed, twice into a table and read the table."""
+    loaded, _ = _bulk_loaded(spark, folder)
     return loaded.select("order_id", "order_date", "product_id", "quantity", "customer_id")
 
 
-@query("s7_malformed_rows")
-def s7(spark, folder):
-    """Lines of a text file in which some have a field too many and some too few."""
+@query("s6_bulk_load_rejects")
+def s6_rejects(spark, folder):
+    """The malformed lines of that load."""
+    _, lines = _bulk_loaded(spark, folder)
+    return lines.select("line")
+
+
+def _bulk_loaded(spark, folder):
+    source, table = _malformed_lines(spark, folder), scratch_path(spark, "bulk")
+    for _ in range(2):
+        loaded = files.load_file(spark, source, RAW_TRANSACTIONS, table, header="false")
+    return loaded, files.rejected_lines(spark, RAW_TRANSACTIONS, table)
+
+
+def _malformed_lines(spark, folder) -> str:
+    """A text file of transactions in which some lines have a field too many and some too few."""
     star = SourceStar.read(spark, folder)
     raw = raw_transactions(star).select(*RAW_TRANSACTIONS.fieldNames())
     line = F.concat_ws(",", *raw.columns)
@@ -288,7 +298,12 @@ def s7(spark, folder):
     )
     base = scratch_path(spark, "malformed")
     raw.select(broken.alias("value")).write.text(base)
-    read = files.read_csv(spark, base, RAW_TRANSACTIONS, header="false")
+    return base
+
+
+@query("s7_malformed_rows")
+def s7(spark, folder):
+    read = files.read_csv(spark, _malformed_lines(spark, folder), RAW_TRANSACTIONS, header="false")
     _, bad = cleaning.split_rejects(cleaning.clean_transactions(read))
     return bad.select(F.get_json_object("raw", "$._corrupt_record").alias("line"), cleaning.REASON)
 
@@ -363,6 +378,19 @@ def o2(spark, folder):
     return reports.top_products(loads.read_warehouse(spark, root), YEAR, 5)
 
 
+@query("o2_load_rejects")
+def o2_rejects(spark, folder):
+    """A load whose masters miss some products and customers: every transaction is a sale or a reject with its reason."""
+    star = SourceStar.read(spark, folder)
+    customers = customer_master(star).filter("customer_id % 7 <> 0").withColumn("gender", F.lit("Male"))
+    products = materialised(staged_products(star).filter("product_id % 5 <> 0"), "staging")
+    root = scratch_path(spark, "warehouse")
+    loads.load_transactions(transactions(star), products, customers, root)
+    columns = ["order_id", "product_id", "customer_id", "quantity"]
+    sales = loads.read_warehouse(spark, root).sales.select(*columns, F.lit("sale").alias("outcome"))
+    return sales.unionByName(loads.read_rejects(spark, root).select(*columns, F.col(cleaning.REASON).alias("outcome")))
+
+
 @query("o3_insert_ignore")
 def o3(spark, folder):
     parts = read_table(spark, folder, "part").select("p_partkey", "p_name", "p_size")
@@ -533,7 +561,8 @@ def x1_duplicates(spark, folder):
 
 
 def _upsert_sides(spark, folder):
-    old = event_documents(spark, folder, "event_type IN ('click', 'view')")
+    """All events: signups are only new, views on both sides, everything else only old."""
+    old = event_documents(spark, folder, "event_type <> 'signup'")
     new = read_table(spark, folder, "events").filter("event_type IN ('view', 'signup')").select(
         F.col("event_id").cast("string").alias("_id"),
         F.to_json(F.struct(F.upper("event_type").alias("event_type"), "value")).alias("doc"),
@@ -740,6 +769,15 @@ def e11(spark, folder):
     )
 
 
+@query("e11_deep_wildcards")
+def e11_deep(spark, folder):
+    """A member eight levels down, below objects and arrays."""
+    doc = F.concat(F.lit('{"a":[{"b":{"c":[[{"d":{"k":'), F.col("event_id"), F.lit('}}]]}},{"k":'), F.col("user_id"), F.lit("}]}"))
+    found = J.find_all(J.parsed(doc), "$**.k")
+    return read_table(spark, folder, "events").select(
+        "event_id", F.array_join(F.array_sort(F.transform(found, lambda x: x.cast("bigint"))), ",").alias("found"))
+
+
 # -- expressions ----------------------------------------------------------------------------------------------------------------
 
 

@@ -1,13 +1,13 @@
 """The ten reports. Each takes a ``Star`` and parameters and returns a DataFrame.
 
-Where a report is keyed by product, the fact is summed by product id before the product table is joined, so the join
-sees groups instead of lines. Where it is keyed by names, the names join the fact first and one aggregation follows:
-store x supplier x product groups are nearly as many as the lines, so summing by ids first would add a shuffle of the
-whole fact and save nothing (several ids may carry one name, so the names have to be summed anyway).
+The fact is summed by ids before prices and names are joined, so the joins see groups instead of lines and a product with
+a third of all lines is combined on the map side. Several ids may carry one name; named groups are summed once more.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,7 +49,7 @@ def store_growth(star: Star, year: int = DEFAULT_YEAR) -> DataFrame:
 def supplier_contribution(star: Star) -> DataFrame:
     """Revenue by store, supplier and product name."""
     names = ("store_name", "supplier_name", "product_name")
-    totals = star.totals(names)
+    totals = star.named_totals(names)
     return totals.select(*names, F.col("total_revenue").alias("total_sales")).orderBy(*names)
 
 
@@ -65,7 +65,7 @@ def monthly_volatility(star: Star) -> DataFrame:
     keys = ("store_name", "supplier_name", "year_t", "month_t")
     earlier = Window.partitionBy("store_name", "supplier_name", "year_t").orderBy("month_t")
     return (
-        star.totals(keys)
+        star.named_totals(keys)
         .drop("total_quantity")
         .withColumn("prev_month_revenue", F.lag("total_revenue").over(earlier))
         .withColumn("revenue_volatility", percent_change("total_revenue", "prev_month_revenue"))
@@ -93,12 +93,17 @@ def yearly_rollup(star: Star, year: int = DEFAULT_YEAR, with_level: bool = False
     ``with_level`` adds ``level`` = grouping id, which tells a subtotal's NULL from a missing name.
     """
     names = ("store_name", "supplier_name", "product_name")
-    # The rollup repeats its input once per level, so it runs over the finished groups instead of the lines.
-    detail = star.totals(names, year).withColumn("year_t", F.lit(year))
-    measures = [F.sum("total_revenue").cast(TOTAL).alias("total_revenue")]
-    if with_level:
-        measures.append(F.grouping_id().alias("level"))
-    rolled = detail.rollup(*names, "year_t").agg(*measures)
+    # Each level is summed from the one below. The year is one value, so the two finest levels have the same rows; the
+    # finished groups are shuffled once, and Spark reuses that exchange for every level.
+    detail = star.named_totals(names, year).select(*names, "total_revenue", F.lit(year).alias("year_t"), F.lit(0).alias("level"))
+    levels, below = [detail, detail.withColumns({"year_t": F.lit(None).cast("int"), "level": F.lit(1)})], detail
+    for kept, level in ((2, 3), (1, 7), (0, 15)):
+        below = below.groupBy(*names[:kept]).agg(F.sum("total_revenue").cast(TOTAL).alias("total_revenue"))
+        coarse = below if kept else below.filter(F.col("total_revenue").isNotNull())  # no rows: no total either
+        missing = [F.lit(None).cast("string").alias(n) for n in names[kept:]]
+        levels.append(coarse.select(*names[:kept], *missing, "total_revenue", F.lit(None).cast("int").alias("year_t"),
+                                    F.lit(level).alias("level")))
+    rolled = reduce(DataFrame.unionByName, levels)
     columns = [*names, "total_revenue", "year_t"] + (["level"] if with_level else [])
     return rolled.select(*columns).orderBy(*names)
 

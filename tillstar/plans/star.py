@@ -39,6 +39,23 @@ class Star:
         """``by`` + ``total_revenue`` + ``total_quantity``, plus ``product_name`` when grouped by product id."""
         raise NotImplementedError
 
+    def named_totals(self, by: Sequence[str], year: int | None = None) -> DataFrame:
+        """``totals`` where ``by`` has names: summed by ids first, so that the names join groups and not lines.
+
+        Several ids may carry one name, so the named groups are summed once more.
+        """
+        ids = self._ids([f"{NAMES[c]}_id" if c in NAMES else c for c in by])
+        out = self.totals(ids, year)
+        for name, table in NAMES.items():
+            if name in by and name not in out.columns:
+                out = out.join(getattr(self, table).select(f"{table}_id", name), f"{table}_id")
+        return out.groupBy(*by).agg(
+            F.sum("total_revenue").cast(TOTAL).alias("total_revenue"), F.sum("total_quantity").alias("total_quantity"))
+
+    def _ids(self, ids: list[str]) -> list[str]:
+        """The columns by which ``named_totals`` sums first."""
+        return ids
+
     def any_case(self) -> "Star":
         """The same star with names that differ only in case made equal, for reports that group by names."""
         other = copy(self)
@@ -176,6 +193,10 @@ class SourceStar(Star):
             lines = add_date_parts(lines, "date_t", parts)
         return lines.select(*columns)
 
+    def _ids(self, ids):
+        # lines have quantities; the price is the product's, so it joins groups of one product
+        return ids if "product_id" in ids else [*ids, "product_id"]
+
     def totals(self, by, year=None):
         if "product_id" not in by:
             return self._sums(by, year)

@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 # broadcast join only when the side it measured is small, splits skewed join partitions and merges tiny ones. A skewed
 # join is split even if an aggregation on the same key then needs a shuffle of its own: without that a hot key that
 # reaches "join, then group by the same key" would stay in one task.
+# Times here have no zone; Spark formats them through the session's, where an hour may be missing in spring.
 SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
@@ -32,7 +34,6 @@ def local_session(cores: int | str = 8, app: str = "tillstar", **extra: str) ->
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     settings = {
         **SETTINGS,
-        "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         "spark.sql.shuffle.partitions": "8",
         # Files are compressed: a table of 1 MB on disk is several MB as a hash table. Larger sides join by shuffle,
@@ -53,18 +54,22 @@ def local_session(cores: int | str = 8, app: str = "tillstar", **extra: str) ->
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder, since there driver and executors are one process.
+    Only a session whose executors are threads of this very process (``local``, ``local[n]``) gets a folder of its own
+    where that setting is missing. On other masters the setting is required, and a ``file:`` folder is refused unless
+    the executors run on this machine (``local-cluster``).
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
+    folder, master = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master
+    if not folder:
+        if master == "local" or master.startswith("local["):
+            return _own_dir()
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    return _temporary_dir()
+    if folder.startswith("file:") and not master.startswith("local"):
+        raise RuntimeError(f"spark.checkpoint.dir is {folder}, which executors on other machines cannot see")
+    return folder
 
 
 @cache
-def _temporary_dir() -> str:
+def _own_dir() -> str:
     return tempfile.mkdtemp(prefix="tillstar-")
 
 

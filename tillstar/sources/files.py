@@ -5,6 +5,8 @@ A row with the wrong number of fields is not lost: its raw text lands in ``_corr
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,7 +72,24 @@ def stream_transactions(spark: SparkSession, folder: str, files_per_batch: int =
     )
 
 
-def load_file(spark: SparkSession, path: str, fields: T.StructType, target: str, **options: str) -> DataFrame:
-    """Bulk-load a delimited file into a Parquet table and return a scan of it."""
-    read_csv(spark, path, fields, **options).drop(CORRUPT).write.mode("append").parquet(target)
-    return spark.read.parquet(target)
+def load_file(spark: SparkSession, path: str, fields: T.StructType, target: str, name: str | None = None,
+              **options: str) -> DataFrame:
+    """Bulk-load a delimited file into a Parquet table and return a scan of the table.
+
+    One pass writes the rows and, apart from them, the lines with a wrong number of fields (``rejected_lines``). Each
+    load has a folder of its own, named after the path unless ``name`` is given, so loading a file again replaces it.
+    """
+    load = name or hashlib.sha256(path.encode()).hexdigest()[:16]
+    rows = read_csv(spark, path, fields, **options).withColumn("malformed", F.col(CORRUPT).isNotNull())
+    rows.write.mode("overwrite").partitionBy("malformed").parquet(f"{target}/load={load}")
+    return _loaded(spark, fields, target).filter("not malformed").select(*fields.fieldNames())
+
+
+def rejected_lines(spark: SparkSession, fields: T.StructType, target: str) -> DataFrame:
+    """The malformed lines of all loads into a table."""
+    return _loaded(spark, fields, target).filter("malformed").select("load", F.col(CORRUPT).alias("line"))
+
+
+def _loaded(spark: SparkSession, fields: T.StructType, target: str) -> DataFrame:
+    schema_ = _with_corrupt(fields).add("load", "string").add("malformed", "boolean")
+    return spark.read.schema(schema_).option("basePath", target).parquet(target)
