@@ -4,6 +4,8 @@ import pytest
 from compare import TESTDATA, compare, duck
 
 import __spark_entry__ as entry
+from tillstar.plans.oracle import ORACLE
+from tillstar.plans.queries import QUERIES
 
 FOLDER = f"{TESTDATA}/sf0.01"
 
@@ -14,7 +16,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_flagship(spark):
@@ -22,6 +24,6 @@ def test_flagship(spark):
     assert len(rows) > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    assert compare(entry.queries()[name](spark, FOLDER), con, entry.oracle_sql()[name]) is None
+    assert compare(QUERIES[name](spark, FOLDER), con, ORACLE[name]) is None

@@ -85,7 +85,8 @@ def with_reject_reason(df: DataFrame, typed: Mapping[str, Column], required: Map
     reason = F.when(F.col("_malformed"), F.lit("malformed row"))
     for name, why in required.items():
         reason = reason.when(F.col(name).isNull(), F.lit(why))
-    return out.withColumn(REASON, reason).drop("_malformed")
+    # only a row that cannot be used carries its text into what follows
+    return out.withColumn(REASON, reason).withColumn("raw", F.when(F.col(REASON).isNotNull(), F.col("raw"))).drop("_malformed")
 
 
 def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:

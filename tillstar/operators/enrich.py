@@ -20,9 +20,7 @@ def lookup(transactions: DataFrame, products: DataFrame, customers: DataFrame) -
     straight from a shuffle, so pass masters that are scans of staged tables: one that is computed on the fly by joins
     or aggregates on its key needs no shuffle of its own, and a hot product would then stay in one task.
     """
-    p = products.withColumn("_product", F.lit(True))
-    c = customers.withColumn("_customer", F.lit(True))
-    joined = transactions.join(p, "product_id", "left").join(c, "customer_id", "left")
+    joined = _left(_left(transactions, products, "product_id", "_product"), customers, "customer_id", "_customer")
     reason = (
         F.when(F.col("_product").isNull() & F.col("_customer").isNull(), "unknown product and customer")
         .when(F.col("_product").isNull(), "unknown product")
@@ -36,6 +34,21 @@ def lookup(transactions: DataFrame, products: DataFrame, customers: DataFrame) -
     }).drop("_product", "_customer")
 
 
+def _left(rows: DataFrame, master: DataFrame, key: str, found: str) -> DataFrame:
+    """Left join on ``key``; ``found`` tells whether there was a master row.
+
+    A row without a key, or one that failed cleaning, can match nothing. It joins on a hash of itself instead, so that
+    such rows, however many, spread over all tasks; the second condition keeps a hash from meeting a real key.
+    """
+    usable = F.col(key).isNotNull()
+    if REASON in rows.columns:
+        usable = usable & F.col(REASON).isNull()
+    left = rows.withColumns({"_usable": usable, "_key": F.when(usable, F.col(key).cast("bigint")).otherwise(F.xxhash64(*rows.columns))})
+    right = master.withColumn(found, F.lit(True)).withColumnRenamed(key, "_master_key")
+    return left.join(right, (F.col("_key") == F.col("_master_key")) & F.col("_usable"), "left").drop(
+        "_key", "_usable", "_master_key")
+
+
 def matched(joined: DataFrame) -> DataFrame:
     return joined.filter(F.col(REASON).isNull()).drop(REASON)
 

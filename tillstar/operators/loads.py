@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.operators import quality
@@ -16,12 +16,12 @@ from tillstar.operators.cleaning import REASON
 from tillstar.operators.enrich import lookup
 from tillstar.operators.normalise import conform, dimensions_of, sales_rows
 from tillstar.plans.star import LoadedStar
-from tillstar.schema import star_schema
+from tillstar.schema import PRIMARY_KEYS, star_schema
 from tillstar.session import materialised
 
 DIMENSIONS = ("product", "customer", "store", "supplier", "date")
 _COMMITS = "commits"
-_LOG = "run int, folder string"
+_LOG = "run int, folder string, whole boolean, upto bigint"
 _USABLE = "usable"
 
 
@@ -49,18 +49,28 @@ def read_staging(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _newest(spark: SparkSession, root: str) -> tuple[int, str] | None:
-    """Number and folder of the newest committed run (the log holds one row per load)."""
+def _log(spark: SparkSession, root: str) -> list[Row]:
+    """The commits that make up the warehouse, oldest first: the newest whole run and what was added to it since.
+
+    The log holds one row per load; a whole run makes the rows before it history.
+    """
     try:
-        log = spark.read.schema(_LOG).parquet(f"{root}/{_COMMITS}")
-        found = log.orderBy(F.desc("run"), F.desc("folder")).limit(1).collect()
-        return (found[0]["run"], found[0]["folder"]) if found else None
+        log = spark.read.schema(_LOG).option("recursiveFileLookup", "true").parquet(f"{root}/{_COMMITS}")
+        from_ = log.filter("whole").agg(F.max("run")).first()[0]
+        found = log.filter(F.col("run") >= (from_ or 0)).orderBy("run", "folder").collect()
+        wholes = [r for r in found if r["whole"] and r["run"] == from_]
+        return wholes[-1:] + [r for r in found if not r["whole"]]
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
-            return None
+            return []
         raise
 
 
+def loaded_upto(spark: SparkSession, root: str) -> int | None:
+    """The number of the last batch that is in the warehouse; None when no load named one."""
+    return max((r["upto"] for r in _log(spark, root) if r["upto"] is not None), default=None)
+
+
 def _new_folder() -> str:
     """A folder name no other load has, so that loads at the same time do not touch each other's files."""
     return f"run-{uuid.uuid4().hex}"
@@ -81,13 +91,19 @@ def _write(df: DataFrame, root: str, folder: str, name: str) -> None:
         df.write.mode("overwrite").parquet(path)
 
 
-def _commit(spark: SparkSession, root: str, folder: str, sales_key: Sequence[str], check: bool) -> int:
+def _commit(spark: SparkSession, root: str, folder: str, sales_key: Sequence[str], check: bool, whole: bool = True,
+            upto: int | None = None) -> int:
+    log = _log(spark, root)
     if check:
-        quality.require_clean(quality.check_star(_run_tables(spark, root, folder), sales_key))
-    newest = _newest(spark, root)
-    run = newest[0] + 1 if newest else 1
-    row = spark.range(run, run + 1, 1, 1).select(F.col("id").cast("int").alias("run"), F.lit(folder).alias("folder"))
-    row.write.mode("append").parquet(f"{root}/{_COMMITS}")
+        tables = _run_tables(spark, root, [folder] if whole else [*(r["folder"] for r in log), folder])
+        if not whole:  # what was there is checked already; new sales may use all dimensions
+            tables["sales"] = _read(spark, root, [folder], "sales")
+        quality.require_clean(quality.check_star(tables, sales_key))
+    run = max((r["run"] for r in log), default=0) + 1
+    row = spark.range(run, run + 1, 1, 1).select(
+        F.col("id").cast("int").alias("run"), F.lit(folder).alias("folder"), F.lit(whole).alias("whole"),
+        F.lit(upto).cast("bigint").alias("upto"))
+    row.write.parquet(f"{root}/{_COMMITS}/{folder}")  # a folder of its own: Spark's writers share one's temporary files
     return run
 
 
@@ -97,18 +113,37 @@ def _key(sales_key: Sequence[str] | None, grain: str) -> Sequence[str]:
 
 
 def load_warehouse(star: Mapping[str, DataFrame], root: str, sales_key: Sequence[str] = ("order_id",),
-                   check: bool = True) -> int:
+                   check: bool = True, upto: int | None = None) -> int:
     """Write all tables of a star as one run, check what was written and commit it; returns the run number.
 
     Every load goes to a folder of its own, dimensions first, and becomes visible by the last step: one row in the
     commit log. The checks read the written columns instead of computing the star again. A load that dies or breaks
-    a constraint leaves the previous run in force. The run's number is given at the commit.
+    a constraint leaves the previous run in force. The run's number is given at the commit. ``upto`` is the last batch
+    it holds, for later increments.
     """
     spark = star["sales"].sparkSession
     folder = _new_folder()
     _write_all({name: conform(star[name], name) for name in DIMENSIONS}, root, folder)
     _write(conform(star["sales"], "sales"), root, folder, "sales")
-    return _commit(spark, root, folder, sales_key, check)
+    return _commit(spark, root, folder, sales_key, check, upto=upto)
+
+
+def load_increment(star: Mapping[str, DataFrame], root: str, upto: int, check: bool = True) -> int:
+    """Add sales lines, and the dimension rows whose keys are not there yet, to the warehouse; returns the run number.
+
+    Only the new rows are written. They become visible together by the commit, after checks that read the new sales
+    and the keys of all dimensions.
+    """
+    spark = star["sales"].sparkSession
+    log, folder = _log(spark, root), _new_folder()
+    there = _run_tables(spark, root, [r["folder"] for r in log]) if log else {}
+    _write(conform(star["sales"], "sales"), root, folder, "sales")
+    new = {}
+    for name in DIMENSIONS:
+        rows, key = conform(star[name], name), PRIMARY_KEYS[name]
+        new[name] = rows.join(there[name].select(*key), key, "left_anti").select(*rows.columns) if log else rows
+    _write_all(new, root, folder)
+    return _commit(spark, root, folder, (), check, whole=not log, upto=upto)
 
 
 def load_transactions(transactions: DataFrame, products: DataFrame, customers: DataFrame, root: str,
@@ -130,34 +165,34 @@ def load_transactions(transactions: DataFrame, products: DataFrame, customers: D
     rows = spark.read.schema(joined.schema.add(_USABLE, "boolean")).parquet(path)
     _write(rows.filter(~F.col(_USABLE)).select(*transactions.columns, REASON), root, folder, "rejects")
     _write(sales_rows(rows.filter(_USABLE).drop(_USABLE, REASON), grain, sequence), root, folder, "sales")
-    sales = _read(spark, root, folder, "sales")
+    sales = _read(spark, root, [folder], "sales")
     _write_all(dimensions_of(sales, products, customers), root, folder)
     return _commit(spark, root, folder, _key(sales_key, grain), check)
 
 
-def _read(spark: SparkSession, root: str, folder: str, name: str) -> DataFrame:
-    return spark.read.schema(star_schema(name)).parquet(f"{root}/{folder}/{name}")
+def _read(spark: SparkSession, root: str, folders: Sequence[str], name: str) -> DataFrame:
+    return spark.read.schema(star_schema(name)).parquet(*[f"{root}/{folder}/{name}" for folder in folders])
 
 
 def read_rejects(spark: SparkSession, root: str) -> DataFrame:
     """The transactions of the newest run that found no master row, with the reason, as ``load_transactions`` got them."""
-    return spark.read.parquet(f"{root}/{_required(spark, root)}/rejects")
+    return spark.read.parquet(f"{root}/{_folders(spark, root)[-1]}/rejects")
 
 
-def _required(spark: SparkSession, root: str) -> str:
-    newest = _newest(spark, root)
-    if not newest:
+def _folders(spark: SparkSession, root: str) -> list[str]:
+    log = _log(spark, root)
+    if not log:
         raise FileNotFoundError(f"no committed load under {root}")
-    return newest[1]
+    return [r["folder"] for r in log]
 
 
-def _run_tables(spark: SparkSession, root: str, folder: str) -> dict[str, DataFrame]:
-    return {name: _read(spark, root, folder, name) for name in (*DIMENSIONS, "sales")}
+def _run_tables(spark: SparkSession, root: str, folders: Sequence[str]) -> dict[str, DataFrame]:
+    return {name: _read(spark, root, folders, name) for name in (*DIMENSIONS, "sales")}
 
 
 def read_warehouse(spark: SparkSession, root: str) -> LoadedStar:
-    """The star of the newest committed run."""
-    return LoadedStar(**_run_tables(spark, root, _required(spark, root)))
+    """The star of the newest whole run and all that was added to it."""
+    return LoadedStar(**_run_tables(spark, root, _folders(spark, root)))
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:

@@ -162,6 +162,7 @@ JOIN master ON l_partkey = product_id"""
 
 ORACLE["j1_enrich"] = _ENRICHED
 ORACLE["m1_stream_enrich"] = _ENRICHED
+ORACLE["o6_incremental"] = ORACLE["o6_compacted"] = _ENRICHED
 
 _PARTIAL = """
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey

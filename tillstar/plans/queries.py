@@ -114,6 +114,11 @@ def customer_master(star: SourceStar) -> DataFrame:
     return star.customer.select("customer_id", "customer_name", F.col("segment").alias("gender"))
 
 
+def checked_customers(star: SourceStar) -> DataFrame:
+    """Customers whose segments, which stand in for the checked column, are mapped into its domain."""
+    return customer_master(star).withColumn("gender", F.when(F.col("gender") == "BUILDING", "Male").otherwise("Female"))
+
+
 def raw_transactions(star: SourceStar) -> DataFrame:
     """Transactions as the text fields of a CSV file."""
     return transactions(star).select(
@@ -367,10 +372,7 @@ def k6(spark, folder):
 @query("o2_loaded_top_products")
 def o2(spark, folder):
     star = SourceStar.read(spark, folder)
-    # The customer segments stand in for the checked column, so they are mapped into its domain.
-    customers = customer_master(star).withColumn(
-        "gender", F.when(F.col("gender") == "BUILDING", "Male").otherwise("Female")
-    )
+    customers = checked_customers(star)
     root = scratch_path(spark, "warehouse")
     loads.load_transactions(
         transactions(star), staged_products(star), customers, root, "order", ("order_ts", "product_id", "quantity")
@@ -382,7 +384,7 @@ def o2(spark, folder):
 def o2_rejects(spark, folder):
     """A load whose masters miss some products and customers: every transaction is a sale or a reject with its reason."""
     star = SourceStar.read(spark, folder)
-    customers = customer_master(star).filter("customer_id % 7 <> 0").withColumn("gender", F.lit("Male"))
+    customers = checked_customers(star).filter("customer_id % 7 <> 0")
     products = materialised(staged_products(star).filter("product_id % 5 <> 0"), "staging")
     root = scratch_path(spark, "warehouse")
     loads.load_transactions(transactions(star), products, customers, root)
@@ -405,7 +407,7 @@ def _streamed(spark, folder) -> tuple[SourceStar, str]:
     raw_transactions(star).select(*RAW_TRANSACTIONS.fieldNames()).write.option("header", True).csv(f"{base}/in")
     masters = scratch_path(spark, "masters")
     product_master(star).write.parquet(f"{masters}/product")
-    customer_master(star).write.parquet(f"{masters}/customer")
+    checked_customers(star).write.parquet(f"{masters}/customer")
 
     def read_masters():
         return spark.read.parquet(f"{masters}/product"), spark.read.parquet(f"{masters}/customer")
@@ -421,6 +423,33 @@ def m1(spark, folder):
     return stream.accepted(spark, out).select(*ENRICHED, F.to_date("order_ts").alias("date_t"))
 
 
+def _shown_sales(star):
+    return star.sales.select("order_id", "product_id", "customer_id", "supplier_id", "store_id", "quantity", "sales_revenue",
+                             F.to_date("order_ts").alias("date_t"))
+
+
+@query("o6_incremental")
+def o6(spark, folder):
+    """The stream's batches loaded in two increments, the second of which adds only what the first has not."""
+    _, out = _streamed(spark, folder)
+    root = scratch_path(spark, "warehouse")
+    stream.load_new(spark, out, root, upto=0)
+    stream.load_new(spark, out, root)
+    return _shown_sales(loads.read_warehouse(spark, root))
+
+
+@query("o6_compacted")
+def o6_compacted(spark, folder):
+    """Increments rewritten as one run, and a third increment that finds nothing new."""
+    _, out = _streamed(spark, folder)
+    root = scratch_path(spark, "warehouse")
+    stream.load_new(spark, out, root, upto=0)
+    stream.load_new(spark, out, root)
+    stream.load(spark, [out], root, "line", sales_key=())
+    stream.load_new(spark, out, root)
+    return _shown_sales(loads.read_warehouse(spark, root))
+
+
 @query("m3_latest_orders")
 def m3(spark, folder):
     _, out = _streamed(spark, folder)

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tillstar.operators.cleaning import REASON, clean_transactions
 from tillstar.operators.dedupe import keep_last
 from tillstar.operators.enrich import lookup
-from tillstar.operators.loads import load_warehouse, read_batches, write_batch
+from tillstar.operators.loads import load_increment, load_warehouse, loaded_upto, read_batches, write_batch
 from tillstar.operators.normalise import to_star
 from tillstar.schema import CORRUPT, RAW_TRANSACTIONS
 
@@ -20,10 +20,17 @@ MATCHED = "matched"
 
 
 def process(raw: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
-    """Clean and enrich raw transactions, batch or stream. ``reject_reason`` is NULL on usable rows, ``raw`` on those
-    that are not: only a rejected row keeps its text."""
+    """Clean and enrich raw transactions, batch or stream. ``reject_reason`` and ``raw`` are NULL on usable rows.
+
+    A row that failed cleaning keeps its text through the joins. The text of one that found no master row is built from
+    its typed fields afterwards, so usable rows carry none.
+    """
     rows = lookup(clean_transactions(raw), products, customers)
-    return rows.withColumn("raw", F.when(F.col(REASON).isNotNull(), F.col("raw")))
+    fields = [F.col("order_id").cast("string").alias("order_id"),
+              F.date_format("order_ts", "yyyy-MM-dd HH:mm:ss").alias("order_date")]
+    fields += [F.col(c).cast("string").alias(c) for c in ("product_id", "quantity", "customer_id")]
+    text = F.coalesce(F.col("raw"), F.to_json(F.struct(*fields)))
+    return rows.withColumn("raw", F.when(F.col(REASON).isNotNull(), text))
 
 
 def _store(rows: DataFrame, path: str, batch_id: int) -> None:
@@ -88,11 +95,28 @@ def latest_orders(spark: SparkSession, *paths: str, sequence=ARRIVAL) -> DataFra
     return keep_last(accepted(spark, *paths), ["order_id"], sequence)
 
 
+def load_new(spark: SparkSession, path: str, root: str, upto: int | None = None) -> int | None:
+    """Add the batches that no load has seen, up to number ``upto``, to the warehouse; returns the run number.
+
+    Lines of the new batches are appended and only keys that the dimensions lack are added to them; nothing that was
+    loaded is written again. ``load`` rewrites the whole as one run, which compacts what these loads added. Without new
+    batches nothing happens.
+    """
+    seen = loaded_upto(spark, root)
+    rows = accepted(spark, path).filter(F.col("batch_id") > (-1 if seen is None else seen))
+    if upto is not None:
+        rows = rows.filter(F.col("batch_id") <= upto)
+    newest = rows.agg(F.max("batch_id")).first()[0]
+    return None if newest is None else load_increment(to_star(rows, "line", ARRIVAL), root, newest)
+
+
 def load(spark: SparkSession, paths: Sequence[str], root: str, grain: str = "line", sequence=ARRIVAL,
          sales_key=("order_id",), check: bool = True) -> int:
     """Load the rows accepted so far into the warehouse as a new run.
 
     The batches stay as they are, so a later load sees them again together with new ones; keep-last makes the result
-    the same however often a batch was written.
+    the same however often a batch was written. ``load_new`` adds new batches only.
     """
-    return load_warehouse(to_star(accepted(spark, *paths), grain, sequence), root, sales_key, check)
+    rows = accepted(spark, *paths)
+    upto = rows.agg(F.max("batch_id")).first()[0] if len(paths) == 1 else None
+    return load_warehouse(to_star(rows, grain, sequence), root, sales_key, check, upto)
