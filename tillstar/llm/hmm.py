@@ -36,7 +36,7 @@ SLICES = 16
 
 
 class Words(NamedTuple):
-    """The KNOWN most frequent words, sorted by hash, and what concerns all of them."""
+    """The most frequent words, KNOWN at most and all of a count or none, sorted by hash, and what concerns all words."""
 
     hashes: np.ndarray
     counts: np.ndarray
@@ -89,10 +89,14 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 def common_words(counts: DataFrame, own: int = OWN, known: int = KNOWN) -> Words:
     """The bounded tables that tasks need, from the counts of all words."""
-    total, distinct = counts.agg(F.sum("n"), F.count("*")).first()
-    top = counts.orderBy(F.desc("n"), "h").limit(known).toPandas()
+    # how many words have each count: one row a count, from which the least count of a known word follows
+    found = counts.groupBy("n").agg(F.count("*").alias("words")).toPandas().sort_values("n", ascending=False)
+    total, distinct = int((found.n * found.words).sum()), int(found.words.sum())
+    least = found.n[found.words.cumsum() <= known].min() if len(found) else 0
+    top = counts.where(F.col("n") >= (int(least) if least == least else 1 << 62)).toArrow().to_pandas()
+    top = top.sort_values(["n", "h"], ascending=[False, True], ignore_index=True)
     letters = np.where(np.arange(len(top)) < own, np.arange(len(top)), -1)
-    end = np.flatnonzero(top.h.to_numpy() == END.view(np.int64))
+    end = np.flatnonzero(top.h.to_numpy(np.int64) == END.view(np.int64))
     if len(end) and letters[end[0]] < 0:
         letters[end[0]] = own - 1  # the end token always has its own letter
         letters[own - 1] = -1
@@ -105,7 +109,7 @@ def common_words(counts: DataFrame, own: int = OWN, known: int = KNOWN) -> Words
         class_distinct[kind] -= size
     hashes = top.h.to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hashes)
-    return Words(hashes[order], top.n.to_numpy(np.int64)[order], letters[order], int(total or 0), int(distinct),
+    return Words(hashes[order], top.n.to_numpy(np.int64)[order], letters[order], total, distinct,
                  class_total, class_distinct, own)
 
 
@@ -317,7 +321,7 @@ def scores(docs: DataFrame, states: int = STATES, own: int = OWN, known: int = K
                 a, size = 0, 0
                 for i, body in enumerate(bodies):
                     size += len(body) // 4
-                    if size >= GROUP * 4 or i == len(bodies) - 1:
+                    if size >= GROUP * 2 or i == len(bodies) - 1:
                         found[a: i + 1] = forward(shared.value, [np.frombuffer(b, np.int32) for b in bodies[a: i + 1]])
                         a, size = i + 1, 0
             yield pa.record_batch([*batch.columns[:6], batch.column(7), batch.column(8), pa.array(found)],

@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 
 from tillstar.llm import windows
 
-LABELLED, POOL = 8000, 6000
+LABELLED, POOL = 6000, 4000
 ROUNDS, CONFIDENT = 3, 0.95
 KEEP = 0.5
-PAIRS, WORDS, SHAPE = 1024, 2048, 12
+PAIRS, WORDS, SHAPE = 512, 1024, 12
 LANGS, SOURCES, SIZES = 16, 64, 24
 CONTENT, META = PAIRS + WORDS + SHAPE, LANGS + SOURCES + SIZES
 _PAIR = (windows.mix(np.arange(65536, dtype=np.uint64)) % np.uint64(PAIRS)).astype(np.int64)
@@ -80,7 +80,7 @@ def fit(x: np.ndarray, y: np.ndarray, steps: int = 150, penalty: float = 1e-4) -
     """Weights of a logistic regression, by accelerated gradient descent on classes of equal weight."""
     share = y.mean()
     weight = np.where(y > 0.5, 0.5 / max(share, 1e-9), 0.5 / max(1 - share, 1e-9)).astype(np.float32) / len(y)
-    step = 4 / max(float((weight[:, None] * x * x).sum()), 1e-9)
+    step = 4 / max(float(weight @ np.einsum("ij,ij->i", x, x)), 1e-9)
     w, seen = np.zeros(x.shape[1], np.float32), np.zeros(x.shape[1], np.float32)
     for i in range(steps):
         ahead = w + (w - seen) * (i / (i + 3))
@@ -160,11 +160,13 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: in
     ids = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     open_ = (ids.join(known.select("doc_id"), "doc_id", "left_anti").orderBy(order, "doc_id").limit(pool)
              .withColumn("good", F.lit(None).cast("double")))
-    rows = _sample(docs, chosen.unionByName(open_)).dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
-    good = rows.good.notna().to_numpy()
-    y = rows.good.to_numpy(np.float32)
-    unpack = lambda part, column, kind, width: np.frombuffer(
-        b"".join(rows[column][part]), kind).reshape(-1, width).astype(np.float32)
+    rows = _sample(docs, chosen.unionByName(open_)).dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
+    good = rows["good"].is_valid().to_numpy()
+    y = rows["good"].to_numpy().astype(np.float32)
+
+    def unpack(part: np.ndarray, column: str, kind, width: int) -> np.ndarray:
+        return np.frombuffer(b"".join(rows[column].filter(pa.array(part)).to_pylist()), kind).reshape(-1, width).astype(np.float32)
+
     if len(set(y[good])) < 2:
         return {"share": float(y[good].mean()) if good.any() else 1.0}
     views = unpack(good, "x", np.float16, CONTENT), unpack(good, "m", np.float32, META)
