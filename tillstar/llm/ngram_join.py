@@ -6,8 +6,8 @@ in how they permute the rest, so a pair must share a prefix n-gram under each of
 
 1. One scan writes, for each document, its set's hash, size, prefix under the first order, short codes of the prefixes
    under the other orders, and counts by class of n-gram. Equal sets are one node from here on.
-2. Nodes that share a prefix n-gram are paired with its smallest node only. Pairs that pass the filters are verified on
-   the texts; links give components.
+2. Nodes that share a prefix n-gram are paired with one node of it only, another one in each of a few rounds. Pairs that
+   pass the filters are verified on the texts; links give components.
 3. N-grams whose nodes are still in several components are looked at again: there, and only there, all pairs across
    components are filtered, in blocks of bounded size, and verified. In a dense group of near copies nearly all nodes
    are in one component by then, so its pairs are never listed; no link between components is lost.
@@ -30,12 +30,15 @@ from pyspark.sql import functions as F
 
 from tillstar.llm import passages, windows
 from tillstar.llm.components import components
-from tillstar.llm.scratch import written
+from tillstar.llm.scratch import temporary, written
 
 GRAM, PERCENT = 4, 85
 SKETCH = 1 << 20
 SKETCH_SLICE = 1 << 14
-CLASSES = 32
+#: Classes of n-grams whose counts bound how much two sets differ.
+CLASSES = 256
+#: Rounds of comparing nodes with one node of each n-gram, another each time, before pairs are formed.
+ROUNDS = 3
 #: Seeds of the orders; the first one finds the pairs, the others filter them.
 ORDERS = (0x1B873593, 0x5BD1E995, 0x27D4EB2F)
 #: Nodes of an n-gram that are compared in one block.
@@ -125,7 +128,7 @@ def described(docs: DataFrame, levels, gram: int, percent: int) -> DataFrame:
                 codes.append(np.concatenate([np.unique(o & np.uint64(0x3FFF)).astype(np.int16) + (i << 14)
                                              for i, o in enumerate(others)]))
                 per = np.bincount((found >> np.uint64(40)).astype(np.int64) % CLASSES, minlength=CLASSES)
-                counts.append(np.minimum(per, 65535).astype(np.uint16).tobytes())
+                counts.append(np.minimum(per, 255).astype(np.uint8).tobytes())
             yield pa.record_batch([
                 batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
                 pa.array(prefix, pa.list_(pa.int64())), pa.array(codes, pa.list_(pa.int16())), pa.array(counts, pa.binary()),
@@ -143,39 +146,61 @@ def _orders_agree(x: str, y: str):
 
 def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, gram: int, percent: int) -> DataFrame:
     """Of the pairs (``a``, ``b``) those that pass every filter and then, on the texts, the similarity itself."""
-    x = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("codes").alias("ca"))
-    y = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("codes").alias("cb"))
-    pairs = written(pairs.join(x, "a").join(y, "b")
-                    .where(F.expr(f"100 * least(na, nb) >= {percent} * greatest(na, nb)") & _orders_agree("ca", "cb"))
-                    .select("a", "b"), "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    # the text of one document of each wanted node; only documents that may be wanted are shuffled
-    spark = docs.sparkSession
-    places = nodes.join(wanted, "node").select("node", "doc_id", "row")
-    table = spark.sparkContext.broadcast(passages.bit_table(places.select(F.col("row").alias("h")).distinct()))
-
-    def may(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hit = passages.marked(table.value, batch.column(1).to_numpy().view(np.uint64))
-            yield batch.filter(pa.array(hit))
-
-    texts = (docs.select("doc_id", "row", "text").mapInArrow(may, "doc_id long, row long, text string").alias("t")
-             .join(places.alias("p"), (F.col("t.row") == F.col("p.row")) & F.col("t.doc_id").eqNullSafe(F.col("p.doc_id")))
-             .groupBy("p.node").agg(F.first("t.text").alias("text")))
-    texts = written(texts, "texts")
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def chance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (list(gram_sets(batch.column(i), gram)) for i in (2, 3))
-            keep = []
-            for u, v in zip(left, right):
-                common = len(np.intersect1d(u, v, assume_unique=True))
-                keep.append(100 * common >= percent * (len(u) + len(v) - common))
-            yield pa.record_batch(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            n, m = (batch.column(i).to_numpy() for i in (2, 3))
+            keep = may_link(unpacked(batch.column(4)), unpacked(batch.column(5)), n, m, percent)
+            yield batch.select([0, 1, 6, 7]).filter(pa.array(keep))
 
-    both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
-            .join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b"))
-    return written(both.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long"), "links")
+    x = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("codes").alias("ca"), F.col("counts").alias("xa"))
+    y = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("codes").alias("cb"), F.col("counts").alias("xb"))
+    spark = docs.sparkSession
+    with temporary(spark) as write:
+        pairs = write(pairs.join(x, "a").join(y, "b").select("a", "b", "na", "nb", "xa", "xb", "ca", "cb")
+                      .mapInArrow(chance, "a long, b long, ca array<short>, cb array<short>")
+                      .where(_orders_agree("ca", "cb")).select("a", "b"), "pairs")
+        wanted = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct().withColumnRenamed("a", "node")
+        # the text of one document of each wanted node; only documents that may be wanted are shuffled
+        places = write(nodes.join(wanted, "node").select("node", "doc_id", "row"), "places")
+        table = spark.sparkContext.broadcast(passages.bit_table(places.select(F.col("row").alias("h")).distinct()))
+
+        def may(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                hit = passages.marked(table.value, batch.column(1).to_numpy().view(np.uint64))
+                yield batch.filter(pa.array(hit))
+
+        texts = (docs.select("doc_id", "row", "text").mapInArrow(may, "doc_id long, row long, text string").alias("t")
+                 .join(places.alias("p"), (F.col("t.row") == F.col("p.row")) & F.col("t.doc_id").eqNullSafe(F.col("p.doc_id")))
+                 .select("p.node", "t.text").dropDuplicates(["node"]))
+        texts = write(texts, "texts")
+
+        def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                left, right = (list(gram_sets(batch.column(i), gram)) for i in (2, 3))
+                keep = []
+                for u, v in zip(left, right):
+                    common = len(np.intersect1d(u, v, assume_unique=True))
+                    keep.append(100 * common >= percent * (len(u) + len(v) - common))
+                yield pa.record_batch(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+        both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
+                .join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b"))
+        return written(both.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long"), "links")
+
+
+def unpacked(counts) -> np.ndarray:
+    return np.frombuffer(b"".join(counts.to_pylist()), np.uint8).reshape(-1, CLASSES).astype(np.int16)
+
+
+def may_link(x: np.ndarray, y: np.ndarray, n, m, percent: int) -> np.ndarray:
+    """Whether the sizes and counts by class leave two sets a chance.
+
+    Sets with similarity t differ in at most (1 - t) / (1 + t) of their sizes' sum, and at least by their counts.
+    """
+    near = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+    near[near] = (100 + percent) * np.abs(y[near] - (x[near] if x.ndim > 1 else x)).sum(1) <= (
+        100 - percent) * (n + m)[near]
+    return near
 
 
 def across(members: DataFrame, percent: int) -> DataFrame:
@@ -220,15 +245,13 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 def _chances(group: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
     i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
     own, node, label, n = (group.column(c).to_numpy() for c in ("own", "node", "label", "n"))
-    counts = np.frombuffer(b"".join(group.column("counts").to_pylist()), np.uint16).reshape(-1, CLASSES).astype(np.int32)
+    counts = unpacked(group.column("counts"))
     found_a, found_b = [node[:0]], [node[:0]]
     right = np.flatnonzero(own == j)
     for x in np.flatnonzero(own == i).tolist():
         y = right[right > x] if i == j else right
         y = y[label[y] != label[x]]
-        y = y[100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])]
-        # sets with this similarity differ in at most (1 - t) / (1 + t) of their sizes' sum
-        y = y[(100 + percent) * np.abs(counts[y] - counts[x]).sum(1) <= (100 - percent) * (n[x] + n[y])]
+        y = y[may_link(counts[x], counts[y], n[x], n[y], percent)]
         found_a.append(np.full(len(y), node[x]))
         found_b.append(node[y])
     return np.concatenate(found_a), np.concatenate(found_b)
@@ -239,14 +262,28 @@ def linked(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFra
     docs = passages.source(docs)
     spark = docs.sparkSession
     levels = spark.sparkContext.broadcast(sketch(docs, gram))
-    rows = written(described(docs, levels, gram, percent), "sets")
-    described_ = rows.where("prefix is not null")
-    # tasks describe a node once each; one of their rows is enough, and they agree but for the place
-    nodes = written(described_.select("node", "n", "codes", "counts", "doc_id", "row").dropDuplicates(["node"]), "nodes")
+    with temporary(spark) as write:
+        sets = write(described(docs, levels, gram, percent), "sets")
+        rows = written(sets.select("doc_id", "row", "node", "n"), "rows")
+        described_ = sets.where("prefix is not null")
+        # tasks describe a node once each; one of their rows is enough, and they agree but for the place
+        nodes = write(described_.select("node", "n", "codes", "counts", "doc_id", "row").dropDuplicates(["node"]), "nodes")
+        labels = _labels(docs, described_, nodes, gram, percent, write)
+    out = rows.join(labels, "node", "left").select(
+        "doc_id", "row", F.col("n").alias("n_shingles"), F.coalesce("label", "node").alias("label"))
+    least = out.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    whole = out.where("label is not null").join(least, "label")
+    none = out.where("label is null").withColumn("component_id", F.col("doc_id"))
+    columns = ["doc_id", "row", "n_shingles", "label", "component_id"]
+    return whole.select(columns).unionByName(none.select(columns))
+
+
+def _labels(docs: DataFrame, described_: DataFrame, nodes: DataFrame, gram: int, percent: int, write) -> DataFrame:
+    """The components of all linked nodes."""
     tokens = described_.select("node", F.explode("prefix").alias("gram"))
-    shared = written(tokens.groupBy("gram").agg(F.count("*").alias("total"), F.min("node").alias("first"),
-                                                F.max("node").alias("last")).where("first <> last").drop("last"), "grams")
-    table = spark.sparkContext.broadcast(passages.bit_table(shared.select(F.col("gram").alias("h"))))
+    shared = write(tokens.groupBy("gram").agg(F.count("*").alias("total"), F.min("node").alias("first"),
+                                              F.max("node").alias("last")).where("first <> last").drop("first", "last"), "grams")
+    table = docs.sparkSession.sparkContext.broadcast(passages.bit_table(shared.select(F.col("gram").alias("h"))))
 
     def may(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -256,24 +293,35 @@ def linked(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFra
             yield pa.record_batch([batch.column(0).take(pa.array(owner[hit])), prefix.flatten().filter(pa.array(hit))],
                                   ["node", "gram"])
 
-    tokens = written(described_.select("node", "prefix").mapInArrow(may, "node long, gram long")
-                     .join(shared, "gram").distinct(), "members")
-    near = tokens.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    links = verified(docs, nodes, near, gram, percent)
-    labels = components(links)
-    named = (tokens.join(labels, "node", "left").select("gram", "node", "total", F.coalesce("label", "node").alias("label")))
-    mixed = named.groupBy("gram").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("gram")
-    members = named.join(mixed, "gram").join(nodes.select("node", "n", "counts"), "node")
-    rest = across(members, percent)
-    more = verified(docs, nodes, rest.join(near, ["a", "b"], "left_anti"), gram, percent)
-    labels = components(links.unionByName(more))
-    out = rows.join(labels, "node", "left").select(
-        "doc_id", "row", F.col("n").alias("n_shingles"), F.coalesce("label", "node").alias("label"))
-    least = out.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    whole = out.where("label is not null").join(least, "label")
-    none = out.where("label is null").withColumn("component_id", F.col("doc_id"))
-    columns = ["doc_id", "row", "n_shingles", "label", "component_id"]
-    return whole.select(columns).unionByName(none.select(columns))
+    tokens = write(described_.select("node", "prefix").mapInArrow(may, "node long, gram long")
+                   .join(shared, "gram").distinct(), "members")
+    labels = links = tested = None  # no pairs yet
+    for number in range(ROUNDS + 1):
+        named = tokens if labels is None else tokens.join(labels, "node", "left")
+        named = named.withColumn("label", F.lit(None).cast("long") if labels is None else F.col("label"))
+        named = named.withColumn("label", F.coalesce("label", "node"))
+        turn = F.lit(int(windows.mix(np.array([number], np.uint64))[0] >> np.uint64(1)))
+        mixed = (named.groupBy("gram").agg(F.min("label").alias("x"), F.max("label").alias("y"),
+                                           F.min(F.col("node").bitwiseXOR(turn)).alias("center"))
+                 .where("x <> y").select("gram", F.col("center").bitwiseXOR(turn).alias("center")))
+        named = named.join(mixed, "gram")
+        if number < ROUNDS:  # each node with one node of each n-gram it shares with other components
+            pairs = named.where("node <> center").select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b"))
+        else:
+            pairs = across(named.join(nodes.select("node", "n", "counts"), "node"), percent)
+        pairs = pairs.distinct()
+        if labels is not None:
+            apart = lambda side: labels.select(F.col("node").alias(side), F.col("label").alias(f"l{side}"))
+            pairs = pairs.join(apart("a"), "a", "left").join(apart("b"), "b", "left").where(
+                "coalesce(la, a) <> coalesce(lb, b)").select("a", "b").join(tested, ["a", "b"], "left_anti")
+        pairs = write(pairs, "candidates")
+        if pairs.isEmpty():  # rounds of stars may have nothing new while pairs across components remain
+            continue
+        found = verified(docs, nodes, pairs, gram, percent)
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        links = found if links is None else links.unionByName(found)
+        labels = components(links)
+    return labels if labels is not None else nodes.select("node", F.col("node").alias("label")).where("false")
 
 
 def one_each(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstar.llm import windows
-from tillstar.llm.scratch import small_batches, written
+from tillstar.llm.scratch import small_batches, temporary, written
 
 MOST_BITS = 1 << 30
 SLICE = 1 << 19  # bits
@@ -166,42 +166,43 @@ def spans(docs: DataFrame, index: Callable, alone: Column, fields: str, window:
     ``least`` and ``size``. ``wanted`` is the condition under which a place takes such a span.
     """
     spark = docs.sparkSession
-    grams = written(repeated_grams(docs, window, gram, by_word), "grams")
-    table = spark.sparkContext.broadcast(bit_table(grams))
-    places = written(regions(docs, table, window, gram, key_gram, by_word), "regions")
-    distinct = written(places.groupBy("region").agg(
-        F.max("key").alias("key"), F.count("*").alias("n"), F.min("doc_id").alias("least"), F.max("size").alias("size"),
-        F.min("task").alias("task")), "distinct")
-    several = distinct.groupBy("key").agg(F.count("*").alias("of_key"))
-    distinct = written(distinct.join(several, "key"), "distinct")
-    several = distinct.where("of_key > 1")
-    # one task's copy of each body that is compared, found by a bit table before anything is shuffled
-    chosen = spark.sparkContext.broadcast(bit_table(several.select(F.xxhash64("region", "task").alias("h"))))
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hit = marked(chosen.value, batch.column(2).to_numpy().view(np.uint64))
-            yield batch.select([0, 1]).filter(pa.array(hit))
-
-    bodies = (places.where("body is not null").select("region", "body", F.xxhash64("region", "task").alias("h"))
-              .mapInArrow(pick, "region binary, body binary"))
-    rows = several.join(bodies.dropDuplicates(["region"]), "region").select("region", "key", "n", "least", "body")
-
-    def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in whole_keys(batches):
-            found = index(rows)
-            yield pa.record_batch([pa.array([r[0] for r in rows], pa.binary()),
-                                   pa.array(found, ARROW_FIELDS[fields])], ["region", "found"])
-
-    kind = f"array<struct<{fields}>>"
-    found = rows.repartition("key").sortWithinPartitions("key").mapInArrow(indexed, f"region binary, found {kind}")
-    single = distinct.where("of_key = 1").select("region", alone.cast(kind).alias("found"))
-    found = found.unionByName(single).where("size(found) > 0")
-    return (places.select("region", "doc_id", "row", "start").join(found, "region")
-            .select("doc_id", "row", "start", F.explode("found").alias("f")).where(wanted)
-            .select("doc_id", "row", F.struct((F.col("start") + F.col("f.s")).alias("s"),
-                                              (F.col("start") + F.col("f.e")).alias("e")).alias("span"))
-            .groupBy("doc_id", "row").agg(F.collect_set("span").alias("spans")))
+    with temporary(spark) as write:
+        grams = write(repeated_grams(docs, window, gram, by_word), "grams")
+        table = spark.sparkContext.broadcast(bit_table(grams))
+        places = write(regions(docs, table, window, gram, key_gram, by_word), "regions")
+        distinct = write(places.groupBy("region").agg(
+            F.max("key").alias("key"), F.count("*").alias("n"), F.min("doc_id").alias("least"), F.max("size").alias("size"),
+            F.min("task").alias("task")), "distinct")
+        several = distinct.groupBy("key").agg(F.count("*").alias("of_key"))
+        distinct = write(distinct.join(several, "key"), "distinct")
+        several = distinct.where("of_key > 1")
+        # one task's copy of each body that is compared, found by a bit table before anything is shuffled
+        chosen = spark.sparkContext.broadcast(bit_table(several.select(F.xxhash64("region", "task").alias("h"))))
+
+        def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                hit = marked(chosen.value, batch.column(2).to_numpy().view(np.uint64))
+                yield batch.select([0, 1]).filter(pa.array(hit))
+
+        bodies = (places.where("body is not null").select("region", "body", F.xxhash64("region", "task").alias("h"))
+                  .mapInArrow(pick, "region binary, body binary"))
+        rows = several.join(bodies.dropDuplicates(["region"]), "region").select("region", "key", "n", "least", "body")
+
+        def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rows in whole_keys(batches):
+                found = index(rows)
+                yield pa.record_batch([pa.array([r[0] for r in rows], pa.binary()),
+                                       pa.array(found, ARROW_FIELDS[fields])], ["region", "found"])
+
+        kind = f"array<struct<{fields}>>"
+        found = rows.repartition("key").sortWithinPartitions("key").mapInArrow(indexed, f"region binary, found {kind}")
+        single = distinct.where("of_key = 1").select("region", alone.cast(kind).alias("found"))
+        found = found.unionByName(single).where("size(found) > 0")
+        return written(places.select("region", "doc_id", "row", "start").join(found, "region")
+                .select("doc_id", "row", "start", F.explode("found").alias("f")).where(wanted)
+                .select("doc_id", "row", F.struct((F.col("start") + F.col("f.s")).alias("s"),
+                                                  (F.col("start") + F.col("f.e")).alias("e")).alias("span"))
+                .groupBy("doc_id", "row").agg(F.collect_set("span").alias("spans")), "spans")
 
 
 _int, _long = pa.int32(), pa.int64()

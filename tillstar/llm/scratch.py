@@ -2,16 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from tillstar.session import materialised
+from pyspark.sql import DataFrame, SparkSession
 
+from tillstar.session import scratch_path
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Written to the shared folder and read back: lineage ends there, and a lost executor costs a re-read."""
-    return materialised(df, f"llm-{name}")
+#: Spark then deletes an execution's shuffle files when it ends, not whenever the driver collects its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def small_batches(spark: SparkSession, rows: int = 2000) -> None:
     """Hand texts to Python in small Arrow batches: long documents make Spark's usual 10,000 rows a lot of memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def _write(df: DataFrame, path: str) -> DataFrame:
+    spark = df.sparkSession
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")  # this execution runs once: its result is what is written
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder and read back: lineage ends there, and a lost executor costs a re-read."""
+    return _write(df, scratch_path(df.sparkSession, f"llm-{name}"))
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """``written`` for tables that nothing reads after the block; they are deleted at its end."""
+    paths: list[str] = []
+
+    def write(df: DataFrame, name: str) -> DataFrame:
+        paths.append(scratch_path(spark, f"llm-{name}"))
+        return _write(df, paths[-1])
+
+    try:
+        yield write
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(conf).delete(target, True)

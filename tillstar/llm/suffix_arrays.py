@@ -255,7 +255,7 @@ def repeat_digests(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 def _cut(docs: DataFrame, window: int, schema: str, finish, kind) -> DataFrame:
     docs = passages.source(docs)
     name = schema.rsplit(", ", 1)[1].split()[0]
-    found = passages.written(repeated_bytes(docs, window), "spans")
+    found = repeated_bytes(docs, window)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
