@@ -59,7 +59,7 @@ def key(rows):
     return sorted(map(repr, map(tuple, rows)))
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_all_pairs(spark, seed):
     rows = made_rows(seed)
     found = ngram_join.linked(frame(spark, rows)).select("doc_id", "n_shingles", "component_id").collect()

@@ -27,7 +27,7 @@ from tillstar.llm import passages, windows
 from tillstar.llm.scratch import written
 
 STATES, OWN, CLASSES, KNOWN = 6, 1 << 16, 512, 1 << 19
-SAMPLE, SAMPLE_PASSES, PASSES = 400, 20, 2
+SAMPLE, SAMPLE_PASSES, PASSES = 400, 20, 3
 SEQUENCE = 1024
 #: Tokens handled at once.
 GROUP = 1 << 19

@@ -29,9 +29,10 @@ from pyspark.sql import functions as F
 from tillstar.session import scratch_path
 
 #: Words in the automaton: at most a few MB, whatever the corpus.
-WORDS = 50_000
+WORDS = 100_000
 #: Pieces that a worker remembers or counts before it passes them on.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
+POINTS = (".", ",", ";", ":", "!", "?")
 #: The pattern by which the vocabulary's words are cut.
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
            r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
@@ -60,34 +61,42 @@ class Merger:
         for token, i in self.special.items():
             self.bytes[i] = token.encode()
         self.first = [vocabulary[c] for c, _ in sorted(letters.items(), key=lambda x: x[1])]
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.merges: dict[tuple[int, int], int] = {}  # a pair's rank
+        self.merged: list[int] = []  # by rank: the id that the pair becomes
         for rank, pair in enumerate(saved["model"]["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges[vocabulary[a], vocabulary[b]] = (rank, vocabulary[a + b])
+            self.merges[vocabulary[a], vocabulary[b]] = rank
+            self.merged.append(vocabulary[a + b])
 
     def ids(self, word: bytes) -> list[int]:
-        ids, merges = [self.first[b] for b in word], self.merges
+        first = self.first
+        ids = [first[b] for b in word]
         if len(ids) > 100:
             return self._long(ids)
-        while len(ids) > 1:
-            found = [merges.get(p) for p in zip(ids, ids[1:])]
-            known = [f for f in found if f]
-            if not known:
+        rank, none = self.merges.get, len(self.merged)
+        ranks = [rank(pair, none) for pair in zip(ids, ids[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == none:
                 break
-            best = min(known)
-            at = found.index(best)
-            ids[at: at + 2] = [best[1]]
+            at = ranks.index(best)
+            ids[at: at + 2] = [self.merged[best]]
+            del ranks[at]  # the pairs on both sides are new ones
+            if at:
+                ranks[at - 1] = rank((ids[at - 1], ids[at]), none)
+            if at < len(ranks):
+                ranks[at] = rank((ids[at], ids[at + 1]), none)
         return ids
 
     def _long(self, ids: list[int]) -> list[int]:
         """The same with a heap of pairs, for words of any length."""
-        n, merges = len(ids), self.merges
+        n, rank = len(ids), self.merges.get
         after, before = [*range(1, n), -1], [-1, *range(n - 1)]
-        heap = [(*m, i, ids[i], ids[i + 1]) for i in range(n - 1) if (m := merges.get((ids[i], ids[i + 1])))]
+        heap = [(m, i, *pair) for i, pair in enumerate(zip(ids, ids[1:])) if (m := rank(pair)) is not None]
         heapq.heapify(heap)
         while heap:
-            _, new, i, a, b = heapq.heappop(heap)
-            j = after[i]
+            m, i, a, b = heapq.heappop(heap)
+            j, new = after[i], self.merged[m]
             if ids[i] != a or j < 0 or ids[j] != b:
                 continue
             ids[i], ids[j] = new, -1
@@ -95,8 +104,8 @@ class Merger:
             if after[i] >= 0:
                 before[after[i]] = i
             for x in (before[i], i):
-                if x >= 0 and after[x] >= 0 and (m := merges.get((ids[x], ids[after[x]]))):
-                    heapq.heappush(heap, (*m, x, ids[x], ids[after[x]]))
+                if x >= 0 and after[x] >= 0 and (m := rank((ids[x], ids[after[x]]))) is not None:
+                    heapq.heappush(heap, (m, x, ids[x], ids[after[x]]))
         return [x for x in ids if x >= 0]
 
 
@@ -183,6 +192,15 @@ class Lexicon:
         return bytes(self.ids[4 * self.offsets[place]: 4 * self.offsets[place + 1]])
 
 
+def spaced_words(piece: str, find) -> list[str]:
+    """The words of a space and what follows it up to the next one; most are letters, maybe with a point at the end."""
+    if piece.isalpha():
+        return [" " + piece]
+    if piece[-1:] in POINTS and piece[:-1].isalpha():
+        return [" " + piece[:-1], piece[-1]]
+    return find(" " + piece)
+
+
 class Encoder:
     """Ids of whole texts: special strings, then pieces at single spaces, then words, through the lexicon or merging."""
 
@@ -195,11 +213,22 @@ class Encoder:
         self.special = self.merger.special
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split if self.special else None
         self.spaced: dict[str, bytes] = {}
+        self.unseen: dict[str, bytes] = {}
 
     def word(self, word: str) -> bytes:
+        known = self.unseen.get(word)
+        if known is not None:
+            return known
         body = word.encode()
         found = self.lexicon.get(body) if self.lexicon else None
-        return found if found is not None else np.array(self.merger.ids(body), np.uint32).tobytes()
+        if found is None:
+            ids = self.merger.ids(body)
+            found = struct.pack(f"<{len(ids)}I", *ids)
+            if len(self.unseen) >= REMEMBERED:
+                self.unseen.clear()
+            if len(word) < 100:
+                self.unseen[word] = found
+        return found
 
     def plain(self, text: str) -> bytes:
         """Ids of a text without special strings."""
@@ -213,7 +242,7 @@ class Encoder:
                 known.clear()
                 new = set(pieces)
             for piece in new:
-                known[piece] = b"".join(map(self.word, self.words(" " + piece)))
+                known[piece] = b"".join(map(self.word, spaced_words(piece, self.words)))
         return b"".join([*map(self.word, self.words(head)), *map(known.__getitem__, pieces)])
 
     def encode(self, text: str) -> bytes:
@@ -250,32 +279,28 @@ def frequent_words(docs: DataFrame, most: int = WORDS) -> list[bytes]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
-        find, seen = regex.compile(PATTERN).findall, Counter()
+        find, seen, words = regex.compile(PATTERN).findall, Counter(), Counter()
 
         def flush():
-            words: Counter[str] = Counter()
             for piece, n in seen.items():
-                for word in find(piece):
+                for word in spaced_words(piece, find):
                     words[word] += n
+            out = pa.record_batch([pa.array([w.encode() for w in words], pa.binary()), pa.array(words.values(), pa.int64())],
+                                  ["word", "n"])
             seen.clear()
-            return pa.record_batch([pa.array([w.encode() for w in words], pa.binary()),
-                                    pa.array(words.values(), pa.int64())], ["word", "n"])
+            words.clear()
+            return out
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 if text:
                     head, *pieces = text.split(" ")
                     seen.update(pieces)
-                    seen[head] += 1
+                    words.update(find(head))
                 if len(seen) > REMEMBERED:
-                    yield spaced(flush())
-        if seen:
-            yield spaced(flush())
-
-    def spaced(batch: pa.RecordBatch) -> pa.RecordBatch:
-        """Words mostly follow a space; count them so."""
-        words = [b" " + w if w[:1].isalnum() or w[0] >= 128 else w for w in batch.column(0).to_pylist()]
-        return pa.record_batch([pa.array(words, pa.binary()), batch.column(1)], ["word", "n"])
+                    yield flush()
+        if seen or words:
+            yield flush()
 
     top = (docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "word").limit(most))
