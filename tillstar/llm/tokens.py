@@ -12,8 +12,9 @@ import numpy as np
 
 END = np.uint32(1).tobytes()
 MARK = "\x01"
-#: Pieces that a worker remembers.
+#: Pieces, and words in them, that a worker remembers.
 REMEMBERED = 500_000
+LATIN_END, POINTS = "\u0250", ".,;:!?"
 
 
 class WordEncoder:
@@ -27,30 +28,51 @@ class WordEncoder:
         self.library.no_truncation()
         self.mark = self._ids(MARK)
         self.known: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
     def learn(self, pieces: list[bytes]) -> None:
-        """Encode pieces that are not known yet."""
+        """Encode pieces that are not known yet. Most are letters with a point after them, whose words recur."""
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        plain = [p for p in pieces if MARK.encode() not in p]
-        for a in range(0, len(plain), 500):
-            part = plain[a: a + 500]
-            text = f" {MARK} ".join(p.decode() for p in part)
-            ids = np.array(self._ids(text), np.uint32)
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        plain, other = [], []
+        for p in pieces:
+            text = p.decode()
+            if max(text) < LATIN_END and "\u0130" not in text:  # these letters have plain lower cases and no marks
+                text = text.lower()
+                word = text.rstrip(POINTS)
+                if word.isalpha():
+                    plain.append((p, word, text[len(word):]))
+                    continue
+            other.append((p, p.decode()))
+        self._spell({w for _, *both in plain for w in both if w and w not in self.words}, self.words)
+        words = self.words
+        for p, word, points in plain:
+            self.known[p] = words[word] + words[points] if points else words[word]
+        found: dict[str, bytes] = {}
+        self._spell({text for _, text in other}, found)
+        for p, text in other:
+            self.known[p] = found[text]
+
+    def _spell(self, texts: set[str], out: dict[str, bytes]) -> None:
+        """The library's ids of each text, many at a time with a marker between them."""
+        marked = [t for t in texts if MARK not in t]
+        for t in texts.difference(marked):
+            out[t] = np.array(self._ids(t), np.uint32).tobytes()
+        for a in range(0, len(marked), 500):
+            part = marked[a: a + 500]
+            ids = np.array(self._ids(f" {MARK} ".join(part)), np.uint32)
             cuts = np.flatnonzero(ids == self.mark[0])
             if len(self.mark) != 1 or len(cuts) != len(part) - 1:
-                for p in part:
-                    self.known[p] = np.array(self._ids(p.decode()), np.uint32).tobytes()
+                for t in part:
+                    out[t] = np.array(self._ids(t), np.uint32).tobytes()
                 continue
-            for p, x, y in zip(part, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]):
-                self.known[p] = ids[x:y].tobytes()
-        if len(plain) < len(pieces):
-            for p in pieces:
-                if MARK.encode() in p:
-                    self.known[p] = np.array(self._ids(p.decode()), np.uint32).tobytes()
+            for t, x, y in zip(part, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]):
+                out[t] = ids[x:y].tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; null counts as empty."""
