@@ -25,7 +25,7 @@ from tillstar.llm.scratch import written
 
 NEIGHBOURS, BUILD_WIDTH, SEARCH_WIDTH = 12, 64, 128
 #: Points of a shard, and queries of a block.
-SHARD, BLOCK = 8192, 1024
+SHARD, BLOCK = 4096, 1024
 
 
 class Graph:
@@ -166,7 +166,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_column: str
     copies = written(copies.select("point", "v", "id", "place"), "points")
     points = copies.where("place = 1").select("point", "v", F.size("v").alias("size"))
     shards = max(1, -(-points.count() // shard))
-    dealt = points.withColumn("shard", F.pmod(F.xxhash64("point", F.lit(1)), F.lit(shards)))
+    # a task a shard: its work is far more than its bytes, by which Spark would merge tasks
+    dealt = points.withColumn("shard", F.pmod(F.xxhash64("point", F.lit(1)), F.lit(shards))).repartition(shards, "size", "shard")
     stored = written(graphs(dealt, shard, neighbours, build_width), "graphs")
 
     def pack(key, rows):
