@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from tillstar.llm import (hmm, hnsw, lexicon, merkle, ngram_join, orc_tokens, packing, quality, substring_dedup,
                           suffix_arrays)
+from tillstar.llm.oracle import ORACLE
 from tillstar.session import scratch_path
 
 
@@ -66,4 +67,4 @@ QUERIES = {f.__name__: f for f in (
     op1_token_orc, op2_hmm_scores, op3_quality, op4_merkle, op5_substring_dedup, op6_packing, op7_hnsw,
     op8_suffix_array_dedup, op9_lexicon, op10_ngram_join, pipeline)}
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
