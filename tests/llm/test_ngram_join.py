@@ -77,6 +77,7 @@ def test_blocks(spark, monkeypatch):
         for _ in range(rng.randint(0, 5)):
             w[rng.randrange(60)] = f"x{rng.randint(0, 5)}"
         rows.append((i, " ".join(w)))
+    monkeypatch.setattr(ngram_join, "ROUNDS", 1)
     found = ngram_join.linked(frame(spark, rows), 2, 80).select("doc_id", "n_shingles", "component_id").collect()
     assert key(found) == key(brute(rows, 2, 80))
 

@@ -206,23 +206,33 @@ def may_link(x: np.ndarray, y: np.ndarray, n, m, percent: int) -> np.ndarray:
 def across(members: DataFrame, percent: int) -> DataFrame:
     """Pairs of nodes of one n-gram in different components whose sizes and counts leave them a chance.
 
-    ``members``: ``gram``, ``node``, ``label``, ``n``, ``counts``, ``total`` (nodes of the n-gram). An n-gram with
-    over BLOCK nodes is dealt to tasks as pairs of blocks.
+    ``members``: ``gram``, ``node``, ``label``, ``n``, ``counts``, ``total`` (nodes of the n-gram) and ``x`` (the smallest
+    label among them). An n-gram with over BLOCK nodes is dealt to tasks as pairs of blocks. N-grams with the same ``x``
+    mostly have the same nodes, so they are looked at one after another and a pair is passed on once.
     """
     blocks = F.ceil(F.col("total") / BLOCK)
     own = F.pmod(F.xxhash64("node"), blocks)
     dealt = (members.withColumn("own", own)
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-             .select("gram", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own",
+             .select("gram", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "x", "own",
                      "node", "label", "n", "counts"))
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
+        last = None
         for group in _groups(batches):
+            x = group.column("x")[0].as_py()
+            if x != last or len(seen) > passages.REMEMBERED * 3:
+                seen.clear()
+                last = x
             a, b = _chances(group, percent)
-            if len(a):
-                yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+            found = set(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist())) - seen
+            if found:
+                seen |= found
+                a, b = zip(*found)
+                yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return (dealt.repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j")
+    return (dealt.repartition("x", "i", "j").sortWithinPartitions("x", "i", "j", "gram")
             .mapInArrow(pairs, "a long, b long").distinct())
 
 
@@ -303,7 +313,7 @@ def _labels(docs: DataFrame, described_: DataFrame, nodes: DataFrame, gram: int,
         turn = F.lit(int(windows.mix(np.array([number], np.uint64))[0] >> np.uint64(1)))
         mixed = (named.groupBy("gram").agg(F.min("label").alias("x"), F.max("label").alias("y"),
                                            F.min(F.col("node").bitwiseXOR(turn)).alias("center"))
-                 .where("x <> y").select("gram", F.col("center").bitwiseXOR(turn).alias("center")))
+                 .where("x <> y").select("gram", "x", F.col("center").bitwiseXOR(turn).alias("center")))
         named = named.join(mixed, "gram")
         if number < ROUNDS:  # each node with one node of each n-gram it shares with other components
             pairs = named.where("node <> center").select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b"))
