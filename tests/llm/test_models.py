@@ -152,6 +152,29 @@ def test_better_than_the_base(spark):
     assert ((rows.score > rows.base_score).mean()) > 0.9
 
 
+def test_states_see_all_documents(spark):
+    """Words that stand only late in long texts get a state of their own, and one pass keeps it."""
+    rng = random.Random(4)
+    some = lambda kind, n: " ".join(f"{kind}{rng.randrange(30)}" for _ in range(n))
+    long = [d for d in range(40) if not held(d)][:16]
+    rows = [(d, some("a", 8 * 1024) + " " + some("b", 1024)) for d in long]
+    only = next(d for d in range(100, 200) if held(d))
+    found = hmm.scores(frame(spark, [*rows, (only, some("b", 200))]), 2, 1 << 10, 1 << 12, 1).where(f"doc_id = {only}")
+    score = found.collect()[0].score / 200
+    assert score > math.log10(1 / 30) - 0.1
+
+
+def test_training_settles(spark):
+    """Without a number of passes, training goes on until one more pass hardly raises the likelihood."""
+    rows = hmm.encoded(hmm.source(frame(spark, list(enumerate(texts(8, 40))))), spark.sparkContext.broadcast(
+        hmm.common_words(hmm.count_words(hmm.source(frame(spark, list(enumerate(texts(8, 40)))))), 20, 30)))
+    start = hmm.beginning(rows, 20 + hmm.CLASSES, 2)
+    settled = hmm.trained(rows, start)
+    after, likelihood = hmm.one_pass(rows, settled)
+    assert hmm.one_pass(rows, after)[1] - likelihood < 2 * hmm.SETTLED * abs(likelihood)
+    assert likelihood > hmm.one_pass(rows, start)[1]
+
+
 def test_no_training(spark):
     rows = [(d, "a b") for d in range(200) if held(d)]
     assert {(r.train_tokens, r.score) for r in hmm.scores(frame(spark, rows)).collect()} == {(0, 0.0)}

@@ -2,9 +2,10 @@
 
 Words are counted over the training documents. The OWN most frequent words are letters of the model's alphabet; all
 others, and unseen words, share CLASSES letters by their length and last byte, and a class hands its probability on to
-its words by their counts. Latent states start from a bounded sample of documents (``SAMPLE``) and are then trained on
-every training document: tasks compute expected counts, Spark adds them up, the driver keeps one table of states by
-letters. A document's score is exact over its whole length: the forward recursion is scaled at every token, and what
+its words by their counts. Latent states start from groups of all training documents' sequences, split again and again
+along the direction in which their hashed word shares vary most, and are then trained on every training document until
+the likelihood settles: tasks compute sums and expected counts, Spark adds them up, the driver keeps one table of states
+by letters. A document's score is exact over its whole length: the forward recursion is scaled at every token, and what
 words beyond the KNOWN most frequent add is joined by Spark from the counts of all words.
 
 Rules: a null text is empty and has the end token only. A null id is held out, like an id whose CRC-32 is divisible by
@@ -24,11 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.llm import passages, windows
-from tillstar.llm.scratch import written
+from tillstar.llm.scratch import cleaned, written
 
 STATES, OWN, CLASSES, KNOWN = 6, 1 << 16, 512, 1 << 19
-SAMPLE, SAMPLE_PASSES, PASSES = 400, 20, 3
+#: Training ends with the pass that raises the likelihood's logarithm by less than this share of it.
+SETTLED = 1e-4
 SEQUENCE = 1024
+#: Hashed word shares by which sequences are grouped for the first model.
+SHARES = 256
 #: Tokens handled at once.
 GROUP = 1 << 19
 END = np.uint64(0x454E44)  # stands for the end token; no word hash is special, so it is as likely as any to collide
@@ -230,45 +234,16 @@ def cut(letters: np.ndarray) -> list[np.ndarray]:
     return [letters[a: a + SEQUENCE] for a in range(0, len(letters), SEQUENCE)]
 
 
-def beginning(sequences: list[np.ndarray], letters: int, states: int = STATES, passes: int = SAMPLE_PASSES) -> Model:
-    """A first model from sample documents: each state starts as one of documents that are far from each other."""
-    whole = np.bincount(np.concatenate(sequences), minlength=letters) + 0.1
-    rng = np.random.default_rng(7)
-    size = np.array([len(s) for s in sequences])
-    long = [sequences[i] for i in np.argsort(-size)[: max(states, len(sequences) // 2)].tolist()]
-    shares = np.array([whole / whole.sum()])
-    emits = []
-    for _ in range(states):
-        # the document that the states so far, and all words together, explain worst for each token
-        gain = [np.log(shares[:, s].max(0)).mean() for s in long]
-        pick = long[int(np.argmin(gain))]
-        near = sorted(long, key=lambda s: -np.isin(s, pick).mean())[: max(1, len(long) // (2 * states))]
-        own = np.bincount(np.concatenate(near), minlength=letters) + 20 * whole / whole.sum()
-        emits.append(own * rng.uniform(0.9, 1.1, letters))
-        shares = np.vstack([shares, own / own.sum()])
-    move = np.full((states, states), 0.02 / max(1, states - 1)) + np.eye(states) * 0.98
-    emit = np.stack(emits, 1)
-    model = Model(np.full(states, 1 / states, np.float32), (move / move.sum(1, keepdims=True)).astype(np.float32),
-                  (emit / emit.sum(0)).astype(np.float32))
-    parts = [p for s in sequences for p in cut(s)]
-    for _ in range(passes):
-        model = renewed(*expected(model, parts)[:3])
-    return model
-
-
-def one_pass(rows: DataFrame, model: Model) -> Model:
-    """Baum-Welch once over all training documents: tasks add up their counts, Spark adds the tasks'."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
-    states = model.move.shape[0]
-
-    def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def summed(rows: DataFrame, work) -> np.ndarray:
+    """The sum of ``work(sequences)``, an array, over all training documents: tasks add up theirs, Spark adds the tasks'."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = None
         held: list[np.ndarray] = []
         size = 0
         def add():
             nonlocal sums
-            found = expected(shared.value, held)[:3]
-            sums = found if sums is None else tuple(x + y for x, y in zip(sums, found))
+            found = work(held)
+            sums = found if sums is None else sums + found
         for batch in batches:
             for body in batch.column(0).to_pylist():
                 held += cut(np.frombuffer(body, np.int32))
@@ -279,8 +254,7 @@ def one_pass(rows: DataFrame, model: Model) -> Model:
         if held:
             add()
         if sums is not None:
-            flat = np.concatenate([x.ravel() for x in sums]).astype(np.float32)
-            parts = np.array_split(flat, SLICES)
+            parts = np.array_split(sums.astype(np.float32), SLICES)
             yield pa.record_batch([pa.array(range(SLICES), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())],
                                   ["slice", "sums"])
 
@@ -288,14 +262,112 @@ def one_pass(rows: DataFrame, model: Model) -> Model:
         whole = sum(np.frombuffer(x.as_py(), np.float32).astype(np.float64) for x in rows.column("sums"))
         return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "sums": pa.array([whole.tobytes()], pa.binary())})
 
-    parts = (rows.where("not held_out").select("letters").mapInArrow(expect, "slice int, sums binary").groupBy("slice")
-             .applyInArrow(total, "slice int, sums binary").collect())
-    flat = np.concatenate([np.frombuffer(p.sums, np.float64) for p in sorted(parts, key=lambda p: p.slice)])
-    starts, moves, emits = np.split(flat, [states, states + states * states])
-    return renewed(starts, moves.reshape(states, states), emits.reshape(-1, states))
+    with cleaned(rows.sparkSession):
+        parts = (rows.where("not held_out").select("letters").mapInArrow(run, "slice int, sums binary").groupBy("slice")
+                 .applyInArrow(total, "slice int, sums binary").collect())
+    return np.concatenate([np.frombuffer(p.sums, np.float64) for p in sorted(parts, key=lambda p: p.slice)])
+
+
+class Split(NamedTuple):
+    """Sequences of ``group`` whose shares lie beyond ``place`` along ``direction`` go to a group of their own."""
+
+    group: int
+    direction: np.ndarray
+    place: float
+
+
+def shares(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Roots of the shares of hashed letters in each sequence, and the sequences' sizes."""
+    sizes = np.array([len(s) for s in sequences])
+    slot = (windows.mix(np.concatenate(sequences).astype(np.uint64)) % np.uint64(SHARES)).astype(np.int64)
+    slot += np.repeat(np.arange(len(sizes)) * SHARES, sizes)
+    found = np.bincount(slot, minlength=len(sizes) * SHARES).reshape(-1, SHARES)
+    return np.sqrt(found / sizes[:, None]), sizes
+
+
+def grouped(x: np.ndarray, splits: list[Split]) -> np.ndarray:
+    group = np.zeros(len(x), np.int64)
+    for new, split in enumerate(splits, 1):
+        group[(group == split.group) & (x @ split.direction > split.place)] = new
+    return group
+
+
+def groups(rows: DataFrame, most: int) -> list[Split]:
+    """Splits of all training sequences into ``most`` groups, fewer where they do not vary."""
+    splits: list[Split] = []
+    while len(splits) + 1 < most:
+        n, made = len(splits) + 1, list(splits)
+
+        def moments(sequences: list[np.ndarray]) -> np.ndarray:
+            x, sizes = shares(sequences)
+            group, out = grouped(x, made), np.zeros((n, SHARES + 1, SHARES + 1))
+            x = np.column_stack([x, np.ones(len(x))])
+            for g in range(n):
+                mine = x[group == g]
+                out[g] = (mine * sizes[group == g, None]).T @ mine
+            return out.ravel()
+
+        found = []
+        for g, m in enumerate(summed(rows, moments).reshape(n, SHARES + 1, SHARES + 1)):
+            weight = m[-1, -1]
+            if weight > 0:
+                mean = m[-1, :-1] / weight
+                spread, directions = np.linalg.eigh(m[:-1, :-1] / weight - np.outer(mean, mean))
+                if spread[-1] > 1e-6:
+                    found.append((weight * spread[-1], Split(g, directions[:, -1], float(mean @ directions[:, -1]))))
+        if not found:
+            break
+        found.sort(key=lambda f: -f[0])
+        splits += [split for _, split in found[: most - n]]
+    return splits
+
+
+def beginning(rows: DataFrame, letters: int, states: int = STATES) -> Model:
+    """A first model from all training documents: each state starts as the letters of one group of sequences."""
+    splits = groups(rows, states)
+
+    def count(sequences: list[np.ndarray]) -> np.ndarray:
+        group = np.repeat(grouped(shares(sequences)[0], splits), [len(s) for s in sequences])
+        return np.bincount(group * letters + np.concatenate(sequences), minlength=states * letters).astype(np.float64)
+
+    own = summed(rows, count).reshape(states, letters)
+    whole = own.sum(0) + 0.1
+    own = own + 20 * whole / whole.sum()
+    emit = (own * np.random.default_rng(7).uniform(0.9, 1.1, own.shape)).T
+    move = np.full((states, states), 0.02 / max(1, states - 1)) + np.eye(states) * 0.98
+    return Model(np.full(states, 1 / states, np.float32), (move / move.sum(1, keepdims=True)).astype(np.float32),
+                 (emit / emit.sum(0)).astype(np.float32))
+
+
+def one_pass(rows: DataFrame, model: Model) -> tuple[Model, float]:
+    """Baum-Welch once over all training documents, and their log10 probability before it."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+    states = model.move.shape[0]
+
+    def count(sequences: list[np.ndarray]) -> np.ndarray:
+        *sums, likelihood = expected(shared.value, sequences)
+        return np.concatenate([*(x.ravel() for x in sums), [likelihood]])
+
+    flat = summed(rows, count)
+    starts, moves, emits = np.split(flat[:-1], [states, states + states * states])
+    return renewed(starts, moves.reshape(states, states), emits.reshape(-1, states)), float(flat[-1])
+
+
+def trained(rows: DataFrame, model: Model, passes: int | None = None) -> Model:
+    """The model after so many passes; without a number, when the likelihood has settled."""
+    before = -np.inf
+    while passes is None or passes > 0:
+        model, likelihood = one_pass(rows, model)
+        if passes is not None:
+            passes -= 1
+        elif likelihood - before < SETTLED * abs(likelihood):
+            break
+        before = likelihood
+    return model
 
 
-def scores(docs: DataFrame, states: int = STATES, own: int = OWN, known: int = KNOWN, passes: int = PASSES) -> DataFrame:
+def scores(docs: DataFrame, states: int = STATES, own: int = OWN, known: int = KNOWN,
+           passes: int | None = None) -> DataFrame:
     """``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``."""
     docs = source(docs)
     sc = docs.sparkSession.sparkContext
@@ -306,11 +378,7 @@ def scores(docs: DataFrame, states: int = STATES, own: int = OWN, known: int = K
     letters = own + CLASSES
     model = None
     if words.total:
-        sample = rows.where("not held_out").orderBy(F.xxhash64("doc_id", "row"), "doc_id", "row").limit(SAMPLE)
-        model = beginning([np.frombuffer(r.letters, np.int32)[: 8 * SEQUENCE] for r in sample.select("letters").collect()],
-                          letters, states)
-        for _ in range(passes):
-            model = one_pass(rows, model)
+        model = trained(rows, beginning(rows, letters, states), passes)
     shared = sc.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

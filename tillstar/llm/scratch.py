@@ -18,14 +18,21 @@ def small_batches(spark: SparkSession, rows: int = 2000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
-def _write(df: DataFrame, path: str) -> DataFrame:
-    spark = df.sparkSession
+@contextmanager
+def cleaned(spark: SparkSession) -> Iterator[None]:
+    """Executions in the block run once: their shuffle files go when they end."""
     before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")  # this execution runs once: its result is what is written
+    spark.conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        yield
     finally:
         spark.conf.set(CLEANUP, before)
+
+
+def _write(df: DataFrame, path: str) -> DataFrame:
+    spark = df.sparkSession
+    with cleaned(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
