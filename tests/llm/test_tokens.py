@@ -12,7 +12,7 @@ from hypothesis import given, settings, strategies as st
 from public_tokenizers import path
 from tokenizers import Tokenizer
 
-from tillstar.llm import lexicon, orc_tokens, packing
+from tillstar.llm import lexicon, orc_tokens, packing, tokens
 from tillstar.llm.tokens import WordEncoder
 
 WORD, BYTE = path("word_bpe_49k.json"), path("byte_bpe_50k.json")
@@ -54,6 +54,15 @@ def test_word_pieces(sample):
     assert own.encode(texts) == [le(other.encode(t or "", add_special_tokens=False).ids) for t in texts]
 
 
+def test_more_pieces_than_remembered(monkeypatch):
+    """A part may hold more new pieces than are remembered, with an empty memory or a full one."""
+    monkeypatch.setattr(tokens, "REMEMBERED", 20)
+    own, other = WordEncoder(WORD), library(WORD)
+    texts = [" ".join(f"{kind}{i} word{i}." for i in range(40)) for kind in "abc"] + ["a1 b2 word3."] * 70
+    expected = [le(other.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert own.encode(texts) == expected and own.encode(texts[::-1]) == expected[::-1]
+
+
 def test_orc(spark, sample, tmp_path):
     other = library(WORD)
     out = str(tmp_path / "tokens")

@@ -35,10 +35,6 @@ class WordEncoder:
 
     def learn(self, pieces: list[bytes]) -> None:
         """Encode pieces that are not known yet. Most are letters with a point after them, whose words recur."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
         plain, other = [], []
         for p in pieces:
             text = p.decode()
@@ -80,11 +76,13 @@ class WordEncoder:
         out = []
         for a in range(0, len(split), 64):
             part = split[a: a + 64]
+            if len(self.known) > REMEMBERED:  # only here: all pieces of a part stay known until it is done
+                self.known.clear()
+            if len(self.words) > REMEMBERED:
+                self.words.clear()
             new = set().union(*part).difference(self.known)
             if new:
                 self.learn(list(new))
-                if len(self.known) == len(new):  # the memory was cleared
-                    self.learn(list(set().union(*part).difference(self.known)))
             get = self.known.__getitem__
             out += [b"".join(map(get, pieces)) for pieces in part]
         return out
