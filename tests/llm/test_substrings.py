@@ -4,7 +4,9 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from tillstar.llm import passages, substring_dedup, suffix_arrays, windows
 
@@ -156,3 +158,38 @@ def test_words_of_bytes(texts):
     flat = [w for f in found for w in f]
     assert len(set(hashes.tolist())) == len(set(flat))
     assert len({(w, h) for w, h in zip(flat, hashes.tolist())}) == len(set(flat))
+
+
+@pytest.mark.parametrize("by_word", [False, True])
+def test_long_documents_in_pieces(monkeypatch, by_word):
+    """Windows of a text with more symbols than positions fit: each stands once, with a gram that its equals share."""
+    monkeypatch.setattr(windows, "POSITION_BITS", 18)
+    rng, window, gram = np.random.default_rng(3), 13, 8
+    words = rng.integers(97, 123, 350_000).astype(np.uint8)
+    words[300_000: 300_400] = words[200: 600]
+    body = bytes(words) if not by_word else b" ".join(bytes([c, c]) for c in words)
+    text = body if not by_word else body + b" "
+    data = np.frombuffer(text + b"next", np.uint8)
+    seen = {}
+    for a, base, raw, part, ends, first, last in passages.parts(data, np.array([0, len(text), len(data)]), window, by_word):
+        if a or len(part) < window:
+            continue
+        hashes = windows.gram_hashes(part, gram)
+        at = windows.least_gram(hashes, window, gram)
+        assert np.all((at >= np.arange(len(at))) & (at <= np.arange(len(at)) + window - gram))
+        for i in np.flatnonzero(windows.inside(ends, window)).tolist():
+            assert base + i not in seen
+            seen[base + i] = int(hashes[at[i]])
+    assert sorted(seen) == list(range(350_000 - window + 1))
+    assert all(seen[200 + i] == seen[300_000 + i] for i in range(400 - window + 1))
+
+
+def test_repeat_late_in_a_very_long_text(spark):
+    passage = "".join(random.Random(9).choice("abcdefghij") for _ in range(400))
+    numbers = F.transform(F.sequence(F.lit(0), F.lit(2_100_000)), lambda i: F.hex(F.xxhash64(i)))
+    long = spark.range(1).select(F.lit(1).cast("long").alias("doc_id"), F.concat(
+        F.array_join(numbers, "-"), F.lit("|" + passage)).alias("text"))
+    docs = long.unionByName(spark.createDataFrame([(2, passage + "!")], "doc_id long, text string"))
+    found = {r.doc_id: r for r in suffix_arrays.repeat_digests(docs).collect()}
+    assert found[1].n_bytes > 1 << windows.POSITION_BITS
+    assert found[2].n_removed == 400 and found[1].n_removed >= 400

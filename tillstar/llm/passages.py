@@ -49,14 +49,37 @@ def symbols_of(data: np.ndarray, offsets: np.ndarray, by_word: bool):
     return windows.word_hashes(data, starts, ends), offsets, starts, ends
 
 
+def parts(data: np.ndarray, offsets: np.ndarray, window: int, by_word: bool) -> Iterator[tuple]:
+    """The symbols of a few documents, or of a piece of a long one, with what ``symbols_of`` gives for them.
+
+    Comes with the number of the first document, the symbols before the piece, and the bytes. Pieces of a document overlap
+    by a window less one symbol, so each window stands in one of them.
+    """
+    for a, z in windows.chunks(offsets):
+        raw, bounds = data[offsets[a]: offsets[z]], offsets[a: z + 1] - offsets[a]
+        if len(raw) <= windows.CHUNK:
+            yield a, 0, raw, *symbols_of(raw, bounds, by_word)
+            continue
+        starts, ends, _ = windows.words(raw, bounds) if by_word else (None, None, None)
+        n = len(starts) if by_word else len(raw)
+        for base in range(0, n - window + 1, windows.CHUNK):
+            last = min(n, base + windows.CHUNK + window - 1)
+            size = np.array([0, last - base])
+            if by_word:
+                piece = raw[starts[base]: ends[last - 1]]
+                first_byte, last_byte = starts[base: last] - starts[base], ends[base: last] - starts[base]
+                yield a, base, piece, windows.word_hashes(piece, first_byte, last_byte), size, first_byte, last_byte
+            else:
+                yield a, base, raw[base: last], raw[base: last], size, None, None
+
+
 def repeated_grams(docs: DataFrame, window: int, gram: int, by_word: bool) -> DataFrame:
     """Hashes of the least grams that stand at two places or more."""
     def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
             data, offsets = windows.flat(batch.column(0))
-            for a, z in windows.chunks(offsets):
-                part, ends, *_ = symbols_of(data[offsets[a]: offsets[z]], offsets[a: z + 1] - offsets[a], by_word)
+            for _, _, _, part, ends, *_ in parts(data, offsets, window, by_word):
                 if len(part) >= window:
                     hashes = windows.gram_hashes(part, gram)
                     at = windows.least_gram(hashes, window, gram)[windows.inside(ends, window)]
@@ -105,9 +128,7 @@ def regions(docs: DataFrame, table, window: int, gram: int, key_gram: int, by_wo
         for batch in batches:
             data, offsets = windows.flat(batch.column(2))
             keys, names, docs_, starts, sizes, bodies = [], [], [], [], [], []
-            for a, z in windows.chunks(offsets):
-                raw = data[offsets[a]: offsets[z]]
-                part, ends, first_byte, last_byte = symbols_of(raw, offsets[a: z + 1] - offsets[a], by_word)
+            for a, base, raw, part, ends, first_byte, last_byte in parts(data, offsets, window, by_word):
                 if len(part) < window:
                     continue
                 hashes = windows.gram_hashes(part, gram)
@@ -123,7 +144,7 @@ def regions(docs: DataFrame, table, window: int, gram: int, key_gram: int, by_wo
                 doc = np.searchsorted(ends, first, "right") - 1
                 keys.append(hashes[least[np.concatenate(([0], breaks))]])
                 docs_.append(doc + a)
-                starts.append(first - ends[doc])
+                starts.append(first - ends[doc] + base)
                 sizes.append(last - first)
                 body = raw.tobytes()
                 if by_word:

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 POSITION_BITS = 25
-#: Symbols handled at once; positions must fit in POSITION_BITS.
+#: Symbols handled at once; with a window more, positions must fit in POSITION_BITS.
 CHUNK = 1 << 17
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 _WHITE = np.zeros(256, bool)
@@ -86,6 +86,8 @@ def least_gram(hashes: np.ndarray, window: int, k: int) -> np.ndarray:
 
     Equal windows have this gram at the same place inside them, so it can stand for the window wherever it occurs.
     """
+    if len(hashes) > 1 << POSITION_BITS:
+        raise ValueError(f"{len(hashes)} positions do not fit in {POSITION_BITS} bits")
     low = np.uint64((1 << POSITION_BITS) - 1)
     ranked = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
     return (sliding_min(ranked, window - k + 1) & low).astype(np.int64)
