@@ -1,6 +1,7 @@
 """The quality classifier: held-out accuracy, the exchange of pseudo-labels, and the defined edge cases."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tillstar.llm import quality
@@ -33,6 +34,22 @@ def test_views_teach_each_other():
     assert ((p > 0.5) == (pool_y > 0.5)).mean() > 0.98
 
 
+def test_every_unlabelled_document_teaches(spark):
+    """Far more unlabelled documents than any sample would hold: all that a view is confident of are handed on."""
+    bad, clean = "| # | # " * 4, "word other thing " * 3
+    docs = spark.range(12_000).selectExpr("id as doc_id", f"if(id % 2 = 0, '{bad}', '{clean}') as text", "'en' as lang",
+                                          "if(id % 2 = 0, 'bad', 'clean') as source", "30L as n_chars")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(600)], LABELS)
+    model = quality.train(docs, labels)
+    assert model["log"][0] == [11_400, 11_400]
+
+
+def test_many_sources():
+    names = pa.array([f"source {i}" for i in range(200)])
+    found = quality.slots(names, names, pa.array([1] * 200))
+    assert len(set(found[:, 1].tolist())) > 180
+
+
 @pytest.mark.parametrize("labels, share", [([], 1.0), ([(1, 0, 0), (1, None, 0), (2, 0, 1)], 0.0), ([(None, 0, 0)], 1.0)])
 def test_too_few_labels(spark, labels, share):
     docs = spark.createDataFrame([(1, "a b", "en", "s", 3, 0.5), (None, None, None, None, None, None), (1, "", "en", "s", 0, 0.1)],

@@ -1,9 +1,10 @@
 """Document quality by co-training: a classifier of the content and one of the page's metadata teach each other.
 
-Both are logistic regressions fitted on a bounded sample: ``LABELLED`` labelled and ``POOL`` unlabelled documents, those
-with the smallest hashes of their ids. Over some rounds each view is calibrated on held-out labelled documents and hands
-its confident pool documents, as pseudo-labels, to the other view. At last the calibrated views are combined by a
-regression on the held-out documents, and one scan scores every document on its whole text.
+Both are logistic regressions. They start from ``LABELLED`` labelled documents, those with the smallest hashes of their
+ids. Over some rounds each view is calibrated on held-out labelled documents and hands every unlabelled document of which
+it is confident, as a pseudo-label, to the other view; Spark sums the gradients over them. Labelled and pseudo-labelled
+documents have the same weight in total, whatever their numbers. At last the calibrated views are combined by a regression
+on the held-out documents, and one scan scores every document on its whole text.
 
 Rules: null texts are empty, a null ``lang``, ``source`` or ``n_chars`` is a value of its own. Of a document's labels the
 smallest counts; null labels do not. Without labels of both kinds every document scores the share of good ones (1.0
@@ -13,7 +14,7 @@ without any label). Repeated rows score alike. Documents are kept from ``KEEP``
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Generator, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,12 +22,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.llm import windows
+from tillstar.llm.scratch import cleaned, small_batches, temporary
 
-LABELLED, POOL = 6000, 4000
+LABELLED = 8000
 ROUNDS, CONFIDENT = 3, 0.95
+#: A fit on all documents ends with the step that lowers the loss by less than this share of it.
+SETTLED = 1e-3
 KEEP = 0.5
-PAIRS, WORDS, SHAPE = 512, 1024, 12
-LANGS, SOURCES, SIZES = 16, 64, 24
+PAIRS, WORDS, SHAPE = 1024, 2048, 12
+LANGS, SOURCES, SIZES = 16, 2048, 24
+SLICES = 4
 CONTENT, META = PAIRS + WORDS + SHAPE, LANGS + SOURCES + SIZES
 _PAIR = (windows.mix(np.arange(65536, dtype=np.uint64)) % np.uint64(PAIRS)).astype(np.int64)
 _LETTER = np.zeros(256, bool)
@@ -64,15 +69,18 @@ def content(texts: pa.Array) -> np.ndarray:
     return out
 
 
-def metadata(langs: pa.Array, sources: pa.Array, sizes: pa.Array) -> np.ndarray:
-    """One column each for the hashed language, the hashed source and the power of two of the length."""
-    out = np.zeros((len(langs), META), np.float32)
-    at = np.arange(len(langs))
+def slots(langs: pa.Array, sources: pa.Array, sizes: pa.Array) -> np.ndarray:
+    """The columns of the hashed language, the hashed source and the power of two of the length."""
     slot = lambda x, n: 0 if x is None else 1 + zlib.crc32(str(x).encode()) % (n - 1)
-    out[at, [slot(x, LANGS) for x in langs.to_pylist()]] = 1
-    out[at, [LANGS + slot(x, SOURCES) for x in sources.to_pylist()]] = 1
-    out[at, [LANGS + SOURCES + (0 if x is None else min(SIZES - 1, 1 + max(0, int(x)).bit_length()))
-             for x in sizes.to_pylist()]] = 1
+    return np.array([[slot(x, LANGS) for x in langs.to_pylist()], [LANGS + slot(x, SOURCES) for x in sources.to_pylist()],
+                     [LANGS + SOURCES + (0 if x is None else min(SIZES - 1, 1 + max(0, int(x)).bit_length()))
+                      for x in sizes.to_pylist()]], np.uint16).reshape(3, -1).T
+
+
+def metadata(found: np.ndarray) -> np.ndarray:
+    """One column for each slot."""
+    out = np.zeros((len(found), META), np.float32)
+    out[np.arange(len(found))[:, None], found] = 1
     return out
 
 
@@ -104,74 +112,176 @@ def probability(scores: np.ndarray, b: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(scores @ b[:-1] + b[-1], -30, 30)))
 
 
-def co_train(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, pools: tuple[np.ndarray, np.ndarray],
-             rounds: int = ROUNDS, confident: float = CONFIDENT) -> dict:
-    """The two views' weights and calibrations and the combination; ``log`` has the pseudo-labels given each round."""
+def loss_of(x: np.ndarray, y: np.ndarray, weight: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """A weighted logistic loss, and its gradient after it."""
+    raw = x @ w
+    error = weight * (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - y)
+    return np.concatenate(([weight @ (np.logaddexp(0, raw) - y * raw)], error @ x)).astype(np.float64)
+
+
+def descent(w: np.ndarray, kept: int = 10) -> Generator[np.ndarray, tuple[float, np.ndarray], np.ndarray]:
+    """L-BFGS until the loss settles: yields weights, is sent their loss and gradient, and returns the last weights."""
+    loss, slope = yield w
+    past: list[tuple[np.ndarray, np.ndarray]] = []
+    while True:
+        d, used = slope.copy(), []
+        for s, y in reversed(past):
+            used.append((s @ d) / (s @ y))
+            d -= used[-1] * y
+        if past:
+            s, y = past[-1]
+            d *= (s @ y) / (y @ y)
+        for (s, y), a in zip(past, reversed(used)):
+            d += (a - (y @ d) / (s @ y)) * s
+        size = 1.0
+        while True:
+            new_loss, new_slope = yield w - size * d
+            if new_loss <= loss - 1e-4 * size * (d @ slope):
+                break
+            size /= 2
+            if size < 1e-6:
+                return w
+        moved, change = -size * d, new_slope - slope
+        settled = loss - new_loss < SETTLED * loss
+        w, loss, slope = w + moved, new_loss, new_slope
+        if settled:
+            return w
+        if moved @ change > 0:
+            past = [*past[1 - kept:], (moved, change)]
+
+
+def sure_of(x: np.ndarray, w: np.ndarray, own: np.ndarray, confident: float) -> tuple[np.ndarray, np.ndarray]:
+    """Where a view is confident, and what it holds there."""
+    p = probability((x @ w)[:, None], own)
+    return (p >= confident) | (p <= 1 - confident), (p > 0.5).astype(np.float32)
+
+
+def co_train(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, pools, rounds: int = ROUNDS,
+             confident: float = CONFIDENT, penalty: float = 1e-4) -> dict:
+    """The two views' weights and calibrations and the combination; ``log`` has the pseudo-labels given each round.
+
+    ``pools`` is a pair of arrays as ``views``, or a function that sums what its argument gives for parts of the pool.
+    """
+    total: Callable = pools if callable(pools) else lambda work: work(pools)
     held = np.arange(len(y)) % 4 == 0
     if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
         held = np.zeros(len(y), bool)
     test = held if held.any() else ~held
-    taught = [dict[int, float](), dict[int, float]()]
+    taught, known = [v[~held] for v in views], y[~held]
+    weight = (0.5 / np.where(known > 0.5, known.sum(), (1 - known).sum())).astype(np.float32)
+    weights = [fit(x, known) for x in taught]
+    own = [calibrate((views[v][test] @ weights[v])[:, None], y[test]) for v in range(2)]
     log = []
-    for r in range(rounds + 1):
-        weights, own = [], []
-        for v in range(2):
-            ids = list(taught[v])
-            x = np.concatenate((views[v][~held], pools[v][ids]))
-            weights.append(fit(x, np.concatenate((y[~held], np.array([taught[v][i] for i in ids], np.float32)))))
-            own.append(calibrate((views[v][test] @ weights[v])[:, None], y[test]))
-        if r == rounds:
+    for _ in range(rounds):
+        teachers = list(zip(weights, own))
+
+        def count(part) -> np.ndarray:
+            found = [sure_of(part[v], *teachers[v], confident) for v in range(2)]
+            return np.array([[(sure & (good == kind)).sum() for kind in (0, 1)] for sure, good in found], np.float64)
+
+        given = total(count)
+        log.append(given.sum(1).astype(int).tolist())
+        if not given.any():
             break
-        given = []
-        for v in range(2):
-            p = probability((pools[v] @ weights[v])[:, None], own[v])
-            sure = np.flatnonzero((p >= confident) | (p <= 1 - confident))
-            sure = [i for i in sure.tolist() if i not in taught[1 - v]]
-            sure.sort(key=lambda i: -abs(p[i] - 0.5))
-            new = sure[: max(1, len(p) // rounds)]
-            taught[1 - v].update((i, float(p[i] > 0.5)) for i in new)
-            given.append(len(new))
-        log.append(given)
+        learners = [descent(w.astype(np.float64)) for w in weights]
+        asked = {v: next(learners[v]) for v in range(2) if given[1 - v].any()}
+        while asked:
+            now = {v: w.astype(np.float32) for v, w in asked.items()}
+
+            def learn(part) -> np.ndarray:
+                out = []
+                for v, w in now.items():
+                    sure, good = sure_of(part[1 - v], *teachers[1 - v], confident)
+                    kinds = 0.5 / np.maximum(given[1 - v], 1)
+                    out.append(loss_of(part[v][sure], good[sure], kinds[good[sure].astype(int)].astype(np.float32), w))
+                return np.concatenate(out)
+
+            found = np.split(total(learn), np.cumsum([1 + len(w) for w in now.values()])[:-1])
+            for (v, w), sums in zip(now.items(), found):
+                sums = (sums + loss_of(taught[v], known, weight, w)) / 2
+                wide = w.astype(np.float64)
+                try:
+                    asked[v] = learners[v].send((sums[0] + penalty / 2 * wide @ wide, sums[1:] + penalty * wide))
+                except StopIteration as done:
+                    weights[v] = done.value.astype(np.float32)
+                    del asked[v]
+        own = [calibrate((views[v][test] @ weights[v])[:, None], y[test]) for v in range(2)]
     both = np.column_stack([views[v][test] @ weights[v] for v in range(2)])
     return {"weights": weights, "own": own, "both": calibrate(both, y[test]), "log": log}
 
 
-def _sample(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Features of the documents with these ids, at most LABELLED or POOL of them; content as half floats."""
+def packed(docs: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` and each document's features: ``m``, slots of the metadata, and the content that is not zero."""
+    n = len(columns)
+
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = content(batch.column(2)).astype(np.float16)
-            m = metadata(*(batch.column(i) for i in (3, 4, 5)))
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array([r.tobytes() for r in x], pa.binary()),
-                                   pa.array([r.tobytes() for r in m], pa.binary())], ["doc_id", "good", "x", "m"])
+            for a in range(0, batch.num_rows, 512):  # a few MB of features at a time
+                part = batch.slice(a, 512)
+                x = content(part.column(n)).astype(np.float16)
+                m = slots(*(part.column(n + i) for i in (1, 2, 3)))
+                at = [np.flatnonzero(r).astype(np.uint16) for r in x]
+                yield pa.record_batch([*part.columns[:n], pa.array([r.tobytes() for r in m], pa.binary()),
+                                       pa.array([i.tobytes() for i in at], pa.binary()),
+                                       pa.array([r[i].tobytes() for r, i in zip(x, at)], pa.binary())],
+                                      [*columns, "m", "at", "x"])
+
+    rows = docs.select(*columns, "text", "lang", "source", "n_chars")
+    kinds = "".join(f"{c} {rows.schema[c].dataType.simpleString()}, " for c in columns)
+    return rows.mapInArrow(features, f"{kinds}m binary, at binary, x binary")
+
+
+def unpacked(m: pa.Array, at: pa.Array, x: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Both views of packed documents."""
+    bodies = at.to_pylist()
+    out = np.zeros((len(bodies), CONTENT), np.float32)
+    rows = np.repeat(np.arange(len(bodies)), [len(b) // 2 for b in bodies])
+    out[rows, np.frombuffer(b"".join(bodies), np.uint16)] = np.frombuffer(b"".join(x.to_pylist()), np.float16)
+    return out, metadata(np.frombuffer(b"".join(m.to_pylist()), np.uint16).reshape(-1, 3))
+
+
+def summed(rows: DataFrame, work: Callable) -> np.ndarray:
+    """The sum over all packed documents of the arrays that ``work(views)`` gives for some of them."""
+    shape = work((np.zeros((0, CONTENT), np.float32), np.zeros((0, META), np.float32))).shape
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source", "n_chars")
-    return (rows.join(F.broadcast(ids), "doc_id").select("doc_id", "good", "text", "lang", "source", "n_chars")
-            .mapInArrow(features, "doc_id long, good double, x binary, m binary"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(shape)
+        for batch in batches:
+            for a in range(0, batch.num_rows, 512):
+                sums += work(unpacked(*batch.slice(a, 512).columns))
+        parts = np.array_split(sums.ravel(), SLICES)
+        yield pa.record_batch([pa.array(range(SLICES), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())],
+                              ["slice", "sums"])
+
+    def add(key, found):
+        whole = sum(np.frombuffer(x.as_py(), np.float64) for x in found.column("sums"))
+        return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "sums": pa.array([whole.tobytes()], pa.binary())})
+
+    with cleaned(rows.sparkSession):
+        parts = (rows.mapInArrow(run, "slice int, sums binary").groupBy("slice")
+                 .applyInArrow(add, "slice int, sums binary").collect())
+    if not parts:
+        return np.zeros(shape)
+    return np.concatenate([np.frombuffer(p.sums) for p in sorted(parts, key=lambda p: p.slice)]).reshape(shape)
 
 
-def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL) -> dict:
+def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> dict:
     """The model, a few numpy arrays of fixed size."""
+    small_batches(docs.sparkSession)
     known = (labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
              .agg(F.min("quality").cast("double").alias("good")))
     known = known.select("doc_id", F.when(F.col("good") > 0, 1.0).otherwise(0.0).alias("good"))
-    order = F.xxhash64("doc_id")
-    chosen = known.orderBy(order, "doc_id").limit(labelled)
-    ids = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    open_ = (ids.join(known.select("doc_id"), "doc_id", "left_anti").orderBy(order, "doc_id").limit(pool)
-             .withColumn("good", F.lit(None).cast("double")))
-    rows = _sample(docs, chosen.unionByName(open_)).dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
-    good = rows["good"].is_valid().to_numpy()
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source", "n_chars")
+    rows = packed(docs.join(F.broadcast(chosen), "doc_id"), "doc_id", "good").dropDuplicates(["doc_id"])
+    rows = rows.toArrow().sort_by("doc_id").combine_chunks()
     y = rows["good"].to_numpy().astype(np.float32)
-
-    def unpack(part: np.ndarray, column: str, kind, width: int) -> np.ndarray:
-        return np.frombuffer(b"".join(rows[column].filter(pa.array(part)).to_pylist()), kind).reshape(-1, width).astype(np.float32)
-
-    if len(set(y[good])) < 2:
-        return {"share": float(y[good].mean()) if good.any() else 1.0}
-    views = unpack(good, "x", np.float16, CONTENT), unpack(good, "m", np.float32, META)
-    pools = unpack(~good, "x", np.float16, CONTENT), unpack(~good, "m", np.float32, META)
-    return co_train(views, y[good], pools)
+    if len(set(y)) < 2:
+        return {"share": float(y.mean()) if len(y) else 1.0}
+    views = unpacked(*(rows[c] for c in ("m", "at", "x")))
+    with temporary(docs.sparkSession) as write:
+        pool = write(packed(docs.join(known.select("doc_id"), "doc_id", "left_anti")), "pool")
+        return co_train(views, y, lambda work: summed(pool, work))
 
 
 def score(model: dict, batch: pa.RecordBatch) -> np.ndarray:
@@ -183,7 +293,7 @@ def score(model: dict, batch: pa.RecordBatch) -> np.ndarray:
     for a in range(0, batch.num_rows, 512):  # a few MB of features at a time
         part = slice(a, a + 512)
         texts, rest = column("text").slice(a, 512), [column(c).slice(a, 512) for c in ("lang", "source", "n_chars")]
-        raw = np.column_stack([content(texts) @ model["weights"][0], metadata(*rest) @ model["weights"][1]])
+        raw = np.column_stack([content(texts) @ model["weights"][0], metadata(slots(*rest)) @ model["weights"][1]])
         out[part] = np.column_stack([*(probability(raw[:, [v]], model["own"][v]) for v in range(2)),
                                      probability(raw, model["both"])])
     return out
