@@ -16,4 +16,4 @@ def test_query(spark, name):
 
 def test_all_are_registered():
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
-    assert len([n for n in QUERIES if n.startswith("op")]) == 10 and "pipeline" in QUERIES
+    assert len([n for n in QUERIES if n.startswith("op")]) == 13 and "pipeline" in QUERIES

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tillstar.llm import (hmm, hnsw, lexicon, merkle, ngram_join, orc_tokens, packing, quality, substring_dedup,
-                          suffix_arrays)
+from tillstar.llm import (codebooks, collocations, hmm, hnsw, lexicon, merkle, mixing, ngram_join, orc_tokens,
+                          packing, quality, substring_dedup, suffix_arrays)
 from tillstar.llm.oracle import ORACLE
 from tillstar.session import scratch_path
 
@@ -59,12 +59,25 @@ def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.linked(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op11_codebooks(spark: SparkSession, folder: str) -> DataFrame:
+    return codebooks.code_digests(table(spark, folder, "embeddings"))
+
+
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+def op13_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.plan(table(spark, folder, "documents"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
 
 QUERIES = {f.__name__: f for f in (
     op1_token_orc, op2_hmm_scores, op3_quality, op4_merkle, op5_substring_dedup, op6_packing, op7_hnsw,
-    op8_suffix_array_dedup, op9_lexicon, op10_ngram_join, pipeline)}
+    op8_suffix_array_dedup, op9_lexicon, op10_ngram_join, op11_codebooks, op12_collocations,
+    op13_mixing, pipeline)}
 
 __all__ = ["ORACLE", "QUERIES"]
