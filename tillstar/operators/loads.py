@@ -1,28 +1,39 @@
-"""Staging and warehouse loads on Parquet, with checks before the write and one commit after it."""
+"""Staging and warehouse loads on Parquet, with checks before the write and one commit after it.
+
+A warehouse is a tree ``<table>/run=<folder>/...`` and a commit log. Every load writes to folders of its own and becomes
+visible by its last step, one commit. Readers scan the folders of the commits in force as one table, so a year's filter
+prunes all loads alike.
+"""
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from datetime import timedelta
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillstar.operators import quality
-from tillstar.operators.dedupe import keep_one
+from tillstar.operators import commits, quality
 from tillstar.operators.cleaning import REASON
+from tillstar.operators.commits import Commit
+from tillstar.operators.dedupe import keep_one
 from tillstar.operators.enrich import lookup
 from tillstar.operators.normalise import conform, dimensions_of, sales_rows
 from tillstar.plans.star import LoadedStar
-from tillstar.schema import PRIMARY_KEYS, star_schema
-from tillstar.session import materialised
+from tillstar.schema import PRIMARY_KEYS, REFERENCES, star_schema
+from tillstar.session import file_system, materialised, remove, scratch_path
 
 DIMENSIONS = ("product", "customer", "store", "supplier", "date")
-_COMMITS = "commits"
-_LOG = "run int, folder string, whole boolean, upto bigint"
-_USABLE = "usable"
+_USABLE, _REJECT = "usable", "reject"
+
+
+class ConcurrentLoad(RuntimeError):
+    """Another load has taken in the same batches of a source meanwhile."""
 
 
 def insert_ignore(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -49,62 +60,123 @@ def read_staging(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _log(spark: SparkSession, root: str) -> list[Row]:
-    """The commits that make up the warehouse, oldest first: the newest whole run and what was added to it since.
-
-    The log holds one row per load; a whole run makes the rows before it history.
-    """
-    try:
-        log = spark.read.schema(_LOG).option("recursiveFileLookup", "true").parquet(f"{root}/{_COMMITS}")
-        from_ = log.filter("whole").agg(F.max("run")).first()[0]
-        found = log.filter(F.col("run") >= (from_ or 0)).orderBy("run", "folder").collect()
-        wholes = [r for r in found if r["whole"] and r["run"] == from_]
-        return wholes[-1:] + [r for r in found if not r["whole"]]
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return []
-        raise
-
-
-def loaded_upto(spark: SparkSession, root: str) -> int | None:
-    """The number of the last batch that is in the warehouse; None when no load named one."""
-    return max((r["upto"] for r in _log(spark, root) if r["upto"] is not None), default=None)
+# -- writing ------------------------------------------------------------------------------------------------------------
 
 
 def _new_folder() -> str:
     """A folder name no other load has, so that loads at the same time do not touch each other's files."""
-    return f"run-{uuid.uuid4().hex}"
+    return f"r-{uuid.uuid4().hex}"
 
 
 def _write_all(star: Mapping[str, DataFrame], root: str, folder: str) -> None:
     """Write independent tables at the same time: small ones leave executors idle when written one by one."""
     with ThreadPoolExecutor(len(star)) as pool:
-        list(pool.map(lambda table: _write(table[1], root, folder, table[0]), star.items()))
-
-
-def _write(df: DataFrame, root: str, folder: str, name: str) -> None:
-    path = f"{root}/{folder}/{name}"
-    if name == "sales":
-        # Rebalance by year: Spark sizes the output files and splits a year that is larger than the others.
-        df.hint("rebalance", "year_t").write.mode("overwrite").partitionBy("year_t").parquet(path)
-    else:
-        df.write.mode("overwrite").parquet(path)
-
-
-def _commit(spark: SparkSession, root: str, folder: str, sales_key: Sequence[str], check: bool, whole: bool = True,
-            upto: int | None = None) -> int:
-    log = _log(spark, root)
-    if check:
-        tables = _run_tables(spark, root, [folder] if whole else [*(r["folder"] for r in log), folder])
-        if not whole:  # what was there is checked already; new sales may use all dimensions
-            tables["sales"] = _read(spark, root, [folder], "sales")
-        quality.require_clean(quality.check_star(tables, sales_key))
-    run = max((r["run"] for r in log), default=0) + 1
-    row = spark.range(run, run + 1, 1, 1).select(
-        F.col("id").cast("int").alias("run"), F.lit(folder).alias("folder"), F.lit(whole).alias("whole"),
-        F.lit(upto).cast("bigint").alias("upto"))
-    row.write.parquet(f"{root}/{_COMMITS}/{folder}")  # a folder of its own: Spark's writers share one's temporary files
-    return run
+        list(pool.map(lambda t: t[1].write.mode("overwrite").parquet(f"{root}/{t[0]}/run={folder}"), star.items()))
+
+
+def _write_fact(rows: DataFrame, root: str, folder: str) -> None:
+    """Write sales, and rejects beside them, in one pass.
+
+    The rebalance lets Spark size the output files and split a year that is larger than the others.
+    """
+    if _USABLE not in rows.columns:
+        rows = rows.withColumn(_USABLE, F.lit(True))
+    rows = rows.withColumn(_USABLE, F.col(_USABLE).cast("string")).hint("rebalance", _USABLE, "year_t")
+    rows.write.mode("overwrite").partitionBy(_USABLE, "year_t").parquet(f"{root}/sales/run={folder}")
+
+
+def _read(spark: SparkSession, root: str, folders: Sequence[str], name: str) -> DataFrame:
+    """A table's rows in these folders, as one scan."""
+    fields = star_schema(name)
+    if not folders:
+        return spark.createDataFrame([], fields)
+    inner = f"/{_USABLE}=true" if name == "sales" else ""
+    paths = [path for folder in folders if _exists(spark, path := f"{root}/{name}/run={folder}{inner}")]
+    if not paths:
+        return spark.createDataFrame([], fields)
+    found = T.StructType([*fields, T.StructField("run", T.StringType())])
+    return spark.read.schema(found).option("basePath", f"{root}/{name}").parquet(*paths).select(*fields.fieldNames())
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, target = file_system(spark, path)
+    return fs.exists(target)
+
+
+def _tables(spark: SparkSession, root: str, log: Sequence[Commit]) -> dict[str, DataFrame]:
+    dimensions = [c.dimensions for c in log]
+    tables = {name: _read(spark, root, dimensions, name) for name in DIMENSIONS}
+    return tables | {"sales": _read(spark, root, [c.folder for c in log], "sales")}
+
+
+def _ranges(rows: DataFrame, columns: Sequence[str]) -> dict[str, tuple]:
+    """The least and the greatest value of each column, in one pass."""
+    found = rows.agg(*[f(c).alias(f"{c}_{i}") for c in columns for i, f in enumerate((F.min, F.max))]).first()
+    return {c: (found[f"{c}_0"], found[f"{c}_1"]) for c in columns}
+
+
+def _near(stored: DataFrame, column: str, range_: tuple) -> DataFrame:
+    """The stored rows in the range that new rows have in a key column.
+
+    The range reaches the Parquet scan, where statistics skip what other loads wrote for other ranges; the cost of a
+    check then follows the new rows where keys rise with time.
+    """
+    low, high = range_
+    return stored.filter(F.lit(False) if low is None else F.col(column).between(F.lit(low), F.lit(high)))
+
+
+def _missing(rows: DataFrame, stored: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The rows whose key is not stored."""
+    near = _near(stored, key[0], _ranges(rows, key[:1])[key[0]])
+    return rows.join(near.select(*key), list(key), "left_anti").select(*rows.columns)
+
+
+def _settle(spark: SparkSession, root: str, log: Sequence[Commit], folder: str, own: Callable[[], Mapping[str, DataFrame]],
+            sales_key: Sequence[str], check: bool) -> str:
+    """Write the dimension rows that the commits in ``log`` lack and check the new rows against them; the rows' folder."""
+    dimensions, there, new = _new_folder(), _tables(spark, root, log), own()
+    if log:
+        with ThreadPoolExecutor(len(new)) as pool:
+            new = dict(pool.map(lambda t: (t[0], _missing(t[1], there[t[0]], PRIMARY_KEYS[t[0]])), new.items()))
+    _write_all(new, root, dimensions)
+    if not check:
+        return dimensions
+    rows = _tables(spark, root, [Commit(0, folder, dimensions, 0, {}, None)])
+    checks = quality.check_star(rows, sales_key)
+    if log:  # what was there is checked already; new sales may use its dimensions, and repeat none of its keys
+        ranges = _ranges(rows["sales"], [*REFERENCES, *sales_key[:1]])
+        for key, parent in REFERENCES.items():
+            known = rows[parent].unionByName(_near(there[parent], PRIMARY_KEYS[parent][0], ranges[key]))
+            checks[f"sales.{key}"] = quality.foreign_key(rows["sales"], known, key, PRIMARY_KEYS[parent][0])
+        if sales_key:
+            stored = _near(there["sales"], sales_key[0], ranges[sales_key[0]])
+            checks["sales.key_there"] = quality.already_there(rows["sales"], stored, sales_key)
+    quality.require_clean(checks)
+    return dimensions
+
+
+def _commit(spark: SparkSession, root: str, folder: str, base: int | None, own: Callable[[], Mapping[str, DataFrame]],
+            sales_key: Sequence[str], check: bool, sources: Mapping[str, int], after: Mapping[str, int | None] | None = None,
+            rejects: str | None = None) -> int:
+    """Settle and commit what ``folder`` holds, again and again until no other load comes in between; the run number.
+
+    ``base`` is the last run that a whole load replaces, None for an increment. ``after`` are the offsets that an
+    increment starts from: if another load has moved them, its batches are there already.
+    """
+    while True:
+        log = commits.history(spark, root)
+        kept = [c for c in commits.visible(log) if base is None or c.run > base]
+        for source, seen in (after or {}).items():
+            if commits.offset(kept, source) != seen:
+                raise ConcurrentLoad(f"{source} is loaded up to {commits.offset(kept, source)}, not {seen}")
+        dimensions = _settle(spark, root, kept, folder, own, sales_key, check)
+        run = max((c.run for c in log), default=0) + 1
+        if commits.claim(spark, root, Commit(run, folder, dimensions, base or 0, dict(sources), rejects)):
+            return run
+
+
+def _newest(spark: SparkSession, root: str) -> int:
+    return max((c.run for c in commits.history(spark, root)), default=0)
 
 
 def _key(sales_key: Sequence[str] | None, grain: str) -> Sequence[str]:
@@ -113,37 +185,37 @@ def _key(sales_key: Sequence[str] | None, grain: str) -> Sequence[str]:
 
 
 def load_warehouse(star: Mapping[str, DataFrame], root: str, sales_key: Sequence[str] = ("order_id",),
-                   check: bool = True, upto: int | None = None) -> int:
+                   check: bool = True, sources: Mapping[str, int] | None = None) -> int:
     """Write all tables of a star as one run, check what was written and commit it; returns the run number.
 
-    Every load goes to a folder of its own, dimensions first, and becomes visible by the last step: one row in the
-    commit log. The checks read the written columns instead of computing the star again. A load that dies or breaks
-    a constraint leaves the previous run in force. The run's number is given at the commit. ``upto`` is the last batch
-    it holds, for later increments.
+    The run replaces all that was committed when it began. A load that dies or breaks a constraint leaves the previous
+    runs in force. Of loads at the same time, the later one checks its keys against the earlier one's rows, adds only
+    dimension rows that are not there, and both are in force. ``sources`` are the last batches it holds, by source.
     """
-    spark = star["sales"].sparkSession
+    spark, base = star["sales"].sparkSession, _newest(star["sales"].sparkSession, root)
     folder = _new_folder()
-    _write_all({name: conform(star[name], name) for name in DIMENSIONS}, root, folder)
-    _write(conform(star["sales"], "sales"), root, folder, "sales")
-    return _commit(spark, root, folder, sales_key, check, upto=upto)
+    _write_fact(conform(star["sales"], "sales"), root, folder)
+    own = {name: conform(star[name], name) for name in DIMENSIONS}
+    return _commit(spark, root, folder, base, lambda: own, sales_key, check, sources or {})
 
 
-def load_increment(star: Mapping[str, DataFrame], root: str, upto: int, check: bool = True) -> int:
-    """Add sales lines, and the dimension rows whose keys are not there yet, to the warehouse; returns the run number.
+def load_increment(star: Mapping[str, DataFrame], root: str, sales_key: Sequence[str] = (), check: bool = True,
+                   sources: Mapping[str, int] | None = None, after: Mapping[str, int | None] | None = None) -> int:
+    """Add sales, and the dimension rows whose keys are not there yet, to the warehouse; returns the run number.
 
-    Only the new rows are written. They become visible together by the commit, after checks that read the new sales
-    and the keys of all dimensions.
+    Only new rows are written, and nothing stored is read beyond the keys in the new rows' range. A sale whose
+    ``sales_key`` is stored already, or comes twice, is refused with the whole increment. ``sources`` are the last batches
+    it brings in and ``after`` the batches they follow, by source; batches that another load brought in are refused too.
     """
-    spark = star["sales"].sparkSession
-    log, folder = _log(spark, root), _new_folder()
-    there = _run_tables(spark, root, [r["folder"] for r in log]) if log else {}
-    _write(conform(star["sales"], "sales"), root, folder, "sales")
-    new = {}
-    for name in DIMENSIONS:
-        rows, key = conform(star[name], name), PRIMARY_KEYS[name]
-        new[name] = rows.join(there[name].select(*key), key, "left_anti").select(*rows.columns) if log else rows
-    _write_all(new, root, folder)
-    return _commit(spark, root, folder, (), check, whole=not log, upto=upto)
+    spark, folder = star["sales"].sparkSession, _new_folder()
+    _write_fact(conform(star["sales"], "sales"), root, folder)
+    scratch = scratch_path(spark, "increment")
+    try:  # kept apart, so that they are computed once however often the commit is tried
+        _write_all({name: conform(star[name], name) for name in DIMENSIONS}, scratch, "own")
+        own = {name: _read(spark, scratch, ["own"], name) for name in DIMENSIONS}
+        return _commit(spark, root, folder, None, lambda: own, sales_key, check, sources or {}, after)
+    finally:
+        remove(spark, scratch)
 
 
 def load_transactions(transactions: DataFrame, products: DataFrame, customers: DataFrame, root: str,
@@ -151,48 +223,105 @@ def load_transactions(transactions: DataFrame, products: DataFrame, customers: D
                       sales_key: Sequence[str] | None = None, check: bool = True) -> int:
     """Enrich transactions and load the star they form; returns the run number.
 
-    The transactions are joined once and written, split into usable rows and rejects: those that found no master row
-    stay under the run with their reason (``read_rejects``). Fact and dimensions come from what was written; the
-    dimensions are the master rows that the fact uses, found through its id columns alone. Checks and commit are
-    those of ``load_warehouse``; ``sales_key`` names the sales' unique columns (default: the order at order grain).
+    The transactions are joined once and written once: sales, and beside them, by a partition column, the transactions
+    that found no master row, with their reason (``read_rejects``). The dimensions are the master rows that the written
+    fact uses, found through its id columns alone. Checks and commit are those of ``load_warehouse``; ``sales_key`` names
+    the sales' unique columns (default: the order at order grain). At order grain the joined rows are staged for the time
+    of the load, as orders are brought together by their last usable line.
     """
-    spark = transactions.sparkSession
-    folder = _new_folder()
-    joined = lookup(transactions, products, customers)
-    path = f"{root}/{folder}/enriched"
-    joined.withColumn(_USABLE, F.col(REASON).isNull()).write.mode("errorifexists").partitionBy(_USABLE).parquet(path)
-    # the written schema, so that a run without rejects, or with nothing else, reads the same
-    rows = spark.read.schema(joined.schema.add(_USABLE, "boolean")).parquet(path)
-    _write(rows.filter(~F.col(_USABLE)).select(*transactions.columns, REASON), root, folder, "rejects")
-    _write(sales_rows(rows.filter(_USABLE).drop(_USABLE, REASON), grain, sequence), root, folder, "sales")
-    sales = _read(spark, root, [folder], "sales")
-    _write_all(dimensions_of(sales, products, customers), root, folder)
-    return _commit(spark, root, folder, _key(sales_key, grain), check)
+    spark, base = transactions.sparkSession, _newest(transactions.sparkSession, root)
+    folder, staged = _new_folder(), scratch_path(transactions.sparkSession, "enriched")
+    rows = lookup(transactions, products, customers)
+    own = [c for c in transactions.columns if c != REASON]
+    usable, reject = F.col(REASON).isNull(), F.struct(*own, REASON)
+    try:
+        if grain == "line":
+            rows = rows.withColumns({_USABLE: usable, _REJECT: F.when(~usable, reject)})
+            fact = sales_rows(rows, grain, sequence, (_USABLE, _REJECT))
+        else:
+            rows.write.parquet(staged)
+            rows = spark.read.schema(rows.schema).parquet(staged)
+            fact = sales_rows(rows.filter(usable), grain, sequence).withColumn(_USABLE, F.lit(True))
+            refused = rows.filter(~usable).select(reject.alias(_REJECT), F.lit(False).alias(_USABLE))
+            fact = fact.unionByName(refused, allowMissingColumns=True)
+        _write_fact(fact, root, folder)
+    finally:
+        remove(spark, staged)
+    written = _read(spark, root, [folder], "sales")
+    return _commit(spark, root, folder, base, lambda: dimensions_of(written, products, customers), _key(sales_key, grain),
+                   check, {}, rejects=fact.schema[_REJECT].dataType.json())
+
+
+# -- reading ------------------------------------------------------------------------------------------------------------
+
+
+def _in_force(spark: SparkSession, root: str, run: int | None = None) -> list[Commit]:
+    log = commits.visible(commits.history(spark, root), run)
+    if not log:
+        raise FileNotFoundError(f"no committed load under {root}")
+    return log
 
 
-def _read(spark: SparkSession, root: str, folders: Sequence[str], name: str) -> DataFrame:
-    return spark.read.schema(star_schema(name)).parquet(*[f"{root}/{folder}/{name}" for folder in folders])
+def read_warehouse(spark: SparkSession, root: str, run: int | None = None) -> LoadedStar:
+    """The star of all commits in force, or as it was after an earlier ``run`` that has not expired."""
+    return LoadedStar(**_tables(spark, root, _in_force(spark, root, run)))
 
 
 def read_rejects(spark: SparkSession, root: str) -> DataFrame:
-    """The transactions of the newest run that found no master row, with the reason, as ``load_transactions`` got them."""
-    return spark.read.parquet(f"{root}/{_folders(spark, root)[-1]}/rejects")
-
-
-def _folders(spark: SparkSession, root: str) -> list[str]:
-    log = _log(spark, root)
-    if not log:
-        raise FileNotFoundError(f"no committed load under {root}")
-    return [r["folder"] for r in log]
+    """The transactions that found no master row, with the reason, of all commits in force that kept any."""
+    out = None
+    for commit in _in_force(spark, root):
+        if commit.rejects is None:
+            continue
+        fields = T.StructType.fromJson(json.loads(commit.rejects))
+        path = f"{root}/sales/run={commit.folder}/{_USABLE}=false"
+        rows = spark.createDataFrame([], T.StructType([T.StructField(_REJECT, fields)]))
+        if _exists(spark, path):
+            rows = spark.read.schema(rows.schema).parquet(path)
+        rows = rows.select(f"{_REJECT}.*")
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    if out is None:
+        raise FileNotFoundError(f"no load under {root} kept rejects")
+    return out
+
+
+def loaded_upto(spark: SparkSession, root: str, source: str) -> int | None:
+    """The number of a source's last batch that is in the warehouse; None when no load in force named one."""
+    return commits.offset(commits.visible(commits.history(spark, root)), source)
+
+
+def expire(spark: SparkSession, root: str, keep: timedelta = timedelta(days=7)) -> list[str]:
+    """Delete what no reader needs any more and return the paths.
+
+    That is: runs replaced longer than ``keep`` ago, with their commits, and folders as old that no commit names, which
+    failed or retried loads leave. ``keep`` must exceed the longest query and the longest load. Readers of what is in
+    force are never touched.
+    """
+    log, before = commits.history(spark, root), (time.time() - keep.total_seconds()) * 1000
+    alive = commits.visible(log)
 
+    def changed(path: str) -> int:
+        fs, target = file_system(spark, path)
+        return fs.getFileStatus(target).getModificationTime()
 
-def _run_tables(spark: SparkSession, root: str, folders: Sequence[str]) -> dict[str, DataFrame]:
-    return {name: _read(spark, root, folders, name) for name in (*DIMENSIONS, "sales")}
+    written = {c.run: changed(commits.path(root, c.run)) for c in log if c.replaces}
+    dead = [c for c in log if c not in alive and min(written[d.run] for d in log if d.replaces >= c.run) < before]
+    gone = {name for c in dead for name in (c.folder, c.dimensions)}
+    named = {name for c in log for name in (c.folder, c.dimensions)}
+    out = []
+    for table in ("sales", *DIMENSIONS):
+        fs, target = file_system(spark, f"{root}/{table}")
+        for status in fs.listStatus(target) if fs.exists(target) else []:
+            name = status.getPath().getName().removeprefix("run=")
+            if name in gone or (name not in named and status.getModificationTime() < before):
+                out.append(f"{root}/{table}/run={name}")
+    out += [commits.path(root, c.run) for c in dead]  # last, so that a broken run of this is taken up again
+    for path in out:
+        remove(spark, path)
+    return out
 
 
-def read_warehouse(spark: SparkSession, root: str) -> LoadedStar:
-    """The star of the newest whole run and all that was added to it."""
-    return LoadedStar(**_run_tables(spark, root, _folders(spark, root)))
+# -- batches of a stream ----------------------------------------------------------------------------------------------------
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
@@ -208,5 +337,3 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(path).withColumn(
         "batch_id", F.col("batch_id").cast("bigint")
     )
-
-

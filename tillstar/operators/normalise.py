@@ -30,19 +30,20 @@ def split_master(products: DataFrame) -> dict[str, DataFrame]:
     return {name: dimension(products, name) for name in ("product", "supplier", "store")}
 
 
-def sales_rows(enriched: DataFrame, grain: str = "line", sequence: Sequence[str] = ("order_ts",)) -> DataFrame:
+def sales_rows(enriched: DataFrame, grain: str = "line", sequence: Sequence[str] = ("order_ts",),
+               also: Sequence[str] = ()) -> DataFrame:
     """The fact out of enriched transactions.
 
     ``grain`` is ``line`` (every line is a sale) or ``order`` (a later line of an order replaces the earlier one, by
-    ``sequence``). The columns are cut to the narrow fact before rows of an order are brought together.
+    ``sequence``). The columns are cut to the narrow fact, and ``also``, before rows of an order are brought together.
     """
     if grain not in ("line", "order"):
         raise ValueError(f"grain must be line or order, not {grain!r}")
     columns = [f.name for f in star_schema("sales").fields if f.name not in ("time_id", "year_t")]
-    rows = enriched.select(*columns, *[s for s in sequence if s not in columns])
+    rows = enriched.select(*columns, *also, *[s for s in sequence if s not in columns])
     if grain == "order":
         rows = keep_last(rows, ["order_id"], sequence)
-    return conform(rows.withColumns({"time_id": F.col("order_id"), "year_t": F.year("order_ts")}), "sales")
+    return conform(rows.withColumns({"time_id": F.col("order_id"), "year_t": F.year("order_ts")}), "sales", also)
 
 
 def dates_of(sales: DataFrame) -> DataFrame:
@@ -72,6 +73,6 @@ def to_star(enriched: DataFrame, grain: str = "line", sequence: Sequence[str] =
     return star | {"date": dates_of(sales), "sales": sales}
 
 
-def conform(df: DataFrame, table: str) -> DataFrame:
-    """The declared columns of a star table, in order and type."""
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in star_schema(table).fields])
+def conform(df: DataFrame, table: str, also: Sequence[str] = ()) -> DataFrame:
+    """The declared columns of a star table, in order and type, and ``also``."""
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in star_schema(table).fields], *also)

@@ -43,6 +43,13 @@ def foreign_key(
     )
 
 
+def already_there(new: DataFrame, stored: DataFrame, keys: Sequence[str], rule: str | None = None) -> DataFrame:
+    """Keys of the new rows that a stored row has, with the number of new rows."""
+    used = new.groupBy(*keys).agg(F.count("*").alias("n_rows"))
+    return used.join(stored.select(*keys), list(keys), "left_semi").select(
+        F.lit(rule or f"already_there({','.join(keys)})").alias("rule"), *keys, "n_rows")
+
+
 def conflicts(df: DataFrame, keys: Sequence[str], attributes: Sequence[str], rule: str | None = None) -> DataFrame:
     """Keys that carry more than one set of attributes."""
     variants = df.groupBy(*keys, *attributes).agg(F.count("*").alias("_rows"))

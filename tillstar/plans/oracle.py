@@ -162,7 +162,12 @@ JOIN master ON l_partkey = product_id"""
 
 ORACLE["j1_enrich"] = _ENRICHED
 ORACLE["m1_stream_enrich"] = _ENRICHED
-ORACLE["o6_incremental"] = ORACLE["o6_compacted"] = _ENRICHED
+ORACLE["o6_incremental"] = ORACLE["o6_compacted"] = ORACLE["o6_replayed"] = _ENRICHED
+ORACLE["o6_dimensions"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, count(DISTINCT {key}) AS n_rows, count(DISTINCT {key}) AS n_keys, "
+    f"CAST(sum(DISTINCT {key}) AS BIGINT) AS sum_ids FROM ({_ENRICHED})"
+    for name, key in (("product", "product_id"), ("customer", "customer_id"), ("store", "store_id"),
+                      ("supplier", "supplier_id"), ("date", "order_id")))
 
 _PARTIAL = """
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
@@ -330,6 +335,14 @@ WITH {_LAST}
 SELECT l_orderkey AS order_id, l_partkey AS product_id, CAST(l_quantity AS INTEGER) AS quantity,
        {money('CAST(l_quantity AS BIGINT) * CAST(round(p_retailprice * 100) AS BIGINT)', 'sales_revenue')} FROM last"""
 
+ORACLE["m3_latest_orders_state"] = ORACLE["m3_latest_orders"]
+
+ORACLE["o6_refused"] = f"""
+WITH {_LAST}
+SELECT l_orderkey % 3 AS third, count(*) AS n_sales,
+       (SELECT count(*) FROM last WHERE l_orderkey % 3 = 2) AS n_repeated
+FROM last WHERE l_orderkey % 3 <> 0 GROUP BY ALL"""
+
 ORACLE["o3_insert_ignore"] = """
 SELECT p_partkey, CASE WHEN p_size <= 25 THEN p_name ELSE upper(p_name) END AS p_name, p_size FROM part"""
 

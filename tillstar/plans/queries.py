@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +15,11 @@ from tillstar.functions import numeric as N
 from tillstar.functions import text as X
 from tillstar.operators import cleaning, dedupe, documents, enrich, loads, normalise, quality, tables
 from tillstar.operators.dates import date_dimension
+from tillstar.operators.dedupe import keep_last
+from tillstar.operators.normalise import to_star
 from tillstar.plans import reports
 from tillstar.plans.star import SourceStar
-from tillstar.schema import PRICE, RAW_TRANSACTIONS
+from tillstar.schema import PRICE, PRIMARY_KEYS, RAW_TRANSACTIONS
 from tillstar.session import configure, materialised, scratch_path
 from tillstar.sources import files
 from tillstar.sources.tables import read_table
@@ -400,23 +403,39 @@ def o3(spark, folder):
     return loads.insert_ignore(parts.filter("p_size <= 25"), new, ["p_partkey"])
 
 
-def _streamed(spark, folder) -> tuple[SourceStar, str]:
-    """Write the transactions as CSV files, stream them through the enrichment and return the output path."""
+FILES, FILES_PER_BATCH = 8, 2
+
+
+def _streamed(spark, folder, masters=None) -> tuple[SourceStar, str]:
+    """Write the transactions as CSV files, stream them through the enrichment and return the output path.
+
+    Lines are dealt to files at random, so that an order's lines arrive in several micro-batches. ``masters`` changes
+    the masters (products, customers) that the stream sees.
+    """
     star = SourceStar.read(spark, folder)
     base = scratch_path(spark, "stream")
-    raw_transactions(star).select(*RAW_TRANSACTIONS.fieldNames()).write.option("header", True).csv(f"{base}/in")
-    masters = scratch_path(spark, "masters")
-    product_master(star).write.parquet(f"{masters}/product")
-    checked_customers(star).write.parquet(f"{masters}/customer")
+    rows = raw_transactions(star).select(*RAW_TRANSACTIONS.fieldNames())
+    rows.repartitionByRange(FILES, F.xxhash64(*rows.columns)).write.option("header", True).csv(f"{base}/in")
+    paths = scratch_path(spark, "masters")
+    product_master(star).write.parquet(f"{paths}/product")
+    checked_customers(star).write.parquet(f"{paths}/customer")
 
     def read_masters():
-        return spark.read.parquet(f"{masters}/product"), spark.read.parquet(f"{masters}/customer")
+        found = spark.read.parquet(f"{paths}/product"), spark.read.parquet(f"{paths}/customer")
+        return masters(*found) if masters else found
 
-    source = files.stream_transactions(spark, f"{base}/in", files_per_batch=4)
+    source = files.stream_transactions(spark, f"{base}/in", files_per_batch=FILES_PER_BATCH)
     stream.start(source, read_masters, f"{base}/out", f"{base}/checkpoint").awaitTermination()
     return star, f"{base}/out"
 
 
+def _batches(spark, out) -> list[int]:
+    found = sorted(r[0] for r in stream.accepted(spark, out).select("batch_id").distinct().collect())
+    if len(found) < 3:
+        raise AssertionError(f"the stream ran in batches {found}; these queries need at least three")
+    return found
+
+
 @query("m1_stream_enrich")
 def m1(spark, folder):
     _, out = _streamed(spark, folder)
@@ -430,26 +449,79 @@ def _shown_sales(star):
 
 @query("o6_incremental")
 def o6(spark, folder):
-    """The stream's batches loaded in two increments, the second of which adds only what the first has not."""
+    """The stream's batches loaded one by one, each load adding only what the ones before have not."""
     _, out = _streamed(spark, folder)
     root = scratch_path(spark, "warehouse")
-    stream.load_new(spark, out, root, upto=0)
-    stream.load_new(spark, out, root)
+    for batch in _batches(spark, out):
+        stream.load_new(spark, out, root, upto=batch)
+    return _shown_sales(loads.read_warehouse(spark, root))
+
+
+@query("o6_dimensions")
+def o6_dimensions(spark, folder):
+    """Rows and distinct keys of every table after loading batch by batch: no key comes twice, none is missing."""
+    _, out = _streamed(spark, folder)
+    root = scratch_path(spark, "warehouse")
+    for batch in _batches(spark, out):
+        stream.load_new(spark, out, root, upto=batch)
+    star = loads.read_warehouse(spark, root)
+    counts = [
+        getattr(star, name).select(F.lit(name).alias("table_name"), F.col(PRIMARY_KEYS[name][0]).alias("id"))
+        for name in loads.DIMENSIONS
+    ]
+    return reduce(DataFrame.unionByName, counts).groupBy("table_name").agg(
+        F.count("*").alias("n_rows"), F.countDistinct("id").alias("n_keys"), F.sum("id").alias("sum_ids"))
+
+
+@query("o6_replayed")
+def o6_replayed(spark, folder):
+    """Masters that come late: the stream's output and the replay of its rejects are two sources of one warehouse."""
+    _, out = _streamed(spark, folder, lambda p, c: (p.filter("product_id % 5 <> 0"), c.filter("customer_id % 7 <> 0")))
+    masters = SourceStar.read(spark, folder)
+    root, again = scratch_path(spark, "warehouse"), f"{out}-replayed"
+    first, *rest = _batches(spark, out)
+    stream.load_new(spark, out, root, upto=first)
+    late = materialised(product_master(masters), "masters"), materialised(checked_customers(masters), "masters")
+    stream.replay(spark, out, lambda: late, again)
+    stream.load_new(spark, again, root)  # a second source, whose only batch has a number that the first source has too
+    for batch in rest:
+        stream.load_new(spark, out, root, upto=batch)
+    for path in (out, again):
+        stream.load_new(spark, path, root)  # nothing is left
     return _shown_sales(loads.read_warehouse(spark, root))
 
 
 @query("o6_compacted")
 def o6_compacted(spark, folder):
-    """Increments rewritten as one run, and a third increment that finds nothing new."""
+    """Increments rewritten as one run, and an increment that finds nothing new."""
     _, out = _streamed(spark, folder)
     root = scratch_path(spark, "warehouse")
-    stream.load_new(spark, out, root, upto=0)
-    stream.load_new(spark, out, root)
+    first, second, *_ = _batches(spark, out)
+    stream.load_new(spark, out, root, upto=first)
+    stream.load_new(spark, out, root, upto=second)
     stream.load(spark, [out], root, "line", sales_key=())
     stream.load_new(spark, out, root)
     return _shown_sales(loads.read_warehouse(spark, root))
 
 
+@query("o6_refused")
+def o6_refused(spark, folder):
+    """An increment that repeats stored lines is refused whole; the warehouse stays as it was."""
+    star = SourceStar.read(spark, folder)
+    rows = materialised(transactions(star).join(staged_products(star), "product_id").join(
+        checked_customers(star), "customer_id").withColumn("sales_revenue", F.col("quantity") * F.col("price")), "rows")
+    orders = keep_last(rows, ["order_id"], ("order_ts", "product_id", "quantity"))
+    root = scratch_path(spark, "warehouse")
+    loads.load_warehouse(to_star(orders.filter("order_id % 3 <> 0")), root)
+    try:
+        loads.load_increment(to_star(orders.filter("order_id % 3 <> 1")), root, ("order_id",))
+    except quality.ConstraintError as e:
+        refused = e.report
+    star = loads.read_warehouse(spark, root)
+    return star.sales.groupBy((F.col("order_id") % 3).alias("third")).agg(F.count("*").alias("n_sales")).withColumn(
+        "n_repeated", F.lit(refused["sales.key_there"]).cast("bigint"))
+
+
 @query("m3_latest_orders")
 def m3(spark, folder):
     _, out = _streamed(spark, folder)
@@ -457,6 +529,16 @@ def m3(spark, folder):
     return rows.select("order_id", "product_id", "quantity", "sales_revenue")
 
 
+@query("m3_latest_orders_state")
+def m3_state(spark, folder):
+    """The same from streaming state, filled by several batches whose orders overwrite each other."""
+    _, out = _streamed(spark, folder)
+    checkpoint = f"{out}-state"
+    _batches(spark, out)
+    stream.follow(spark, out, f"{out}-changes", checkpoint, ("order_ts", "product_id", "quantity"), 1).awaitTermination()
+    return stream.state_of(spark, checkpoint).select("order_id", "product_id", "quantity", "sales_revenue")
+
+
 # -- table statements ---------------------------------------------------------------------------------------------------------
 
 

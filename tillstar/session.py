@@ -87,3 +87,15 @@ def materialised(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as it names it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder; False when there was none."""
+    fs, target = file_system(spark, path)
+    return fs.delete(target, True)

@@ -1,4 +1,8 @@
-"""The transaction stream: files in, enriched rows and rejects out, one folder per micro-batch."""
+"""The transaction stream: files in, enriched rows and rejects out, one folder per micro-batch.
+
+What came out is added to a warehouse batch by batch (``load_new``), and the last line of every order is kept as streaming
+state (``follow``): a batch costs what it brings, not what was there before.
+"""
 
 from __future__ import annotations
 
@@ -12,7 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tillstar.operators.cleaning import REASON, clean_transactions
 from tillstar.operators.dedupe import keep_last
 from tillstar.operators.enrich import lookup
-from tillstar.operators.loads import load_increment, load_warehouse, loaded_upto, read_batches, write_batch
+from tillstar.operators.loads import (ConcurrentLoad, load_increment, load_warehouse, loaded_upto, read_batches,
+                                      write_batch)
 from tillstar.operators.normalise import to_star
 from tillstar.schema import CORRUPT, RAW_TRANSACTIONS
 
@@ -95,19 +100,34 @@ def latest_orders(spark: SparkSession, *paths: str, sequence=ARRIVAL) -> DataFra
     return keep_last(accepted(spark, *paths), ["order_id"], sequence)
 
 
-def load_new(spark: SparkSession, path: str, root: str, upto: int | None = None) -> int | None:
-    """Add the batches that no load has seen, up to number ``upto``, to the warehouse; returns the run number.
+def source_name(path: str) -> str:
+    return path.rstrip("/")
+
+
+def load_new(spark: SparkSession, path: str, root: str, upto: int | None = None, sales_key: Sequence[str] = (),
+             check: bool = True, source: str | None = None) -> int | None:
+    """Add the batches of an output that no load has seen, up to number ``upto``; returns the run number.
 
-    Lines of the new batches are appended and only keys that the dimensions lack are added to them; nothing that was
-    loaded is written again. ``load`` rewrites the whole as one run, which compacts what these loads added. Without new
-    batches nothing happens.
+    Every output has an offset of its own in the warehouse, under ``source`` (default: its path), so the stream's output
+    and the replays of its rejects each arrive once. Lines of the new batches are appended and only keys that the
+    dimensions lack are added; nothing that was loaded is written again, and a line whose ``sales_key`` is stored is
+    refused. ``load`` rewrites the whole as one run, which compacts what these loads added. Without new batches nothing
+    happens, also when another load brings them in meanwhile.
     """
-    seen = loaded_upto(spark, root)
-    rows = accepted(spark, path).filter(F.col("batch_id") > (-1 if seen is None else seen))
-    if upto is not None:
-        rows = rows.filter(F.col("batch_id") <= upto)
-    newest = rows.agg(F.max("batch_id")).first()[0]
-    return None if newest is None else load_increment(to_star(rows, "line", ARRIVAL), root, newest)
+    source = source or source_name(path)
+    while True:
+        seen = loaded_upto(spark, root, source)
+        rows = accepted(spark, path).filter(F.col("batch_id") > (-1 if seen is None else seen))
+        if upto is not None:
+            rows = rows.filter(F.col("batch_id") <= upto)
+        newest = rows.agg(F.max("batch_id")).first()[0]
+        if newest is None:
+            return None
+        rows = rows.filter(F.col("batch_id") <= newest)  # a batch may arrive between the two reads
+        try:
+            return load_increment(to_star(rows, "line", ARRIVAL), root, sales_key, check, {source: newest}, {source: seen})
+        except ConcurrentLoad:
+            continue
 
 
 def load(spark: SparkSession, paths: Sequence[str], root: str, grain: str = "line", sequence=ARRIVAL,
@@ -118,5 +138,56 @@ def load(spark: SparkSession, paths: Sequence[str], root: str, grain: str = "lin
     the same however often a batch was written. ``load_new`` adds new batches only.
     """
     rows = accepted(spark, *paths)
-    upto = rows.agg(F.max("batch_id")).first()[0] if len(paths) == 1 else None
+    newest = rows.groupBy("generation").agg(F.max("batch_id").alias("upto")).collect()  # one row an output
+    upto = {source_name(paths[r["generation"]]): r["upto"] for r in newest}
+    for r in newest:
+        later = (F.col("generation") == r["generation"]) & (F.col("batch_id") > r["upto"])
+        rows = rows.filter(~later)
     return load_warehouse(to_star(rows, grain, sequence), root, sales_key, check, upto)
+
+
+# -- the last line of every order, as streaming state -----------------------------------------------------------------------
+
+#: Keeps state on the executors' disks and uploads changes, so that neither memory nor a batch follows all orders.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def follow(spark: SparkSession, path: str, changes: str, checkpoint: str, sequence=("order_ts", "batch_id"),
+           files_per_batch: int | None = None) -> StreamingQuery:
+    """Read what a stream's output gained since the last call into the state of last lines per order, and stop.
+
+    Each batch reads new files only, updates the state of the orders in them, and writes those orders' last lines to a
+    folder of its own under ``changes``, for readers that follow along. ``state_of`` reads the state itself. Ties of
+    ``sequence`` are broken by the other columns, and a line that comes again changes nothing, so a batch may run twice.
+    ``files_per_batch`` bounds the files of a batch.
+    """
+    for key, value in STATE.items():
+        spark.conf.set(key, value)
+    written = read_batches(spark, path)
+    fields = T.StructType([f for f in written.schema.fields if f.name not in ("batch_id", MATCHED)])
+    fields = fields.add("batch_id", T.LongType()).add(MATCHED, T.StringType())  # the folders' names
+    reader = spark.readStream.schema(fields).option("basePath", path)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    rows = reader.parquet(path).filter(F.col(MATCHED) == "true").drop(MATCHED, REASON, "raw")
+    rest = [c for c in rows.columns if c != "order_id" and c not in sequence]
+    last = rows.groupBy("order_id").agg(F.max(F.struct(*sequence, *rest)).alias("last"))
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch.select("order_id", "last.*"), changes, batch_id)
+
+    return (
+        last.writeStream.outputMode("update").foreachBatch(handle).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+
+
+def state_of(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The last line of every order, from the state that ``follow`` keeps: a read of the orders, not of their history."""
+    state = spark.read.format("statestore").load(checkpoint)
+    value = state.schema["value"].dataType.fieldNames()[0]
+    return state.select("key.order_id", F.col(f"value.{value}").alias("last")).select("order_id", "last.*")
