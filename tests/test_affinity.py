@@ -51,3 +51,24 @@ def test_fewer_pairs_than_asked_for(spark):
     df = spark.createDataFrame([(1, 1), (1, 2), (1, 2), (2, None)], "o bigint, p bigint")
     for wide in (1, 100):
         assert [tuple(r) for r in top_pairs(df, "o", "p", 5, wide).collect()] == [(1, 2, 2)]
+
+
+def test_a_flat_basket_of_many_items(spark):
+    """Its 5 * 10^9 pairs are never formed, whether the best pairs tie with them or beat them."""
+    flat = spark.range(100_000).selectExpr("0L AS o", "id AS p")
+    assert [tuple(r) for r in top_pairs(flat, "o", "p", 3).collect()] == [(0, 1, 1), (0, 2, 1), (0, 3, 1)]
+    some = [(1, 70_000), (1, 70_001), (2, 70_001), (2, 70_002), (2, 70_000), (3, 5), (3, 99_999)]
+    lines = flat.union(spark.createDataFrame(some, "o bigint, p bigint"))
+    # 70000 and 70001 meet in three baskets, the others in two
+    assert [tuple(r) for r in top_pairs(lines, "o", "p", 4).collect()] == [
+        (70_000, 70_001, 3), (5, 99_999, 2), (70_000, 70_002, 2), (70_001, 70_002, 2)]
+    assert [tuple(r) for r in top_pairs(lines, "o", "p", 6).collect()][4:] == [(0, 1, 1), (0, 2, 1)]
+
+
+def test_many_flat_baskets(spark):
+    """Wide baskets over the same items: only pairs that beat the usual score are looked at."""
+    rnd = random.Random(3)
+    lines = [(b, i) for b in range(40) for i in rnd.sample(range(2000), 300)]
+    lines += [(b, i) for b in range(40, 52) for i in (17, 1234)]
+    df = spark.createDataFrame(lines, "o bigint, p bigint")
+    assert [tuple(r) for r in top_pairs(df, "o", "p", 5, wide_basket=100).collect()] == brute(lines, 5)

@@ -3,6 +3,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tillstar.operators import joins, ranks
 from tillstar.operators import tables as T
 from tillstar.plans.reports import create_view
 from tillstar.sources import jdbc
@@ -88,3 +89,32 @@ def test_jdbc_options():
     assert jdbc.write_options("jdbc:x", "t", batch_size=7)["batchsize"] == "7"
     with pytest.raises(ValueError):
         jdbc.read_options("jdbc:x")
+
+
+def test_deep_pages(spark, monkeypatch):
+    """Beyond the bound of a top-n, rows are numbered by ranges: the same rows, and no task with all of them."""
+    df = spark.range(2_000_000).selectExpr("id", "id % 7 AS g", "pmod(xxhash64(id), 1000) AS h")
+    page = T.select(df, order_by=[F.desc("h"), "g"], limit=5, offset=1_000_000, keys=["id"])
+    whole = df.orderBy(F.desc("h"), "g", "id").offset(1_000_000).limit(5)
+    assert rows(page) == rows(whole)
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    assert "Limit" not in plan and "TakeOrdered" not in plan and "SinglePartition" not in plan
+    rest = T.select(df, order_by=["id"], offset=1_999_998, keys=["id"])
+    assert [r.id for r in rest.collect()] == [1_999_998, 1_999_999]
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 3)
+    few = spark.createDataFrame([(i, i % 3, None if i % 4 else "x") for i in range(20)], "id int, g int, t string")
+    assert [r.id for r in T.select(few, order_by=[F.desc("g")], limit=6, offset=2, keys=["id"]).collect()] == [8, 11, 14, 17, 1, 4]
+    kept = T.delete(few, "g > 0", order_by=["g"], limit=5, keys=["id"])
+    assert sorted(r.id for r in kept.collect()) == [i for i in range(20) if i not in (1, 4, 7, 10, 13)] and kept.columns == few.columns
+    changed = T.update(few, {"t": "hit"}, "t IS NULL", order_by=[F.desc("id")], limit=4, keys=["id"])
+    assert sorted(r.id for r in changed.filter("t = 'hit'").collect()) == [15, 17, 18, 19]
+
+
+def test_numbers_of_equal_rows(spark):
+    """Ties, nulls and repeated rows: every number once, in the order's sense; an empty table has none."""
+    df = spark.createDataFrame([(None,)] * 50 + [(1,)] * 500 + [(i,) for i in range(50)], "x int").repartition(7)
+    got = sorted((r.position, r.x) for r in ranks.numbered(df, [F.desc_nulls_last("x")]).collect())
+    assert [p for p, _ in got] == list(range(600))
+    want = sorted([1] * 500 + list(range(50)), reverse=True) + [None] * 50
+    assert [x for _, x in got] == want
+    assert ranks.numbered(df.filter("x > 99"), ["x"]).collect() == []

@@ -1,7 +1,9 @@
 """Insert, update, delete and select on tables, as transforms from DataFrame to DataFrame.
 
 Predicates and values are Spark columns or SQL text. Order and limit pick the first rows of an ordering; they need
-the unique key columns of the table, which complete the ordering and tie the picked rows back to it.
+the unique key columns of the table, which complete the ordering and tie the picked rows back to it. Limits and offsets
+of up to ``joins.BROADCAST_ROWS`` rows are Spark's own top-n; beyond that rows get their numbers from sorted ranges of the
+ordering (``ranks``), so that no task sees all that is skipped or taken.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillstar.operators import joins, ranks
 from tillstar.operators.joins import few
 
 Predicate = Column | str
@@ -38,6 +41,9 @@ def mark(df: DataFrame, where: Predicate | None, order_by: Sequence | None, limi
         return df, hit
     if not keys:
         raise ValueError("a limit needs the key columns of the table")
+    if limit > joins.BROADCAST_ROWS:  # hits come first, in their order; the other rows follow
+        rows = ranks.numbered(df.withColumn("_hit", hit), [F.desc("_hit"), *(order_by or []), *keys], "_place")
+        return rows, F.col("_hit") & (F.col("_place") < limit)
     picked = df.filter(hit).orderBy(*(order_by or []), *keys).limit(limit).select(*keys)
     picked = few(picked.withColumn("_hit", F.lit(True)), limit)
     return df.join(picked, list(keys), "left"), F.coalesce("_hit", F.lit(False))
@@ -49,7 +55,7 @@ def select(df: DataFrame, *columns: Column | str, where: Predicate | None = None
     """Filter, group, order and cut in one call. ``columns`` of a grouped select are aggregates.
 
     An offset without a limit is honoured: the first rows are found as a top-n and removed by key, so the remainder
-    is never moved into one task.
+    is never moved into one task. ``keys``, where given, break ties of the ordering.
     """
     out = df.filter(predicate(where))
     if group_by:
@@ -57,9 +63,11 @@ def select(df: DataFrame, *columns: Column | str, where: Predicate | None = None
     elif columns:
         out = out.select(*[F.expr(c) if isinstance(c, str) else c for c in columns])
     out = out.filter(predicate(having))
+    if offset and limit is None and not keys:
+        raise ValueError("an offset without a limit needs the key columns")
+    if offset + (limit or 0) > joins.BROADCAST_ROWS:
+        return ranks.between(out, [*order_by, *(keys or [])], offset, None if limit is None else offset + limit)
     if offset and limit is None:
-        if not keys:
-            raise ValueError("an offset without a limit needs the key columns")
         skipped = out.orderBy(*order_by, *keys).limit(offset).select(*keys)
         out = out.join(few(skipped, offset), list(keys), "left_anti").select(*out.columns)
         return out.orderBy(*order_by) if order_by else out

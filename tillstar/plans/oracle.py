@@ -371,6 +371,9 @@ SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority IN ('5-LOW'
 ORACLE["c4_delete_limit"] = """
 SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey NOT IN (
   SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' ORDER BY o_totalprice, o_orderkey LIMIT 250)"""
+ORACLE["t4_deep_page"] = """
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice FROM lineitem
+ORDER BY l_extendedprice DESC, l_orderkey, l_partkey, l_suppkey, l_linenumber LIMIT 1500 OFFSET 2500"""
 ORACLE["t4_offset"] = "SELECT p_partkey, p_retailprice FROM part ORDER BY p_retailprice DESC, p_partkey OFFSET 300"
 ORACLE["a6_row_count"] = "SELECT count(*) AS n_rows FROM lineitem"
 

@@ -13,7 +13,7 @@ from tillstar.functions import dates as D
 from tillstar.functions import json as J
 from tillstar.functions import numeric as N
 from tillstar.functions import text as X
-from tillstar.operators import cleaning, dedupe, documents, enrich, loads, normalise, quality, tables
+from tillstar.operators import cleaning, dedupe, documents, enrich, loads, normalise, quality, ranks, tables
 from tillstar.operators.dates import date_dimension
 from tillstar.operators.dedupe import keep_last
 from tillstar.operators.normalise import to_star
@@ -621,6 +621,15 @@ def t4(spark, folder):
     )
 
 
+@query("t4_deep_page")
+def t4_deep(spark, folder):
+    """A page from the middle of a large ordering, found through numbered ranges."""
+    lines = read_table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice")
+    order = [F.desc("l_extendedprice"), "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+    return ranks.between(lines, order, 2500, 4000)
+
+
 @query("a6_row_count")
 def a6(spark, folder):
     return tables.row_count(read_table(spark, folder, "lineitem"))
