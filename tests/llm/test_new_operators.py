@@ -59,16 +59,9 @@ def test_codes(spark, n, width, entries):
     df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>").repartition(3)
     found, books = codebooks.compressed(df, entries=entries, rounds=3)
     want, want_books = brute_codes(rows, 4, entries, 3)
-    as_text = sorted((i, None if label is None else str(label), code, error) for i, label, code, error in want) if all(
-        label is not None for _, label, _ in rows) else None
     key = lambda r: (r[0], str(r[1]), r[2], r[3])
     got = sorted(((r.id, r.label and int(r.label), list(r.code), r.error) for r in found.collect()), key=key)
-    assert got == sorted(want, key=key) and books.tolist() == want_books and as_text is None
-    digests = codebooks.code_digests(df).collect() if entries == 256 else []
-    for row in digests:
-        assert re.fullmatch("[0-9a-f]{8}", row.code)
-    totals = {r.label_error for r in digests}
-    assert totals <= {sum(w[3] for w in want if w[1] == label) for label in (None, 1, 2)} or codebooks.ROUNDS != 3
+    assert got == sorted(want, key=key) and books.tolist() == want_books
 
 
 def test_code_digests_match_plain_ones(spark):
@@ -169,6 +162,7 @@ def word_texts(seed, n):
 @pytest.mark.parametrize("seed, least, share, best", [(1, 4, 100, 2000), (2, 3, 60, 5), (3, 8, 100, 1)])
 def test_collocations(spark, seed, least, share, best, monkeypatch):
     monkeypatch.setattr(collocations, "GROUP", 64)
+    monkeypatch.setattr(collocations, "PHRASES", 40)
     rows = word_texts(seed, 60)
     df = spark.createDataFrame(rows, "lang string, text string").withColumn("n", F.lit(1)).withColumn("phrase", F.lit("p"))
     got = sorted(tuple(r) for r in collocations.collocations(df.repartition(4), least, share, best).collect())
@@ -284,9 +278,9 @@ def test_sample_gives_the_words_that_the_plan_takes(spark):
         plan[r.doc_id, r.size] += r.taken
     words = Counter()
     for r in mixing.sample(df).collect():
-        found = re.findall(mixing.WORD, r.text)
-        assert found == re.findall(mixing.WORD, r.doc.text)[: len(found)] and r.doc.copy == "x"
-        words[r.doc.doc_id, len(re.findall(mixing.WORD, r.doc.text))] += len(found)
+        found = re.findall(mixing.WORD, r.text or "")
+        assert found == re.findall(mixing.WORD, r.doc.text or "")[: len(found)] and r.doc.copy == "x"
+        words[r.doc.doc_id, len(re.findall(mixing.WORD, r.doc.text or ""))] += len(found)
     assert +words == +plan
 
 

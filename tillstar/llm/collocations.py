@@ -44,6 +44,10 @@ GROUP, HELD = 1 << 19, 1 << 21
 COUNTERS = 1 << 20
 #: Hashes a row of a summary holds, so that rows stay small.
 ROW = 1 << 11
+#: Phrases that are held with their texts at once.
+PHRASES = 1 << 18
+#: The least number of hash partitions.
+FEW = 1 << 8
 #: Groups among which each language's best are first chosen.
 SPREAD = 64
 _BREAK, _GAP = np.zeros(256, bool), np.zeros(256, bool)
@@ -145,7 +149,7 @@ class Summary:
 def partitions_for(docs: DataFrame, least: int) -> int:
     """How many hash partitions, a power of two, keep about COUNTERS counters each for two n-grams a word."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return 1 << max(8, (size // (least * COUNTERS)).bit_length())
+    return max(FEW, 1 << (size // (least * COUNTERS)).bit_length())
 
 
 def survivors(docs: DataFrame, lengths: tuple[int, ...], least: int, parts: int, pairs=None) -> DataFrame:
@@ -212,7 +216,7 @@ def survivors(docs: DataFrame, lengths: tuple[int, ...], least: int, parts: int,
             yield result()
 
     rows = docs.mapInArrow(summaries, "part int, mass long, hashes binary, counts binary")
-    rows = rows.repartition("part").sortWithinPartitions("part", F.col("mass").isNull())
+    rows = dealt(rows, parts).sortWithinPartitions("part", F.col("mass").isNull())
     return rows.mapInArrow(merged, "h long, g long")
 
 
@@ -238,19 +242,21 @@ def pairs_survive(group: Group, n: int, at: np.ndarray, table: np.ndarray) -> np
     return group.good[at + n - 1] - group.good[at] == n - 1
 
 
-def exact_counts(docs: DataFrame, table, least: int) -> DataFrame:
+def exact_counts(docs: DataFrame, table, least: int, parts: int) -> DataFrame:
     """``lang``, ``phrase``, ``words`` (its length) and ``n`` of every n-gram that occurs ``least`` times or more.
 
-    The row of a language with length 0 has the number of all its words.
+    The row of a language with length 0 has the number of all its words. A task adds up what it finds and sends each hash
+    partition lists of phrases and counts, which are added up there by text.
     """
+    shift = np.uint64(65 - parts.bit_length())
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, list] = {}  # by hash: lang, phrase, words, n
         for batch in batches:
             names = {int(seed(lang)): lang for lang in set(batch.column(0).to_pylist())}
             for group in groups(batch):
-                found, total = np.unique(group.seeds[group.new:], return_counts=True)
-                yield pa.record_batch([
-                    pa.array([names[int(s)] for s in found], pa.string()), pa.array([""] * len(found), pa.string()),
-                    pa.array(np.zeros(len(found), np.int32)), pa.array(total, pa.int64())], COUNTS)
+                for s, n in zip(*(x.tolist() for x in np.unique(group.seeds[group.new:], return_counts=True))):
+                    found.setdefault(s, [names[s], "", 0, 0])[3] += n
                 for n in range(1, LONGEST + 1):
                     at, hashes = group.grams(n)
                     hit = marked(table.value, hashes)
@@ -259,20 +265,60 @@ def exact_counts(docs: DataFrame, table, least: int) -> DataFrame:
                     at, hashes = at[hit], hashes[hit]
                     order = np.argsort(hashes, kind="stable")
                     runs = windows.runs(hashes[order])
-                    at, counts = at[order[runs[:-1]]], np.diff(runs)
-                    if not len(at):
-                        continue
-                    body = group.data.tobytes()
-                    texts = [body[a:z] for a, z in zip(group.starts[at].tolist(), group.ends[at + n - 1].tolist())]
-                    if n > 1:
-                        texts = [b" ".join(t.split()) if b"\t" in t or b"  " in t else t for t in texts]
-                    yield pa.record_batch([
-                        pa.array([names[int(s)] for s in group.seeds[at]], pa.string()),
-                        pa.array([t.decode() for t in texts], pa.string()), pa.array(np.full(len(at), n, np.int32)),
-                        pa.array(counts, pa.int64())], COUNTS)
-
-    return (docs.mapInArrow(count, "lang string, phrase string, words int, n long")
-            .groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")).filter((F.col("n") >= least) | (F.col("words") == 0)))
+                    first = at[order[runs[:-1]]]
+                    for h, i, more in zip(hashes[order[runs[:-1]]].tolist(), first.tolist(), np.diff(runs).tolist()):
+                        if h in found:
+                            found[h][3] += more
+                        else:
+                            text = group.data[group.starts[i]: group.ends[i + n - 1]].tobytes()
+                            text = b" ".join(text.split()) if n > 1 else text
+                            found[h] = [names[int(group.seeds[i])], text.decode(), n, more]
+                if len(found) > PHRASES:
+                    yield from lists(found)
+                    found = {}
+        yield from lists(found)
+
+    def lists(found: dict[int, list]) -> Iterator[pa.RecordBatch]:
+        hashes = np.array(sorted(found), np.uint64)
+        ends = np.searchsorted(hashes >> shift, np.arange(1, parts + 1, dtype=np.uint64))
+        starts = np.concatenate(([0], ends[:-1]))
+        some = np.flatnonzero(ends > starts)
+        if not len(some):
+            return
+        columns = list(zip(*(found[h] for h in hashes.tolist())))
+        offsets = pa.array(np.concatenate((starts[some], ends[-1:])), pa.int32())
+        kinds = (pa.string(), pa.string(), pa.int32(), pa.int64())
+        yield pa.record_batch([pa.array(some, pa.int32()), *(
+            pa.ListArray.from_arrays(offsets, pa.array(c, k)) for c, k in zip(columns, kinds))], ["part", *COUNTS])
+
+    def added(held: list[pa.Table]) -> pa.Table:
+        total = pa.concat_tables(held).group_by(COUNTS[:3]).aggregate([("n", "sum")])
+        return total.select([*COUNTS[:3], "n_sum"]).rename_columns(COUNTS)
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held, size, limit = None, [], 0, PHRASES
+        for batch in batches:
+            for row, p in enumerate(batch.column("part").to_pylist()):
+                if p != part and held:
+                    yield from added(held).to_batches()
+                    held, size, limit = [], 0, PHRASES
+                part = p
+                held.append(pa.table([batch.column(c)[row].values for c in COUNTS], COUNTS))
+                size += held[-1].num_rows
+                if size > limit:
+                    held = [added(held)]
+                    size, limit = held[0].num_rows, held[0].num_rows + PHRASES
+        if held:
+            yield from added(held).to_batches()
+
+    rows = docs.mapInArrow(count, "part int, lang array<string>, phrase array<string>, words array<int>, n array<long>")
+    return (dealt(rows, parts).sortWithinPartitions("part").mapInArrow(merged, "lang string, phrase string, words int, n long")
+            .filter((F.col("n") >= least) | (F.col("words") == 0)))
+
+
+def dealt(rows: DataFrame, parts: int) -> DataFrame:
+    """Rows by hash partition: a task each, unless there are so few that Spark may put several into one task."""
+    return rows.repartition("part") if parts <= FEW else rows.repartition(parts, "part")
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST) -> DataFrame:
@@ -285,7 +331,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST) -> DataFrame:
         pairs = spark.sparkContext.broadcast(bit_table(short))
         longer = write(survivors(docs, tuple(range(3, LONGEST + 1)), least, parts, pairs), "long")
         table = spark.sparkContext.broadcast(bit_table(short.unionByName(longer)))
-        return written(exact_counts(docs, table, least), "phrases")
+        return written(exact_counts(docs, table, least, parts), "phrases")
 
 
 def scored(phrases: DataFrame) -> DataFrame:
