@@ -87,20 +87,35 @@ def _member(step: str | int) -> Callable[[Column], Column]:
 
 
 def _levels(v: Column) -> Column:
-    """Numbers from 1 to at least the nesting depth of a value: no document is deeper than it has opening brackets."""
-    return F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(F.regexp_replace(F.to_json(v), r"[^\[{]", ""))))
+    """Numbers from 1 to the nesting depth of a value: the most brackets that are open at once in its text."""
+    # without escaped backslashes and quotes a string ends at the next quote
+    text = F.replace(F.replace(F.to_json(v), F.lit("\\\\"), F.lit("")), F.lit('\\"'), F.lit(""))
+    brackets = F.regexp_replace(F.regexp_replace(text, '"[^"]*"', ""), r"[^\[\]{}]", "")
+    none = F.struct(F.lit(0).alias("open"), F.lit(0).alias("most"))
+
+    def step(acc: Column, bracket: Column) -> Column:
+        now = acc["open"] + F.when(bracket.isin("[", "{"), 1).otherwise(-1)
+        return F.struct(now.alias("open"), F.greatest(acc["most"], now).alias("most"))
+
+    depth = F.aggregate(F.filter(F.split(brackets, ""), lambda b: b != ""), none, step, lambda acc: acc["most"])
+    return F.sequence(F.lit(1), F.greatest(F.lit(1), depth))
 
 
 def _descend(start: Column, levels: Column, children: Callable[[Column], Column]) -> Column:
-    """``start`` and, level by level down to the last one, what ``children`` gives for the level above."""
+    """``start`` and, level by level down to the last one, what ``children`` gives for the level above.
+
+    There are as many steps as levels, and the levels are kept apart until the end: the work follows the number of values
+    times the depth.
+    """
     empty = F.array().cast(ARRAY)
-    none = F.struct(empty.alias("found"), F.coalesce(start, empty).cast(ARRAY).alias("level"))
+    none = F.struct(F.array().cast(f"array<{ARRAY}>").alias("above"), F.coalesce(start, empty).cast(ARRAY).alias("level"))
 
     def step(acc: Column, _: Column) -> Column:
         below = F.flatten(F.transform(acc["level"], lambda x: F.coalesce(children(x), F.array().cast(ARRAY))))
-        return F.struct(F.concat(acc["found"], acc["level"]).cast(ARRAY).alias("found"), below.cast(ARRAY).alias("level"))
+        above = F.concat(acc["above"], F.array(acc["level"])).cast(f"array<{ARRAY}>")
+        return F.struct(above.alias("above"), below.cast(ARRAY).alias("level"))
 
-    return F.aggregate(levels, none, step, lambda acc: F.concat(acc["found"], acc["level"]))
+    return F.aggregate(levels, none, step, lambda acc: F.flatten(F.concat(acc["above"], F.array(acc["level"]))))
 
 
 def find_all(v: Column, path: str) -> Column:

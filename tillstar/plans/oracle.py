@@ -433,7 +433,7 @@ ORACLE["x8_set"] = docs(
     k=click("-1", "k"),
     tags=click("'[5,' || k || ']'", "tags"),
     extra=f"{click(chr(39) + 'new' + chr(39))} AS extra, {click(chr(39) + 'true' + chr(39))} AS flag, "
-    "CAST(NULL AS VARCHAR) AS nowhere",
+    f"CAST(NULL AS VARCHAR) AS nowhere, {click(chr(39) + '[' + chr(34) + 'cell' + chr(34) + ',' + chr(34) + 'no cell' + chr(34) + ']' + chr(39))} AS whole",
 )
 ORACLE["x9_change"] = docs(event_type=click("'tap'", "event_type"), extra="CAST(NULL AS VARCHAR) AS absent")
 ORACLE["x10_unset"] = docs(
@@ -459,6 +459,21 @@ ORACLE["x17_validate"] = f"""
 WITH {EVENTS}
 SELECT 'required(props)' AS rule, _id FROM e WHERE {_CLICK}
 UNION ALL SELECT 'type(value:number)', _id FROM e WHERE {_CLICK}"""
+_SCHEMA_RULES = {
+    "$.flag: required": "event_type = 'signup'",
+    "$.event_type: enum": "event_type = 'error'",
+    "$.event_type: minLength": "length(event_type) < 5",
+    "$.value: minimum": "value < 1",
+    "$.value: exclusiveMaximum": "value >= 200.5",
+    "$.props.k: maximum": "k > 80",
+    "$.props.k: multipleOf": "k % 2 <> 0",
+    "$.props: additionalProperties": _CLICK,
+    "$.tags[*]: minimum": "least(u, k) < 4",
+    "$.tags: uniqueItems": "u = k",
+    "$: anyOf": "event_type <> 'view' AND value > 100",
+}
+ORACLE["x17_schema"] = f"WITH {EVENTS} " + " UNION ALL ".join(
+    f"SELECT '{rule}' AS rule, _id FROM e WHERE {broken}" for rule, broken in _SCHEMA_RULES.items())
 ORACLE["e6_contains"] = f"""
 WITH {EVENTS} SELECT _id, u = 42 OR k = 42 AS tag_42, event_type = 'click' AND k = 7 AS click_7 FROM e"""
 ORACLE["e7_overlaps"] = f"""

@@ -13,7 +13,7 @@ from tillstar.functions import dates as D
 from tillstar.functions import json as J
 from tillstar.functions import numeric as N
 from tillstar.functions import text as X
-from tillstar.operators import cleaning, dedupe, documents, enrich, loads, normalise, quality, ranks, tables
+from tillstar.operators import cleaning, dedupe, documents, enrich, loads, normalise, quality, ranks, schemas, tables
 from tillstar.operators.dates import date_dimension
 from tillstar.operators.dedupe import keep_last
 from tillstar.operators.normalise import to_star
@@ -769,8 +769,11 @@ def x8(spark, folder):
         documents.set_("$.flag", True),
         documents.set_("$.nowhere.deep", 1),
         documents.set_("$.tags[0]", 5),
+        documents.set_("$.whole", {"x": 1}),
+        documents.set_("$.whole[0]", "cell"),  # cell 0 of what is no array is the value itself
+        documents.set_("$.whole[1]", "no cell"),
     )
-    return shown(docs, ("extra", "$.props.extra"), ("flag", "$.flag"), ("nowhere", "$.nowhere"))
+    return shown(docs, ("extra", "$.props.extra"), ("flag", "$.flag"), ("nowhere", "$.nowhere"), ("whole", "$.whole"))
 
 
 @query("x9_change")
@@ -857,6 +860,26 @@ def x17(spark, folder):
     ).select("rule", "_id")
 
 
+EVENT_SCHEMA = """{
+"$schema": "http://json-schema.org/draft-06/schema#", "type": "object", "required": ["event_type", "tags", "flag"],
+"properties": {
+  "event_type": {"type": "string", "enum": ["click", "view", "purchase", "signup"], "minLength": 5, "pattern": "^[a-z]+$"},
+  "value": {"type": "number", "minimum": 1, "exclusiveMaximum": 200.5},
+  "props": {"type": "object", "properties": {"k": {"type": "integer", "maximum": 80, "multipleOf": 2}}, "additionalProperties": false},
+  "tags": {"type": "array", "minItems": 2, "items": {"type": "integer", "minimum": 4}, "uniqueItems": true},
+  "flag": {"type": "boolean"}},
+"anyOf": [{"properties": {"event_type": {"const": "view"}}}, {"properties": {"value": {"maximum": 100}}}]}"""
+
+
+@query("x17_schema")
+def x17_schema(spark, folder):
+    """Events against a schema document with nested members, cells, ranges, enumerations, patterns and alternatives."""
+    docs = documents.modify(event_documents(spark, folder), "get_json_object(doc, '$.event_type') <> 'signup'",
+                            documents.set_("$.flag", True))
+    docs = documents.modify(docs, CLICK, documents.set_("$.props.extra", 1))
+    return schemas.violations(docs, EVENT_SCHEMA, keep=["_id"])
+
+
 @query("e6_contains")
 def e6(spark, folder):
     v = J.parsed("doc")
