@@ -39,13 +39,13 @@ from tillstar.llm.scratch import small_batches, temporary, written
 
 LEAST, LONGEST, BEST = 100, 5, 2000
 #: Words whose n-grams are formed at once, and hashes a task counts before it sends them off.
-GROUP, HELD = 1 << 19, 1 << 21
+GROUP, HELD = 1 << 18, 1 << 20
 #: Counters of a hash partition: its share of the corpus is chosen so that about as many are needed.
 COUNTERS = 1 << 20
 #: Hashes a row of a summary holds, so that rows stay small.
 ROW = 1 << 11
 #: Phrases that are held with their texts at once.
-PHRASES = 1 << 18
+PHRASES = 1 << 17
 #: The least number of hash partitions.
 FEW = 1 << 8
 #: Groups among which each language's best are first chosen.
