@@ -511,6 +511,27 @@ SELECT o_orderkey, CAST(d + INTERVAL 1 MONTH AS VARCHAR) AS next_month,
        CAST(d - INTERVAL 1 DAY - INTERVAL 7384 SECOND AS VARCHAR) AS before,
        CAST(d + INTERVAL 1500000 MICROSECOND AS VARCHAR) AS micro
 FROM (SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) AS d FROM orders)"""
+ORACLE["e9_casts_other"] = """
+SELECT event_id, hex(encode(event_type)) AS bytes,
+       CASE WHEN event_id % 7 <> 0 THEN strftime(ts, '%Y-%m-%d') END AS as_date,
+       CASE WHEN event_id % 7 <> 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS as_datetime,
+       CASE WHEN event_id % 7 <> 0 THEN strftime(ts, '%H:%M:%S') END AS as_time,
+       CASE WHEN event_id % 7 <> 0 THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k
+FROM events"""
+# A week from Sunday that began last year has last year's number; a week from Monday counts with four days in the year.
+ORACLE["f_week_codes"] = """
+WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders),
+w AS (SELECT *, strftime(d, '%U') AS u, strftime(d, '%V') AS iso, strftime(d, '%G') AS iso_year, year(d) AS y, day(d) AS n FROM d)
+SELECT CAST(d AS VARCHAR) AS day, u AS week_sunday,
+       CASE WHEN CAST(iso_year AS INTEGER) < y THEN '00'
+            WHEN CAST(iso_year AS INTEGER) > y THEN lpad(CAST(CAST(strftime(d - 7, '%V') AS INTEGER) + 1 AS VARCHAR), 2, '0')
+            ELSE iso END AS week_monday,
+       CASE WHEN u = '00' THEN strftime(make_date(y - 1, 12, 31), '%U') ELSE u END AS week_sunday_full,
+       CAST(CASE WHEN u = '00' THEN y - 1 ELSE y END AS VARCHAR) AS year_sunday,
+       iso AS week_iso, iso_year AS year_iso, strftime(d, '%w') AS weekday,
+       n || CASE WHEN n IN (11, 12, 13) THEN 'th' WHEN n % 10 = 1 THEN 'st' WHEN n % 10 = 2 THEN 'nd'
+                 WHEN n % 10 = 3 THEN 'rd' ELSE 'th' END AS day_suffix
+FROM w"""
 ORACLE["e9_casts"] = """
 SELECT p_partkey, CAST(substr(p_brand, 7) AS BIGINT) AS brand_number, CAST(NULL AS BIGINT) AS not_a_number,
        CAST(CAST(18446744073709551616 AS HUGEINT) - p_size AS VARCHAR) AS wrapped,

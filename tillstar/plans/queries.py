@@ -1003,6 +1003,33 @@ def e9(spark, folder):
     )
 
 
+@query("e9_casts_other")
+def e9_other(spark, folder):
+    """Casts to bytes, dates, times and documents; every seventh text is none of them."""
+    rows = read_table(spark, folder, "events").withColumn(
+        "text", F.when(F.col("event_id") % 7 == 0, "no value").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")))
+    clock = F.when(F.col("event_id") % 7 == 0, "no value").otherwise(F.date_format("ts", "HH:mm:ss"))
+    doc = F.when(F.col("event_id") % 7 == 0, "{").otherwise(F.col("props"))
+    return rows.select(
+        "event_id",
+        F.hex(N.cast_binary("event_type")).alias("bytes"),
+        N.cast_date("text").cast("string").alias("as_date"),
+        F.date_format(N.cast_datetime("text"), "yyyy-MM-dd HH:mm:ss").alias("as_datetime"),
+        N.cast_time(clock).alias("as_time"),
+        F.try_variant_get(N.cast_json(doc), "$.k", "int").alias("k"),
+    )
+
+
+@query("f_week_codes")
+def f_week_codes(spark, folder):
+    """Codes that Spark has no pattern for: weeks from Sunday and from Monday, their years, and days with a suffix."""
+    days = read_table(spark, folder, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()
+    return days.select(F.col("day").cast("string").alias("day"), *[
+        D.date_format("day", f"%{code}").alias(name) for code, name in (
+            ("U", "week_sunday"), ("u", "week_monday"), ("V", "week_sunday_full"), ("X", "year_sunday"),
+            ("v", "week_iso"), ("x", "year_iso"), ("w", "weekday"), ("D", "day_suffix"))])
+
+
 @query("e12_json_path")
 def e12(spark, folder):
     return read_table(spark, folder, "events").select(
