@@ -1,4 +1,10 @@
-"""A corpus from raw documents to packed sequences: each stage works on all that the one before kept."""
+"""A corpus from raw documents to packed sequences: each stage works on all that the one before kept.
+
+Rules are those of the operators: a null or empty text is a document like any other, which no stage but the classifier
+drops and which packs as its end token; equal texts keep the row with the smallest id; rows repeated whole count as one
+document of a group; columns beside those of ``documents`` pass through until the last stage, whatever their names. An
+empty table gives an empty result. A stage's table lies in the shared folder, so a lost executor costs a re-read.
+"""
 
 from __future__ import annotations
 
