@@ -55,6 +55,76 @@ def test_fingerprints_of_repeats_and_little(spark):
     assert merkle.fingerprints(spark.createDataFrame([], DOCS)).collect() == []
 
 
+def content_tree(text):
+    """The tree by content instead of hashes: (level, what the node spells, children)."""
+    at = 0
+
+    def walk(node):
+        nonlocal at
+        start = at
+        if node.children:
+            children = [walk(c) for c in node.children]
+            at = start + node.size
+        else:
+            children, at = [], start + node.size
+        return node.level, text[start:at], children
+
+    return walk(merkle.tree(text))
+
+
+def plain_likeness(a, b):
+    """Branches that spell the same, level by level from the top, taken once each; their length in both."""
+    total = 0
+    left, right = [content_tree(a)], [content_tree(b)]
+    for level in range(len(merkle.LEVELS) - 1, -1, -1):
+        x, y = [n for n in left if n[0] == level], [n for n in right if n[0] == level]
+        # a separator belongs to its parent: what a node spells without it decides
+        key = lambda n: tuple(leaf_texts(n))
+        both = Counter(map(key, x)) & Counter(map(key, y))
+        for nodes, side in ((x, left), (y, right)):
+            quota = both.copy()
+            for n in nodes:
+                side.remove(n)
+                if quota[key(n)]:
+                    quota[key(n)] -= 1
+                    total += len(n[1])
+                else:
+                    side += n[2]
+    return total / (len(a) + len(b)) if a or b else 1.0
+
+
+def leaf_texts(node):
+    if not node[2]:
+        yield node[0], node[1].rstrip(". \n") if node[0] else node[1]
+    for c in node[2]:
+        yield node[0], len(node[2])
+        yield from leaf_texts(c)
+
+
+def test_likeness_by_content():
+    """Hashes find the branches that a comparison of the texts themselves finds."""
+    some = texts(8, 12)
+    for a, b in zip(some, some[1:]):
+        half = len(a) // 2
+        for other in (b, a[: len(a) - half] + b[:half], a, a.replace("three", "3", 1), a + "\n" + b):
+            assert merkle.likeness(merkle.tree(a), merkle.tree(other)) == pytest.approx(plain_likeness(a, other))
+
+
+def test_leaves_spell_the_text():
+    for text in ["", "x" * 3000, "\n\n", "a. b. . c", "é\r\x0b ü" * 30, *texts(9, 5)]:
+        def leaves(node):
+            return [node] if not node.level else [x for c in node.children for x in leaves(c)]
+        root = merkle.tree(text)
+        assert root.size == len(text) and all(1 <= n.size <= 40 for n in leaves(root))
+
+
+def test_a_kept_half_is_found(spark):
+    """On all documents: what keeps 50 characters or more has some likeness to what it was."""
+    found = merkle.fingerprints(spark.read.parquet(f"{DATA}/documents.parquet"))
+    assert found.where("n_chars >= 100 and near_edited = 0").count() == 0
+    assert found.where("n_chars >= 2000").agg({"near_edited": "avg"}).first()[0] > 0.45
+
+
 def test_edit_is_located():
     text = "\n".join(texts(3, 30))
     place = text.index(". ", len(text) // 2) + 2

@@ -1,7 +1,8 @@
 """Document fingerprints as Merkle trees over sections, paragraphs and sentences.
 
-A text is its lines; a line is a paragraph, its leaves are sentences, cut at ". " and, where they run on, every CELL
-characters. A section ends before a blank line or before a paragraph whose own hash says so (one in eight), so that an
+A text is its lines; a line is a paragraph of sentences, cut at ". ". The leaves are a few words of a sentence: they end
+after a space whose letter before says so, once they have 16 characters, and at the latest after 40, so that a leaf does
+not depend on what stands far before it and a kept half of 50 characters holds one. A section ends before a blank line or before a paragraph whose own hash says so (one in eight), so that an
 edit moves no distant border. A node's hash covers its children's; the root is the fingerprint and equal roots mean
 equal texts. Comparing two trees goes down only into branches whose hashes differ: what remains locates the edit.
 
@@ -15,6 +16,7 @@ gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -26,7 +28,8 @@ from pyspark.sql import functions as F
 from tillstar.llm import passages
 from tillstar.llm.scratch import written
 
-CELL = 240
+#: Leaves of 16 to 40 characters: the letters are those whose code point divides by four.
+LEAF = re.compile(r".{14,38}?[dhlptx] |.{1,40}", re.DOTALL)
 NAMES = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next",
          "edit_found_at"]
 SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -45,7 +48,7 @@ def _digest(kind: bytes, body: bytes) -> bytes:
 
 
 #: A node's kind goes into its hash; its place in this list is its height.
-LEVELS = [b"leaf", b"long", b"para", b"sect", b"root"]
+LEVELS = [b"leaf", b"sent", b"para", b"sect", b"root"]
 
 
 def _parent(kind: bytes, children: list[Node], extra: int = 0) -> Node:
@@ -59,16 +62,12 @@ def tree(text: str) -> Node:
     open_: list[Node] = []
     lines = text.split("\n")
     for i, line in enumerate(lines):
-        leaves = []
+        sentences = []
         parts = line.split(". ")
         for j, part in enumerate(parts):
-            gap = 2 * (j < len(parts) - 1)
-            if len(part) <= CELL:
-                leaves.append(Node(_digest(b"leaf", part.encode()), len(part) + gap))
-            else:
-                cells = [part[a: a + CELL] for a in range(0, len(part), CELL)]
-                leaves.append(_parent(b"long", [Node(_digest(b"leaf", c.encode()), len(c)) for c in cells], gap))
-        paragraph = _parent(b"para", leaves, int(i < len(lines) - 1))
+            leaves = [Node(_digest(b"leaf", leaf.encode()), len(leaf)) for leaf in LEAF.findall(part)]
+            sentences.append(_parent(b"sent", leaves, 2 * (j < len(parts) - 1)))
+        paragraph = _parent(b"para", sentences, int(i < len(lines) - 1))
         if open_ and (not line or paragraph.hash[0] < 32):
             sections.append(_parent(b"sect", open_))
             open_ = []
