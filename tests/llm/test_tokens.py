@@ -180,3 +180,22 @@ def test_merging_of_any_length():
         ids = other.encode(word).ids
         assert merger.ids(word.encode()) == ids
         assert merger._long([merger.first[b] for b in word.encode()]) == ids
+
+
+def test_the_most_frequent_words_with_ties(spark):
+    """Counts decide, then byte order; no more words than asked for, and fewer only where there are no more."""
+    texts = ["a a a b b c c d", "d e f é", None, ""]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(2)
+    counts = {}
+    for text in texts:
+        for word in _pieces(text or ""):
+            counts[word] = counts.get(word, 0) + 1
+    order = [w for w, _ in sorted(counts.items(), key=lambda c: (-c[1], c[0]))]
+    for most in (1, 3, 4, 6, 100):
+        assert lexicon.frequent_words(docs, most) == sorted(order[:most])
+    assert lexicon.frequent_words(docs.where("false"), 5) == []
+
+
+def _pieces(text):
+    import regex
+    return [w.encode() for w in regex.findall(lexicon.PATTERN, text)]

@@ -26,6 +26,8 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillstar.llm.scratch import temporary
+from tillstar.operators.ranks import between
 from tillstar.session import scratch_path
 
 #: Words in the automaton: at most a few MB, whatever the corpus.
@@ -302,9 +304,23 @@ def frequent_words(docs: DataFrame, most: int = WORDS) -> list[bytes]:
         if seen or words:
             yield flush()
 
-    top = (docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "word").limit(most))
-    return sorted(bytes(r.word) for r in top.collect())
+    with temporary(docs.sparkSession) as write:
+        counts = write(docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(
+            F.sum("n").alias("n")), "words")
+        # how many words have each count: one row a count, from which follows the least count that all fit with
+        found = sorted(((r.n, r.words) for r in counts.groupBy("n").agg(F.count("*").alias("words")).collect()), reverse=True)
+        sure, last = 0, None
+        for n, words in found:
+            if sure + words > most:
+                last = n
+                break
+            sure += words
+        top = counts if last is None else counts.where(F.col("n") > last)
+        words = [bytes(r.word) for r in top.select("word").collect()]  # at most ``most``
+        if last is not None and sure < most:  # words of one count more than fit: the first in byte order
+            ties = between(counts.where(F.col("n") == last).select("word"), ["word"], 0, most - sure)
+            words += [bytes(r.word) for r in ties.collect()]
+    return sorted(words)
 
 
 def publish(spark: SparkSession, block: bytes) -> str:

@@ -62,7 +62,8 @@ class WordEncoder:
         for a in range(0, len(marked), 500):
             part = marked[a: a + 500]
             ids = np.array(self._ids(f" {MARK} ".join(part)), np.uint32)
-            cuts = np.flatnonzero(ids == self.mark[0])
+            # a vocabulary that drops the marker, or cuts it up, cannot tell texts apart by it
+            cuts = np.flatnonzero(ids == self.mark[0]) if len(self.mark) == 1 else ids[:0]
             if len(self.mark) != 1 or len(cuts) != len(part) - 1:
                 for t in part:
                     out[t] = np.array(self._ids(t), np.uint32).tobytes()
