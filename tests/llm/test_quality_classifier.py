@@ -68,3 +68,23 @@ def test_nulls_repeats_and_empty(spark):
     assert len(found) == 82 and len({r.score for r in found if r.doc_id == 3}) == 1
     assert quality.kept(docs, labels).columns == docs.columns
     assert quality.scored(docs.where("false"), labels).collect() == []
+
+
+def test_unlabelled_documents_are_found_without_their_texts(spark, monkeypatch):
+    """Exactly the documents whose id has no label, null ids included, also where the bit tables err for most ids."""
+    import numpy as np
+    from tillstar.llm import passages
+    from tillstar.llm.scratch import temporary
+
+    rows = [(i if i % 50 else None, f"text {i}", None, "s", i) for i in range(1, 600)] + [(7, "again", "en", None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    known = spark.createDataFrame([(i,) for i in range(0, 600, 3)], "doc_id long")
+    want = sorted(map(str, quality.packed(docs.join(known, "doc_id", "left_anti")).collect()))
+    assert len(want) == sum(r[0] is None or r[0] % 3 > 0 for r in rows)
+    exact = passages.bit_table
+    half = np.where(np.arange(1 << 17) % 2, 255, 0).astype(np.uint8)
+    for table in (exact, lambda hashes: half | exact(hashes)):
+        monkeypatch.setattr(quality.passages, "bit_table", table)
+        with temporary(spark) as write:
+            assert sorted(map(str, quality.unlabelled(docs, known, write).collect())) == want
+        monkeypatch.undo()

@@ -21,8 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm import windows
+from tillstar.llm import passages, windows
 from tillstar.llm.scratch import cleaned, small_batches, temporary
+from tillstar.llm.sums import added
 
 LABELLED = 8000
 ROUNDS, CONFIDENT = 3, 0.95
@@ -210,12 +211,16 @@ def co_train(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, pools, rounds:
     return {"weights": weights, "own": own, "both": calibrate(both, y[test]), "log": log}
 
 
-def packed(docs: DataFrame, *columns: str) -> DataFrame:
-    """``columns`` and each document's features: ``m``, slots of the metadata, and the content that is not zero."""
+def packed(docs: DataFrame, *columns: str, keep: Callable | None = None) -> DataFrame:
+    """``columns`` and each document's features: ``m``, slots of the metadata, and the content that is not zero.
+
+    ``keep`` gives the rows of a batch to pack, and for each whether it is in ``doubt``, a column after the others.
+    """
     n = len(columns)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch, doubt = keep(batch) if keep else (batch, None)
             for a in range(0, batch.num_rows, 512):  # a few MB of features at a time
                 part = batch.slice(a, 512)
                 x = content(part.column(n)).astype(np.float16)
@@ -223,12 +228,13 @@ def packed(docs: DataFrame, *columns: str) -> DataFrame:
                 at = [np.flatnonzero(r).astype(np.uint16) for r in x]
                 yield pa.record_batch([*part.columns[:n], pa.array([r.tobytes() for r in m], pa.binary()),
                                        pa.array([i.tobytes() for i in at], pa.binary()),
-                                       pa.array([r[i].tobytes() for r, i in zip(x, at)], pa.binary())],
-                                      [*columns, "m", "at", "x"])
+                                       pa.array([r[i].tobytes() for r, i in zip(x, at)], pa.binary()),
+                                       *([] if doubt is None else [pa.array(doubt[a: a + 512])])],
+                                      [*columns, "m", "at", "x", *([] if doubt is None else ["doubt"])])
 
     rows = docs.select(*columns, "text", "lang", "source", "n_chars")
     kinds = "".join(f"{c} {rows.schema[c].dataType.simpleString()}, " for c in columns)
-    return rows.mapInArrow(features, f"{kinds}m binary, at binary, x binary")
+    return rows.mapInArrow(features, f"{kinds}m binary, at binary, x binary" + (", doubt boolean" if keep else ""))
 
 
 def unpacked(m: pa.Array, at: pa.Array, x: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -253,16 +259,39 @@ def summed(rows: DataFrame, work: Callable) -> np.ndarray:
         yield pa.record_batch([pa.array(range(SLICES), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())],
                               ["slice", "sums"])
 
-    def add(key, found):
-        whole = sum(np.frombuffer(x.as_py(), np.float64) for x in found.column("sums"))
-        return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "sums": pa.array([whole.tobytes()], pa.binary())})
-
     with cleaned(rows.sparkSession):
-        parts = (rows.mapInArrow(run, "slice int, sums binary").groupBy("slice")
-                 .applyInArrow(add, "slice int, sums binary").collect())
-    if not parts:
-        return np.zeros(shape)
-    return np.concatenate([np.frombuffer(p.sums) for p in sorted(parts, key=lambda p: p.slice)]).reshape(shape)
+        parts = added(rows.mapInArrow(run, "slice int, sums binary"), np.float64)
+    return np.concatenate([parts[i] for i in sorted(parts)]).reshape(shape) if parts else np.zeros(shape)
+
+
+def unlabelled(docs: DataFrame, known: DataFrame, write: Callable) -> DataFrame:
+    """The packed documents whose id is not in ``known`` (distinct ids), a null id included.
+
+    No text is shuffled to find them. A bit table of the known ids tells most documents apart; of those it may hold, only
+    the ids are compared, and what it holds by mistake goes into a second table. Documents that only the first has are
+    known; the few that both have are packed and compared exactly.
+    """
+    spark = docs.sparkSession
+    hashed = docs.withColumn("h", F.xxhash64("doc_id"))
+    first = spark.sparkContext.broadcast(passages.bit_table(known.select(F.xxhash64("doc_id").alias("h"))))
+
+    def may(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(passages.marked(first.value, batch.column(0).to_numpy().view(np.uint64))))
+
+    ids = hashed.select("h", "doc_id").mapInArrow(may, "h long, doc_id long")
+    ids = write(ids.join(known, "doc_id", "left_anti").distinct(), "unlabelled")
+    second = spark.sparkContext.broadcast(passages.bit_table(ids.select("h")))
+
+    def keep(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, np.ndarray]:
+        hashes = batch.column(0).to_numpy().view(np.uint64)
+        doubt = passages.marked(first.value, hashes)
+        left = ~doubt | passages.marked(second.value, hashes)
+        return batch.filter(pa.array(left)), doubt[left]
+
+    pool = write(packed(hashed, "h", "doc_id", keep=keep), "pool")
+    doubtful = pool.where("doubt").alias("p").join(ids.alias("i"), F.col("p.doc_id").eqNullSafe(F.col("i.doc_id")), "left_semi")
+    return pool.where("not doubt").select("m", "at", "x").unionByName(write(doubtful.select("m", "at", "x"), "doubtful"))
 
 
 def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> dict:
@@ -280,7 +309,7 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> dict:
         return {"share": float(y.mean()) if len(y) else 1.0}
     views = unpacked(*(rows[c] for c in ("m", "at", "x")))
     with temporary(docs.sparkSession) as write:
-        pool = write(packed(docs.join(known.select("doc_id"), "doc_id", "left_anti")), "pool")
+        pool = unlabelled(docs, known.select("doc_id"), write)
         return co_train(views, y, lambda work: summed(pool, work))
 
 
