@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 
 from tillstar.llm import passages, windows
 from tillstar.llm.components import components
-from tillstar.llm.scratch import temporary, written
+from tillstar.llm.scratch import small_batches, temporary, written
+from tillstar.llm.sums import added
 
 GRAM, PERCENT = 4, 85
 SKETCH = 1 << 20
@@ -41,6 +42,8 @@ CLASSES = 256
 ROUNDS = 3
 #: Seeds of the orders; the first one finds the pairs, the others filter them.
 ORDERS = (0x1B873593, 0x5BD1E995, 0x27D4EB2F)
+#: Rows of an Arrow batch: a pair that is verified brings two whole texts.
+ROWS = 256
 #: Nodes of an n-gram that are compared in one block.
 BLOCK = 2000
 
@@ -73,17 +76,12 @@ def sketch(docs: DataFrame, gram: int) -> np.ndarray:
                 np.add.at(cells, (found & np.uint64(SKETCH - 1)).astype(np.int64), 1)
         if cells.any():
             parts = [x.tobytes() for x in cells.reshape(-1, SKETCH_SLICE)]
-            yield pa.record_batch([pa.array(range(len(parts)), pa.int64()), pa.array(parts, pa.binary())], ["slice", "cells"])
-
-    def add(key, rows):
-        total = sum(np.frombuffer(x.as_py(), np.int64) for x in rows.column("cells"))
-        return pa.table({"slice": pa.array([key[0].as_py()], pa.int64()),
-                         "levels": pa.array([np.log2(np.maximum(total, 1)).astype(np.uint8).tobytes()], pa.binary())})
+            yield pa.record_batch([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], ["slice", "sums"])
 
     levels = np.zeros(SKETCH, np.uint8)
-    for slice_, part in (docs.select("text").mapInArrow(count, "slice long, cells binary").groupBy("slice")
-                         .applyInArrow(add, "slice long, levels binary").collect()):
-        levels[slice_ * SKETCH_SLICE: (slice_ + 1) * SKETCH_SLICE] = np.frombuffer(part, np.uint8)
+    for slice_, total in added(docs.select("text").mapInArrow(count, "slice int, sums binary"), np.int64).items():
+        part = np.log2(np.maximum(total, 1)).astype(np.uint8)
+        levels[slice_ * SKETCH_SLICE: (slice_ + 1) * SKETCH_SLICE] = part
     return levels
 
 
@@ -271,6 +269,7 @@ def linked(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFra
     """``doc_id``, ``row``, ``n_shingles``, ``label`` (its component; null: no words), ``component_id``."""
     docs = passages.source(docs)
     spark = docs.sparkSession
+    small_batches(spark, ROWS)
     levels = spark.sparkContext.broadcast(sketch(docs, gram))
     with temporary(spark) as write:
         sets = write(described(docs, levels, gram, percent), "sets")
