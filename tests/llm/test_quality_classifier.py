@@ -34,6 +34,40 @@ def test_views_teach_each_other():
     assert ((p > 0.5) == (pool_y > 0.5)).mean() > 0.98
 
 
+def test_a_weak_view_teaches_by_rank():
+    """A view that is right more often than not, but never sure, hands on the first of each class; a useless one none."""
+    rng = np.random.default_rng(2)
+
+    def make(y, use):
+        strong = np.column_stack([np.ones(len(y)), 6 * y - 3 + rng.normal(size=len(y))])
+        weak = np.column_stack([np.ones(len(y)), use * (y - 0.5) + rng.normal(size=len(y))])
+        return strong.astype(np.float32), weak.astype(np.float32)
+
+    y, pool_y = (rng.random(2000) < 0.8).astype(np.float32), (rng.random(3000) < 0.8).astype(np.float32)
+    model = quality.co_train(make(y, 0.6), y, make(pool_y, 0.6), first=0.1)
+    assert all(given[0] > 2500 and 150 < given[1] <= 300 for given in model["log"])
+    new = make(pool_y, 0.6)
+    p = quality.probability(np.column_stack([new[v] @ model["weights"][v] for v in range(2)]), model["both"])
+    assert ((p > 0.5) == (pool_y > 0.5)).mean() > 0.98
+    same = tuple(np.ones((len(x), 1), np.float32) for x in (y, pool_y))
+    model = quality.co_train((make(y, 1)[0], same[0]), y, (make(pool_y, 1)[0], same[1]))
+    assert all(given[0] > 2500 and given[1] == 0 for given in model["log"])
+
+
+def test_limits_and_trust():
+    found = np.zeros(quality.BINS)
+    found[[10, 3000, 3001, 3002, 3900]] = [2, 5, 80, 9, 4]
+    low, high = quality.limits(found, 0.5, 0.99, 0.2)  # ten of a hundred for each class, ties left out
+    assert found[: low + 1].sum() == 7 and found[high:].sum() == 4
+    for share in (0.0, 0.3, 1.0):
+        for one in (found, np.eye(quality.BINS)[-1], np.eye(quality.BINS)[0], np.eye(quality.BINS)[2000]):
+            low, high = quality.limits(one, share, 0.95, 0.05)
+            assert low < high
+    y = np.array([0, 0, 1, 1, 1])
+    assert quality.trust(np.array([1, 2, 3, 4, 5]), y) == 1 and quality.trust(np.array([5, 4, 3, 2, 1]), y) == 0
+    assert quality.trust(np.ones(5), y) == 0 and quality.trust(np.ones(3), np.ones(3)) == 0
+
+
 def test_every_unlabelled_document_teaches(spark):
     """Far more unlabelled documents than any sample would hold: all that a view is confident of are handed on."""
     bad, clean = "| # | # " * 4, "word other thing " * 3

@@ -2,9 +2,13 @@
 
 Both are logistic regressions. They start from ``LABELLED`` labelled documents, those with the smallest hashes of their
 ids. Over some rounds each view is calibrated on held-out labelled documents and hands every unlabelled document of which
-it is confident, as a pseudo-label, to the other view; Spark sums the gradients over them. Labelled and pseudo-labelled
-documents have the same weight in total, whatever their numbers. At last the calibrated views are combined by a regression
-on the held-out documents, and one scan scores every document on its whole text.
+it is confident, as a pseudo-label, to the other view; Spark sums the gradients over them. A view is confident of what it
+gives a probability of ``CONFIDENT``, and of the documents that rank first in each class: a share ``FIRST`` of all
+unlabelled ones, divided as the labelled are, ties left out where they would pass it. So a view whose probabilities never
+reach ``CONFIDENT`` teaches too. Pseudo-labels weigh as much in total as the labelled documents, whatever their numbers,
+times how far their teacher ranks held-out documents better than chance does; a view that does no better hands on none.
+At last the calibrated views are combined by a regression on the held-out documents, and one scan scores every document
+on its whole text.
 
 Rules: null texts are empty, a null ``lang``, ``source`` or ``n_chars`` is a value of its own. Of a document's labels the
 smallest counts; null labels do not. Without labels of both kinds every document scores the share of good ones (1.0
@@ -26,7 +30,9 @@ from tillstar.llm.scratch import cleaned, small_batches, temporary
 from tillstar.llm.sums import added
 
 LABELLED = 8000
-ROUNDS, CONFIDENT = 3, 0.95
+ROUNDS, CONFIDENT, FIRST = 3, 0.95, 0.05
+#: Ranges of probability in which a view's unlabelled documents are counted to rank them.
+BINS = 4096
 #: A fit on all documents ends with the step that lowers the loss by less than this share of it.
 SETTLED = 1e-3
 KEEP = 0.5
@@ -151,14 +157,32 @@ def descent(w: np.ndarray, kept: int = 10) -> Generator[np.ndarray, tuple[float,
             past = [*past[1 - kept:], (moved, change)]
 
 
-def sure_of(x: np.ndarray, w: np.ndarray, own: np.ndarray, confident: float) -> tuple[np.ndarray, np.ndarray]:
-    """Where a view is confident, and what it holds there."""
-    p = probability((x @ w)[:, None], own)
-    return (p >= confident) | (p <= 1 - confident), (p > 0.5).astype(np.float32)
+def bins(x: np.ndarray, w: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """The range that a view's probability of each document falls into."""
+    return np.minimum((probability((x @ w)[:, None], own) * BINS).astype(np.int64), BINS - 1)
+
+
+def trust(scores: np.ndarray, y: np.ndarray) -> float:
+    """How far scores rank good documents over bad ones: 1 always, 0 no more often than chance."""
+    good, bad = np.sort(scores[y > 0.5]), scores[y <= 0.5]
+    if not len(good) or not len(bad):
+        return 0.0
+    below = np.searchsorted(good, bad, "left") + np.searchsorted(good, bad, "right")
+    return max(0.0, float(1 - below.sum() / (len(good) * len(bad))))
+
+
+def limits(found: np.ndarray, share: float, confident: float, first: float) -> tuple[int, int]:
+    """The last range a view holds bad and the first it holds good, from its counts of unlabelled documents by range."""
+    up = np.cumsum(found)
+    low = int(np.searchsorted(up, first * (1 - share) * up[-1], "right")) - 1
+    down = np.cumsum(found[::-1])
+    high = BINS - int(np.searchsorted(down, first * share * up[-1], "right"))
+    bad, good = int((1 - confident) * BINS), int(np.ceil(confident * BINS))
+    return max(min(low, good - 1), bad - 1), min(max(high, bad), good)  # rank does not overrule a probability
 
 
 def co_train(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, pools, rounds: int = ROUNDS,
-             confident: float = CONFIDENT, penalty: float = 1e-4) -> dict:
+             confident: float = CONFIDENT, first: float = FIRST, penalty: float = 1e-4) -> dict:
     """The two views' weights and calibrations and the combination; ``log`` has the pseudo-labels given each round.
 
     ``pools`` is a pair of arrays as ``views``, or a function that sums what its argument gives for parts of the pool.
@@ -175,12 +199,15 @@ def co_train(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, pools, rounds:
     log = []
     for _ in range(rounds):
         teachers = list(zip(weights, own))
+        trusted = [trust(views[v][test] @ weights[v], y[test]) for v in range(2)]
 
         def count(part) -> np.ndarray:
-            found = [sure_of(part[v], *teachers[v], confident) for v in range(2)]
-            return np.array([[(sure & (good == kind)).sum() for kind in (0, 1)] for sure, good in found], np.float64)
+            return np.array([np.bincount(bins(part[v], *teachers[v]), minlength=BINS) for v in range(2)], np.float64)
 
-        given = total(count)
+        found = total(count)
+        edges = [limits(found[v], float(known.mean()), confident, first) for v in range(2)]
+        given = np.array([[found[v][: low + 1].sum(), found[v][high:].sum()] if trusted[v] else [0, 0]
+                          for v, (low, high) in enumerate(edges)])
         log.append(given.sum(1).astype(int).tolist())
         if not given.any():
             break
@@ -192,14 +219,16 @@ def co_train(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, pools, rounds:
             def learn(part) -> np.ndarray:
                 out = []
                 for v, w in now.items():
-                    sure, good = sure_of(part[1 - v], *teachers[1 - v], confident)
+                    place, (low, high) = bins(part[1 - v], *teachers[1 - v]), edges[1 - v]
+                    sure = (place <= low) | (place >= high)
+                    good = (place >= high).astype(np.float32)
                     kinds = 0.5 / np.maximum(given[1 - v], 1)
                     out.append(loss_of(part[v][sure], good[sure], kinds[good[sure].astype(int)].astype(np.float32), w))
                 return np.concatenate(out)
 
             found = np.split(total(learn), np.cumsum([1 + len(w) for w in now.values()])[:-1])
             for (v, w), sums in zip(now.items(), found):
-                sums = (sums + loss_of(taught[v], known, weight, w)) / 2
+                sums = (trusted[1 - v] * sums + loss_of(taught[v], known, weight, w)) / (1 + trusted[1 - v])
                 wide = w.astype(np.float64)
                 try:
                     asked[v] = learners[v].send((sums[0] + penalty / 2 * wide @ wide, sums[1:] + penalty * wide))
