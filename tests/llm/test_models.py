@@ -148,7 +148,11 @@ def small_model(rng, states=3, letters=5):
     return hmm.Model(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(0))
 
 
-def test_forward_and_counts():
+@pytest.mark.parametrize("piece, group", [(1024, 1 << 19), (2, 1 << 19), (1, 2), (3, 4)])
+def test_forward_and_counts(monkeypatch, piece, group):
+    """Also where sequences are cut: the chain is carried over the cuts."""
+    monkeypatch.setattr(hmm, "SEQUENCE", piece)
+    monkeypatch.setattr(hmm, "GROUP", group)
     rng = np.random.default_rng(2)
     model = small_model(rng)
     sequences = [rng.integers(0, 5, n).astype(np.int32) for n in (4, 1, 6, 2, 4)]
@@ -173,6 +177,17 @@ def test_forward_and_counts():
     assert np.allclose(starts, e_start) and np.allclose(moves, e_move) and np.allclose(emits, e_emit)
 
 
+def test_cuts_change_nothing_in_long_sequences(monkeypatch):
+    rng = np.random.default_rng(4)
+    model = small_model(rng, 6, 40)
+    model = hmm.Model(model.start, *hmm.renewed(model.start, np.eye(6) * 1e6, model.emit * 1e-3)[1:])
+    sequences = [rng.integers(0, 40, n).astype(np.int32) for n in (5000, 1, 1024, 1025, 2048, 300)]
+    found = [hmm.forward(model, sequences), *hmm.expected(model, sequences)]
+    monkeypatch.setattr(hmm, "SEQUENCE", 10_000)
+    for x, y in zip(found, [hmm.forward(model, sequences), *hmm.expected(model, sequences)]):
+        assert np.allclose(x, y, rtol=1e-3, atol=1e-3)
+
+
 def held(doc):
     return zlib.crc32(str(doc).encode() if doc is not None else b"") % 10 == 0
 

@@ -5,13 +5,13 @@ others, and unseen words, share CLASSES letters by their length and last byte, a
 its words by their counts. Latent states start from groups of all training documents' sequences, split again and again
 along the direction in which their hashed word shares vary most, and are then trained on every training document until
 the likelihood settles: tasks compute sums and expected counts, Spark adds them up, the driver keeps one table of states
-by letters. A document's score is exact over its whole length: the forward recursion is scaled at every token, and what
-words beyond the KNOWN most frequent add is joined by Spark from the counts of all words.
+by letters. Scores and expected counts are exact over a document's whole length: the recursions are scaled at every token,
+and pieces of SEQUENCE tokens, side by side, take the states they are entered in and what follows them from the products
+of each piece's transfer matrix. What words beyond the KNOWN most frequent add is joined by Spark from the counts of all.
 
 Rules: a null text is empty and has the end token only. A null id is held out, like an id whose CRC-32 is divisible by
-ten. Repeated rows are scored and counted each. Without training documents the score is the base score. In training, a
-document over SEQUENCE tokens counts as several sequences. Words are told apart by 64-bit hashes. An empty table gives
-an empty result; other columns are not read.
+ten. Repeated rows are scored and counted each. Without training documents the score is the base score. Words are told
+apart by 64-bit hashes. An empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -26,11 +26,14 @@ from pyspark.sql import functions as F
 
 from tillstar.llm import passages, windows
 from tillstar.llm.scratch import cleaned, written
+from tillstar.llm.sums import added
 
 STATES, OWN, CLASSES, KNOWN = 6, 1 << 16, 512, 1 << 19
 #: Training ends with the pass that raises the likelihood's logarithm by less than this share of it.
 SETTLED = 1e-4
 SEQUENCE = 1024
+#: Steps after which a piece's transfer matrix is scaled; an emission is at most 1 there.
+SCALED = 8
 #: Hashed word shares by which sequences are grouped for the first model.
 SHARES = 256
 #: Tokens handled at once.
@@ -179,46 +182,123 @@ def lockstep(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.nd
     return order, flat[np.argsort(step, kind="stable")], active
 
 
-def forward(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
-    """The log10 probability of each sequence of letters."""
-    order, letters, active = lockstep(sequences)
-    out = np.zeros(len(sequences))
-    place, alpha = 0, None
-    for n in active.tolist():
-        seen = model.emit[letters[place: place + n]]
-        alpha = model.start * seen if alpha is None else (alpha[:n] @ model.move) * seen
-        scale = alpha.sum(1)
-        alpha /= scale[:, None]
-        out[order[:n]] += np.log10(scale)
+def cut(sequences: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Pieces of SEQUENCE letters at most, in order, and which of them begin a sequence."""
+    pieces = [s[a: a + SEQUENCE] for s in sequences for a in range(0, len(s), SEQUENCE)]
+    begins = np.zeros(len(pieces), bool)
+    counts = np.array([-(-len(s) // SEQUENCE) for s in sequences])
+    begins[np.cumsum(counts) - counts] = True
+    return pieces, begins
+
+
+def blocks(pieces: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+    """Ranges of pieces with about GROUP letters, twice as many at most."""
+    a, size = 0, 0
+    for i, piece in enumerate(pieces):
+        if size and size + len(piece) > 2 * GROUP:
+            yield a, i
+            a, size = i, 0
+        size += len(piece)
+    if size:
+        yield a, len(pieces)
+
+
+def transfers(model: Model, pieces: list[np.ndarray]) -> np.ndarray:
+    """For each piece, up to a factor: how likely it is if entered in one state, and to be followed by another."""
+    order, letters, active = lockstep(pieces)
+    k = len(model.start)
+    emit = model.emit / model.emit.max(1, keepdims=True)
+    found = np.repeat(np.eye(k, dtype=emit.dtype)[:, None], len(pieces), 1)  # first state, piece, last state
+    place = 0
+    for step, n in enumerate(active.tolist(), 1):
+        found[:, :n] = (found[:, :n] * emit[letters[place: place + n]]) @ model.move
+        if step % SCALED == 0:
+            found /= found.max((0, 2), keepdims=True)
         place += n
+    out = np.empty((len(pieces), k, k))
+    out[order] = found.transpose(1, 0, 2)
     return out
 
 
+def joints(model: Model, pieces: list[np.ndarray], begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The shares of the states each piece is entered in, and, up to a factor, how likely what follows it is by its last state."""
+    enter = np.tile(model.start.astype(np.float64), (len(pieces), 1))
+    leave = np.ones_like(enter)
+    inner = ~begins
+    at = np.flatnonzero(inner | np.append(inner[1:], False))  # pieces of sequences that have several
+    found: dict[int, np.ndarray] = {}
+    own = [pieces[i] for i in at.tolist()]
+    for a, z in blocks(own):
+        found.update(zip(at[a:z].tolist(), transfers(model, own[a:z])))
+    for i in at[inner[at]].tolist():
+        enter[i] = enter[i - 1] @ found[i - 1]
+        enter[i] /= enter[i].sum()
+    behind = np.ones(len(model.start))
+    for i in at[::-1].tolist():
+        if i + 1 < len(pieces) and inner[i + 1]:
+            leave[i] = model.move @ behind
+        else:
+            behind = np.ones(len(model.start))
+        behind = found[i] @ behind
+        behind /= behind.sum()
+    return enter.astype(model.emit.dtype), leave.astype(model.emit.dtype)
+
+
+def forward(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
+    """The log10 probability of each sequence of letters."""
+    pieces, begins = cut(sequences)
+    enter, _ = joints(model, pieces, begins)
+    out = np.zeros(len(pieces))
+    for a, z in blocks(pieces):
+        order, letters, active = lockstep(pieces[a:z])
+        place, alpha = 0, enter[a:z][order]
+        for step, n in enumerate(active.tolist()):
+            seen = model.emit[letters[place: place + n]]
+            alpha = (alpha[:n] @ model.move if step else alpha) * seen
+            scale = alpha.sum(1)
+            alpha /= scale[:, None]
+            out[a + order[:n]] += np.log10(scale)
+            place += n
+    return np.add.reduceat(out, np.flatnonzero(begins))
+
+
 def expected(model: Model, sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """Baum-Welch's expected counts of starts, moves and emissions, and the sequences' log10 probability."""
-    _, letters, active = lockstep(sequences)
-    places = np.concatenate(([0], np.cumsum(active)))
-    seen = model.emit[letters]
-    alphas, scales = np.empty_like(seen), np.empty(len(letters), seen.dtype)
-    alpha = None
-    for a, z in zip(places[:-1].tolist(), places[1:].tolist()):
-        alpha = model.start * seen[a:z] if alpha is None else (alpha[: z - a] @ model.move) * seen[a:z]
-        scale = alpha.sum(1)
-        alpha = alpha / scale[:, None]
-        alphas[a:z], scales[a:z] = alpha, scale
-    moves = np.zeros(model.move.shape)
-    after = None
-    for a, z in zip(places[-2::-1].tolist(), places[:0:-1].tolist()):
-        beta = np.ones((z - a, seen.shape[1]), seen.dtype)
-        if after is not None:
-            m = len(after)
-            moves += alphas[a: a + m].T @ after
-            beta[:m] = after @ model.move.T
-        after = seen[a:z] * beta / scales[a:z, None]
-        alphas[a:z] *= beta  # now the states' probabilities
-    moves *= model.move
-    emits = np.stack([np.bincount(letters, alphas[:, k], len(model.emit)) for k in range(seen.shape[1])], 1)
-    return alphas[: active[0]].sum(0), moves, emits, float(np.log10(scales.astype(np.float64)).sum())
+    pieces, begins = cut(sequences)
+    enter, leave = joints(model, pieces, begins)
+    firsts, lasts = np.empty_like(enter), np.empty_like(enter)
+    moves, emits, total = np.zeros(model.move.shape), np.zeros(model.emit.shape), 0.0
+    for a, z in blocks(pieces):
+        order, letters, active = lockstep(pieces[a:z])
+        places = np.concatenate(([0], np.cumsum(active)))
+        seen = model.emit[letters]
+        alphas, scales = np.empty_like(seen), np.empty(len(letters), seen.dtype)
+        alpha = enter[a:z][order]
+        for step, (x, y) in enumerate(zip(places[:-1].tolist(), places[1:].tolist())):
+            alpha = (alpha[: y - x] @ model.move if step else alpha) * seen[x:y]
+            scale = alpha.sum(1)
+            alpha = alpha / scale[:, None]
+            alphas[x:y], scales[x:y] = alpha, scale
+        ends, after = leave[a:z][order], None
+        for x, y in zip(places[-2::-1].tolist(), places[:0:-1].tolist()):
+            m = 0 if after is None else len(after)
+            beta = np.empty((y - x, seen.shape[1]), seen.dtype)
+            if m:
+                moves += alphas[x: x + m].T @ after
+                beta[:m] = after @ model.move.T
+            if x + m < y:  # pieces that end here
+                last = alphas[x + m: y]
+                lasts[a + order[m: y - x]] = last
+                beta[m:] = ends[m: y - x] / (last * ends[m: y - x]).sum(1, keepdims=True)
+            after = seen[x:y] * beta / scales[x:y, None]
+            alphas[x:y] *= beta  # now the states' probabilities
+        firsts[a + order] = after
+        for k in range(seen.shape[1]):
+            emits[:, k] += np.bincount(letters, alphas[:, k], len(model.emit))
+        total += float(np.log10(scales.astype(np.float64)).sum())
+    inner = np.flatnonzero(~begins)
+    moves += lasts[inner - 1].T @ firsts[inner]
+    return model.start * firsts[begins].sum(0), moves * model.move, emits, total
 
 
 def renewed(starts: np.ndarray, moves: np.ndarray, emits: np.ndarray) -> Model:
@@ -230,10 +310,6 @@ def renewed(starts: np.ndarray, moves: np.ndarray, emits: np.ndarray) -> Model:
                  (emits / emits.sum(0)).astype(np.float32))
 
 
-def cut(letters: np.ndarray) -> list[np.ndarray]:
-    return [letters[a: a + SEQUENCE] for a in range(0, len(letters), SEQUENCE)]
-
-
 def summed(rows: DataFrame, work) -> np.ndarray:
     """The sum of ``work(sequences)``, an array, over all training documents: tasks add up theirs, Spark adds the tasks'."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,7 +322,7 @@ def summed(rows: DataFrame, work) -> np.ndarray:
             sums = found if sums is None else sums + found
         for batch in batches:
             for body in batch.column(0).to_pylist():
-                held += cut(np.frombuffer(body, np.int32))
+                held.append(np.frombuffer(body, np.int32))
                 size += len(body) // 4
                 if size >= GROUP:
                     add()
@@ -258,14 +334,9 @@ def summed(rows: DataFrame, work) -> np.ndarray:
             yield pa.record_batch([pa.array(range(SLICES), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())],
                                   ["slice", "sums"])
 
-    def total(key, rows):
-        whole = sum(np.frombuffer(x.as_py(), np.float32).astype(np.float64) for x in rows.column("sums"))
-        return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "sums": pa.array([whole.tobytes()], pa.binary())})
-
     with cleaned(rows.sparkSession):
-        parts = (rows.where("not held_out").select("letters").mapInArrow(run, "slice int, sums binary").groupBy("slice")
-                 .applyInArrow(total, "slice int, sums binary").collect())
-    return np.concatenate([np.frombuffer(p.sums, np.float64) for p in sorted(parts, key=lambda p: p.slice)])
+        parts = added(rows.where("not held_out").select("letters").mapInArrow(run, "slice int, sums binary"), np.float32)
+    return np.concatenate([parts[i] for i in sorted(parts)]).astype(np.float64)
 
 
 class Split(NamedTuple):
@@ -299,7 +370,7 @@ def groups(rows: DataFrame, most: int) -> list[Split]:
         n, made = len(splits) + 1, list(splits)
 
         def moments(sequences: list[np.ndarray]) -> np.ndarray:
-            x, sizes = shares(sequences)
+            x, sizes = shares(cut(sequences)[0])
             group, out = grouped(x, made), np.zeros((n, SHARES + 1, SHARES + 1))
             x = np.column_stack([x, np.ones(len(x))])
             for g in range(n):
@@ -327,7 +398,8 @@ def beginning(rows: DataFrame, letters: int, states: int = STATES) -> Model:
     splits = groups(rows, states)
 
     def count(sequences: list[np.ndarray]) -> np.ndarray:
-        group = np.repeat(grouped(shares(sequences)[0], splits), [len(s) for s in sequences])
+        x, sizes = shares(cut(sequences)[0])
+        group = np.repeat(grouped(x, splits), sizes)
         return np.bincount(group * letters + np.concatenate(sequences), minlength=states * letters).astype(np.float64)
 
     own = summed(rows, count).reshape(states, letters)
