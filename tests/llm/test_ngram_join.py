@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from tillstar.llm import ngram_join
@@ -106,3 +107,10 @@ def test_components(spark):
 def test_empty(spark):
     none = spark.createDataFrame([], DOCS)
     assert ngram_join.linked(none).collect() == [] and ngram_join.one_each(none).collect() == []
+
+
+def test_distinct_pairs():
+    rng = random.Random(3)
+    parts = [np.array([[rng.randint(-3, 3) for _ in range(n)] for _ in range(2)], np.int64) for n in (1, 40, 0, 25)]
+    found = ngram_join._distinct(parts).T.tolist()
+    assert sorted(map(tuple, found)) == sorted({tuple(p) for part in parts for p in part.T.tolist()})

@@ -46,6 +46,8 @@ ORDERS = (0x1B873593, 0x5BD1E995, 0x27D4EB2F)
 ROWS = 256
 #: Nodes of an n-gram that are compared in one block.
 BLOCK = 2000
+#: Pairs a task holds to pass repeats on once; where over half are distinct they go on at once.
+PASSED = 1 << 18
 
 
 def gram_sets(texts: pa.Array, gram: int) -> Iterator[np.ndarray]:
@@ -206,7 +208,7 @@ def across(members: DataFrame, percent: int) -> DataFrame:
 
     ``members``: ``gram``, ``node``, ``label``, ``n``, ``counts``, ``total`` (nodes of the n-gram) and ``x`` (the smallest
     label among them). An n-gram with over BLOCK nodes is dealt to tasks as pairs of blocks. N-grams with the same ``x``
-    mostly have the same nodes, so they are looked at one after another and a pair is passed on once.
+    mostly have the same nodes, so they are looked at one after another and a pair is mostly passed on once.
     """
     blocks = F.ceil(F.col("total") / BLOCK)
     own = F.pmod(F.xxhash64("node"), blocks)
@@ -216,24 +218,35 @@ def across(members: DataFrame, percent: int) -> DataFrame:
                      "node", "label", "n", "counts"))
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
-        last = None
+        held, size = [], 0
         for group in _groups(batches):
-            x = group.column("x")[0].as_py()
-            if x != last or len(seen) > passages.REMEMBERED * 3:
-                seen.clear()
-                last = x
             a, b = _chances(group, percent)
-            found = set(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist())) - seen
-            if found:
-                seen |= found
-                a, b = zip(*found)
-                yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            if len(a):
+                held.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
+                size += len(a)
+            if size > PASSED:
+                held = [_distinct(held)]
+                size = held[0].shape[1]
+                if size > PASSED // 2:
+                    yield pa.record_batch([pa.array(held[0][0]), pa.array(held[0][1])], ["a", "b"])
+                    held, size = [], 0
+        if held:
+            a, b = _distinct(held)
+            yield pa.record_batch([pa.array(a), pa.array(b)], ["a", "b"])
 
     return (dealt.repartition("x", "i", "j").sortWithinPartitions("x", "i", "j", "gram")
             .mapInArrow(pairs, "a long, b long").distinct())
 
 
+def _distinct(pairs: list[np.ndarray]) -> np.ndarray:
+    """Pairs, a column each, without repeats."""
+    found = np.concatenate(pairs, 1)
+    found = found[:, np.lexsort(found)]
+    new = np.ones(found.shape[1], bool)
+    new[1:] = (found[:, 1:] != found[:, :-1]).any(0)
+    return found[:, new]
+
+
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """The rows of each (gram, i, j), which come one after another."""
     held: list[pa.RecordBatch] = []
