@@ -404,6 +404,7 @@ def o3(spark, folder):
 
 
 FILES, FILES_PER_BATCH = 8, 2
+STATE_BATCHES = 4
 
 
 def _streamed(spark, folder, masters=None) -> tuple[SourceStar, str]:
@@ -535,7 +536,9 @@ def m3_state(spark, folder):
     _, out = _streamed(spark, folder)
     checkpoint = f"{out}-state"
     _batches(spark, out)
-    stream.follow(spark, out, f"{out}-changes", checkpoint, ("order_ts", "product_id", "quantity"), 1).awaitTermination()
+    files_per_batch = stream.share_of_files(spark, out, STATE_BATCHES)
+    stream.follow(spark, out, f"{out}-changes", checkpoint, ("order_ts", "product_id", "quantity"),
+                  files_per_batch).awaitTermination()
     return stream.state_of(spark, checkpoint).select("order_id", "product_id", "quantity", "sales_revenue")
 
 
