@@ -25,3 +25,19 @@ def test_state_batches_do_not_follow_the_files(spark, tmp_path):
     assert 2 <= batches <= 4
     got = sorted((r.order_id, r.quantity) for r in stream.state_of(spark, str(tmp_path / "state")).collect())
     assert got == [(0, 9), (1, 7), (2, 8)]
+
+
+def test_tasks_do_not_grow_with_the_tables(spark):
+    """Shuffled data of 40 MB, of which Spark's defaults would make one task a core, goes to tasks of at most 16 MB."""
+    configure(spark)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        df = spark.range(2_000_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("t"))
+        df = df.coalesce(2).repartition("id").select(F.spark_partition_id().alias("p"), F.length("t").alias("n"))
+        most = df.groupBy("p").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert most <= 17e6
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "32m"
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
