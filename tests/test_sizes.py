@@ -41,3 +41,36 @@ def test_tasks_do_not_grow_with_the_tables(spark):
     assert most <= 17e6
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "32m"
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+
+
+def test_least_of_one_column_needs_no_sort(spark):
+    day = datetime.datetime(2020, 1, 1)
+    rows = [(1, day), (1, day + datetime.timedelta(1)), (2, None), (2, day), (None, day), (3, None)]
+    df = spark.createDataFrame(rows, "order_id bigint, order_ts timestamp_ntz").repartition(3)
+    one = dedupe.keep_one(df, ["order_id"])
+    assert "Sort" not in one._jdf.queryExecution().executedPlan().toString()
+    assert {(r.order_id, r.order_ts) for r in one.collect()} == {(1, day), (2, None), (None, day), (3, None)}
+
+
+def test_lookup_deals_rows_by_product_last(spark):
+    """The customers add two short columns and the products seven, so the rows are still narrow in the second shuffle."""
+    rows = enrich.lookup(good(spark), *masters(spark))
+    plan = rows._jdf.queryExecution().analyzed().toString()
+    assert plan.index("AS _customer#") < plan.index("AS _product#")  # the inner join is printed first
+    assert rows.columns == [
+        "order_id", "order_ts", "product_id", "quantity", "customer_id", "product_name", "price", "supplier_id",
+        "supplier_name", "store_id", "store_name", "customer_name", "gender", "reject_reason", "sales_revenue"]
+
+
+def test_staged_rows_carry_no_names(spark, tmp_path, monkeypatch):
+    seen, remove = [], loads.remove
+
+    def look(session, path):
+        if "enriched" in path:
+            seen.append(session.read.parquet(path).columns)
+        return remove(session, path)
+
+    monkeypatch.setattr(loads, "remove", look)
+    loads.load_transactions(good(spark), *masters(spark), str(tmp_path / "dw"), "order")
+    assert len(seen) == 1 and not {"product_name", "supplier_name", "store_name", "customer_name", "price"} & set(seen[0])
+    assert loads.read_rejects(spark, str(tmp_path / "dw")).count() == 3

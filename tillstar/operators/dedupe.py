@@ -6,6 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: Types whose minimum Spark keeps in place in a hash aggregate.
+_FIXED = (T.IntegerType, T.LongType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:
@@ -40,9 +44,13 @@ def keep_one(df: DataFrame, keys: Sequence[str], attributes: Sequence[str] | Non
     Only the distinct attribute sets of a key matter, so they are found first: a hash aggregate that shrinks the
     rows on the map side. The minimum over structs, which Spark aggregates by sorting, then sees few rows. The
     condition on the number of sets is always true; without it Catalyst would fold the two aggregates into one and
-    sort all rows.
+    sort all rows. The minimum of one column of fixed width needs neither structs nor sorting: one hash aggregate.
     """
     attributes = list(attributes or [c for c in df.columns if c not in keys])
+    if len(attributes) == 1 and isinstance(df.schema[attributes[0]].dataType, _FIXED):
+        one = F.col(attributes[0])
+        least = F.when(F.count(one) == F.count(F.lit(1)), F.min(one))  # NULL is the smallest, which min() alone skips
+        return df.groupBy(*keys).agg(least.alias(attributes[0]))
     variants = df.select(*keys, *attributes).distinct()
     if not attributes:
         return variants

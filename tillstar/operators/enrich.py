@@ -20,7 +20,9 @@ def lookup(transactions: DataFrame, products: DataFrame, customers: DataFrame) -
     straight from a shuffle, so pass masters that are scans of staged tables: one that is computed on the fly by joins
     or aggregates on its key needs no shuffle of its own, and a hot product would then stay in one task.
     """
-    joined = _left(_left(transactions, products, "product_id", "_product"), customers, "customer_id", "_customer")
+    # Customers first: they add the fewer columns, so the rows are still narrow when they are dealt by product.
+    joined = _left(_left(transactions, customers, "customer_id", "_customer"), products, "product_id", "_product")
+    added = [c for m, key in ((products, "product_id"), (customers, "customer_id")) for c in m.columns if c != key]
     reason = (
         F.when(F.col("_product").isNull() & F.col("_customer").isNull(), "unknown product and customer")
         .when(F.col("_product").isNull(), "unknown product")
@@ -28,7 +30,7 @@ def lookup(transactions: DataFrame, products: DataFrame, customers: DataFrame) -
     )
     if REASON in transactions.columns:  # a row that failed cleaning keeps its first reason
         reason = F.coalesce(F.col(REASON), reason)
-    return joined.withColumns({
+    return joined.select(*transactions.columns, *added, "_product", "_customer").withColumns({
         REASON: reason,
         "sales_revenue": (F.col("quantity") * F.col("price")).cast(REVENUE),
     }).drop("_product", "_customer")

@@ -238,7 +238,9 @@ def load_transactions(transactions: DataFrame, products: DataFrame, customers: D
         if grain == "line":
             rows = rows.withColumns({_USABLE: usable, _REJECT: F.when(~usable, reject)})
             fact = sales_rows(rows, grain, sequence, (_USABLE, _REJECT))
-        else:
+        else:  # staged without the names and prices of the masters, which the fact does not carry
+            kept = [f.name for f in star_schema("sales").fields if f.name in rows.columns]
+            rows = rows.select(*dict.fromkeys([*kept, *sequence, *transactions.columns, REASON]))
             rows.write.parquet(staged)
             rows = spark.read.schema(rows.schema).parquet(staged)
             fact = sales_rows(rows.filter(usable), grain, sequence).withColumn(_USABLE, F.lit(True))

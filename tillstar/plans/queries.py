@@ -403,7 +403,7 @@ def o3(spark, folder):
     return loads.insert_ignore(parts.filter("p_size <= 25"), new, ["p_partkey"])
 
 
-FILES, FILES_PER_BATCH = 8, 2
+FILES, FILES_PER_BATCH = 24, 6
 STATE_BATCHES = 4
 
 
@@ -416,7 +416,7 @@ def _streamed(spark, folder, masters=None) -> tuple[SourceStar, str]:
     star = SourceStar.read(spark, folder)
     base = scratch_path(spark, "stream")
     rows = raw_transactions(star).select(*RAW_TRANSACTIONS.fieldNames())
-    rows.repartitionByRange(FILES, F.xxhash64(*rows.columns)).write.option("header", True).csv(f"{base}/in")
+    rows.repartition(FILES, F.xxhash64(*rows.columns)).write.option("header", True).csv(f"{base}/in")
     paths = scratch_path(spark, "masters")
     product_master(star).write.parquet(f"{paths}/product")
     checked_customers(star).write.parquet(f"{paths}/customer")
