@@ -63,6 +63,16 @@ def test_more_pieces_than_remembered(monkeypatch):
     assert own.encode(texts) == expected and own.encode(texts[::-1]) == expected[::-1]
 
 
+def test_pieces_of_one_text_pass_the_limit(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 20)
+    own, other = WordEncoder(WORD), library(WORD)
+    text = " ".join(f"{a}{b}{c}.," for a in "aÉz" for b in "Abc" for c in "xyZßé")
+    for t in (text, text.upper(), "<|STARTOFTEXT|> A<|EndOfText|>B <|endoftext|>C", "Ⱥb ǅ Ÿ, ŉ! ªº¿"):
+        assert own.encode([t]) == [le(other.encode(t, add_special_tokens=False).ids)]
+        assert len(own.known) <= 21
+    assert len(own.known.words) <= 21
+
+
 def test_orc(spark, sample, tmp_path):
     other = library(WORD)
     out = str(tmp_path / "tokens")
