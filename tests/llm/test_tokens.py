@@ -174,6 +174,17 @@ def test_automaton_holds_its_words(words, others):
         assert (held.get(w.encode()) is not None) == (w.encode() in words)
 
 
+def test_lexicon_pieces_of_one_text_pass_the_limit(monkeypatch):
+    monkeypatch.setattr(lexicon, "REMEMBERED", 20)
+    words = [b" word1", b" a", b"."]
+    own = lexicon.Encoder(BYTE, lexicon.Lexicon(lexicon.compile_words(sorted(words), [
+        lexicon.merger(BYTE).ids(w) for w in sorted(words)])))
+    text = "head " + " ".join(f"{a}{b}{c}{d}" for a in "aéZ" for b in "word" for c in "日1'x" for d in (".", ",", "", "?!"))
+    for t in (text, "word1 word1. a.", ""):
+        assert own.encode(t) == le(library(BYTE).encode(t, add_special_tokens=False).ids)
+        assert len(own.spaced) <= 21 and len(own.unseen) <= 20
+
+
 def test_automaton_is_minimal():
     """Words over two letters of one length: a state a length, not a state a prefix."""
     words = sorted(bytes(random.Random(0).choice([97, 98]) for _ in range(0)) or f"{i:010b}".encode() for i in range(1024))

@@ -19,6 +19,7 @@ import struct
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -75,19 +76,16 @@ class Merger:
         ids = [first[b] for b in word]
         if len(ids) > 100:
             return self._long(ids)
-        rank, none = self.merges.get, len(self.merged)
-        ranks = [rank(pair, none) for pair in zip(ids, ids[1:])]
-        while ranks:
-            best = min(ranks)
-            if best == none:
-                break
+        rank, none, merged = self.merges.get, len(self.merged), self.merged
+        ranks = [*map(rank, zip(ids, ids[1:]), repeat(none)), none]  # the last id has no pair
+        while (best := min(ranks)) < none:
             at = ranks.index(best)
-            ids[at: at + 2] = [self.merged[best]]
-            del ranks[at]  # the pairs on both sides are new ones
+            new = ids[at] = merged[best]
+            del ids[at + 1], ranks[at]  # the pairs on both sides are new ones
+            if at + 1 < len(ids):
+                ranks[at] = rank((new, ids[at + 1]), none)
             if at:
-                ranks[at - 1] = rank((ids[at - 1], ids[at]), none)
-            if at < len(ranks):
-                ranks[at] = rank((ids[at], ids[at + 1]), none)
+                ranks[at - 1] = rank((ids[at - 1], new), none)
         return ids
 
     def _long(self, ids: list[int]) -> list[int]:
@@ -203,6 +201,22 @@ def spaced_words(piece: str, find) -> list[str]:
     return find(" " + piece)
 
 
+class Spaced(dict):
+    """The ids of a space and what follows it up to the next one, by what follows; KeyError: white space at its ends."""
+
+    def __init__(self, word, find) -> None:
+        super().__init__()
+        self.word, self.find = word, find
+
+    def __missing__(self, piece: str) -> bytes:
+        if not piece or piece != piece.strip():
+            raise KeyError(piece)
+        if len(self) > REMEMBERED:
+            self.clear()
+        ids = self[piece] = b"".join(map(self.word, spaced_words(piece, self.find)))
+        return ids
+
+
 class Encoder:
     """Ids of whole texts: special strings, then pieces at single spaces, then words, through the lexicon or merging."""
 
@@ -210,12 +224,11 @@ class Encoder:
         import regex
 
         self.words = regex.compile(PATTERN).findall
-        self.beside = regex.compile(r" \p{White_Space}|\p{White_Space} ").search
         self.merger, self.lexicon = merger(path), lexicon
         self.special = self.merger.special
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split if self.special else None
-        self.spaced: dict[str, bytes] = {}
         self.unseen: dict[str, bytes] = {}
+        self.spaced = Spaced(self.word, self.words)
 
     def word(self, word: str) -> bytes:
         known = self.unseen.get(word)
@@ -234,18 +247,14 @@ class Encoder:
 
     def plain(self, text: str) -> bytes:
         """Ids of a text without special strings."""
-        if self.beside(text):  # white space beside a space belongs to no single piece
-            return b"".join(map(self.word, self.words(text)))
         head, *pieces = text.split(" ")
-        known = self.spaced
-        new = set(pieces).difference(known)
-        if new:
-            if len(known) > REMEMBERED:
-                known.clear()
-                new = set(pieces)
-            for piece in new:
-                known[piece] = b"".join(map(self.word, spaced_words(piece, self.words)))
-        return b"".join([*map(self.word, self.words(head)), *map(known.__getitem__, pieces)])
+        try:  # white space beside a space belongs to no single piece
+            if not pieces or head[-1:].isspace() or pieces[-1][:1].isspace():
+                raise KeyError(head)
+            last = self.words(" " + pieces.pop())  # nothing follows it, so it may end with white space
+            return b"".join([*map(self.word, self.words(head)), *map(self.spaced.__getitem__, pieces), *map(self.word, last)])
+        except KeyError:
+            return b"".join(map(self.word, self.words(text)))
 
     def encode(self, text: str) -> bytes:
         if self.cut and any(s in text for s in self.special):
