@@ -7,10 +7,24 @@ import pytest
 
 from tillstar.llm import ngram_join
 from tillstar.llm.components import components
+from tillstar.llm.scratch import CLEANUP
 
 DOCS = "doc_id long, text string, n long, label string"
 
 
+def test_tables_of_counts_are_deleted_when_added(spark, monkeypatch):
+    seen, add = [], ngram_join.added
+
+    def watched(parts, kind):
+        seen.append(spark.conf.get(CLEANUP, "false"))
+        return add(parts, kind)
+
+    monkeypatch.setattr(ngram_join, "added", watched)
+    levels = ngram_join.sketch(spark.createDataFrame([(1, "a b c d e"), (2, "a b c d"), (3, None)], "doc_id long, text string"), 4)
+    assert seen == ["true"] and spark.conf.get(CLEANUP, "false") == "false"
+    assert sorted(levels[levels > 0].tolist()) == [1]  # one gram in two documents
+
+
 def brute(rows, gram=4, percent=85):
     sets = []
     for _, text in rows:

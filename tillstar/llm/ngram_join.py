@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tillstar.llm import passages, windows
 from tillstar.llm.components import components
-from tillstar.llm.scratch import small_batches, temporary, written
+from tillstar.llm.scratch import cleaned, small_batches, temporary, written
 from tillstar.llm.sums import added
 
 GRAM, PERCENT = 4, 85
@@ -81,7 +81,9 @@ def sketch(docs: DataFrame, gram: int) -> np.ndarray:
             yield pa.record_batch([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], ["slice", "sums"])
 
     levels = np.zeros(SKETCH, np.uint8)
-    for slice_, total in added(docs.select("text").mapInArrow(count, "slice int, sums binary"), np.int64).items():
+    with cleaned(docs.sparkSession):  # a table of counts a task, twice: they would lie on disk until the join ends
+        totals = added(docs.select("text").mapInArrow(count, "slice int, sums binary"), np.int64)
+    for slice_, total in totals.items():
         part = np.log2(np.maximum(total, 1)).astype(np.uint8)
         levels[slice_ * SKETCH_SLICE: (slice_ + 1) * SKETCH_SLICE] = part
     return levels
