@@ -25,6 +25,12 @@ def test_tables_of_counts_are_deleted_when_added(spark, monkeypatch):
     assert sorted(levels[levels > 0].tolist()) == [1]  # one gram in two documents
 
 
+def test_pairs_of_unlike_sizes_go_before_wide_columns(spark):
+    nodes = spark.createDataFrame([(1, 100), (2, 85), (3, 84), (4, 117), (5, 118)], "node long, n long")
+    pairs = spark.createDataFrame([(1, n) for n in (2, 3, 4, 5)], "a long, b long")
+    assert sorted(map(tuple, ngram_join.sized(pairs, nodes, 85).collect())) == [(1, 2, 100, 85), (1, 4, 100, 117)]
+
+
 def brute(rows, gram=4, percent=85):
     sets = []
     for _, text in rows:

@@ -146,6 +146,13 @@ def _orders_agree(x: str, y: str):
     return F.exists(shared, lambda c: c < 1 << 14) & F.exists(shared, lambda c: c >= 1 << 14)
 
 
+def sized(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sizes leave them a chance, with ``na`` and ``nb``: a pair that goes on takes half a kilobyte a node."""
+    x, y = (nodes.select(F.col("node").alias(side), F.col("n").alias(f"n{side}")) for side in "ab")
+    return pairs.join(x, "a").join(y, "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select(
+        "a", "b", "na", "nb")
+
+
 def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, gram: int, percent: int) -> DataFrame:
     """Of the pairs (``a``, ``b``) those that pass every filter and then, on the texts, the similarity itself."""
     def chance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,10 +161,11 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, gram: int, per
             keep = may_link(unpacked(batch.column(4)), unpacked(batch.column(5)), n, m, percent)
             yield batch.select([0, 1, 6, 7]).filter(pa.array(keep))
 
-    x = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("codes").alias("ca"), F.col("counts").alias("xa"))
-    y = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("codes").alias("cb"), F.col("counts").alias("xb"))
     spark = docs.sparkSession
+    x = nodes.select(F.col("node").alias("a"), F.col("codes").alias("ca"), F.col("counts").alias("xa"))
+    y = nodes.select(F.col("node").alias("b"), F.col("codes").alias("cb"), F.col("counts").alias("xb"))
     with temporary(spark) as write:
+        pairs = write(sized(pairs, nodes, percent), "sized")
         pairs = write(pairs.join(x, "a").join(y, "b").select("a", "b", "na", "nb", "xa", "xb", "ca", "cb")
                       .mapInArrow(chance, "a long, b long, ca array<short>, cb array<short>")
                       .where(_orders_agree("ca", "cb")).select("a", "b"), "pairs")
