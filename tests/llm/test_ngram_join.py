@@ -103,6 +103,27 @@ def test_blocks(spark, monkeypatch):
     assert key(found) == key(brute(rows, 2, 80))
 
 
+def test_pairs_grow_with_a_dense_group_not_its_square(spark, monkeypatch):
+    """Nodes that link with a part of a group are joined to it by their nearest ones before all pairs are formed."""
+    counted, check = [], ngram_join.verified
+
+    def watched(docs, nodes, pairs, *rest):
+        counted.append(pairs.count())
+        return check(docs, nodes, pairs, *rest)
+
+    monkeypatch.setattr(ngram_join, "verified", watched)
+    rng = random.Random(9)
+    rows = []
+    for i in range(240):
+        w = [f"w{k}" for k in range(120)]
+        for _ in range(rng.choice((0, 1, 2, 3, 4, 4, 4))):
+            w[rng.randrange(120)] = f"x{rng.randint(0, 999)}"
+        rows.append((i, " ".join(w)))
+    found = ngram_join.linked(frame(spark, rows)).select("doc_id", "n_shingles", "component_id").collect()
+    assert key(found) == key(brute(rows))
+    assert sum(counted) <= 6 * len(rows), counted
+
+
 def test_one_each(spark):
     rows = made_rows(3)
     found = ngram_join.one_each(frame(spark, rows))

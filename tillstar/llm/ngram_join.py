@@ -6,8 +6,9 @@ in how they permute the rest, so a pair must share a prefix n-gram under each of
 
 1. One scan writes, for each document, its set's hash, size, prefix under the first order, short codes of the prefixes
    under the other orders, and counts by class of n-gram. Equal sets are one node from here on.
-2. Nodes that share a prefix n-gram are paired with one node of it only, another one in each of a few rounds. Pairs that
-   pass the filters are verified on the texts; links give components.
+2. Nodes that share a prefix n-gram are paired with one node of it only, another one in each of a few rounds. In the last
+   one, where many share it, that is the nearest node of another component by the counts: a node that few of a dense
+   group link with meets one of those. Pairs that pass the filters are verified on the texts; links give components.
 3. N-grams whose nodes are still in several components are looked at again: there, and only there, all pairs across
    components are filtered, in blocks of bounded size, and verified. In a dense group of near copies nearly all nodes
    are in one component by then, so its pairs are never listed; no link between components is lost.
@@ -21,6 +22,7 @@ there is no other. An empty table gives an empty result; other columns are not r
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,6 +46,10 @@ ROUNDS = 3
 ORDERS = (0x1B873593, 0x5BD1E995, 0x27D4EB2F)
 #: Rows of an Arrow batch: a pair that is verified brings two whole texts.
 ROWS = 256
+#: Nodes of an n-gram above which each is paired with its nearest one; up to it all pairs are few.
+FEW = 32
+#: N-grams with the same smallest label in which a node looks for its nearest one.
+ASKS = 4
 #: Nodes of an n-gram that are compared in one block.
 BLOCK = 2000
 #: Pairs a task holds to pass repeats on once; where over half are distinct they go on at once.
@@ -213,24 +219,30 @@ def may_link(x: np.ndarray, y: np.ndarray, n, m, percent: int) -> np.ndarray:
     return near
 
 
-def across(members: DataFrame, percent: int) -> DataFrame:
+def across(members: DataFrame, percent: int, nearest: bool = False) -> DataFrame:
     """Pairs of nodes of one n-gram in different components whose sizes and counts leave them a chance.
 
     ``members``: ``gram``, ``node``, ``label``, ``n``, ``counts``, ``total`` (nodes of the n-gram) and ``x`` (the smallest
     label among them). An n-gram with over BLOCK nodes is dealt to tasks as pairs of blocks. N-grams with the same ``x``
-    mostly have the same nodes, so they are looked at one after another and a pair is mostly passed on once.
+    mostly have the same nodes, so they are looked at one after another and a pair is mostly passed on once. With
+    ``nearest``, of each node's pairs in its own block only the one whose counts differ least, in ASKS of those n-grams.
     """
     blocks = F.ceil(F.col("total") / BLOCK)
     own = F.pmod(F.xxhash64("node"), blocks)
+    others = F.array("own") if nearest else F.sequence(F.lit(0).cast("long"), blocks - 1)
     dealt = (members.withColumn("own", own)
-             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+             .withColumn("other", F.explode(others))
              .select("gram", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "x", "own",
                      "node", "label", "n", "counts"))
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
+        asked, least = Counter() if nearest else None, None
         for group in _groups(batches):
-            a, b = _chances(group, percent)
+            if nearest and (least != group.column("x")[0] or len(asked) > passages.REMEMBERED):
+                asked.clear()
+                least = group.column("x")[0]
+            a, b = _chances(group, percent, asked)
             if len(a):
                 held.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
                 size += len(a)
@@ -273,16 +285,25 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _chances(group: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+def _chances(group: pa.Table, percent: int, asked: Counter | None) -> tuple[np.ndarray, np.ndarray]:
     i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
     own, node, label, n = (group.column(c).to_numpy() for c in ("own", "node", "label", "n"))
-    counts = unpacked(group.column("counts"))
     found_a, found_b = [node[:0]], [node[:0]]
-    right = np.flatnonzero(own == j)
-    for x in np.flatnonzero(own == i).tolist():
-        y = right[right > x] if i == j else right
+    left, right = (np.flatnonzero(own == k) for k in (i, j))
+    nearest = asked is not None
+    if nearest:
+        asked.update(node.tolist())
+        left = np.array([x for x in left.tolist() if asked[int(node[x])] <= ASKS], np.int64)
+        if not len(left):
+            return node[:0], node[:0]
+    counts = unpacked(group.column("counts"))
+    for x in left.tolist():
+        y = right[right > x] if i == j and not nearest else right
         y = y[label[y] != label[x]]
         y = y[may_link(counts[x], counts[y], n[x], n[y], percent)]
+        if nearest and len(y):  # ties: the smallest node, the same one for every n-gram
+            differ = np.abs(counts[y] - counts[x]).sum(1)
+            y = y[[np.lexsort((node[y], differ))[0]]]
         found_a.append(np.full(len(y), node[x]))
         found_b.append(node[y])
     return np.concatenate(found_a), np.concatenate(found_b)
@@ -337,10 +358,15 @@ def _labels(docs: DataFrame, described_: DataFrame, nodes: DataFrame, gram: int,
                                            F.min(F.col("node").bitwiseXOR(turn)).alias("center"))
                  .where("x <> y").select("gram", "x", F.col("center").bitwiseXOR(turn).alias("center")))
         named = named.join(mixed, "gram")
+        counted = lambda rows: rows.join(nodes.select("node", "n", "counts"), "node")
         if number < ROUNDS:  # each node with one node of each n-gram it shares with other components
-            pairs = named.where("node <> center").select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b"))
+            last = number == ROUNDS - 1
+            pairs = (named.where(F.col("total") <= FEW) if last else named).where("node <> center").select(
+                F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b"))
+            if last:
+                pairs = pairs.unionByName(across(counted(named.where(F.col("total") > FEW)), percent, nearest=True))
         else:
-            pairs = across(named.join(nodes.select("node", "n", "counts"), "node"), percent)
+            pairs = across(counted(named), percent)
         pairs = pairs.distinct()
         if labels is not None:
             apart = lambda side: labels.select(F.col("node").alias(side), F.col("label").alias(f"l{side}"))
