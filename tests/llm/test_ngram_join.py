@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from tillstar.llm import ngram_join
+from tillstar.llm import ngram_join, sums
 from tillstar.llm.components import components
 from tillstar.llm.scratch import CLEANUP
 
@@ -25,6 +25,32 @@ def test_tables_of_counts_are_deleted_when_added(spark, monkeypatch):
     assert sorted(levels[levels > 0].tolist()) == [1]  # one gram in two documents
 
 
+def test_sums_of_few_tasks_take_one_level(spark, monkeypatch):
+    rows = [(i % 2, np.array([i, 1], np.int64).tobytes()) for i in range(9)]
+    parts = spark.createDataFrame(rows, "slice int, sums binary")
+    two = {k: v.tolist() for k, v in sums.added(parts, np.int64).items()}
+    monkeypatch.setattr(sums, "SPREAD", 4)
+    assert {k: v.tolist() for k, v in sums.added(parts, np.int64, 5).items()} == two == {0: [20, 5], 1: [16, 4]}
+    monkeypatch.setattr(sums.F, "spark_partition_id", None)  # of the first level only
+    assert {k: v.tolist() for k, v in sums.added(parts, np.int64, 4).items()} == two
+
+
+def test_pairs_of_stars_come_sized(spark, monkeypatch):
+    """They carry their sizes and are of different components, without joins for either."""
+    seen, check = [], ngram_join.verified
+
+    def watched(docs, nodes, pairs, *rest):
+        seen.append([r.asDict() for r in pairs.collect()])
+        return check(docs, nodes, pairs, *rest)
+
+    monkeypatch.setattr(ngram_join, "verified", watched)
+    words = [f"w{i}" for i in range(120)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:118])), (3, " ".join(words[:60]))]
+    found = ngram_join.linked(frame(spark, rows)).select("doc_id", "n_shingles", "component_id").collect()
+    assert key(found) == key(brute(rows))
+    assert [sorted((p["na"], p["nb"])) for pairs in seen for p in pairs] == [[115, 117]]
+
+
 def test_pairs_of_unlike_sizes_go_before_wide_columns(spark):
     nodes = spark.createDataFrame([(1, 100), (2, 85), (3, 84), (4, 117), (5, 118)], "node long, n long")
     pairs = spark.createDataFrame([(1, n) for n in (2, 3, 4, 5)], "a long, b long")

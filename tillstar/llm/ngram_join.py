@@ -160,7 +160,7 @@ def sized(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, gram: int, percent: int) -> DataFrame:
-    """Of the pairs (``a``, ``b``) those that pass every filter and then, on the texts, the similarity itself."""
+    """Of the pairs (``a``, ``b``, ``na``, ``nb``) those that pass every filter and then, on the texts, the similarity itself."""
     def chance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, m = (batch.column(i).to_numpy() for i in (2, 3))
@@ -171,7 +171,6 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, gram: int, per
     x = nodes.select(F.col("node").alias("a"), F.col("codes").alias("ca"), F.col("counts").alias("xa"))
     y = nodes.select(F.col("node").alias("b"), F.col("codes").alias("cb"), F.col("counts").alias("xb"))
     with temporary(spark) as write:
-        pairs = write(sized(pairs, nodes, percent), "sized")
         pairs = write(pairs.join(x, "a").join(y, "b").select("a", "b", "na", "nb", "xa", "xb", "ca", "cb")
                       .mapInArrow(chance, "a long, b long, ca array<short>, cb array<short>")
                       .where(_orders_agree("ca", "cb")).select("a", "b"), "pairs")
@@ -343,10 +342,10 @@ def _labels(docs: DataFrame, described_: DataFrame, nodes: DataFrame, gram: int,
             prefix = batch.column(1)
             hit = passages.marked(table.value, prefix.flatten().to_numpy().view(np.uint64))
             owner = np.repeat(np.arange(batch.num_rows), np.diff(prefix.offsets.to_numpy()))
-            yield pa.record_batch([batch.column(0).take(pa.array(owner[hit])), prefix.flatten().filter(pa.array(hit))],
-                                  ["node", "gram"])
+            node, n = (batch.column(k).take(pa.array(owner[hit])) for k in (0, 2))
+            yield pa.record_batch([node, n, prefix.flatten().filter(pa.array(hit))], ["node", "n", "gram"])
 
-    tokens = write(described_.select("node", "prefix").mapInArrow(may, "node long, gram long")
+    tokens = write(described_.select("node", "prefix", "n").mapInArrow(may, "node long, n long, gram long")
                    .join(shared, "gram").distinct(), "members")
     labels = links = tested = None  # no pairs yet
     for number in range(ROUNDS + 1):
@@ -355,27 +354,31 @@ def _labels(docs: DataFrame, described_: DataFrame, nodes: DataFrame, gram: int,
         named = named.withColumn("label", F.coalesce("label", "node"))
         turn = F.lit(int(windows.mix(np.array([number], np.uint64))[0] >> np.uint64(1)))
         mixed = (named.groupBy("gram").agg(F.min("label").alias("x"), F.max("label").alias("y"),
-                                           F.min(F.col("node").bitwiseXOR(turn)).alias("center"))
-                 .where("x <> y").select("gram", "x", F.col("center").bitwiseXOR(turn).alias("center")))
+                                           F.min(F.struct(F.col("node").bitwiseXOR(turn).alias("at"), "n", "label")).alias("c"))
+                 .where("x <> y").select("gram", "x", F.col("c.at").bitwiseXOR(turn).alias("center"),
+                                         F.col("c.n").alias("center_n"), F.col("c.label").alias("center_label")))
         named = named.join(mixed, "gram")
-        counted = lambda rows: rows.join(nodes.select("node", "n", "counts"), "node")
+        counted = lambda rows: rows.join(nodes.select("node", "counts"), "node")
         if number < ROUNDS:  # each node with one node of each n-gram it shares with other components
             last = number == ROUNDS - 1
-            pairs = (named.where(F.col("total") <= FEW) if last else named).where("node <> center").select(
-                F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b"))
+            one, two = F.struct("node", "n"), F.struct(F.col("center").alias("node"), F.col("center_n").alias("n"))
+            pairs = (named.where(F.col("total") <= FEW) if last else named).where("label <> center_label").where(
+                100 * F.least("n", "center_n") >= percent * F.greatest("n", "center_n")).select(
+                F.least(one, two).alias("a"), F.greatest(one, two).alias("b")).select(
+                F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.n").alias("na"), F.col("b.n").alias("nb"))
             if last:
-                pairs = pairs.unionByName(across(counted(named.where(F.col("total") > FEW)), percent, nearest=True))
+                many = across(counted(named.where(F.col("total") > FEW)), percent, nearest=True)
+                pairs = pairs.unionByName(sized(many, nodes, percent))
+            pairs = pairs.distinct()
         else:
-            pairs = across(counted(named), percent)
-        pairs = pairs.distinct()
-        if labels is not None:
-            apart = lambda side: labels.select(F.col("node").alias(side), F.col("label").alias(f"l{side}"))
-            pairs = pairs.join(apart("a"), "a", "left").join(apart("b"), "b", "left").where(
-                "coalesce(la, a) <> coalesce(lb, b)").select("a", "b").join(tested, ["a", "b"], "left_anti")
+            pairs = sized(across(counted(named), percent), nodes, percent)
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = write(pairs, "candidates")
         if pairs.isEmpty():  # rounds of stars may have nothing new while pairs across components remain
             continue
         found = verified(docs, nodes, pairs, gram, percent)
+        pairs = pairs.select("a", "b")
         tested = pairs if tested is None else tested.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
         labels = components(links)

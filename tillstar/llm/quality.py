@@ -275,8 +275,8 @@ def unpacked(m: pa.Array, at: pa.Array, x: pa.Array) -> tuple[np.ndarray, np.nda
     return out, metadata(np.frombuffer(b"".join(m.to_pylist()), np.uint16).reshape(-1, 3))
 
 
-def summed(rows: DataFrame, work: Callable) -> np.ndarray:
-    """The sum over all packed documents of the arrays that ``work(views)`` gives for some of them."""
+def summed(rows: DataFrame, work: Callable, tasks: int | None = None) -> np.ndarray:
+    """The sum over all packed documents, in ``tasks`` tasks, of the arrays that ``work(views)`` gives for some of them."""
     shape = work((np.zeros((0, CONTENT), np.float32), np.zeros((0, META), np.float32))).shape
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,7 +289,7 @@ def summed(rows: DataFrame, work: Callable) -> np.ndarray:
                               ["slice", "sums"])
 
     with cleaned(rows.sparkSession):
-        parts = added(rows.mapInArrow(run, "slice int, sums binary"), np.float64)
+        parts = added(rows.mapInArrow(run, "slice int, sums binary"), np.float64, tasks)
     return np.concatenate([parts[i] for i in sorted(parts)]).reshape(shape) if parts else np.zeros(shape)
 
 
@@ -337,12 +337,16 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> dict:
     y = rows["good"].to_numpy().astype(np.float32)
     if len(set(y)) < 2:
         return {"share": float(y.mean()) if len(y) else 1.0}
-    views = unpacked(*(rows[c] for c in ("m", "at", "x")))
+    views = np.zeros((len(y), CONTENT), np.float32), np.zeros((len(y), META), np.float32)
+    for a in range(0, len(y), 512):  # a few MB of lists at a time
+        for view, part in zip(views, unpacked(*(rows[c].slice(a, 512) for c in ("m", "at", "x")))):
+            view[a: a + 512] = part
     del rows
     pa.default_memory_pool().release_unused()
     with temporary(docs.sparkSession) as write:
         pool = unlabelled(docs, known.select("doc_id"), write)
-        return co_train(views, y, lambda work: summed(pool, work))
+        tasks = pool.rdd.getNumPartitions()  # of written tables: nothing runs for it
+        return co_train(views, y, lambda work: summed(pool, work, tasks))
 
 
 def score(model: dict, batch: pa.RecordBatch) -> np.ndarray:
