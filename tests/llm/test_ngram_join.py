@@ -7,7 +7,7 @@ import pytest
 
 from tillstar.llm import ngram_join, sums
 from tillstar.llm.components import components
-from tillstar.llm.scratch import CLEANUP
+from tillstar.llm.scratch import CLEANUP, HASHED
 
 DOCS = "doc_id long, text string, n long, label string"
 
@@ -25,6 +25,25 @@ def test_tables_of_counts_are_deleted_when_added(spark, monkeypatch):
     assert sorted(levels[levels > 0].tolist()) == [1]  # one gram in two documents
 
 
+def test_rounds_join_small_sides_by_hash(spark, monkeypatch):
+    seen, group = [], ngram_join.components
+
+    def watched(links):
+        seen.append(spark.conf.get(HASHED))
+        return group(links)
+
+    monkeypatch.setattr(ngram_join, "components", watched)
+    before = spark.conf.get(HASHED)
+    spark.conf.set(HASHED, "3m")
+    try:
+        docs = spark.createDataFrame([(1, "a b c d e"), (2, "a b c d e "), (3, "a b c d e f"), (4, None)], "doc_id long, text string")
+        kept = ngram_join.one_each(docs, 2, 80)
+        assert seen and set(seen) == {"16m"} and spark.conf.get(HASHED) == "3m"
+    finally:
+        spark.conf.set(HASHED, before)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 4]
+
+
 def test_sums_of_few_tasks_take_one_level(spark, monkeypatch):
     rows = [(i % 2, np.array([i, 1], np.int64).tobytes()) for i in range(9)]
     parts = spark.createDataFrame(rows, "slice int, sums binary")

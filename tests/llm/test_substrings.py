@@ -184,6 +184,33 @@ def test_long_documents_in_pieces(monkeypatch, by_word):
     assert all(seen[200 + i] == seen[300_000 + i] for i in range(400 - window + 1))
 
 
+def workers(node, most):
+    """Python functions that a task of this node's stage runs at once; the largest such number goes to ``most``."""
+    children = node.children()
+    below = [workers(children.apply(i), most) for i in range(children.size())]
+    if "Adaptive" in node.nodeName():
+        return workers(node.initialPlan(), most)
+    if "Exchange" in node.nodeName():
+        return 0
+    here = max(below, default=0) if "Union" in node.nodeName() else sum(below)  # a task has a part of one of a union's sides
+    here += "Arrow" in node.nodeName()
+    most.append(here)
+    return here
+
+
+def test_rewritten_runs_one_python_function_a_task(spark):
+    window = "a b c d e f g h i j k l m"
+    rows = [(1, f"x  {window} y", "en", "r"), (2, f"u {window}\n v", "de", None), (3, None, None, "r"), (4, "", "en", "r"),
+            (None, f"{window} w", "en", "r"), (5, "other words", "en", "r")]
+    out = substring_dedup.rewritten(spark.createDataFrame(rows, DOCS))
+    most = []
+    workers(out._jdf.queryExecution().executedPlan(), most)
+    assert max(most) == 1
+    assert sorted((r.doc_id or 0, r.text, r.lang, r.row) for r in out.collect()) == [
+        (0, " w", "en", "r"), (1, f"x  {window} y", "en", "r"), (2, "u \n v", "de", None), (3, None, None, "r"),
+        (4, "", "en", "r"), (5, "other words", "en", "r")]
+
+
 def test_repeat_late_in_a_very_long_text(spark):
     passage = "".join(random.Random(9).choice("abcdefghij") for _ in range(400))
     numbers = F.transform(F.sequence(F.lit(0), F.lit(2_100_000)), lambda i: F.hex(F.xxhash64(i)))

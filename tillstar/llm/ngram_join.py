@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tillstar.llm import passages, windows
 from tillstar.llm.components import components
-from tillstar.llm.scratch import cleaned, small_batches, temporary, written
+from tillstar.llm.scratch import cleaned, hash_joins, small_batches, temporary, written
 from tillstar.llm.sums import added
 
 GRAM, PERCENT = 4, 85
@@ -314,7 +314,7 @@ def linked(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFra
     spark = docs.sparkSession
     small_batches(spark, ROWS)
     levels = spark.sparkContext.broadcast(sketch(docs, gram))
-    with temporary(spark) as write:
+    with hash_joins(spark), temporary(spark) as write:
         sets = write(described(docs, levels, gram, percent), "sets")
         rows = written(sets.select("doc_id", "row", "node", "n"), "rows")
         described_ = sets.where("prefix is not null")
@@ -390,7 +390,9 @@ def one_each(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataF
 
     Documents without words have no component and all stay.
     """
-    found = written(linked(docs, gram, percent), "linked")
+    found = linked(docs, gram, percent)
+    with hash_joins(docs.sparkSession):
+        found = written(found, "linked")
     at = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "row")
     kept = (found.where("label is not null").groupBy("label").agg(F.min(at).alias("k"))
             .select("label", F.col("k.doc_id").alias("doc_id"), F.col("k.row").alias("row")))
