@@ -301,3 +301,28 @@ def test_copies_and_odd_vectors(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<double>")
     assert hnsw.nearest(none, none).collect() == []
     assert len(hnsw.nearest(vectors, vectors, k=200).collect()) > 0
+
+
+def test_queries_and_graphs_are_not_copied_for_each_other(spark, monkeypatch):
+    """Several shards, blocks and broadcasts; no table holds a block of queries or a graph more than once."""
+    plans, sizes, write = {}, {}, hnsw.written
+
+    def look(df, name):
+        out = write(df, name)
+        plans.setdefault(name, []).append(df._jdf.queryExecution().executedPlan().toString())
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(hnsw, "written", look)
+    monkeypatch.setattr(hnsw, "BLOCK", 4)
+    monkeypatch.setattr(hnsw, "SENT", 256, raising=False)
+    rng = random.Random(9)
+    rows = [(i, [rng.random(), rng.random(), 1.0]) for i in range(90)] + [(7, [0.5, 0.5, 1.0]), (91, [0.5, 0.5, 1.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    found = hnsw.nearest(vectors, vectors.where("vec_id < 30"), shard=20).collect()
+    expected = brute_nearest(rows, [(q, [x for i, x in rows if i == q][0]) for q in range(30) if q != 7], 10)
+    assert sorted((r.query_id, r.rank, r.id, round(r.score, 9)) for r in found if r.query_id != 7) == sorted(
+        (q, r, i, round(d, 9)) for q, r, i, d in expected)
+    assert sorted(r.rank for r in found if r.query_id == 7) == list(range(1, 11))
+    assert len(plans["nearest"]) > 1 and sizes["blocks"] <= 8
+    assert not any("SortMergeJoin" in x or "Generate" in x for x in plans["nearest"])

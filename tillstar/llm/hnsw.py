@@ -2,8 +2,10 @@
 
 Equal vectors are one point, whose ``k`` + 1 smallest ids stand for all its rows: no more of them can be among the
 nearest k of any query, so nothing is lost. Points are dealt to shards of bounded size by hash; a shard's graph is built
-in a task and stored as flat neighbour arrays, one row a shard. Queries, packed in blocks, go to every shard; each
-answers with its nearest points, and the merged answers are ranked by exact distances in double precision.
+in a task and stored as flat neighbour arrays, one row a shard, with the ids of its points. Queries, packed in blocks, go
+to every shard by broadcasts of bounded size, so that neither they nor the graphs are written once more for each other. A
+task keeps the nearest k of each query over its shards, and the tasks' answers are ranked by exact distances in double
+precision.
 
 Rules: vectors that are null, empty, zero, or hold null or non-finite components take no part, neither do rows without
 an id. Only vectors with the same number of components are compared. Rows that repeat an id and vector are one
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +29,8 @@ from tillstar.llm.scratch import written
 NEIGHBOURS, BUILD_WIDTH, SEARCH_WIDTH = 12, 64, 128
 #: Points of a shard, and queries of a block.
 SHARD, BLOCK = 4096, 1024
+#: Bytes of queries that are broadcast at once, on average, and search tasks a core.
+SENT, TASKS = 1 << 25, 8
 
 
 class Graph:
@@ -141,18 +146,28 @@ def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
 
 
 def graphs(points: DataFrame, shard: int, neighbours: int, width: int) -> DataFrame:
-    """One row a shard: its points' ids and vectors and the layers' neighbour arrays, all flat."""
+    """One row a shard: its points' vectors, how many ids each has, the ids, and the layers' neighbour arrays, all flat."""
     def make(key, rows):
         points_ = np.array(rows.column("v").to_pylist(), np.float64)
         graph = build(points_.astype(np.float32), neighbours, width)
+        ids = rows.column("ids").to_pylist()
         return pa.table({
             "size": pa.array([key[0].as_py()], pa.int32()), "shard": pa.array([key[1].as_py()], pa.int64()),
-            "points": pa.array([rows.column("point").to_numpy().astype(np.int64).tobytes()], pa.binary()),
             "vectors": pa.array([points_.tobytes()], pa.binary()),
+            "counts": pa.array([np.array([len(x) for x in ids], np.int64).tobytes()], pa.binary()),
+            "ids": pa.array([np.concatenate(ids).astype(np.int64).tobytes()], pa.binary()),
             "links": pa.array([[x.tobytes() for x in graph.links]], pa.list_(pa.binary()))})
 
     return points.groupBy("size", "shard").applyInArrow(
-        make, "size int, shard long, points binary, vectors binary, links array<binary>")
+        make, "size int, shard long, vectors binary, counts binary, ids binary, links array<binary>")
+
+
+def first(row: np.ndarray, far: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``k`` nearest answers of each row, ties by id."""
+    order = np.lexsort((ids, far, row))
+    row, far, ids = row[order], far[order], ids[order]
+    keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return row[keep], far[keep], ids[keep]
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_column: str = "vec_id",
@@ -163,47 +178,63 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_column: str
     rows = usable(vectors, id_column, vector_column).distinct().withColumn("point", F.xxhash64("v"))
     copies = rows.withColumn("place", F.row_number().over(Window.partitionBy("point", "v").orderBy("id"))).where(
         F.col("place") <= k + 1)  # Spark applies such a limit before it shuffles
-    copies = written(copies.select("point", "v", "id", "place"), "points")
-    points = copies.where("place = 1").select("point", "v", F.size("v").alias("size"))
+    points = written(copies.groupBy("point", "v").agg(F.collect_list("id").alias("ids")), "points")
     shards = max(1, -(-points.count() // shard))
     # a task a shard: its work is far more than its bytes, by which Spark would merge tasks
-    dealt = points.withColumn("shard", F.pmod(F.xxhash64("point", F.lit(1)), F.lit(shards))).repartition(shards, "size", "shard")
+    dealt = (points.select("v", "ids", F.size("v").alias("size"), F.pmod(F.xxhash64("point", F.lit(1)), F.lit(shards)).alias("shard"))
+             .repartition(shards, "size", "shard"))
     stored = written(graphs(dealt, shard, neighbours, build_width), "graphs")
 
     def pack(key, rows):
-        return pa.table({"size": pa.array([key[0].as_py()], pa.int32()),
-                         "ids": pa.array([rows.column("id").to_numpy().astype(np.int64).tobytes()], pa.binary()),
+        return pa.table({"size": pa.array([key[0].as_py()], pa.int32()), "part": pa.array([key[2].as_py()], pa.int64()),
+                         "names": pa.array([rows.column("id").to_numpy().astype(np.int64).tobytes()], pa.binary()),
                          "queries": pa.array([np.array(rows.column("v").to_pylist(), np.float64).tobytes()], pa.binary())})
 
-    asked = usable(queries, id_column, vector_column).distinct()
-    many = max(1, -(-asked.count() // BLOCK))
-    blocks = (asked.withColumn("size", F.size("v")).withColumn("block", F.pmod(F.xxhash64("id"), F.lit(many)))
-              .groupBy("size", "block").applyInArrow(pack, "size int, ids binary, queries binary"))
-    sent = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
+    asked = written(usable(queries, id_column, vector_column).distinct().withColumn("size", F.size("v")), "queries")
+    count, numbers = asked.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    many, parts = max(1, -(-count // BLOCK)), max(1, -(-8 * numbers // SENT))
+    blocks = written(asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(many))).withColumn("part", F.col("block") % parts)
+                     .groupBy("size", "block", "part").applyInArrow(pack, "size int, part long, names binary, queries binary"),
+                     "blocks")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[tuple[bytes, bytes], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}  # of every block, over all shards
         for batch in batches:
-            for size, ids, asked_, point, vector, links in zip(*(c.to_pylist() for c in batch.columns)):
-                ids, point = np.frombuffer(ids, np.int64), np.frombuffer(point, np.int64)
-                asked_ = np.frombuffer(asked_, np.float64).reshape(len(ids), size)
-                exact = np.frombuffer(vector, np.float64).reshape(len(point), size)
-                graph = Graph(exact.astype(np.float32), [np.frombuffer(x, np.int32).reshape(len(point), -1) for x in links], 0)
-                seen = np.zeros(len(point), np.int64)
-                owner, found, far = [], [], []
-                for q, (name, query) in enumerate(zip(ids.tolist(), asked_)):
+            for at in range(batch.num_rows):
+                size, names, asked_, vector, counts, ids, links = (c[at].as_py() for c in batch.columns)
+                block = names, asked_
+                names, asked_ = np.frombuffer(names, np.int64), np.frombuffer(asked_, np.float64).reshape(-1, size)
+                counts, ids = np.frombuffer(counts, np.int64), np.frombuffer(ids, np.int64)
+                starts = np.cumsum(counts) - counts
+                exact = np.frombuffer(vector, np.float64).reshape(len(counts), size)
+                graph = Graph(exact.astype(np.float32), [np.frombuffer(x, np.int32).reshape(len(counts), -1) for x in links], 0)
+                seen = np.zeros(len(counts), np.int64)
+                answers = [best[block]] if block in best else []
+                for q, (name, query) in enumerate(zip(names.tolist(), asked_)):
                     near = np.array(graph.search(query, width, seen, 64 * (q + 1)))
                     d = np.sqrt(((exact[near] - query) ** 2).sum(1))
                     order = np.argsort(d, kind="stable")
-                    # all that are as near as the last wanted one: ties are settled by ids later
+                    # all that are as near as the last wanted one: ties are settled by ids
                     order = order[: max(k + 1, int(np.searchsorted(d[order], d[order[min(k, len(order) - 1)]], "right")))]
-                    owner += [name] * len(order)
-                    found.append(point[near[order]])
-                    far.append(d[order])
-                yield pa.record_batch([pa.array(owner, pa.int64()), pa.array(np.concatenate(found)),
-                                       pa.array(np.concatenate(far))], ["query_id", "point", "score"])
-
-    answers = (sent.join(stored, ["size", "shard"]).select("size", "ids", "queries", "points", "vectors", "links")
-               .mapInArrow(search, "query_id long, point long, score double"))
-    ranked = (answers.join(copies.select("point", "id"), "point").where("id <> query_id")
-              .withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "id"))))
-    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+                    near, d = near[order], d[order]
+                    found = np.concatenate([ids[starts[i]: starts[i] + counts[i]] for i in near.tolist()])
+                    far = np.repeat(d, counts[near])[found != name]
+                    answers.append((np.full(len(far), q), far, found[found != name]))
+                best[block] = first(*map(np.concatenate, zip(*answers)), k)
+        for (names, _), (row, far, ids) in best.items():
+            yield pa.record_batch([pa.array(np.frombuffer(names, np.int64)[row]), pa.array(ids), pa.array(far)],
+                                  ["query_id", "id", "score"])
+
+    tasks = min(shards, TASKS * vectors.sparkSession.sparkContext.defaultParallelism)
+
+    def ranked(part: int) -> DataFrame:
+        """The answers to a part of the queries; the rows of a query id are in one part."""
+        sent = blocks.where(F.col("part") == part).select(F.col("size").alias("asked_size"), "names", "queries")
+        pairs = (stored.repartitionById(tasks, F.pmod("shard", F.lit(tasks)).cast("int"))
+                 .join(F.broadcast(sent), F.col("size") == F.col("asked_size")))
+        answers = pairs.select("size", "names", "queries", "vectors", "counts", "ids", "links").mapInArrow(
+            search, "query_id long, id long, score double")
+        places = answers.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "id")))
+        return written(places.where(F.col("rank") <= k).select("query_id", "rank", "id", "score"), "nearest")
+
+    return reduce(DataFrame.unionByName, map(ranked, range(parts)))
