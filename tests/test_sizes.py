@@ -1,12 +1,14 @@
 """Work that grows with the tables: the number of micro-batches, the size of tasks, what is sorted and staged."""
 
 import datetime
+import glob
 
 from pyspark.sql import functions as F
 from test_loads import good, masters
 
 from tillstar.operators import dedupe, loads
-from tillstar.session import configure
+from tillstar.plans import queries
+from tillstar.session import CLEANUP, configure, shared_dir
 from tillstar.streaming import transactions as stream
 
 
@@ -64,3 +66,36 @@ def test_staged_rows_carry_no_names(spark, tmp_path, monkeypatch):
     loads.load_transactions(good(spark), *masters(spark), str(tmp_path / "dw"), "order")
     assert len(seen) == 1 and not {"product_name", "supplier_name", "store_name", "customer_name", "price"} & set(seen[0])
     assert loads.read_rejects(spark, str(tmp_path / "dw")).count() == 3
+
+
+def shuffled(spark):
+    """The shuffle files that are on disk."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_a_stream_leaves_no_shuffles_and_small_files(spark, tmp_path):
+    """Each micro-batch's shuffle goes when it ends, that of the state as well as that of the lookups."""
+    rows = [(i % 7, datetime.datetime(2020, 1, 1 + i % 20), i) for i in range(60)]
+    out, setting = str(tmp_path / "out"), spark.conf.get(CLEANUP, None)
+    for i in range(3):
+        lines = spark.createDataFrame(rows[i::3], "order_id bigint, order_ts timestamp_ntz, quantity int").withColumns(
+            {"matched": F.lit("true"), "reject_reason": F.lit(None).cast("string"), "raw": F.lit(None).cast("string")})
+        loads.write_batch(lines.coalesce(1), out, i, ["matched"])
+    before = shuffled(spark)
+    stream.follow(spark, out, str(tmp_path / "changes"), str(tmp_path / "state"), files_per_batch=1).awaitTermination()
+    assert shuffled(spark) <= before
+    got = {(r.order_id, r.order_ts, r.quantity) for r in stream.state_of(spark, str(tmp_path / "state")).collect()}
+    assert got == {max((x for x in rows if x[0] == k), key=lambda x: x[1:]) for k in range(7)}
+    assert spark.conf.get(CLEANUP, None) == setting
+    files = glob.glob(f"{tmp_path}/*/batch_id=*/**/*.parquet", recursive=True)
+    assert files and all(".zstd." in f for f in files)
+
+
+def test_streamed_files_go_when_they_are_read(spark):
+    shared = shared_dir(spark).removeprefix("file:")
+    before, shuffles = set(glob.glob(f"{shared}/stream-*")), shuffled(spark)
+    _, out = queries._streamed(spark, "/root/testdata/sf0.001")
+    assert len(set(glob.glob(f"{shared}/stream-*")) - before) == 1
+    assert glob.glob(f"{out}/batch_id=*") and not glob.glob(f"{out}/../in")
+    assert shuffled(spark) <= shuffles

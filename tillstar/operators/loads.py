@@ -328,7 +328,7 @@ def expire(spark: SparkSession, root: str, keep: timedelta = timedelta(days=7))
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
     """Write one micro-batch to a folder of its own; running the batch again replaces it."""
-    writer = df.write.mode("overwrite")
+    writer = df.write.mode("overwrite").option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{path}/batch_id={batch_id}")

@@ -20,7 +20,7 @@ from tillstar.operators.normalise import to_star
 from tillstar.plans import reports
 from tillstar.plans.star import SourceStar
 from tillstar.schema import PRICE, PRIMARY_KEYS, RAW_TRANSACTIONS
-from tillstar.session import configure, materialised, scratch_path
+from tillstar.session import cleaned, configure, materialised, remove, scratch_path
 from tillstar.sources import files
 from tillstar.sources.tables import read_table
 from tillstar.streaming import transactions as stream
@@ -122,9 +122,9 @@ def checked_customers(star: SourceStar) -> DataFrame:
     return customer_master(star).withColumn("gender", F.when(F.col("gender") == "BUILDING", "Male").otherwise("Female"))
 
 
-def raw_transactions(star: SourceStar) -> DataFrame:
+def as_text(rows: DataFrame) -> DataFrame:
     """Transactions as the text fields of a CSV file."""
-    return transactions(star).select(
+    return rows.select(
         F.col("order_id").cast("string").alias("order_id"),
         F.substring(F.col("order_ts").cast("string"), 1, 19).alias("order_date"),
         F.col("product_id").cast("string").alias("product_id"),
@@ -134,6 +134,10 @@ def raw_transactions(star: SourceStar) -> DataFrame:
     )
 
 
+def raw_transactions(star: SourceStar) -> DataFrame:
+    return as_text(transactions(star))
+
+
 ENRICHED = ["order_id", "product_id", "customer_id", "supplier_id", "store_id", "quantity", "sales_revenue"]
 
 
@@ -411,12 +415,14 @@ def _streamed(spark, folder, masters=None) -> tuple[SourceStar, str]:
     """Write the transactions as CSV files, stream them through the enrichment and return the output path.
 
     Lines are dealt to files at random, so that an order's lines arrive in several micro-batches. ``masters`` changes
-    the masters (products, customers) that the stream sees.
+    the masters (products, customers) that the stream sees. The files are deleted when the stream has read them all.
     """
     star = SourceStar.read(spark, folder)
     base = scratch_path(spark, "stream")
-    rows = raw_transactions(star).select(*RAW_TRANSACTIONS.fieldNames())
-    rows.repartition(FILES, F.xxhash64(*rows.columns)).write.option("header", True).csv(f"{base}/in")
+    rows = transactions(star)
+    dealt = rows.repartition(FILES, F.xxhash64(*rows.columns))  # texts would be shuffled at about twice the bytes
+    with cleaned(spark):
+        as_text(dealt).select(*RAW_TRANSACTIONS.fieldNames()).write.option("header", True).csv(f"{base}/in")
     paths = scratch_path(spark, "masters")
     product_master(star).write.parquet(f"{paths}/product")
     checked_customers(star).write.parquet(f"{paths}/customer")
@@ -427,6 +433,7 @@ def _streamed(spark, folder, masters=None) -> tuple[SourceStar, str]:
 
     source = files.stream_transactions(spark, f"{base}/in", files_per_batch=FILES_PER_BATCH)
     stream.start(source, read_masters, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    remove(spark, f"{base}/in")
     return star, f"{base}/out"
 
 
